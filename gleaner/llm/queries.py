@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ._spark import table
 from .byte_bpe import byte_bpe
+from .fingerprints import edited_fingerprints
+from .substring_dedup import substring_digests
 from .token_counts import token_counts
 
 
@@ -19,8 +21,16 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op6_byte_bpe)}
+    return {f.__name__: f for f in (op3_token_counts, op6_byte_bpe, op8_fingerprints, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
