@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._spark import table
 from .byte_bpe import byte_bpe
 from .fingerprints import edited_fingerprints
+from .near_duplicates import near_duplicates
 from .substring_dedup import substring_digests
 from .token_counts import token_counts
 
@@ -29,8 +30,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op6_byte_bpe, op8_fingerprints, op9_substring_dedup)}
+    return {f.__name__: f for f in (op3_token_counts, op6_byte_bpe, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
