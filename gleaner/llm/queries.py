@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ._spark import table
 from .byte_bpe import byte_bpe
 from .fingerprints import edited_fingerprints
+from .language_id import language_id
 from .near_duplicates import near_duplicates
+from .quality import quality_scores
 from .substring_dedup import substring_digests
 from .token_counts import token_counts
 
@@ -18,10 +20,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -35,7 +45,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op6_byte_bpe, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
+    return {f.__name__: f for f in (op3_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
