@@ -14,6 +14,12 @@ from .near_duplicates import near_duplicates
 from .quality import quality_scores
 from .substring_dedup import substring_digests
 from .token_counts import token_counts
+from .vector_search import nearest
+
+
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +51,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
+    return {f.__name__: f for f in (op1_vector_search, op3_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
