@@ -11,6 +11,7 @@ from .byte_bpe import byte_bpe
 from .fingerprints import edited_fingerprints
 from .language_id import language_id
 from .near_duplicates import near_duplicates
+from .packing import pack
 from .quality import quality_scores
 from .substring_dedup import substring_digests
 from .token_counts import token_counts
@@ -26,6 +27,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vector_search, op3_token_counts, op5_language_id, op6_byte_bpe, op7_quality, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
+    return {f.__name__: f for f in (op1_vector_search, op3_token_counts, op4_best_fit_packing, op5_language_id, op6_byte_bpe, op7_quality, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
