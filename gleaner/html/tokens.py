@@ -1,0 +1,60 @@
+"""A lexer for HTML: one pass of one regular expression, no tree."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from html import unescape
+
+TEXT, START, END = 0, 1, 2
+#: Elements without content.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr keygen command basefont frame".split())
+#: Elements whose content is not markup.
+RAW = frozenset(("script", "style"))
+
+_MARKUP = re.compile(
+    r"<!--(?:.*?-->|.*\Z)"  # comment, perhaps unfinished
+    r"|<[!?][^>]*(?:>|\Z)"  # declaration
+    r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)",  # quotes that do not close
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_raw_end = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in RAW}
+
+
+def attributes(raw: str) -> dict[str, str]:
+    """Names in small letters to values with references decoded; the last of equals counts, one without a value is empty."""
+    return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
+
+
+def tokens(html: str) -> Iterator[tuple[int, str, str]]:
+    """(TEXT, raw text, ''), (START, tag, raw attributes) and (END, tag, '') in order.
+
+    Text keeps its character references.  A tag that the end of the page cuts off
+    is dropped.  The content of raw elements is left out.
+    """
+    at, n = 0, len(html)
+    while at < n:
+        m = _MARKUP.search(html, at)
+        if m is None:
+            yield TEXT, html[at:], ""
+            return
+        if m.start() > at:
+            yield TEXT, html[at : m.start()], ""
+        at = m.end()
+        if m[1]:
+            if html[at - 1] == ">":
+                yield END, m[1].lower(), ""
+            continue
+        tag = m[2] or m[5]
+        if not tag or not (m[4] or m[7]):
+            continue
+        tag = tag.lower()
+        raw = (m[3] if m[2] else m[6]) or ""
+        yield START, tag, raw
+        if tag in RAW and not raw.endswith("/"):
+            end = _raw_end[tag].search(html, at)
+            at = end.end() if end else n
+            yield END, tag, ""
