@@ -309,6 +309,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of docs, all columns, whose language is known with a score of at least least."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch, "text"):
+                lang, score = predict(part.column("text"), sent.value)
+                yield part.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def language_id(docs: DataFrame, modulus: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row, by a model learned from the rows not held out."""
     found = identify(docs, learn(docs, modulus, held_out))

@@ -153,6 +153,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns, with a score of at least least."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch, "text"):
+                yield part.filter(pa.array(vote(term_counts(part.column("text")), sent.value) >= least, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, score and predicted of each row of docs."""
     found = score(docs, learn(docs, labels, modulus, held_out))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._spark import table
 from .byte_bpe import byte_bpe
 from .fingerprints import edited_fingerprints
+from .html_extract import main_text
 from .language_id import language_id
 from .near_duplicates import near_duplicates
 from .packing import pack
@@ -23,6 +24,10 @@ def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -56,7 +61,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vector_search, op3_token_counts, op4_best_fit_packing, op5_language_id, op6_byte_bpe, op7_quality, op8_fingerprints, op9_substring_dedup, op10_near_duplicates)}
+    ops = (
+        op1_vector_search, op2_html_extract, op3_token_counts, op4_best_fit_packing, op5_language_id,
+        op6_byte_bpe, op7_quality, op8_fingerprints, op9_substring_dedup, op10_near_duplicates,
+    )
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -148,15 +148,19 @@ def spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> tuple[DataFr
     return covered, members
 
 
+#: Names of columns that are added to the documents on the way; no table has them.
+SPANS, COPIES = "__gleaner_spans", "__gleaner_copies"
+
+
 def removed_words(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
-    """docs (doc_id, text) with spans (array<struct<start, words>>, in words, not merged) and copy.
+    """docs, all columns, with SPANS (array<struct<start, words>>, in words, not merged) and COPIES.
 
-    copy says that a document with a smaller id has the same text; its words all
-    go if it has a window at all.
+    COPIES holds the keys of texts that a document with a smaller id has too: the words
+    of such a copy all go if it has a window at all.
     """
     covered, members = spans(docs, width, seed)
-    copies = members.where("doc_id > first_id").select("doc_id", "text_key").distinct().groupBy("doc_id").agg(F.collect_set("text_key").alias("copy_keys"))
-    return _read(docs).join(copies, "doc_id", "left").join(covered, "doc_id", "left")
+    copies = members.where("doc_id > first_id").select("doc_id", "text_key").distinct().groupBy("doc_id").agg(F.collect_set("text_key").alias(COPIES))
+    return docs.join(copies, "doc_id", "left").join(covered.withColumnRenamed("spans", SPANS), "doc_id", "left")
 
 
 def _apply(part: pa.RecordBatch, width: int) -> tuple[T.Words, np.ndarray]:
@@ -164,11 +168,11 @@ def _apply(part: pa.RecordBatch, width: int) -> tuple[T.Words, np.ndarray]:
     w = T.words(part.column("text"))
     gone = np.zeros(w.n + 1, np.int64)
     texts = None
-    for i, (own, copy) in enumerate(zip(part.column("spans").to_pylist(), part.column("copy_keys").to_pylist(), strict=True)):
+    for i, (own, copy) in enumerate(zip(part.column(SPANS).to_pylist(), part.column(COPIES).to_pylist(), strict=True)):
         base, end = int(w.first[i]), int(w.first[i + 1])
         if copy and end - base >= width:
             texts = texts or part.column("text").to_pylist()
-            if hashlib.md5(texts[i].encode()).hexdigest() in copy:
+            if hashlib.md5((texts[i] or "").encode()).hexdigest() in copy:
                 gone[base] += 1
                 gone[end] -= 1
                 continue
@@ -193,7 +197,7 @@ def substring_digests(docs: DataFrame, width: int = WIDTH, seed: int = SEED) ->
                 removed = total[w.first[1:]] - total[w.first[:-1]]
                 digest = []
                 for i, text in enumerate(part.column("text").to_pylist()):
-                    own = text.encode().split()
+                    own = (text or "").encode().split()
                     if removed[i]:
                         own = [x for x, g in zip(own, gone[w.first[i] : w.first[i + 1]].tolist(), strict=True) if not g]
                     digest.append(hashlib.sha256(b" ".join(own)).hexdigest())
@@ -202,15 +206,16 @@ def substring_digests(docs: DataFrame, width: int = WIDTH, seed: int = SEED) ->
                     names=["doc_id", "n_words", "n_removed", "kept_sha256"],
                 )
 
-    return removed_words(docs, width, seed).select("doc_id", "text", "spans", "copy_keys").mapInArrow(run, RESULT)
+    return removed_words(_read(docs), width, seed).mapInArrow(run, RESULT)
 
 
 def kept_texts(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
-    """doc_id, text without its duplicate spans, n_removed, n_kept of each row of docs (doc_id, text).
+    """docs, all columns, their texts without duplicate spans; a document of which nothing is left goes.
 
     A text that loses nothing stays as it is; a removed run of words goes with the
     white space after it.
     """
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,9 +231,7 @@ def kept_texts(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFra
                     stop = np.append(begin[1:], len(raw))
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], keep, [False]]).astype(np.int8)))
                     out[i] = b"".join(raw[begin[a] : stop[b - 1]] for a, b in zip(edge[::2], edge[1::2], strict=True)).decode().strip()
-                yield pa.record_batch(
-                    [part.column("doc_id"), pa.array(out, pa.string()), pa.array(removed, pa.int64()), pa.array(w.counts() - removed, pa.int64())],
-                    names=["doc_id", "text", "n_removed", "n_kept"],
-                )
+                cols = [pa.array(out, part.column("text").type) if c == "text" else part.column(c) for c in names]
+                yield pa.record_batch(cols, names=names).filter(pa.array((removed == 0) | (removed < w.counts())))
 
-    return removed_words(docs, width, seed).select("doc_id", "text", "spans", "copy_keys").mapInArrow(run, "doc_id long, text string, n_removed long, n_kept long")
+    return removed_words(docs, width, seed).mapInArrow(run, docs.schema)
