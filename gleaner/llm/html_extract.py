@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..html.tokens import END, START, TEXT, VOID, attributes, tokens
+from ..markup.tokens import END, START, TEXT, VOID, attributes, tokens
 from . import _text as T
 
 RESULT = "page_id long, url string, text string, n_chars long"
