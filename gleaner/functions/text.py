@@ -41,13 +41,18 @@ def _trim_edges(c: Column) -> Column:
 def sanitize_filename(name: Column, max_bytes: int = 180, strict: bool = False) -> Column:
     """A safe file name that keeps letters of all scripts.
 
-    A name of more than max_bytes bytes keeps its extension and the first 150
-    characters of its stem; strict cuts further, so that it does fit.
+    A name of more than max_bytes bytes keeps its extension, that is, all from the last
+    dot on, and the first 150 characters of its stem; strict cuts further, so that it
+    does fit, and takes what has over 16 bytes for no extension.
     """
     clean = _trim_edges(F.regexp_replace(F.regexp_replace(name, UNSAFE, "_"), rf"{SPACES}+", " "))
 
     def fit(clean: Column) -> Column:
-        return F.when(clean == "", F.lit("unnamed_document")).when(F.octet_length(clean) > max_bytes, let(F.regexp_extract(clean, r"(?s)\A.+?(\.[^.]*)\z", 1), lambda e: cut(clean, e))).otherwise(clean)
+        extension = F.regexp_extract(clean, r"(?s)\A.+?(\.[^.]*)\z", 1)
+        if strict:
+            extension = let(extension, lambda e: F.when(F.octet_length(e) <= 16, e).otherwise(""))
+        short = let(extension, lambda e: cut(clean, e))
+        return F.when(clean == "", F.lit("unnamed_document")).when(F.octet_length(clean) > max_bytes, short).otherwise(clean)
 
     def cut(clean: Column, extension: Column) -> Column:
         stem = F.substring(clean, F.lit(1), F.length(clean) - F.length(extension))
