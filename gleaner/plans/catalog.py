@@ -11,7 +11,7 @@ from ..functions import url as U
 from ..functions.filenames import derive_filename
 from ..functions.text import before_hyphen, decode_content_disposition, percent_decode, sanitize_filename
 from ..operators import dedupe, extract, listing, outcome, registry, responses
-from ..session import ship
+from ..session import shared_dir, ship
 from . import site
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,6 +376,46 @@ def fetch_outcomes(spark, sf_dir):
     return _t(spark, sf_dir, "orders").select(k, done.alias("d")).select("o_orderkey", "d.ok", "d.size", "d.error")
 
 
+@query(
+    """SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 3 = 0 THEN 'u/' || o_orderkey ELSE 'doc_' || o_orderkey END AS doc_key, 's' || (o_orderkey % 5) AS section,
+    CASE WHEN ok THEN 'f' || o_orderkey || '.pdf' ELSE '' END AS filename, CASE WHEN ok THEN 's' || (o_orderkey % 5) || '/f' || o_orderkey || '.pdf' ELSE '' END AS file_path,
+    CASE WHEN ok THEN trunc(o_totalprice)::BIGINT ELSE 0 END AS file_size_bytes, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderpriority END AS article_title,
+    CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, CASE WHEN ok THEN NULL WHEN o_orderkey % 4 = 0 THEN 'Unknown error' ELSE 'e' || o_orderstatus END AS error
+    FROM (SELECT *, o_orderstatus = 'O' AS ok FROM orders)"""
+)
+def registry_events(spark, sf_dir):
+    """Events of downloads that went well and of such that failed."""
+    k, ok = F.col("o_orderkey"), F.col("o_orderstatus") == "O"
+    rows = _t(spark, sf_dir, "orders").select(
+        k.alias("seq"), U.doc_key(F.when(k % 3 != 0, k.cast("string")), F.format_string("u/%d", k)).alias("doc_key"), k.cast("string").alias("document_id"), F.lit(None).cast("string").alias("article_id"),
+        F.format_string("s%d", k % 5).alias("section"), F.format_string("f%d.pdf", k).alias("filename"), F.col("o_totalprice").cast("long").alias("file_size_bytes"),
+        F.when(k % 2 == 1, F.col("o_orderpriority")).alias("article_title"), F.lit("a").alias("article_url"), F.lit("d").alias("download_url"), F.lit(None).cast("string").alias("link_text"),
+        F.when(k % 4 != 0, F.concat(F.lit("e"), "o_orderstatus")).alias("error"), ok.alias("ok"),
+    )
+    events = registry.success_events(rows.where("ok")).unionByName(registry.failure_events(rows.where("not ok")))
+    return events.select("seq", "doc_key", "section", "filename", "file_path", "file_size_bytes", "article_title", "status", "error")
+
+
+@query(
+    f"""WITH {_ART}, {_DOCS}, s AS (SELECT *, p // 10 AS pg FROM art),
+    rows AS (SELECT DISTINCT section_ord, pg, -1 AS art, -1 AS pos, 'page' AS kind, NULL AS url, NULL AS id FROM s
+     UNION ALL SELECT section_ord, pg, c_custkey, -1, 'article', NULL, NULL FROM s WHERE c_custkey % 7 <> 0
+     UNION ALL SELECT section_ord, pg, c_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY (kind IN (3, 6)), o), 'document', url, CASE WHEN kind IN (0, 4) THEN o::VARCHAR END FROM s JOIN doc ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0)
+    SELECT row_number() OVER (ORDER BY section_ord, pg, art, pos) AS seq, kind, 'sec' || section_ord AS section, CASE WHEN kind = 'document' THEN coalesce('doc_' || id, url) END AS doc_key FROM rows"""
+)
+def crawl_discovery(spark, sf_dir):
+    """The log of a whole discovery: listing pages, articles and documents, fetched out of a table, in the order of a crawl."""
+    from ..sources.fetch import TableFetcher
+    from .crawl import Crawl
+
+    pages = site.listings(spark, sf_dir).select("page_url", "html").unionByName(site.article_pages(spark, sf_dir).select("page_url", "html"))
+    utf8 = F.create_map(F.lit("content-type"), F.lit("text/html; charset=utf-8"))
+    answers = pages.select(F.col("page_url").alias("url"), F.lit(200).alias("status"), utf8.alias("headers"), F.col("html").cast("binary").alias("body"), F.lit(None).cast("string").alias("error"))
+    work = shared_dir(spark)
+    crawl = Crawl(spark, site.catalog(spark, sf_dir), TableFetcher(answers), registry.Registry(spark, f"{work}/registry"), f"{work}/output", work, dry_run=True)
+    return crawl.discover().select("seq", "kind", "section", "doc_key")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

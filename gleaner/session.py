@@ -26,3 +26,9 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     sc.addPyFile(str(target))
     _shipped.add(sc.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; only where none is set, a local one (as in tests)."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (at or f"{tempfile.gettempdir()}/gleaner-checkpoints").rstrip("/")
