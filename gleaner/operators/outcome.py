@@ -21,6 +21,18 @@ def in_run_skips(log: DataFrame) -> DataFrame:
     return joined.withColumn("skipped", (F.col("kind") == "document") & (F.coalesce("known", F.lit(False)) | F.coalesce(F.col("seq") > F.col("_done"), F.lit(False)))).drop("_done")
 
 
+def numbered(rows: DataFrame, page: list[str], inner: list[str], name: str = "seq") -> DataFrame:
+    """rows with their place, from 1, in the order of the columns of page, then inner.
+
+    Ranks within a page follow the totals of the pages before; a window spans the
+    totals only.
+    """
+    totals = rows.groupBy(*page).agg(F.count("*").alias("_n"))
+    before = totals.select(*page, F.coalesce(F.sum("_n").over(Window.orderBy(*page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*page).orderBy(*inner))
+    return rows.withColumn("_own", own).join(before, page).withColumn(name, (F.col("_before") + F.col("_own")).cast("long")).drop("_own", "_before")
+
+
 def running_total(df: DataFrame, flag: str, name: str, block: int = BLOCK) -> DataFrame:
     """df with the number of rows with the flag before each row, by seq.
 

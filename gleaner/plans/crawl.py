@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.filenames import derive_filename
@@ -14,8 +14,6 @@ from ..operators import extract, listing, outcome, registry
 from ..session import ship
 from ..sources.fetch import Fetcher, page_text, write_documents
 
-ORDER = ["section_ord", "page_num", "is_article", "art_pos", "doc_pos"]
-
 
 def _pages(fetcher: Fetcher, urls: DataFrame) -> DataFrame:
     """url, status, html, error of each distinct URL."""
@@ -94,15 +92,7 @@ class Crawl:
         doc_rows = docs.unionByName(direct).withColumn("kind", F.lit("document"))
         rows = page_rows.unionByName(art_rows).unionByName(doc_rows, allowMissingColumns=True)
         keyed = rows.withColumn("doc_key", F.when(F.col("kind") == "document", doc_key(F.col("document_id"), F.col("download_url")))).withColumnRenamed("section_key", "section")
-        return self._keep(self._numbered(self._keep(keyed)))
-
-    def _numbered(self, rows: DataFrame) -> DataFrame:
-        """rows with seq, their place in the order of the crawl: ranks within pages, after the totals of the pages before."""
-        page = ["section_ord", "page_num"]
-        totals = rows.groupBy(*page).agg(F.count("*").alias("_n"))
-        before = totals.select(*page, F.coalesce(F.sum("_n").over(Window.orderBy(*page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-        own = F.row_number().over(Window.partitionBy(*page).orderBy("is_article", "art_pos", "doc_pos"))
-        return rows.withColumn("_own", own).join(before, page).withColumn("seq", (F.col("_before") + F.col("_own")).cast("long")).drop("_own", "_before")
+        return self._keep(outcome.numbered(self._keep(keyed), ["section_ord", "page_num"], ["is_article", "art_pos", "doc_pos"]))
 
     def _known(self, log: DataFrame, files: DataFrame) -> DataFrame:
         skipped, _ = registry.split_downloaded(log.where("kind = 'document'"), self.store.load(), files)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.outcome import numbered
+
 HOST = "https://site.example"
 
 
@@ -92,8 +94,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = a.join(orders, F.col("c_custkey") == F.col("o_custkey")).select("section_ord", "page_num", F.col("c_custkey").alias("art"), F.col("o_orderkey").alias("doc"), F.lit("document").alias("kind"), "o_orderstatus", "o_totalprice")
     rows = pages.unionByName(arts).unionByName(docs, allowMissingColumns=True)
     empty = (F.col("o_orderstatus") == "P") & (F.col("doc") % 2 == 0)
-    seq = F.row_number().over(Window.orderBy("section_ord", "page_num", "art", "doc"))
-    return rows.select(
-        seq.cast("long").alias("seq"), "section_ord", "kind", F.when(F.col("kind") == "document", F.format_string("doc_%d", F.floor(F.col("doc") / 3))).alias("doc_key"),
+    return numbered(rows, ["section_ord", "page_num"], ["art", "doc"]).select(
+        "seq", "section_ord", "kind", F.when(F.col("kind") == "document", F.format_string("doc_%d", F.floor(F.col("doc") / 3))).alias("doc_key"),
         ((F.col("o_orderstatus") == "O") | empty).alias("ok"), F.when(empty, F.lit(0)).otherwise(F.col("o_totalprice")).cast("long").alias("size"), (F.floor(F.col("doc") / 3) % 10 == 3).alias("known"),
     )
