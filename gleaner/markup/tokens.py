@@ -15,9 +15,9 @@ RAW = frozenset(("script", "style"))
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)"  # comment, perhaps unfinished
     r"|<[!?][^>]*(?:>|\Z)"  # declaration
-    r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)",  # quotes that do not close
+    r"|</([a-zA-Z][^\s/>]*+)[^>]*(?:>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*+)([^>]*)(>|\Z)",  # quotes that do not close
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")

@@ -110,3 +110,12 @@ def test_small_rules(spark):
     df = spark.createDataFrame([("More", "", "t"), ("x", "d", "t")], "a string, d string, l string")
     got = df.select(extract.informative_text(F.col("a")), extract.carried_title(F.col("d"), F.col("l"))).collect()
     assert [tuple(r) for r in got] == [("", "t"), ("x", "d")]
+
+
+@pytest.mark.parametrize("html", ["<" + "a" * 200_000 + "'", "<a " + "x=" * 100_000 + "'", "<a '" * 50_000, "<!--" * 50_000, "</" * 100_000, "<b>" * 20_000])
+def test_odd_markup_takes_linear_time(html):
+    import time
+
+    began = time.time()
+    parse(html)
+    assert time.time() - began < 5
