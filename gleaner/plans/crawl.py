@@ -13,6 +13,7 @@ from ..functions.url import doc_key
 from ..operators import extract, listing, outcome, registry
 from ..session import ship
 from ..sources.fetch import Fetcher, page_text, write_documents
+from ..sources.files import list_files
 
 
 def _pages(fetcher: Fetcher, urls: DataFrame) -> DataFrame:
@@ -79,7 +80,10 @@ class Crawl:
 
             arts = keep_first(arts, ["url"], ["section_ord", "page_num", "pos"])
         arts = self._keep(arts)
-        bodies = self._keep(extract.parse_pages(_pages(self.fetcher, arts.select("url")).where(~bad), url="url"))
+        fetched = self._keep(_pages(self.fetcher, arts.select("url")))
+        bodies = self._keep(extract.parse_pages(fetched.where(~bad), url="url"))
+        gone = fetched.where(bad).join(arts.select("section_key", "url"), "url")
+        self.failed_pages = self.failed_pages.unionByName(gone.select("section_key", F.col("url").alias("page_url"), fault.alias("error")))
         # One row for each article even without documents: the limit is looked at before each of them.
         in_articles = arts.select(*place, F.col("pos").alias("art_pos"), "url", F.col("title").alias("listing_title")).join(bodies, "url")
         docs = in_articles.select(*place, "art_pos", "listing_title", F.explode("parsed.documents").alias("d")).select(
@@ -99,9 +103,9 @@ class Crawl:
         return log.join(skipped.select("seq", F.lit(True).alias("known")), "seq", "left")
 
     def run(self, section: str = "all", files: DataFrame | None = None) -> dict[str, int]:
-        """The six counters.  files (path, length) are those below the output folder; none if not given."""
+        """The six counters.  files (path, length) are those below the output folder, which is listed if none are given."""
         if files is None:
-            files = self.spark.createDataFrame([], "path string, length long")
+            files = list_files(self.spark, self.output)
         log = self._known(self.discover(section), files)
         if self.dry_run:
             log = log.withColumns({"ok": F.lit(False), "size": F.lit(0).cast("long")})

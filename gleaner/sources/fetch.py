@@ -6,6 +6,7 @@ A fetcher is anything with ``fetch(urls) -> DataFrame`` of the shape RESPONSE.
 from __future__ import annotations
 
 import os
+import re
 import time
 import urllib.error
 import urllib.request
@@ -15,8 +16,10 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from ..functions.rules import RETRY_METHODS, RETRY_STATUSES
 from ..operators.responses import HTML_ERROR
@@ -136,14 +139,32 @@ class HttpFetcher:
         return urls.select("url").distinct().repartition(host).mapInArrow(run, RESPONSE)
 
 
-def page_text(body, headers) -> F.Column:
-    """A body as text by the charset of its header; ISO-8859-1 if a text type names none, else UTF-8."""
-    kind = F.coalesce(F.try_element_at(headers, F.lit("content-type")), F.lit(""))
-    charset = F.upper(F.regexp_extract(kind, "charset=[\"']?([A-Za-z0-9_-]+)", 1))
-    latin = F.decode(body, "ISO-8859-1")
-    utf8 = F.try_validate_utf8(body.cast("string"))
-    named_utf8 = (charset == "UTF-8") | (charset == "UTF8") | ((charset == "") & ~F.startswith(F.lower(kind), F.lit("text/")))
-    return F.when(named_utf8, F.coalesce(utf8, latin)).otherwise(latin)
+def body_text(body: bytes | None, kind: str | None) -> str | None:
+    """A body as text by the charset of its content type.
+
+    Without a charset a text type is ISO-8859-1, any other UTF-8; bytes that do not
+    fit a charset are replaced.
+    """
+    if body is None:
+        return None
+    kind = kind or ""
+    named = re.search(r"charset=[\"']?([\w.:-]+)", kind, re.I)
+    charset = named[1] if named else "iso-8859-1" if kind.lower().startswith("text/") else "utf-8"
+    try:
+        return body.decode(charset, "replace")
+    except LookupError:
+        return body.decode("utf-8", "replace")
+
+
+@arrow_udf(T.StringType())
+def _decoded(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for body, kind in columns:
+        yield pa.array([body_text(b, k) for b, k in zip(body.to_pylist(), kind.to_pylist(), strict=True)], pa.string())
+
+
+def page_text(body: Column, headers: Column) -> Column:
+    """The text of a response."""
+    return _decoded(body, F.coalesce(F.try_element_at(headers, F.lit("content-type")), F.try_element_at(headers, F.lit("Content-Type"))))
 
 
 def write_body(folder: str, name: str, body: bytes | None) -> tuple[bool, str, int, str | None]:

@@ -8,7 +8,8 @@ from gleaner.operators.registry import Registry
 from gleaner.plans import site
 from gleaner.plans.crawl import Crawl
 from gleaner.schemas import CATALOG, EVENT, RESPONSE
-from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, request, write_body
+from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, body_text, request, write_body
+from gleaner.sources.files import list_files
 from gleaner.sources.http import HttpPages
 from tests.conftest import SMALL
 
@@ -93,8 +94,8 @@ def test_crawl(spark, server, tmp_path):
     assert entries["doc_1"].article_title == "ርዕስ አንድ" and entries[f"{base}/html.pdf"].status == "failed" and entries[f"{base}/html.pdf"].filename == ""
     assert entries[f"{base}/empty.pdf"].article_title == "Two" and entries[f"{base}/direct.pdf"].article_url == f"{base}/l"
     # A second run knows what is there, but for the empty file and the failure.
-    files = spark.createDataFrame([(f"sec/{p.name}", p.stat().st_size) for p in (tmp_path / "out" / "sec").iterdir()], "path string, length long")
-    assert list(c.run(files=files).values()) == [2, 4, 6, 1, 4, 1]
+    assert list(c.run().values()) == [2, 4, 6, 1, 4, 1]
+    assert [(r.page_url, r.error) for r in c.failed_pages.collect()] == [(f"{base}/d/404", "HTTP 404")]
 
 
 def test_limits_and_dry_run(spark, server, tmp_path):
@@ -125,6 +126,20 @@ def test_table_fetcher(spark, tmp_path):
     assert (got["listing_pages_crawled"], got["articles_visited"], got["pdfs_discovered"]) == (want["sum(listing_pages)"], want["sum(articles)"], want["sum(documents)"])
 
 
+def test_body_text():
+    assert body_text("é".encode(), "text/html") == "Ã©" and body_text("é".encode(), "text/html; charset=UTF-8") == "é" == body_text("é".encode(), None)
+    assert body_text("é".encode("cp1252"), 'text/html; charset="windows-1252"') == "é" and body_text(b"x", "text/html; charset=nope") == "x"
+    assert body_text(None, None) is None and body_text(b"\xff", "application/x") == "\ufffd"
+
+
+def test_list_files(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    for name, body in (("a b/ሕ+ግ%20.pdf", b"123"), ("x.pdf", b""), ("y.pdf.1.part", b"1")):
+        (tmp_path / name).write_bytes(body)
+    assert sorted(map(tuple, list_files(spark, str(tmp_path)).collect())) == [("a b/ሕ+ግ%20.pdf", 3)]
+    assert list_files(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_write_body(tmp_path):
     d = str(tmp_path / "s")
     assert write_body(d, "a.pdf", b"%PDF") == (True, "a.pdf", 4, None)
