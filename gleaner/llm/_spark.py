@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import shared_dir, ship
+
+_folders: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,18 +17,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where none is set, a local one (as in tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return at or f"{tempfile.gettempdir()}/gleaner-checkpoints"
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _folder(spark: SparkSession) -> str:
+    """A folder of the application below the shared one; it goes when the driver's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        path = f"{shared_dir(spark)}/gleaner-{app}-{uuid.uuid4().hex[:8]}"
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _folders[app] = path
+    return _folders[app]
 
 
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df, written once to the shared folder and read back: ends the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/gleaner-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._gleaner_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes the files of tables made by cut that nothing reads any more.
+
+    The driver's garbage goes too, for Spark deletes the shuffle files behind a plan
+    only when the plan is collected.
+    """
+    for t in tables:
+        if path := getattr(t, "_gleaner_path", None):
+            _delete(t.sparkSession, path)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def fold_of(modulus: int, column: str = "doc_id"):

@@ -18,7 +18,7 @@ has to be sent to every document:
 
 Both steps group with partial aggregation by content hashes of 128 bits; texts are
 never gathered by a shared key, and hot passages or thousands of copies need no
-list anywhere.  Exact copies of a text are parsed once.
+list anywhere.
 
 Defined cases: a null text has no words; a document of fewer than ``width`` words
 keeps all; rows with equal ids count as one document for "smaller", each keeps its
@@ -36,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._spark import cut
+from ._spark import cut, release
 
 WIDTH, SEED = 50, 25
 _CHAIN = 0x2545F4914F6CDD1D
-_STRETCH = "doc_id long, anchor long, stretch long, start int, windows int"
+_STRETCH = "doc_id long, tag int, anchor long, stretch long, start int, windows int"
+#: Names of columns that are added to the documents on the way; no table has them.
+SPANS, TAG = "__gleaner_spans", "__gleaner_tag"
 
 
 def _inverse(a: int) -> int:
@@ -75,51 +77,40 @@ def stretches(w: T.Words, width: int = WIDTH, seed: int = SEED) -> tuple[np.ndar
     return row[begin], g[at[begin]], stretch, begin - w.first[row[begin]], size
 
 
-def _read(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-
-
-def spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Duplicate spans of the first documents of each text, and the documents of each text.
+def _tagged(docs: DataFrame) -> DataFrame:
+    """docs with TAG, which tells texts of one id apart."""
+    return docs.withColumn(TAG, F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit((1 << 31) - 1)).cast("int"))
 
-    (doc_id, spans: array<struct<start, words>>) with the words that go, and
-    (doc_id, text_key, first_id) of every row.
-    """
-    docs = _read(docs)
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in T.slices(batch, "text"):
-                key = [hashlib.md5(t.encode()).hexdigest() for t in part.column("text").to_pylist()]
-                yield pa.record_batch([part.column("doc_id"), pa.array(key, pa.string())], names=["doc_id", "text_key"])
 
-    keyed = cut(docs.mapInArrow(keys, "doc_id long, text_key string"))
-    firsts = cut(keyed.groupBy("text_key").agg(F.min("doc_id").alias("first_id")))
-    members = keyed.join(firsts, "text_key")
-    originals = docs.join(firsts.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+def spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+    """Duplicate spans: doc_id, TAG and SPANS, array<struct<start, words>> (in words, not merged) of the words that go."""
+    texts = _tagged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch, "text"):
                 row, anchor, stretch, start, size = stretches(T.words(part.column("text")), width, seed)
+                at = pa.array(row)
                 yield pa.record_batch(
-                    [part.column("doc_id").take(pa.array(row)), pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(start, pa.int32()), pa.array(size, pa.int32())],
-                    names=["doc_id", "anchor", "stretch", "start", "windows"],
+                    [part.column("doc_id").take(at), part.column(TAG).take(at), pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(start, pa.int32()), pa.array(size, pa.int32())],
+                    names=["doc_id", "tag", "anchor", "stretch", "start", "windows"],
                 )
 
-    found = cut(originals.mapInArrow(index, _STRETCH))
+    found = cut(texts.mapInArrow(index, _STRETCH))
     blocks = cut(found.groupBy("anchor", "stretch").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
     # Anchors with several stretches: factors may end inside one.
-    several = blocks.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    several = cut(blocks.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     marked = cut(
-        blocks.join(cut(several).withColumn("several", F.lit(True)), "anchor", "left")
+        blocks.join(several.withColumn("several", F.lit(True)), "anchor", "left")
         .where("several or last > first")
         .select("anchor", "stretch", "first", F.coalesce("several", F.lit(False)).alias("several"))
     )
-    parsed = cut(found.join(marked, ["anchor", "stretch"]).where("doc_id > first or several"))
-    whole = parsed.where("doc_id > first").select("doc_id", "start", (F.col("windows") + (width - 1)).alias("words"))
+    release(blocks, several)
+    parsed = cut(found.join(marked, ["anchor", "stretch"]).where("doc_id > first or several").select("doc_id", "tag", "start", "windows", (F.col("doc_id") > F.col("first")).alias("copied")))
+    release(found, marked)
+    whole = parsed.where("copied").select("doc_id", "tag", "start", (F.col("windows") + (width - 1)).alias("words"))
     # Windows of first occurrences, one by one.
-    open_runs = parsed.where("doc_id = first").groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    open_runs = parsed.where("not copied").groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,58 +119,44 @@ def spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> tuple[DataFr
                 runs = part.column("runs")
                 lists = runs.flatten()
                 start, size = (lists.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-                per = np.diff(runs.offsets.to_numpy()) if len(runs) else np.zeros(0, np.int64)
-                row = np.repeat(np.arange(len(runs)), per)
+                row = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
                 if not len(row):
                     continue
                 each = np.repeat(row, size)
                 pos = np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
                 at = w.first[each] + pos
                 a, b = T.grams(w.hashes(0), width)[at], T.grams(w.hashes(1), width)[at]
+                own = pa.array(each)
                 yield pa.record_batch(
-                    [part.column("doc_id").take(pa.array(each)), pa.array(pos, pa.int32()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
-                    names=["doc_id", "start", "a", "b"],
+                    [part.column("doc_id").take(own), part.column(TAG).take(own), pa.array(pos, pa.int32()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
+                    names=["doc_id", "tag", "start", "a", "b"],
                 )
 
-    seen = cut(originals.join(open_runs, "doc_id").select("doc_id", "text", "runs").mapInArrow(windows, "doc_id long, start int, a long, b long"))
+    asked = texts.join(open_runs, ["doc_id", TAG]).select("doc_id", TAG, "text", "runs")
+    seen = cut(asked.mapInArrow(windows, "doc_id long, tag int, start int, a long, b long"))
     earlier = cut(seen.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").select("a", "b", "first"))
-    single = seen.join(earlier, ["a", "b"]).where("doc_id > first").select("doc_id", "start", F.lit(width).alias("words"))
-    covered = whole.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
-    return covered, members
-
-
-#: Names of columns that are added to the documents on the way; no table has them.
-SPANS, COPIES = "__gleaner_spans", "__gleaner_copies"
+    single = cut(seen.join(earlier, ["a", "b"]).where("doc_id > first").select("doc_id", "tag", "start", F.lit(width).alias("words")))
+    release(seen, earlier)
+    return whole.unionByName(single).groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_list(F.struct("start", "words")).alias(SPANS))
 
 
 def removed_words(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
-    """docs, all columns, with SPANS (array<struct<start, words>>, in words, not merged) and COPIES.
-
-    COPIES holds the keys of texts that a document with a smaller id has too: the words
-    of such a copy all go if it has a window at all.
-    """
-    covered, members = spans(docs, width, seed)
-    copies = members.where("doc_id > first_id").select("doc_id", "text_key").distinct().groupBy("doc_id").agg(F.collect_set("text_key").alias(COPIES))
-    return docs.join(copies, "doc_id", "left").join(covered.withColumnRenamed("spans", SPANS), "doc_id", "left")
+    """docs, all columns, with TAG and SPANS."""
+    covered = cut(spans(docs, width, seed))
+    return _tagged(docs).join(covered, ["doc_id", TAG], "left")
 
 
-def _apply(part: pa.RecordBatch, width: int) -> tuple[T.Words, np.ndarray]:
+def _apply(part: pa.RecordBatch) -> tuple[T.Words, np.ndarray]:
     """The words of a slice, and which of them go."""
     w = T.words(part.column("text"))
     gone = np.zeros(w.n + 1, np.int64)
-    texts = None
-    for i, (own, copy) in enumerate(zip(part.column(SPANS).to_pylist(), part.column(COPIES).to_pylist(), strict=True)):
-        base, end = int(w.first[i]), int(w.first[i + 1])
-        if copy and end - base >= width:
-            texts = texts or part.column("text").to_pylist()
-            if hashlib.md5((texts[i] or "").encode()).hexdigest() in copy:
-                gone[base] += 1
-                gone[end] -= 1
-                continue
-        for s in own or ():
-            if base + s["start"] + s["words"] <= end:
-                gone[base + s["start"]] += 1
-                gone[base + s["start"] + s["words"]] -= 1
+    lists = part.column(SPANS)
+    full = lists.fill_null([]) if lists.null_count else lists
+    inner = full.flatten()
+    start, size = (inner.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+    base = w.first[np.repeat(np.arange(len(full)), np.diff(full.offsets.to_numpy()))]
+    np.add.at(gone, base + start, 1)
+    np.add.at(gone, base + start + size, -1)
     return w, np.cumsum(gone[:-1]) > 0
 
 
@@ -192,7 +169,7 @@ def substring_digests(docs: DataFrame, width: int = WIDTH, seed: int = SEED) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch, "text"):
-                w, gone = _apply(part, width)
+                w, gone = _apply(part)
                 total = np.concatenate([[0], np.cumsum(gone)])
                 removed = total[w.first[1:]] - total[w.first[:-1]]
                 digest = []
@@ -206,7 +183,7 @@ def substring_digests(docs: DataFrame, width: int = WIDTH, seed: int = SEED) ->
                     names=["doc_id", "n_words", "n_removed", "kept_sha256"],
                 )
 
-    return removed_words(_read(docs), width, seed).mapInArrow(run, RESULT)
+    return removed_words(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), width, seed).mapInArrow(run, RESULT)
 
 
 def kept_texts(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
@@ -220,7 +197,7 @@ def kept_texts(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch, "text"):
-                w, gone = _apply(part, width)
+                w, gone = _apply(part)
                 total = np.concatenate([[0], np.cumsum(gone)])
                 removed = total[w.first[1:]] - total[w.first[:-1]]
                 out = part.column("text").to_pylist()
