@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import _text as T
 
 #: Samples of a fingerprint; the standard error of a likeness is at most 0.5 / sqrt(SAMPLES).
-SAMPLES = 64
+SAMPLES = 128
 _GROUP = 16
 _PAIRS = 1 << 14
 
