@@ -45,16 +45,16 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
-def release(*tables: DataFrame) -> None:
+def release(*tables: DataFrame, sweep: bool = False) -> None:
     """Deletes the files of tables made by cut that nothing reads any more.
 
-    The driver's garbage goes too, for Spark deletes the shuffle files behind a plan
-    only when the plan is collected.
+    With sweep the driver's garbage goes too, for Spark deletes the shuffle files
+    behind a plan only when the plan is collected; worth it after large shuffles.
     """
     for t in tables:
         if path := getattr(t, "_gleaner_path", None):
             _delete(t.sparkSession, path)
-    if tables:
+    if sweep:
         tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 

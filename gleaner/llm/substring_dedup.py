@@ -105,9 +105,9 @@ def spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
         .where("several or last > first")
         .select("anchor", "stretch", "first", F.coalesce("several", F.lit(False)).alias("several"))
     )
-    release(blocks, several)
+    release(blocks, several, sweep=True)
     parsed = cut(found.join(marked, ["anchor", "stretch"]).where("doc_id > first or several").select("doc_id", "tag", "start", "windows", (F.col("doc_id") > F.col("first")).alias("copied")))
-    release(found, marked)
+    release(found, marked, sweep=True)
     whole = parsed.where("copied").select("doc_id", "tag", "start", (F.col("windows") + (width - 1)).alias("words"))
     # Windows of first occurrences, one by one.
     open_runs = parsed.where("not copied").groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
@@ -136,7 +136,7 @@ def spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
     seen = cut(asked.mapInArrow(windows, "doc_id long, tag int, start int, a long, b long"))
     earlier = cut(seen.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").select("a", "b", "first"))
     single = cut(seen.join(earlier, ["a", "b"]).where("doc_id > first").select("doc_id", "tag", "start", F.lit(width).alias("words")))
-    release(seen, earlier)
+    release(seen, earlier, sweep=True)
     return whole.unionByName(single).groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_list(F.struct("start", "words")).alias(SPANS))
 
 
