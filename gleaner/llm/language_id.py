@@ -283,11 +283,11 @@ def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_lang: int =
         for batch in batches:
             for part in T.slices(batch, "text"):
                 w = T.words(part.column("text"))
-                out = []
+                h, out = w.hashes(), []
                 for i, text in enumerate(part.column("text").to_pylist()):
                     lo, hi, base = int(w.first[i]), int(w.first[i + 1]), int(w.off[i])
                     if hi - lo > window:
-                        lo += int(w.hashes()[lo] % np.uint64(hi - lo - window + 1))
+                        lo += int(h[lo] % np.uint64(hi - lo - window + 1))
                         hi = lo + window
                     out.append(text.encode()[w.start[lo] - base : w.end[hi - 1] - base].decode() if hi > lo else "")
                 yield pa.record_batch([part.column("lang"), pa.array(out, pa.string())], names=["lang", "text"])
