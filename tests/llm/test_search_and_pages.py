@@ -3,6 +3,8 @@ import pytest
 
 from gleaner.llm import vector_search as vs
 from gleaner.llm.html_extract import extract, main_text
+from gleaner.llm.queries import op1_vector_search
+from tests.conftest import SMALL
 
 
 def exact(ids, v, asked, k):
@@ -16,32 +18,67 @@ def exact(ids, v, asked, k):
     return out
 
 
+def recall(got, truth, k=5):
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        by.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(by) == set(truth) and all(len(x) == k for x in by.values())
+    assert all([s for _, s in x] == sorted((s for _, s in x), reverse=True) for x in by.values())
+    exact_score = {(q, j): s for q in truth for j, s in truth[q]}
+    assert all(abs(s - exact_score[q, i]) < 1e-12 for q in by for i, s in by[q] if (q, i) in exact_score)
+    return sum(len({i for i, _ in by[q]} & {i for i, _ in truth[q]}) for q in truth) / (k * len(truth))
+
+
 def test_recall(spark):
     rng = np.random.default_rng(7)
     v = (rng.normal(size=(2000, 32)) + 2 * rng.normal(size=(12, 32))[rng.integers(0, 12, 2000)]).astype(np.float32)
     rows = [(i, [float(x) for x in v[i]]) for i in range(2000)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = vs.nearest(df, df.where("vec_id % 50 = 0")).collect()
     truth = exact(np.arange(2000), v.astype(float), range(0, 2000, 50), 5)
-    by = {}
-    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
-        by.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert set(by) == set(truth) and all(len(x) == 5 for x in by.values())
-    hits = sum(len({i for i, _ in by[q]} & {i for i, _ in truth[q]}) for q in truth)
-    assert hits / (5 * len(truth)) >= 0.9
-    exact_score = {(q, j): s for q in truth for j, s in truth[q]}
-    assert all(abs(s - exact_score[q, i]) < 1e-12 for q in by for i, s in by[q] if (q, i) in exact_score)
-    assert all([s for _, s in x] == sorted((s for _, s in x), reverse=True) for x in by.values())
+    assert recall(vs.nearest(df, df.where("vec_id % 50 = 0")).collect(), truth) >= 0.9
+    # Many shards and blocks of queries: the same contract.
+    assert recall(vs.nearest(df, df.where("vec_id % 50 = 0"), cell=640).collect(), truth) >= 0.9
+
+
+def test_recall_on_the_tables(spark):
+    import pyarrow.parquet as pq
+
+    t = pq.read_table(f"{SMALL}/embeddings.parquet").combine_chunks()
+    (dim, (ids, v)), *_ = vs.matrix(t.column("vec_id").combine_chunks(), t.column("embedding").combine_chunks()).items()
+    got = op1_vector_search(spark, SMALL).collect()
+    truth = exact(ids, v, [int(i) for i in ids if i % 50 == 0], 5)
+    assert dim == 64 and recall(got, truth) >= 0.9
 
 
 def test_probing_finds_every_code_in_reach():
     rng = np.random.default_rng(2)
-    codes = rng.integers(0, 1 << 40, 3000).astype(np.uint64)
-    codes[::3] = codes[0] ^ (np.uint64(1) << rng.integers(0, 40, 1000).astype(np.uint64))
-    index = vs.Index(codes, [14, 13, 13])
-    for radius in (0, 1, 2, 3, 7, 12, 20, 40):
-        for q in codes[:20]:
-            assert index.within(q, radius).tolist() == np.flatnonzero(np.bitwise_count(codes ^ q) <= radius).tolist()
+    codes = rng.integers(0, 1 << 40, (3000, 2)).astype(np.uint64)
+    codes[::3] = codes[0] ^ (np.uint64(1) << rng.integers(0, 40, (1000, 2)).astype(np.uint64))
+    index = vs.Index(codes, [[14, 13, 13], [20, 20]])
+    for radius in (0, 1, 2, 3, 7, 12, 20, 35, 80):
+        q, row = index.within(codes[:20], radius)
+        want = np.nonzero(np.bitwise_count(codes[:20, None] ^ codes[None]).sum(2) <= radius)
+        assert q.tolist() == want[0].tolist() and row.tolist() == want[1].tolist()
+
+
+def test_a_large_shard_is_searched_in_blocks(spark):
+    """One cell of many rows and of more queries than are probed at once."""
+    df = spark.range(60_000).selectExpr("id as vec_id", "transform(sequence(1, 8), x -> cast(sin(id * x) as float)) as embedding")
+    got = vs.nearest(df, df.where("vec_id % 200 = 0"), cell=1 << 30).collect()
+    assert len(got) == 299 * 5  # sin 0 makes one zero vector
+    assert all(r.vec_id != r.query_id and r.score > 0.9 for r in got)
+
+
+def test_each_length_of_vectors_is_searched(spark):
+    df = spark.range(300).selectExpr("id as vec_id", "transform(sequence(1, if(id % 3 = 0, 8, 5)), x -> cos(id * x)) as embedding")
+    got = vs.nearest(df, df.where("vec_id % 50 = 0")).collect()
+    assert len(got) == 6 * 5 and all((r.query_id % 3 == 0) == (r.vec_id % 3 == 0) for r in got)
+
+
+def test_a_row_that_comes_often(spark):
+    df = spark.range(3000).selectExpr("if(id < 1000, 7, id) as vec_id", "if(id < 1000, array(1f, 2f, 3f), array(cast(id as float), 1f, cast(sin(id) as float))) as embedding")
+    got = vs.nearest(df, df.where("vec_id % 50 = 0")).collect()
+    assert len(got) == 40 * 5 and len({(r.query_id, r.vec_id) for r in got}) == len(got)
 
 
 def test_odd_vectors(spark):
