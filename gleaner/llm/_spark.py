@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,27 +37,39 @@ def _folder(spark: SparkSession) -> str:
     return _folders[app]
 
 
+#: Spark deletes the shuffle files of a statement at its end, instead of when the driver's garbage is collected.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The rows of df, written once to the shared folder and read back: ends the lineage, survives lost executors."""
+    """The rows of df, written once to the shared folder and read back: ends the lineage, survives lost executors.
+
+    The shuffle files behind the rows go as soon as they are written.
+    """
     spark = df.sparkSession
     path = f"{_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _cleaned(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._gleaner_path = path
     return out
 
 
 def release(*tables: DataFrame) -> None:
-    """Deletes the files of tables made by cut that nothing reads any more.
-
-    The driver's garbage goes too, for Spark deletes the shuffle files behind a plan
-    only when the plan is collected.
-    """
+    """Deletes the files of tables made by cut that nothing reads any more."""
     for t in tables:
         if path := getattr(t, "_gleaner_path", None):
             _delete(t.sparkSession, path)
-    if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def fold_of(modulus: int, column: str = "doc_id"):

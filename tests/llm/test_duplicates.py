@@ -159,9 +159,62 @@ def test_components(spark, edges):
     assert got == {(f"{x:04d}", f"{find(x):04d}") for x in list(root)}
 
 
-def test_stretches_cover_all_windows():
+def test_phrases_cover_all_windows():
     import pyarrow as pa
 
     w = _text.words(pa.array([" ".join(f"v{i % 37}" for i in range(300)), "few words", " ".join("same" for _ in range(80))]))
-    row, _, _, start, size = sd.stretches(w)
+    row, _, _, start, size = sd.phrases(w)
     assert [int(size[row == r].sum()) for r in range(3)] == [251, 0, 31]
+
+
+@pytest.mark.parametrize("n, reach", [(5, 5), (40, 7), (1000, 39), (140_000, 39)])
+def test_leftmost_least(n, reach):
+    g = np.random.default_rng(n).integers(0, 50 if n < 1000 else 1 << 62, n).astype(np.uint64) << np.uint64(16)
+    view = np.lib.stride_tricks.sliding_window_view(g, reach)
+    assert (sd._leftmost_least(g, reach) == view.argmin(1) + np.arange(n - reach + 1)).all()
+
+
+def slow_factors(rows, width):
+    """Parses each text from left to right: a factor goes on as long as the first occurrences of its windows follow each other."""
+    place = {}
+    for i, t in sorted((i, t or "") for i, t in rows):
+        w = t.split()
+        for k in range(len(w) - width + 1):
+            place.setdefault(tuple(w[k : k + width]), (i, k))
+    out = set()
+    for i, t in rows:
+        w, begin, before = (t or "").split(), None, None
+        for k in range(len(w) - width + 2):
+            at = place.get(tuple(w[k : k + width])) if k + width <= len(w) else None
+            at = at if at and at[0] < i else None
+            if begin is not None and (at is None or at != (before[0], before[1] + 1)):
+                out.add((i, begin[0], k - 1 - begin[0] + width, *begin[1]))
+                begin = None
+            if at and begin is None:
+                begin = (k, at)
+            before = at
+    return out
+
+
+def test_factors_are_those_of_a_plain_parse(spark):
+    """Two sources and a text of passages of both: where one source ends, the next factor begins."""
+    v = [f"v{i}" for i in range(300)]
+    first, second = " ".join(v[:120]), " ".join(["x"] * 3 + v[100:260])
+    rows = [(1, first), (2, second), (3, " ".join(["y", *v[20:110], "z", *v[130:230], "q"])), (4, " ".join(v[:260]))]
+    got = {(r.doc_id, r.start, r.words, r.source_id, r.source_start) for r in sd.factors(frame(spark, rows)).collect()}
+    assert got == slow_factors(rows, 50)
+    assert (3, 1, 90, 1, 20) in got and (3, 92, 100, 2, 33) in got
+
+
+def test_factors_are_copies_of_their_sources(spark):
+    rows = [(i, t) for i, t in ordinary(7, 80)]
+    words = {i: t.split() for i, t in rows}
+    got = sd.factors(frame(spark, rows), 12, 5).collect()
+    assert got and all(r.source_id < r.doc_id and r.words >= 12 for r in got)
+    assert all(words[r.doc_id][r.start : r.start + r.words] == words[r.source_id][r.source_start : r.source_start + r.words] for r in got)
+
+
+def test_one_row_that_comes_often_and_a_source_that_is_everywhere(spark):
+    passage = " ".join(f"p{i}" for i in range(90))
+    rows = [(7, f"often {passage}")] * 200 + [(100 + i, f"{i} a{i} {passage} b{i}") for i in range(300)] + [(1, passage)]
+    assert sorted(map(tuple, sd.substring_digests(frame(spark, rows)).collect()), key=str) == kept(rows, 50)
