@@ -104,27 +104,76 @@ def test_near_duplicates_of_awkward_documents(spark):
     assert nd.near_duplicates(frame(spark, [])).count() == 0
 
 
+def near_copies(n, words=200):
+    base = [f"b{i}" for i in range(words)]
+    return [(i, " ".join([*base[: i * 3 % words], f"x{i}", *base[i * 3 % words + 1 :]])) for i in range(n)]
+
+
 def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     """One group of near copies over many blocks gives the counts of brute force."""
     monkeypatch.setattr(nd, "BLOCK_NODES", 7)
-    base = [f"b{i}" for i in range(200)]
-    rows = []
-    for i in range(60):
-        own = list(base)
-        own[(i * 3) % 200] = f"x{i}"
-        rows.append((i, " ".join(own)))
-    rows += [(1000 + i, rows[5][1]) for i in range(30)]
+    rows = near_copies(60)
+    rows += [(1000 + i, rows[5][1]) for i in range(30)] + [(2000 + i, f"{rows[9][1]} tail{i}") for i in range(5)]
     got = nd.near_duplicates(frame(spark, rows))
     assert sorted(map(tuple, got.collect()), key=str) == classes(rows)
 
 
+def test_compare_counts_each_pair_once():
+    h = [np.unique(np.random.default_rng(i).integers(0, 500, 60).astype(np.uint64)) for i in range(40)]
+    off = np.concatenate([[0], np.cumsum([len(x) for x in h])])
+    links, root = nd.compare(np.zeros(40, int), np.ones(40, int), np.concatenate(h), off, (0, 0), 0.05, step=9)
+    pairs = [(i, j) for i in range(40) for j in range(i) if len(np.intersect1d(h[i], h[j])) >= 0.05 * len(np.union1d(h[i], h[j]))]
+    assert links.tolist() == [sum(i in p for p in pairs) for i in range(40)] and (root <= np.arange(40)).all()
+
+
+def test_one_row_that_comes_often(spark):
+    rows = [(3, "the very same row of a few words")] * 300 + [(4, "the very same row of a few words"), (5, "some other words here for once")]
+    assert sorted(map(tuple, nd.near_duplicates(frame(spark, rows)).collect())) == sorted([(3, 3, 300)] * 300 + [(4, 3, 300), (5, 5, 0)])
+    assert sorted(r.doc_id for r in nd.one_of_each(frame(spark, rows)).collect()) == [3, 5]
+
+
 def test_one_of_each(spark):
-    rows = ordinary(4, 60) + [(2, "twice the same row here"), (2, "twice the same row here"), (None, "without an id"), (7, None)]
-    stay = {c for _, c, _ in classes(rows)}
+    rows = ordinary(4, 60) + [(2, "twice the same row here"), (2, "twice the same row here"), (None, "without an id"), (None, "without an id"), (7, None), (7, None), (None, None), (None, "")]
     df = frame(spark, rows)
     got = nd.one_of_each(df)
     assert got.columns == df.columns
-    assert sorted((r.doc_id for r in got.collect()), key=str) == sorted(stay - {None} | {None}, key=str)
+    words = [(i, t) for i, t in rows if (t or "").split()]
+    stay = sorted({c for _, c, _ in classes(words) if c is not None})
+    found = [r.doc_id for r in got.collect()]
+    blank = [i for i, t in rows if not (t or "").split()]
+    assert sorted(i for i in found if i is not None) == sorted(stay + list({i for i in blank if i is not None}))
+    assert sum(i is None for i in found) == 1 + blank.count(None)
+
+
+def test_different_texts_of_one_id_both_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a), (5, b), (6, b), (5, b + " more"), (None, a), (None, c), (8, c), (5, "   "), (5, b.replace(" ", "\n"))]
+    got = [(r.doc_id, r.text) for r in nd.one_of_each(frame(spark, rows)).collect()]
+    assert len(got) == 4 and (5, a) in got and (8, c) in got and (5, "   ") in got and sum(i == 5 and t.split()[:1] == ["b0"] for i, t in got) == 1
+
+
+def test_recall_on_the_tables(spark):
+    """Links against a brute-force join by an inverted index of shingles."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in nd.near_duplicates(docs).collect()}
+    holders, common, all_sets = {}, {}, {i: shingles(t) for i, t in rows}
+    for i, s in sorted(all_sets.items()):
+        for x in s:
+            for j in holders.setdefault(x, []):
+                common[j, i] = common.get((j, i), 0) + 1
+            holders[x].append(i)
+    links = dict.fromkeys(all_sets, 0)
+    for (i, j), n in common.items():
+        if n >= 0.8 * (len(all_sets[i]) + len(all_sets[j]) - n) - 1e-9:
+            links[i] += 1
+            links[j] += 1
+    true = sum(links.values())
+    assert true > 100 and all(r.n_links <= links[i] for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.99 * true
+
+
+# ------------------------------------------------------------------ the forest
 
 
 def test_prefix_depth():
@@ -133,18 +182,65 @@ def test_prefix_depth():
     assert nd.prefix_depth(0.1, 0.9999, 2) == 1
 
 
-def test_tree_keys_agree_as_often_as_sets_do():
+@pytest.mark.parametrize("changed, want", [(1, 8), (9, 5)])
+def test_prefixes_are_as_long_as_the_partners_allow(spark, changed, want):
+    """Very near copies are met by long prefixes; copies near the threshold make them shorter."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = []
+    for g in range(30):
+        base = [f"g{g}w{i}" for i in range(400)]
+        for c in range(4):
+            own = list(base)
+            for i in rng.choice(400, changed, replace=False) if c else ():
+                own[i] = f"c{c}x{i}"
+            texts.append(" ".join(own))
+    h, off = nd.sets(_text.words(pa.array(texts)))
+    _, sketch = nd.signatures(h, off)
+    nodes = spark.createDataFrame([(i, [int(x) for x in row]) for i, row in enumerate(sketch.view(np.int64))], "n long, sketch array<long>")
+    assert nd.matched_depth(nodes, len(texts), 0.8, 0.999, nd.TREES, nd.DEPTH) == want
+    assert nd.matched_depth(nodes.limit(1), 1, 0.8, 0.999, nd.TREES, nd.DEPTH) == nd.matched_depth(nodes.limit(0), 0, 0.8, 0.999, nd.TREES, nd.DEPTH) == nd.prefix_depth(0.8, 0.999)
+
+
+def test_signatures_agree_as_often_as_sets_do():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 62, 900).astype(np.uint64)
     h = np.concatenate([np.sort(a[:600]), np.sort(a[150:750])])
-    keys = nd.tree_keys(h, np.array([0, 600, 600, 1200]), 400, 1)
-    assert abs((keys[0] == keys[2]).mean() - 450 / 750) < 0.08 and (keys[1] == 0).all()
-
-
+    values, sketch = nd.signatures(h, np.array([0, 600, 600, 1200]), 50, 8)
+    assert abs((values[0] == values[2]).mean() - 450 / 750) < 0.08
+    same = nd.agreeing(sketch[0], sketch[2], 400) / 400
+    assert abs((same - 0.25) / 0.75 - 450 / 750) < 0.1
+
+
+def test_packed_signatures_keep_the_order_of_prefixes():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 4, (300, 2, 8)).astype(np.uint16)
+    order = nd.packed(values)
+    for t in range(2):
+        assert np.lexsort((order[:, t, 1], order[:, t, 0])).tolist() == sorted(range(300), key=lambda i: values[i, t].tolist())
+
+
+def test_links_of_a_run_are_a_spanning_forest():
+    rng = np.random.default_rng(5)
+    centre = rng.integers(0, 1 << 62, (6, 5)).astype(np.uint64)
+    sketch = centre[rng.integers(0, 6, 700)] ^ (np.uint64(1) << rng.integers(0, 62, (700, 5)).astype(np.uint64))
+    node = rng.permutation(700)
+    a, b = nd.run_links(node, sketch, 150, 160)
+    place = np.argsort(node)
+    assert (nd.agreeing(sketch[place[a]], sketch[place[b]], 160) >= 150).all()
+    near = nd.agreeing(sketch[:, None], sketch[None], 160) >= 150
+    x, y = np.nonzero(near)
+    want = dict(zip(*_graph.roots(node[x], node[y]), strict=True))
+    got = dict(zip(*_graph.roots(np.append(a, node), np.append(b, node)), strict=True))
+    assert got == want and len(a) == 700 - len(set(want.values()))
+
+
+@pytest.mark.parametrize("local", [1 << 20, 3])
 @pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (5, 4), (7, 7)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 40)] + [(100, 101), (39, 100)]])
-def test_components(spark, edges):
-    df = spark.createDataFrame([(f"{a:04d}", f"{b:04d}") for a, b in edges], "a string, b string")
-    got = {(r.node, r.component) for r in _graph.components(df).collect()}
+def test_components(spark, edges, local):
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {(r.node, r.component) for r in _graph.components(df, local).collect()}
     root = {}
 
     def find(x):
@@ -156,7 +252,7 @@ def test_components(spark, edges):
         if a != b:
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
-    assert got == {(f"{x:04d}", f"{find(x):04d}") for x in list(root)}
+    assert got == {(x, find(x)) for x in list(root)}
 
 
 def test_phrases_cover_all_windows():
