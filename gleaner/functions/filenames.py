@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import decode_content_disposition, first_filled, let, sanitize_filename, strip
+from .text import decode_content_disposition, disposition_name, first_filled, let, safe_name, sanitize_filename, strip
 from .url import pdf_basename
 
 
@@ -31,3 +33,22 @@ def derive_filename(document_id: Column, download_url: Column, link_text: Column
     prefix = F.concat(F.lit("doc_"), number, F.lit("_"))
     named = lambda c: F.when(number == "doc", F.concat(hashed, c)).when(F.startswith(c, prefix), c).otherwise(F.concat(prefix, c))
     return sanitize_filename(let(let(sanitize_filename(raw, strict=strict), with_end), named), strict=strict)
+
+
+def header_filename(disposition: str | None, document_id: str | None, download_url: str | None, strict: bool = False) -> str | None:
+    """The file name of a document whose response names one; None if it does not.
+
+    What derive_filename makes of a header, for a task that holds the open response.
+    """
+    raw = disposition_name(disposition)
+    if not raw:
+        return None
+    name = safe_name(raw, strict=strict)
+    if not name.lower().endswith(".pdf"):
+        name += ".pdf"
+    number = document_id or "doc"
+    if number == "doc":
+        name = (hashlib.sha256((download_url or "").encode()).hexdigest()[:10] + "_" if strict else "") + name
+    elif not name.startswith(f"doc_{number}_"):
+        name = f"doc_{number}_{name}"
+    return safe_name(name, strict=strict)

@@ -16,7 +16,7 @@ GENERIC_TEXTS = ("read more", "more", "detail", "view", "...")
 # Fixed value: all white space of Unicode, as a class that Java's and RE2's expressions read alike.
 SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 # What a file name may not hold.
-UNSAFE = r'[\\/*?:"<>|\r\n\t\x00]'
+UNSAFE_CHARACTERS = '\\/*?:"<>|\r\n\t\x00'
 # Header and columns of the registry's CSV form.
 CSV_COLUMNS = (
     "key", "document_id", "article_id", "section", "filename", "file_path", "file_size_bytes",

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .rules import SPACES, UNSAFE
+from .rules import SPACES, UNSAFE_CHARACTERS
 
 
 def let(value: Column, body) -> Column:
@@ -34,8 +35,12 @@ def before_hyphen(c: Column) -> Column:
     return strip(F.split_part(c, F.lit("-"), F.lit(1)))
 
 
+_EDGES = " ._"
+_LONGEST_STEM, _LONGEST_EXTENSION = 150, 16
+
+
 def _trim_edges(c: Column) -> Column:
-    return F.regexp_replace(c, r"\A[ ._]+|[ ._]+\z", "")
+    return F.btrim(c, F.lit(_EDGES))
 
 
 def sanitize_filename(name: Column, max_bytes: int = 180, strict: bool = False) -> Column:
@@ -45,61 +50,105 @@ def sanitize_filename(name: Column, max_bytes: int = 180, strict: bool = False)
     dot on, and the first 150 characters of its stem; strict cuts further, so that it
     does fit, and takes what has over 16 bytes for no extension.
     """
-    clean = _trim_edges(F.regexp_replace(F.regexp_replace(name, UNSAFE, "_"), rf"{SPACES}+", " "))
-
-    def fit(clean: Column) -> Column:
-        extension = F.regexp_extract(clean, r"(?s)\A.+?(\.[^.]*)\z", 1)
-        if strict:
-            extension = let(extension, lambda e: F.when(F.octet_length(e) <= 16, e).otherwise(""))
-        short = let(extension, lambda e: cut(clean, e))
-        return F.when(clean == "", F.lit("unnamed_document")).when(F.octet_length(clean) > max_bytes, short).otherwise(clean)
-
-    def cut(clean: Column, extension: Column) -> Column:
-        stem = F.substring(clean, F.lit(1), F.length(clean) - F.length(extension))
-        short = F.concat(_trim_edges(F.substring(stem, 1, 150)), extension)
-        if not strict:
-            return short
+    one_line = F.translate(name, UNSAFE_CHARACTERS, "_" * len(UNSAFE_CHARACTERS))
+    clean = _trim_edges(F.regexp_replace(one_line, rf"{SPACES}+", " "))
+    # The part after the last dot, if something stands before it.
+    last = F.substring_index(clean, ".", -1)
+    extension = F.when(F.length(last) < F.length(clean) - 1, F.concat(F.lit("."), last)).otherwise("")
+    if strict:
+        extension = F.when(F.octet_length(extension) <= _LONGEST_EXTENSION, extension).otherwise("")
+    stem = F.substring(clean, F.lit(1), F.length(clean) - F.length(extension))
+    short = F.concat(_trim_edges(F.substring(stem, 1, _LONGEST_STEM)), extension)
+    if strict:
         room = F.greatest(F.lit(1), F.floor((F.lit(max_bytes) - F.octet_length(extension)) / 4)).cast("int")
-        return F.when(F.octet_length(short) <= max_bytes, short).otherwise(F.concat(_trim_edges(F.substring(stem, F.lit(1), F.least(F.lit(150), room))), extension))
-
-    return F.when(name.isNotNull(), let(clean, fit))
-
-
-_EXTENDED = re.compile(r"filename\*\s*=\s*(?:UTF-8|utf-8)''([^;]+)")
-_PLAIN = re.compile(r'filename\s*=\s*(?:"([^"]+)"|([^\s;]+))')
+        tight = F.concat(_trim_edges(F.substring(stem, F.lit(1), F.least(F.lit(_LONGEST_STEM), room))), extension)
+        short = F.when(F.octet_length(short) <= max_bytes, short).otherwise(tight)
+    return F.when(clean == "", F.lit("unnamed_document")).when(F.octet_length(clean) > max_bytes, short).otherwise(clean)
+
+
+_UNSAFE = str.maketrans(dict.fromkeys(UNSAFE_CHARACTERS, "_"))
+_SPACES = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\u" + m[1].rjust(4, "0"), SPACES) + "+")
+
+
+def safe_name(name: str, max_bytes: int = 180, strict: bool = False) -> str:
+    """What sanitize_filename makes of one name, for a task that learns it from a response."""
+    clean = _SPACES.sub(" ", name.translate(_UNSAFE)).strip(_EDGES)
+    if not clean:
+        return "unnamed_document"
+    size = lambda x: len(x.encode())
+    if size(clean) <= max_bytes:
+        return clean
+    dot = clean.rfind(".")
+    extension = clean[dot:] if dot > 0 else ""
+    if strict and size(extension) > _LONGEST_EXTENSION:
+        extension = ""
+    stem = clean[: len(clean) - len(extension)]
+    short = stem[:_LONGEST_STEM].strip(_EDGES) + extension
+    if strict and size(short) > max_bytes:
+        short = stem[: min(_LONGEST_STEM, max(1, (max_bytes - size(extension)) // 4))].strip(_EDGES) + extension
+    return short
+
+
+def header_parameters(header: str) -> list[tuple[str, str]]:
+    """Names and raw values of a header's parameters; a semicolon within quotes ends none."""
+    pieces, quoted = [""], False
+    for part in re.split('([";])', header):
+        if part == ";" and not quoted:
+            pieces.append("")
+        else:
+            quoted ^= part == '"'
+            pieces[-1] += part
+    named = (p.partition("=") for p in pieces if "=" in p)
+    return [(name.strip(), value.strip()) for name, _, value in named]
+
+
+def _extended(value: str) -> str | None:
+    """The text of an extended value in UTF-8; None for any other charset."""
+    charset, _, rest = value.partition("'")
+    language, quote, text = rest.partition("'")
+    text = text.partition(";")[0]
+    return unquote(text) if charset in ("UTF-8", "utf-8") and quote and not language and text else None
+
+
+def _unquoted(value: str) -> str:
+    """A quoted value without its quotes, else its first word; an empty one in quotes stays as it is."""
+    inner, end, _ = value[1:].partition('"')
+    if value.startswith('"') and end and inner:
+        return inner.strip()
+    return (value.split() or [""])[0]
 
 
 def disposition_name(header: str | None) -> str | None:
-    """The file name in a Content-Disposition header, its damage by a wrong charset mended."""
-    if not header:
-        return None
-    if m := _EXTENDED.search(header):
-        return unquote(m[1])
-    if not (m := _PLAIN.search(header)):
+    """The file name in a Content-Disposition header, the extended one first, damage by a wrong charset mended."""
+    given = header_parameters(header or "")
+    for name, value in given:
+        if name.split()[-1:] == ["filename*"] and (text := _extended(value)) is not None:
+            return text
+    plain = next((_unquoted(v) for name, v in given if name.split()[-1:] == ["filename"] and v), None)
+    if plain is None:
         return None
-    name = (m[1] or m[2]).strip()
     try:
-        return name.encode("latin-1").decode("utf-8")
-    except UnicodeError:
-        return name
-
-
-def _mapped(f):
-    """An Arrow function that applies f to each value of a string column."""
+        return bytes(map(ord, plain)).decode()
+    except ValueError:  # no such bytes, or not in UTF-8
+        return plain
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for a in batches:
-            yield pa.array([f(x) for x in a.to_pylist()], pa.string())
 
-    return run
+def each(f: Callable[[str], object], batches: Iterator[pa.Array], worth: Callable[[pa.Array], pa.Array] | None = None, other: str | None = "same") -> Iterator[pa.Array]:
+    """f of each string that is worth it; the others stay the same or become null."""
+    for a in batches:
+        todo = pc.fill_null(worth(a) if worth else a.is_valid(), False)
+        rest = a if other == "same" else pa.nulls(len(a), pa.string())
+        picked = pc.filter(a, todo).to_pylist()
+        yield pc.replace_with_mask(rest, todo, pa.array([f(x) for x in picked], pa.string())) if picked else rest
 
 
 @arrow_udf(T.StringType())
 def decode_content_disposition(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    yield from _mapped(disposition_name)(batches)
+    """The file name in a header; null if it has none."""
+    yield from each(disposition_name, batches, lambda a: pc.match_substring(a, "filename"), None)
 
 
 @arrow_udf(T.StringType())
 def percent_decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """%XX decoded; a plus sign and malformed escapes stay."""
-    yield from _mapped(lambda x: None if x is None else unquote(x))(batches)
+    yield from each(unquote, batches, lambda a: pc.match_substring(a, "%"))

@@ -8,40 +8,48 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..markup.links import PARTS
 from ..schemas import PARSED
+from ..session import ship
 
 #: Characters of HTML that are parsed between two batches of output.
 BATCH_CHARS = 4 << 20
 
 
-def parse_pages(pages: DataFrame, html: str = "html", url: str = "page_url", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The kept columns and url of each page with ``parsed``, all that a crawl reads from it.
+def parse_pages(pages: DataFrame, html: str = "html", url: str = "page_url", keep: tuple[str, ...] = (), want: tuple[str, ...] = PARTS, headers: str | None = None) -> DataFrame:
+    """The kept columns and url of each page with ``parsed``, the wanted parts of what a crawl reads from it.
 
     The page itself goes no further than the parse, so no exchange carries HTML.
-    A null page is an empty one.
+    html is a column of text, or, with headers, of bodies in the charset that these
+    name.  A null page is an empty one.
     """
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
 
     columns = list(dict.fromkeys([*keep, url]))
-    schema = StructType([*(pages.schema[c] for c in columns), *StructType.fromDDL(f"parsed {PARSED}")])
+    parsed = StructType.fromDDL(f"parsed {PARSED}")["parsed"].dataType
+    schema = StructType([pages.schema[c] for c in columns]).add("parsed", StructType([parsed[p] for p in PARTS if p in want]))
     kind = to_arrow_type(schema["parsed"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from ..markup.links import read_page
+        from ..sources.fetch import body_text, content_type
 
         for batch in batches:
             texts, urls = batch.column(html).to_pylist(), batch.column(url).to_pylist()
+            if headers:
+                texts = [body_text(t, content_type(h)) for t, h in zip(texts, batch.column(headers).to_pylist(), strict=True)]
             begin, size = 0, 0
             for i, text in enumerate(texts):
                 size += len(text or "")
                 if size >= BATCH_CHARS or i + 1 == len(texts):
-                    rows = [read_page(t, u) for t, u in zip(texts[begin : i + 1], urls[begin : i + 1], strict=True)]
+                    rows = [read_page(t, u, want) for t, u in zip(texts[begin : i + 1], urls[begin : i + 1], strict=True)]
                     part = batch.slice(begin, i + 1 - begin)
                     yield pa.record_batch([*(part.column(c) for c in columns), pa.array(rows, kind)], names=[*columns, "parsed"])
                     begin, size = i + 1, 0
 
-    return pages.select(*dict.fromkeys([*columns, html])).mapInArrow(run, schema)
+    ship(pages.sparkSession)
+    return pages.select(*dict.fromkeys([*columns, html, *([headers] if headers else [])])).mapInArrow(run, schema)
 
 
 def _exploded(parsed: DataFrame, field: str, keep: tuple[str, ...], outer: bool = False) -> DataFrame:

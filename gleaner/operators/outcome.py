@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import COUNTERS
+
 #: Rows of a block of the running sum.
 BLOCK = 65_536
 
@@ -21,14 +23,18 @@ def in_run_skips(log: DataFrame) -> DataFrame:
     return joined.withColumn("skipped", (F.col("kind") == "document") & (F.coalesce("known", F.lit(False)) | F.coalesce(F.col("seq") > F.col("_done"), F.lit(False)))).drop("_done")
 
 
-def numbered(rows: DataFrame, page: list[str], inner: list[str], name: str = "seq") -> DataFrame:
-    """rows with their place, from 1, in the order of the columns of page, then inner.
+def numbered(rows: DataFrame, page: list[str], inner: list[str], name: str = "seq", block: int = 1024) -> DataFrame:
+    """rows with their place, from 1, in the order of the columns of page, then inner; the last column of page is a number.
 
-    Ranks within a page follow the totals of the pages before; a window spans the
-    totals only.
+    Ranks within a page follow the totals of the pages before.  These are summed in two
+    levels, within blocks of pages and over the blocks, so no window spans all pages.
     """
-    totals = rows.groupBy(*page).agg(F.count("*").alias("_n"))
-    before = totals.select(*page, F.coalesce(F.sum("_n").over(Window.orderBy(*page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    major = [*page[:-1], "_block"]
+    totals = rows.groupBy(*page).agg(F.count("*").alias("_n")).withColumn("_block", F.floor(F.col(page[-1]) / block))
+    past = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = totals.groupBy(*major).agg(F.sum("_n").alias("_n")).select(*major, past(Window.orderBy(*major)).alias("_past"))
+    inside = totals.select(*page, "_block", past(Window.partitionBy(*major).orderBy(page[-1])).alias("_before"))
+    before = inside.join(blocks, major).select(*page, (F.col("_past") + F.col("_before")).alias("_before"))
     own = F.row_number().over(Window.partitionBy(*page).orderBy(*inner))
     return rows.withColumn("_own", own).join(before, page).withColumn(name, (F.col("_before") + F.col("_own")).cast("long")).drop("_own", "_before")
 
@@ -70,7 +76,5 @@ def resolve_run(log: DataFrame, limit: int | None = None, dry_run: bool = False)
 def counters(resolved: DataFrame) -> DataFrame:
     """The six counters of a run, one row."""
     of = lambda kind, *actions: F.count_if((F.col("kind") == kind) & (F.col("action").isin(*actions) if actions else F.lit(True)))
-    return resolved.agg(
-        of("page").alias("listing_pages_crawled"), of("article").alias("articles_visited"), of("document").alias("pdfs_discovered"),
-        of("document", "downloaded").alias("pdfs_downloaded"), of("document", "skipped").alias("pdfs_skipped"), of("document", "failed").alias("pdfs_failed"),
-    )
+    counts = of("page"), of("article"), of("document"), of("document", "downloaded"), of("document", "skipped"), of("document", "failed")
+    return resolved.agg(*(c.alias(name) for c, name in zip(counts, COUNTERS, strict=True)))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import os
 import tempfile
-import uuid
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,44 +77,89 @@ def skip_events(rows: DataFrame, reason: str = "already_exists") -> DataFrame:
 
 
 class Registry:
-    """A folder of Parquet batches, one for each append, in the order of their seq."""
+    """A log of events in a folder: batches appended in the order of their seq, and batches of streams.
+
+    ``log/vN`` holds the appended events; the greatest N that is complete counts.
+    ``stream/batch=N`` holds what a stream brought (see ``streaming.registry_stream``);
+    all share one count of seq.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _there(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/events")
-        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    def _at(self, name: str = ""):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    @property
+    def _files(self):
+        return self._at().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _folders(self, name: str) -> list[str]:
+        return sorted(f.getPath().getName() for f in self._files.listStatus(self._at(name))) if self._files.exists(self._at(name)) else []
 
-    def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENT).parquet(f"{self.path}/events") if self._there() else self.spark.createDataFrame([], EVENT)
+    def versions(self) -> list[int]:
+        """The complete versions of the log, ascending."""
+        return sorted(int(f[1:]) for f in self._folders("log") if f[1:].isdigit() and self._files.exists(self._at(f"log/{f}/_SUCCESS")))
+
+    def events(self, but_batch: int | None = None) -> DataFrame:
+        """All events; but_batch leaves out one batch of a stream."""
+        versions = self.versions()
+        out = self.spark.read.schema(EVENT).parquet(f"{self.path}/log/v{versions[-1]}") if versions else self.spark.createDataFrame([], EVENT)
+        batches = [f for f in self._folders("stream") if self._files.exists(self._at(f"stream/{f}/_SUCCESS")) and f != f"batch={but_batch}"]
+        return out.unionByName(self.spark.read.schema(EVENT).parquet(*(f"{self.path}/stream/{f}" for f in batches))) if batches else out
 
     def load(self) -> DataFrame:
         """The current entry of each key."""
         return current(self.events())
 
-    def last_seq(self) -> int:
-        return self.events().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    def last_seq(self, but_batch: int | None = None) -> int:
+        return self.events(but_batch).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+
+    @contextmanager
+    def writing(self, wait: float = 60.0) -> Iterator[None]:
+        """One writer at a time, so that no two take the same seq: a lock file, which goes at the end."""
+        lock, until = self._at("_writing"), time.monotonic() + wait
+        self._files.mkdirs(self._at())
+        while not self._files.createNewFile(lock):
+            if time.monotonic() > until:
+                raise TimeoutError(f"{lock} is there: another writer is at work, or one ended without removing it")
+            time.sleep(0.1)
+        try:
+            yield
+        finally:
+            self._files.delete(lock, False)
+
+    def _shaped(self, events: DataFrame, base: int) -> DataFrame:
+        shape = self.spark.createDataFrame([], EVENT)
+        return events.withColumn("seq", F.col("seq") + F.lit(base + 1)).select(*shape.columns).to(shape.schema)
 
     def append(self, events: DataFrame) -> None:
         """Adds a batch; its seq counts from the last one there.  Errors are raised."""
-        base = self.last_seq()
-        shape = self.spark.createDataFrame([], EVENT)
-        events.withColumn("seq", F.col("seq") + F.lit(base + 1)).select(*shape.columns).to(shape.schema).write.mode("append").parquet(f"{self.path}/events")
+        with self.writing():
+            version = (self.versions() or [1])[-1]
+            self._shaped(events, self.last_seq()).write.mode("append").parquet(f"{self.path}/log/v{version}")
+
+    def append_batch(self, events: DataFrame, number: int) -> None:
+        """Sets a stream's batch of that number; written again after a failure it takes the place of the first attempt."""
+        with self.writing():
+            self._shaped(events, self.last_seq(number)).write.mode("overwrite").parquet(f"{self.path}/stream/batch={number}")
 
     def compact(self) -> None:
-        """Rewrites the log as the current entries and swaps the folders."""
-        done = f"{self.path}/events-{uuid.uuid4().hex}"
-        entries = self.load()
-        (entries.withColumn("seq", F.col("first_seen.seq")).drop("first_seen").select(*self.spark.createDataFrame([], EVENT).columns).write.parquet(done))
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path
-        fs = path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        old = path(f"{self.path}/old-{uuid.uuid4().hex}")
-        fs.rename(path(f"{self.path}/events"), old)
-        fs.rename(path(done), path(f"{self.path}/events"))
-        fs.delete(old, True)
+        """Writes a new version of the log with the first and the current event of each key.
+
+        It counts from the moment it is complete, and the version before stays until the next
+        time, so a reader finds all entries at any time.
+        """
+        with self.writing():
+            versions = self.versions()
+            if not versions:
+                return
+            log = self.spark.read.schema(EVENT).parquet(f"{self.path}/log/v{versions[-1]}")
+            last = current(log)
+            marks = last.select(F.col("first_seen.seq").alias("seq")).unionByName(last.select("seq")).distinct()
+            log.join(marks, "seq", "left_semi").write.parquet(f"{self.path}/log/v{versions[-1] + 1}")
+            for old in versions[:-1]:
+                self._files.delete(self._at(f"log/v{old}"), True)
 
     def export_rows(self) -> DataFrame:
         """The columns of the CSV form, in the order in which keys were first seen."""

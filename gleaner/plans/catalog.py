@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rules
 from ..functions import url as U
 from ..functions.filenames import derive_filename
 from ..functions.text import before_hyphen, decode_content_disposition, percent_decode, sanitize_filename
@@ -19,8 +20,6 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 #: Downloads after which the limited runs stop.
 LIMIT = 500
-#: The class of all white space, for SQL.
-WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def query(sql: str | None = None):
@@ -58,7 +57,7 @@ _H1 = _decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")
 @query(f"SELECT page_id, trim({_H1}) AS title FROM pages")
 def page_titles(spark, sf_dir):
     """The title of every page."""
-    return extract.parse_pages(_pages(spark, sf_dir), keep=("page_id",)).select("page_id", F.col("parsed.title").alias("title"))
+    return extract.parse_pages(_pages(spark, sf_dir), keep=("page_id",), want=("title",)).select("page_id", F.col("parsed.title").alias("title"))
 
 
 _ANCHORS = r"""a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href,
@@ -69,12 +68,12 @@ r AS (SELECT page_id, pos, {href} AS href, regexp_extract(url, '^(https?://[^/?#
 @query(f"WITH {_ANCHORS} SELECT page_id, min(pos) AS pos, resolved AS url FROM r GROUP BY page_id, resolved")
 def page_anchors_resolved(spark, sf_dir):
     """The resolved links of every page, the first of each URL."""
-    parsed = extract.parse_pages(_pages(spark, sf_dir), keep=("page_id",))
+    parsed = extract.parse_pages(_pages(spark, sf_dir), keep=("page_id",), want=("anchors",))
     first = dedupe.keep_first(extract.anchors(parsed, ("page_id",)), ["page_id", "url"], ["pos"])
     return first.select("page_id", F.col("pos").cast("long").alias("pos"), "url")
 
 
-_LIKES = " OR ".join(f"contains(lower(href), '{p}')" for p in ("pageid/", "pgrid/", "categoryid/", "tagid/", "authorid/", "returnurl=", "login", "register", "facebook.com", "twitter.com", "instagram.com", "linkedin.com", "youtube.com", "t.me", "#", "javascript:", "mailto:", "tel:"))
+_LIKES = " OR ".join(f"contains(lower(href), '{p}')" for p in rules.IGNORED_PARTS)
 _IS_DOC = "lower(href) LIKE '%documentdownload.ashx%' OR lower(href) LIKE '%.pdf' OR lower(href) LIKE '%.pdf?%'"
 
 
@@ -86,7 +85,7 @@ def anchor_classify(spark, sf_dir):
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
-    links = extract.anchors(extract.parse_pages(pages, keep=("page_id",)), ("page_id",)).select("page_id", "pos", "href")
+    links = extract.anchors(extract.parse_pages(pages, keep=("page_id",), want=("anchors",)), ("page_id",)).select("page_id", "pos", "href")
     own = pages.select("page_id", F.lit(-1).alias("pos"), F.col("page_url").alias("href"))
     href = F.col("href")
     return links.unionByName(own).select("page_id", F.col("pos").cast("long").alias("pos"), "href", U.is_ignored_link(href).alias("ignored"), U.is_document_link(href).alias("is_document"))
@@ -112,7 +111,7 @@ def url_parts(spark, sf_dir):
 @query("SELECT page_id, 0::BIGINT AS articles, 0::BIGINT AS documents, 1::BIGINT AS max_page FROM pages")
 def empty_extraction(spark, sf_dir):
     """Pages without article, document or pager links: none is found."""
-    p = extract.parse_pages(_pages(spark, sf_dir), keep=("page_id",))
+    p = extract.parse_pages(_pages(spark, sf_dir), keep=("page_id",), want=("articles", "documents", "pager"))
     return p.select("page_id", F.size("parsed.articles").cast("long").alias("articles"), F.size("parsed.documents").cast("long").alias("documents"), F.col("parsed.pager.max_page").cast("long").alias("max_page"))
 
 
@@ -120,7 +119,8 @@ def empty_extraction(spark, sf_dir):
 
 
 def _sql_sanitize(x: str) -> str:
-    clean = f"regexp_replace(regexp_replace(regexp_replace({x}, '[\\\\/*?:\"<>|\\r\\n\\t\\x00]', '_', 'g'), '{WS}+', ' ', 'g'), '^[ ._]+|[ ._]+$', '', 'g')"
+    unsafe = " || ".join(f"chr({ord(c)})" for c in rules.UNSAFE_CHARACTERS if c != "\0")
+    clean = f"trim(regexp_replace(translate({x}, {unsafe}, '{'_' * (len(rules.UNSAFE_CHARACTERS) - 1)}'), '{rules.SPACES}+', ' ', 'g'), ' ._')"
     return f"(SELECT CASE WHEN strlen(c) > 180 THEN regexp_replace(substr(s, 1, 150), '^[ ._]+|[ ._]+$', '', 'g') || e ELSE c END FROM (SELECT c, e, left(c, length(c) - length(e)) AS s FROM (SELECT c, regexp_extract(c, '^.+(\\.[^.]*)$', 1, 's') AS e FROM (SELECT CASE WHEN k = '' THEN 'unnamed_document' ELSE k END AS c FROM (SELECT {clean} AS k)))))"
 
 
@@ -185,7 +185,7 @@ def section_catalog(spark, sf_dir):
 
 def _pagers(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = site.listings(spark, sf_dir).where("page_num = 1")
-    return extract.pager_info(extract.parse_pages(first, keep=("section_key",)), ("section_key",))
+    return extract.pager_info(extract.parse_pages(first, keep=("section_key",), want=("pager",)), ("section_key",))
 
 
 @query(f"WITH {_ART}, m AS (SELECT section_ord, max(p // 10) + 1 AS n FROM art GROUP BY 1) SELECT 'sec' || section_ord AS section_key, CASE WHEN n > 1 THEN '/sec' || section_ord || '/PgrID/' || (section_ord + 100) || '/PageID/{{page}}' END AS template, CASE WHEN n > 1 THEN n ELSE 1 END AS max_page FROM m")
@@ -216,14 +216,14 @@ _LISTED = f"WITH {_ART}, g AS (SELECT *, p // 10 + 1 AS page_num, row_number() O
 @query(f"{_LISTED} SELECT {_URL} AS page_url, pos, 'https://site.example/detail/' || c_custkey AS url, c_name AS title, 'D' || c_nationkey AS date FROM g")
 def article_links(spark, sf_dir):
     """Article links of all listing pages with article elements."""
-    links = extract.article_links(extract.parse_pages(site.listings(spark, sf_dir)))
+    links = extract.article_links(extract.parse_pages(site.listings(spark, sf_dir), want=("articles",)))
     return links.select("page_url", F.col("pos").cast("long").alias("pos"), "url", "title", "date")
 
 
 @query(f"{_LISTED} SELECT {_URL} AS page_url, pos, 'https://site.example/detail/' || c_custkey AS url, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS title, '' AS date FROM g")
 def article_links_fallback(spark, sf_dir):
     """Article links of all listing pages with boxes of another layout."""
-    links = extract.article_links(extract.parse_pages(site.listings(spark, sf_dir, cards=False)))
+    links = extract.article_links(extract.parse_pages(site.listings(spark, sf_dir, cards=False), want=("articles",)))
     return links.select("page_url", F.col("pos").cast("long").alias("pos"), "url", "title", "date")
 
 
@@ -242,7 +242,7 @@ _DOCS = """doc AS (SELECT o_custkey, o_orderkey AS o, o_orderkey % 7 AS kind, c_
 )
 def document_links(spark, sf_dir):
     """Document links of all article pages: anchors first, then embedded ones."""
-    links = extract.document_links(extract.parse_pages(site.article_pages(spark, sf_dir)), ())
+    links = extract.document_links(extract.parse_pages(site.article_pages(spark, sf_dir), want=("documents",)), ())
     return links.select("article_url", F.col("pos").cast("long").alias("pos"), "download_url", "link_text", "document_id", "article_id", "module_id", "article_title")
 
 
@@ -251,9 +251,9 @@ def document_links(spark, sf_dir):
 )
 def discovery_counts(spark, sf_dir):
     """A dry run: listing pages, articles and documents of each section."""
-    parsed = extract.parse_pages(site.listings(spark, sf_dir), keep=("section_key", "page_num"))
+    parsed = extract.parse_pages(site.listings(spark, sf_dir), keep=("section_key", "page_num"), want=("articles",))
     arts = extract.article_links(parsed, ("section_key", "page_num"))
-    found = extract.parse_pages(site.article_pages(spark, sf_dir)).select("page_url", F.size("parsed.documents").alias("n"))
+    found = extract.parse_pages(site.article_pages(spark, sf_dir), want=("documents",)).select("page_url", F.size("parsed.documents").alias("n"))
     by_article = arts.join(found, arts["url"] == found["page_url"], "left").groupBy("section_key").agg(F.count("*").alias("articles"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("documents"))
     pages = parsed.groupBy("section_key").agg(F.count("*").alias("listing_pages"))
     return pages.join(by_article, "section_key", "left").select("section_key", "listing_pages", F.coalesce("articles", F.lit(0)).alias("articles"), F.coalesce("documents", F.lit(0)).alias("documents"))

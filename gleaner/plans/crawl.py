@@ -2,33 +2,50 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.filenames import derive_filename
 from ..functions.url import doc_key
 from ..operators import extract, listing, outcome, registry
+from ..operators.dedupe import keep_first
+from ..schemas import DOWNLOAD
 from ..session import ship
-from ..sources.fetch import Fetcher, page_text, write_documents
+from ..sources.fetch import Fetcher, write_documents
 from ..sources.files import list_files
 
+_log = logging.getLogger(__name__)
+PLACE = ("section_ord", "section_key", "page_num")
 
-def _pages(fetcher: Fetcher, urls: DataFrame) -> DataFrame:
-    """url, status, html, error of each distinct URL."""
-    got = fetcher.fetch(urls)
-    return got.select("url", "status", page_text(F.col("body"), F.col("headers")).alias("html"), "error")
+
+def _bad() -> Column:
+    return F.col("error").isNotNull() | F.col("status").isNull() | (F.col("status") >= 400)
+
+
+def _fault() -> Column:
+    return F.coalesce("error", F.concat(F.lit("HTTP "), F.col("status").cast("string")))
 
 
 @dataclass
 class Crawl:
     """A crawl of a catalog with a fetcher, into a registry and a folder.
 
-    work is a folder that driver and executors share: what is fetched is written
-    there once, before several plans read it.  With fail_fast a section whose first
-    page fails ends the run; else it is left out and reported by ``failed_pages``.
+    work is a folder that driver and executors share: what is learned from responses
+    is written there once, before several plans read it.  With fail_fast a section whose
+    first page fails ends the run; else it is left out and reported by ``failed_pages``.
+
+    Without a limit each step is one job over all sections.  With one, the crawl is a
+    frontier that is widened only as long as downloads are wanted: the first page of a
+    section and its articles a few at a time, then twice as many pages at each step.
+
+    Progress: each step that is written appends its observed counts to ``progress``,
+    logs them and, if on_progress is given, passes them on.
     """
 
     spark: SparkSession
@@ -43,116 +60,216 @@ class Crawl:
     fail_fast: bool = True
     dedupe_articles: bool = False
     strict: bool = False
+    on_progress: Callable[[dict], None] | None = None
+    progress: list[dict] = field(default_factory=list)
 
     def __post_init__(self):
         ship(self.spark)
+        self._start()
+
+    def _start(self) -> None:
         self.failed_pages = self.spark.createDataFrame([], "section_key string, page_url string, error string")
+        self._articles_before: list[DataFrame] = []
 
-    def _keep(self, df: DataFrame) -> DataFrame:
+    def _keep(self, df: DataFrame, step: str = "", **counts: Column) -> DataFrame:
         path = f"{self.work.rstrip('/')}/{uuid.uuid4().hex}"
+        seen = Observation()
+        if step:
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in counts.items()))
         df.write.parquet(path)
+        if step:
+            self.progress.append({"step": step, **seen.get})
+            _log.info("%s", self.progress[-1])
+            if self.on_progress:
+                self.on_progress(self.progress[-1])
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def discover(self, section: str = "all") -> DataFrame:
-        """A log of the crawl in order: a row for each page, article and document.
+    # ---------------------------------------------------------------- discovery
 
-        Columns: seq, kind, section_ord, section, page_num, and what is known of a document.
-        """
-        sections = listing.select_sections(self.catalog, section)
-        bad = F.col("error").isNotNull() | F.col("status").isNull() | (F.col("status") >= 400)
-        fault = F.coalesce("error", F.concat(F.lit("HTTP "), F.col("status").cast("string")))
-        first = self._keep(_pages(self.fetcher, sections.select(F.col("start_url").alias("url"))))
+    def _read(self, urls: DataFrame, want: tuple[str, ...], step: str) -> DataFrame:
+        """url, status, error and parsed of each distinct URL; a response is parsed where it is fetched."""
+        answers = self.fetcher.fetch(urls).withColumn("body", F.when(~_bad(), F.col("body")))
+        return self._keep(extract.parse_pages(answers, "body", "url", ("status", "error"), want, "headers"), step, failed=F.count_if(_bad()))
+
+    def _first_pages(self, sections: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The plan of all listing pages of some sections, and their first pages as _read gives them."""
+        first = self._read(sections.select(F.col("start_url").alias("url")), ("pager", "articles", "documents"), "first pages")
         firsts = sections.join(first, F.col("start_url") == F.col("url"))
-        lost = firsts.where(bad).select("section_key", F.col("start_url").alias("page_url"), fault.alias("error"))
+        lost = firsts.where(_bad()).select("section_key", F.col("start_url").alias("page_url"), _fault().alias("error"))
         if self.fail_fast and (row := lost.first()):
             raise RuntimeError(f"first page of section {row.section_key} failed: {row.error}")
+        self.failed_pages = self.failed_pages.unionByName(lost)
         alive = sections.join(lost.select("section_key"), "section_key", "left_anti")
-        parsed = extract.parse_pages(firsts.where(~bad).select("section_key", F.col("start_url").alias("page_url"), "html"), keep=("section_key",))
-        plan = self._keep(listing.plan_listing(alive, extract.pager_info(parsed, ("section_key",)), self.max_pages))
-        rest = self._keep(_pages(self.fetcher, plan.where("page_num > 1").select(F.col("page_url").alias("url"))))
-        pages = plan.join(first.unionByName(rest).dropDuplicates(["url"]), F.col("page_url") == F.col("url"))
-        self.failed_pages = lost.unionByName(pages.where(bad).select("section_key", "page_url", fault.alias("error")))
-        place = ("section_ord", "section_key", "page_num")
-        listed = self._keep(extract.parse_pages(pages.where(~bad).select(*place, "page_url", "html"), keep=place))
-        arts = extract.article_links(listed, (*place, "page_url"))
-        if self.dedupe_articles:
-            from ..operators.dedupe import keep_first
+        return self._keep(listing.plan_listing(alive, extract.pager_info(firsts.where(~_bad()), ("section_key",)), self.max_pages)), first
 
+    def _listed(self, plan: DataFrame, first: DataFrame) -> DataFrame:
+        """The pages of a plan with their parsed links; first has those that have been fetched already."""
+        parsed = F.struct("parsed.articles", "parsed.documents").alias("parsed")
+        known = first.select("url", "status", "error", parsed)
+        missing = plan.select(F.col("page_url").alias("url")).join(known.select("url"), "url", "left_anti")
+        rest = self._read(missing, ("articles", "documents"), "listing pages").select("url", "status", "error", parsed)
+        pages = plan.join(known.unionByName(rest), F.col("page_url") == F.col("url"))
+        # First pages that failed have been reported.
+        self.failed_pages = self.failed_pages.unionByName(pages.where(_bad()).select("section_key", "page_url", _fault().alias("error")))
+        return self._keep(pages.where(~_bad()).select(*PLACE, "page_url", "parsed"))
+
+    def _articles(self, listed: DataFrame) -> DataFrame:
+        arts = extract.article_links(listed, (*PLACE, "page_url"))
+        if self.dedupe_articles:
             arts = keep_first(arts, ["url"], ["section_ord", "page_num", "pos"])
-        arts = self._keep(arts)
-        fetched = self._keep(_pages(self.fetcher, arts.select("url")))
-        bodies = self._keep(extract.parse_pages(fetched.where(~bad), url="url"))
-        gone = fetched.where(bad).join(arts.select("section_key", "url"), "url")
-        self.failed_pages = self.failed_pages.unionByName(gone.select("section_key", F.col("url").alias("page_url"), fault.alias("error")))
-        # One row for each article even without documents: the limit is looked at before each of them.
-        in_articles = arts.select(*place, F.col("pos").alias("art_pos"), "url", F.col("title").alias("listing_title")).join(bodies, "url")
-        docs = in_articles.select(*place, "art_pos", "listing_title", F.explode("parsed.documents").alias("d")).select(
-            *place, F.lit(1).alias("is_article"), "art_pos", F.col("d.pos").alias("doc_pos"), "d.*", extract.carried_title(F.col("d.article_title"), F.col("listing_title")).alias("_title")
-        )
-        docs = docs.drop("pos", "article_title").withColumnRenamed("_title", "article_title")
-        direct = extract.document_links(listed, place).withColumnRenamed("pos", "doc_pos").withColumns({"is_article": F.lit(0), "art_pos": F.lit(-1)})
-        page_rows = listed.select(*place, F.lit(0).alias("is_article"), F.lit(-1).alias("art_pos"), F.lit(-1).alias("doc_pos"), F.lit("page").alias("kind"))
-        art_rows = arts.select(*place, F.lit(1).alias("is_article"), F.col("pos").alias("art_pos"), F.lit(-1).alias("doc_pos"), F.lit("article").alias("kind"))
-        doc_rows = docs.unionByName(direct).withColumn("kind", F.lit("document"))
-        rows = page_rows.unionByName(art_rows).unionByName(doc_rows, allowMissingColumns=True)
-        keyed = rows.withColumn("doc_key", F.when(F.col("kind") == "document", doc_key(F.col("document_id"), F.col("download_url")))).withColumnRenamed("section_key", "section")
-        return self._keep(outcome.numbered(self._keep(keyed), ["section_ord", "page_num"], ["is_article", "art_pos", "doc_pos"]))
+            for before in self._articles_before:
+                arts = arts.join(before.select("url"), "url", "left_anti")
+        arts = self._keep(arts, "articles")
+        self._articles_before.append(arts)
+        return arts
+
+    @staticmethod
+    def _page_rows(listed: DataFrame) -> DataFrame:
+        """Rows of pages and of the documents that they link themselves."""
+        direct = extract.document_links(listed, PLACE).withColumnRenamed("pos", "doc_pos")
+        here = {"is_article": F.lit(0), "art_pos": F.lit(-1)}
+        return (
+            listed.select(*PLACE).withColumns({**here, "doc_pos": F.lit(-1), "kind": F.lit("page")})
+            .unionByName(direct.withColumns({**here, "kind": F.lit("document")}), allowMissingColumns=True)
+        )
+
+    def _article_rows(self, arts: DataFrame) -> DataFrame:
+        """Rows of articles, also of those that fail or hold nothing, and of their documents."""
+        bodies = self._read(arts.select("url"), ("documents",), "article pages")
+        gone = bodies.where(_bad()).join(arts.select("section_key", "url"), "url")
+        self.failed_pages = self.failed_pages.unionByName(gone.select("section_key", F.col("url").alias("page_url"), _fault().alias("error")))
+        place = [*PLACE, F.col("pos").alias("art_pos")]
+        visited = arts.select(*place).withColumns({"is_article": F.lit(1), "doc_pos": F.lit(-1), "kind": F.lit("article")})
+        met = arts.select(*place, "url", F.col("title").alias("listing_title")).join(bodies.where(~_bad()).select("url", "parsed.documents"), "url")
+        each = met.select(*PLACE, "art_pos", "listing_title", F.explode("documents").alias("d")).select(*PLACE, "art_pos", "listing_title", "d.*")
+        docs = each.withColumn("article_title", extract.carried_title(F.col("article_title"), F.col("listing_title"))).drop("listing_title").withColumnRenamed("pos", "doc_pos")
+        return visited.unionByName(docs.withColumns({"is_article": F.lit(1), "kind": F.lit("document")}), allowMissingColumns=True)
+
+    def _numbered(self, rows: DataFrame, base: int = 0) -> DataFrame:
+        """A log of rows in the order of the crawl, seq from base + 1 on."""
+        blank = self.spark.createDataFrame([], "article_title string, article_url string, download_url string, link_text string, document_id string, article_id string, module_id string")
+        keyed = rows.unionByName(blank, allowMissingColumns=True).withColumn("doc_key", F.when(F.col("kind") == "document", doc_key(F.col("document_id"), F.col("download_url"))))
+        log = outcome.numbered(self._keep(keyed.withColumnRenamed("section_key", "section")), ["section_ord", "page_num"], ["is_article", "art_pos", "doc_pos"])
+        return self._keep(log.withColumn("seq", F.col("seq") + base), "log", documents=F.count_if(F.col("kind") == "document"))
+
+    def discover(self, section: str = "all") -> DataFrame:
+        """A log of the whole crawl in order: a row for each page, article and document.
+
+        Columns: seq, kind, section_ord, section, page_num, and what is known of a document.
+        """
+        self._start()
+        listed = self._listed(*self._first_pages(listing.select_sections(self.catalog, section)))
+        return self._numbered(self._page_rows(listed).unionByName(self._article_rows(self._articles(listed)), allowMissingColumns=True))
+
+    def frontier(self, section: str = "all") -> Iterator[DataFrame]:
+        """The same log in parts, in order, each of which is fetched only when it is asked for.
+
+        Of a section's first page: the page and its own documents, then its articles, one, two,
+        four and so on at a time.  Then two, four and so on pages at a time.
+        """
+        self._start()
+        base = 0
+        sections = listing.select_sections(self.catalog, section)
+        for s in sections.select("section_key").orderBy("section_ord").collect():  # a catalog is small by nature
+            plan, first = self._first_pages(sections.where(F.col("section_key") == s.section_key))
+            total, at, size = plan.count(), 0, 1
+            while at < total:
+                listed = self._listed(plan.where((F.col("page_num") > at) & (F.col("page_num") <= at + size)), first)
+                if size == 1:
+                    yield (part := self._numbered(self._page_rows(listed), base))
+                    base += part.count()
+                    arts = self._articles(listed)
+                    count, done, step = arts.count(), 0, 1
+                    while done < count:
+                        some = arts.orderBy("pos").offset(done).limit(step)
+                        yield (part := self._numbered(self._article_rows(self._keep(some)), base))
+                        base, done, step = base + part.count(), done + step, 2 * step
+                else:
+                    yield (part := self._numbered(self._page_rows(listed).unionByName(self._article_rows(self._articles(listed)), allowMissingColumns=True), base))
+                    base += part.count()
+                at, size = at + size, 2 * size
+
+    # ---------------------------------------------------------------- the run
 
     def _known(self, log: DataFrame, files: DataFrame) -> DataFrame:
         skipped, _ = registry.split_downloaded(log.where("kind = 'document'"), self.store.load(), files)
         return log.join(skipped.select("seq", F.lit(True).alias("known")), "seq", "left")
 
     def run(self, section: str = "all", files: DataFrame | None = None) -> dict[str, int]:
-        """The six counters.  files (path, length) are those below the output folder, which is listed if none are given."""
+        """The six counters.  files (path, length) are those below the output folder, which is listed if none are given.
+
+        What a part of the crawl did is recorded before the next one begins.
+        """
         if files is None:
             files = list_files(self.spark, self.output)
-        log = self._known(self.discover(section), files)
         if self.dry_run:
-            log = log.withColumns({"ok": F.lit(False), "size": F.lit(0).cast("long")})
+            log = self._known(self.discover(section), files).withColumns({"ok": F.lit(False), "size": F.lit(0).cast("long")})
             return outcome.counters(outcome.resolve_run(log, self.limit, True)).first().asDict()
-        done = self._fetch(log)
-        got = log.join(done.select("seq", "ok", F.col("file_size_bytes").alias("size"), "filename", "file_size_bytes", "error"), "seq", "left")
-        resolved = self._keep(outcome.resolve_run(got, self.limit))
-        docs = resolved.where("kind = 'document'")
-        events = registry.success_events(docs.where("action = 'downloaded'")).unionByName(registry.failure_events(docs.where("action = 'failed'")))
-        self.store.append(events)
-        return outcome.counters(resolved).first().asDict()
-
-    def _fetch(self, log: DataFrame) -> DataFrame:
-        """Download results of the documents that may be needed, in batches until the limit is met.
-
-        A batch is a stretch of the crawl's order that holds as many first sights of a
-        key as are still wanted (twice as many at least, to cover failures); without
-        a limit there is one batch.
-        """
-        wanted = self._keep(log.where("kind = 'document' and known is null"))
         if self.limit and self.limit < 0:
-            return self.spark.createDataFrame([], "seq long, ok boolean, filename string, file_size_bytes long, error string")
+            return dict.fromkeys(outcome.COUNTERS, 0)
+        files = self._keep(files)
+        parts, total = [], 0
+        for part in self.frontier(section) if self.limit else [self.discover(section)]:
+            log = self._keep(self._known(part, files))
+            done = self._fetch(log, parts, (self.limit or 0) - total)
+            parts.append(self._keep(log.join(done.select("seq", "ok", F.col("file_size_bytes").alias("size"), "filename", "file_size_bytes", "error"), "seq", "left")))
+            resolved = outcome.resolve_run(self._all(parts), self.limit)
+            docs = self._keep(resolved.join(part.select("seq"), "seq", "left_semi").where("kind = 'document'"))
+            events = registry.success_events(docs.where("action = 'downloaded'")).unionByName(registry.failure_events(docs.where("action = 'failed'")))
+            self.store.append(events)
+            total += docs.where("action = 'downloaded'").count()
+            if self.limit and total >= self.limit:
+                break
+        if not parts:
+            return dict.fromkeys(outcome.COUNTERS, 0)
+        return outcome.counters(outcome.resolve_run(self._all(parts), self.limit)).first().asDict()
+
+    def _fetch(self, log: DataFrame, before: list[DataFrame], wanted: int) -> DataFrame:
+        """Download results of the documents of a log that may be needed; before are the logs that came before it.
+
+        With a limit they are taken in order, as many at a time as are still wanted (more
+        where none went well).  Of the rows of one key only the first is asked for; the
+        others are where it failed.
+        """
+        todo = log.where("kind = 'document' and known is null")
+        for b in before:
+            todo = todo.join(b.where("ok and size > 0").select("doc_key"), "doc_key", "left_anti")
+        todo = self._keep(todo)
         if not self.limit:
-            return self._keep(self._download(wanted))
-        at, parts, total = 0, [], 0
-        while total < self.limit:
-            step = max(16, 2 * (self.limit - total))
-            batch = wanted.where(F.col("seq") > at).orderBy("seq").limit(step)
-            row = batch.agg(F.max("seq").alias("last")).first()
-            if row.last is None:
+            return self._round(todo)
+        at, parts, got, step = 0, [], 0, max(1, wanted)
+        while got < wanted:
+            last = todo.where(F.col("seq") > at).orderBy("seq").limit(step).agg(F.max("seq").alias("last")).first().last
+            if last is None:
                 break
-            parts.append(self._keep(self._download(wanted.where((F.col("seq") > at) & (F.col("seq") <= row.last)))))
-            at = row.last
-            so_far = log.where(F.col("seq") <= at).join(self._all(parts).select("seq", "ok", F.col("file_size_bytes").alias("size")), "seq", "left")
-            total = outcome.resolve_run(so_far).agg(F.count_if(F.col("action") == "downloaded")).first()[0]
-        return self._all(parts) if parts else self.spark.createDataFrame([], "seq long, ok boolean, filename string, file_size_bytes long, error string")
+            now = todo.where((F.col("seq") > at) & (F.col("seq") <= last))
+            for p in parts:
+                now = now.join(todo.join(p.where("ok and file_size_bytes > 0"), "seq", "left_semi").select("doc_key"), "doc_key", "left_anti")
+            parts.append(self._round(now))
+            new = parts[-1].where("ok").count()
+            at, got, step = last, got + new, max(1, wanted - got - new) if new else 2 * step
+        return self._all(parts) if parts else self.spark.createDataFrame([], DOWNLOAD)
+
+    def _round(self, docs: DataFrame) -> DataFrame:
+        """Results of the first row of each key, and of the other rows of the keys that it did not settle."""
+        first = docs.groupBy("doc_key").agg(F.min("seq").alias("seq")).select("seq")
+        done = self._keep(self._download(docs.join(first, "seq", "left_semi")), "downloads", ok=F.count_if("ok"), bytes=F.sum("file_size_bytes"))
+        settled = docs.join(done.where("ok and file_size_bytes > 0"), "seq", "left_semi").select("doc_key").distinct()
+        more = self._keep(docs.join(done, "seq", "left_anti").join(settled, "doc_key", "left_anti"))
+        if more.isEmpty():
+            return done
+        return done.unionByName(self._keep(self._download(more), "further downloads", ok=F.count_if("ok"), bytes=F.sum("file_size_bytes")))
 
     @staticmethod
     def _all(parts: list[DataFrame]) -> DataFrame:
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        return reduce(DataFrame.unionByName, parts)
 
     def _download(self, docs: DataFrame) -> DataFrame:
+        name = lambda header: derive_filename(F.col("document_id"), F.col("download_url"), F.col("link_text"), F.col("article_title"), header, self.strict)
+        if hasattr(self.fetcher, "download"):
+            named = docs.select("seq", "section", F.col("download_url").alias("url"), "document_id", name(F.lit(None).cast("string")).alias("fallback"))
+            return self.fetcher.download(named, self.output, self.strict)
         answers = self.fetcher.fetch(docs.select(F.col("download_url").alias("url")))
         header = F.coalesce(F.try_element_at("headers", F.lit("content-disposition")), F.try_element_at("headers", F.lit("Content-Disposition")))
-        name = derive_filename(F.col("document_id"), F.col("download_url"), F.col("link_text"), F.col("article_title"), header, self.strict)
-        rows = docs.join(answers, docs["download_url"] == answers["url"]).select("seq", "section", name.alias("filename"), "status", "body", "error")
+        rows = docs.join(answers, docs["download_url"] == answers["url"]).select("seq", "section", name(header).alias("filename"), "status", "body", "error")
         return write_documents(rows, self.output)

@@ -29,6 +29,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where none is set, a local one (as in tests)."""
+    """The folder that driver and executors share.
+
+    Where none is set a local one serves, as in tests, but only if the executors run on
+    this machine: on a cluster they would not see each other's files.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return (at or f"{tempfile.gettempdir()}/gleaner-checkpoints").rstrip("/")
+    if at:
+        return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors share")
+    return f"{tempfile.gettempdir()}/gleaner-checkpoints"

@@ -1,6 +1,7 @@
 """Fetchers: tables of URLs to tables of responses, and downloads to files.
 
-A fetcher is anything with ``fetch(urls) -> DataFrame`` of the shape RESPONSE.
+A fetcher is anything with ``fetch(urls) -> DataFrame`` of the shape RESPONSE.  One
+that also has ``download(rows, root, strict)`` saves documents itself, chunk by chunk.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ import time
 import urllib.error
 import urllib.request
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from ..functions.filenames import header_filename
 from ..functions.rules import RETRY_METHODS, RETRY_STATUSES
-from ..operators.responses import HTML_ERROR
-from ..schemas import RESPONSE
+from ..operators.responses import CHUNK, HTML_ERROR
+from ..schemas import DOWNLOAD, RESPONSE
 
 
 class Fetcher(Protocol):
@@ -74,42 +77,70 @@ def _opener(policy: Policy):
     return urllib.request.build_opener(urllib.request.HTTPSHandler(context=context))
 
 
-def _plain(body: bytes, encoding: str | None) -> bytes:
-    import gzip
+def chunks(answer, encoding: str | None, size: int = CHUNK) -> Iterator[bytes]:
+    """The body of an open answer, uncompressed, of which a chunk is held at a time."""
     import zlib
 
-    if encoding == "gzip":
-        return gzip.decompress(body)
-    if encoding == "deflate":
-        try:
-            return zlib.decompress(body)
-        except zlib.error:
-            return zlib.decompress(body, -zlib.MAX_WBITS)
-    return body
-
-
-def request(url: str, policy: Policy, opener=None, sleep=time.sleep, method: str = "GET") -> dict:
-    """One response as a row of RESPONSE; an exhausted status is an answer, other faults are the error."""
+    inflate = {"gzip": zlib.decompressobj(16 + zlib.MAX_WBITS), "deflate": zlib.decompressobj()}.get(encoding or "")
+    first = True
+    while piece := answer.read(size):
+        if inflate is not None:
+            try:
+                piece = inflate.decompress(piece)
+            except zlib.error:
+                if not first or encoding != "deflate":
+                    raise
+                inflate = zlib.decompressobj(-zlib.MAX_WBITS)  # deflate without a header
+                piece = inflate.decompress(piece)
+            first = False
+        if piece:
+            yield piece
+    if inflate is not None and (rest := inflate.flush()):
+        yield rest
+
+
+def exchange(url: str, policy: Policy, use: Callable, opener=None, sleep=time.sleep, method: str = "GET"):
+    """use(status, headers, open answer, error) of the last attempt; an exhausted status is an answer, other faults are the error.
+
+    The body is read by use alone, so an answer that is tried again, or whose body is
+    not wanted, costs its headers.
+    """
     opener = opener or _opener(policy)
     failures = 0
     while True:
-        status, headers, body, error = None, {}, None, None
+        status, headers, answer, error = None, {}, None, None
         try:
             ask = urllib.request.Request(url, headers={"User-Agent": policy.user_agent, **policy.headers}, method=method)
-            with opener.open(ask, timeout=policy.timeout) as answer:
-                status, headers = answer.status, {k.lower(): v for k, v in answer.headers.items()}
-                body = _plain(answer.read(), headers.get("content-encoding"))
+            answer = opener.open(ask, timeout=policy.timeout)
         except urllib.error.HTTPError as e:
-            status, headers, body = e.code, {k.lower(): v for k, v in e.headers.items()}, e.read()
+            answer = e
         except Exception as e:  # a fault of the network is data
             error = f"{type(e).__name__}: {e}"
-        again = method in RETRY_METHODS and (error is not None or status in RETRY_STATUSES)
-        if not again or failures >= policy.retries:
-            return {"url": url, "status": status, "headers": headers, "body": body, "error": error}
+        with answer if answer is not None else nullcontext():
+            if answer is not None:
+                status, headers = answer.status, {k.lower(): v for k, v in answer.headers.items()}
+            again = method in RETRY_METHODS and (error is not None or status in RETRY_STATUSES)
+            if not again or failures >= policy.retries:
+                return use(status, headers, answer, error)
         failures += 1
         sleep(policy.wait(failures, headers.get("retry-after"), status))
 
 
+def request(url: str, policy: Policy, opener=None, sleep=time.sleep, method: str = "GET") -> dict:
+    """One response as a row of RESPONSE."""
+
+    def whole(status, headers, answer, error) -> dict:
+        body = None
+        if answer is not None:
+            try:
+                body = b"".join(chunks(answer, headers.get("content-encoding")))
+            except Exception as e:  # a body that breaks off
+                error = f"{type(e).__name__}: {e}"
+        return {"url": url, "status": status, "headers": headers, "body": body, "error": error}
+
+    return exchange(url, policy, whole, opener, sleep, method)
+
+
 _KIND = pa.schema([("url", pa.string()), ("status", pa.int32()), ("headers", pa.map_(pa.string(), pa.string())), ("body", pa.binary()), ("error", pa.string())])
 
 
@@ -135,8 +166,39 @@ class HttpFetcher:
                     first = False
                     yield _row(request(url, policy, opener))
 
-        host = F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]*)", 1)
-        return urls.select("url").distinct().repartition(host).mapInArrow(run, RESPONSE)
+        return urls.select("url").distinct().repartition(_host("url")).mapInArrow(run, RESPONSE)
+
+    def download(self, rows: DataFrame, root: str, strict: bool = False) -> DataFrame:
+        """Results (DOWNLOAD) of saving the documents of rows (seq, section, url, document_id, fallback) below root.
+
+        A document's name is known with the headers of its response; only then, and only
+        if its file is not there, its body is read, a chunk at a time.  fallback is the
+        name where the headers give none.  Documents of a host come in order of seq.
+        """
+        policy = self.policy
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            opener, first = _opener(policy), True
+            for batch in batches:
+                for r in batch.to_pylist():
+                    if not first and policy.delay:
+                        time.sleep(policy.delay)
+                    first = False
+
+                    def save(status, headers, answer, error, r=r):
+                        if error is not None or status is None or status >= 400:
+                            return False, "", 0, error or f"HTTP {status}"
+                        name = header_filename(headers.get("content-disposition"), r["document_id"], r["url"], strict) or r["fallback"]
+                        return write_chunks(os.path.join(root, r["section"]), name, lambda: chunks(answer, headers.get("content-encoding")))
+
+                    yield _results([(r["seq"], *exchange(r["url"], policy, save, opener))])
+
+        ordered = rows.select("seq", "section", "url", "document_id", "fallback").repartition(_host("url")).sortWithinPartitions("seq")
+        return ordered.mapInArrow(run, DOWNLOAD)
+
+
+def _host(url: str) -> Column:
+    return F.regexp_extract(url, "^[a-zA-Z]+://([^/?#]*)", 1)
 
 
 def body_text(body: bytes | None, kind: str | None) -> str | None:
@@ -156,6 +218,11 @@ def body_text(body: bytes | None, kind: str | None) -> str | None:
         return body.decode("utf-8", "replace")
 
 
+def content_type(headers: list[tuple[str, str]] | dict[str, str] | None) -> str | None:
+    """The content type among the headers of a response."""
+    return next((v for k, v in dict(headers or ()).items() if k.lower() == "content-type"), None)
+
+
 @arrow_udf(T.StringType())
 def _decoded(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for body, kind in columns:
@@ -167,24 +234,32 @@ def page_text(body: Column, headers: Column) -> Column:
     return _decoded(body, F.coalesce(F.try_element_at(headers, F.lit("content-type")), F.try_element_at(headers, F.lit("Content-Type"))))
 
 
-def write_body(folder: str, name: str, body: bytes | None) -> tuple[bool, str, int, str | None]:
+def write_chunks(folder: str, name: str, body: Callable[[], Iterator[bytes]]) -> tuple[bool, str, int, str | None]:
     """Writes one document atomically: (ok, filename, size, error).
 
-    A file that is there and not empty stays and counts; HTML fails; an empty body
-    makes an empty file.  Each attempt writes to a name of its own and renames it.
+    A file that is there and not empty stays and counts, and the body is not read; HTML
+    fails; an empty body makes an empty file.  Each attempt writes to a name of its own,
+    which takes the place of the target only while nothing stands there.
     """
     target = os.path.join(folder, name)
     part = f"{target}.{uuid.uuid4().hex}.part"
+    filled = lambda: os.path.exists(target) and os.path.getsize(target) > 0
     try:
-        if os.path.exists(target) and os.path.getsize(target) > 0:
+        if filled():
             return True, name, os.path.getsize(target), None
-        head = (body or b"")[:65_536].strip()
-        if head.startswith((b"<!DOCTYPE", b"<html")):
-            return False, name, 0, HTML_ERROR
+        begun = False
         os.makedirs(folder, exist_ok=True)
         with open(part, "wb") as f:
-            f.write(body or b"")
-        os.replace(part, target)
+            for piece in body():
+                if not begun and piece.lstrip().startswith((b"<!DOCTYPE", b"<html")):
+                    os.remove(part)
+                    return False, name, 0, HTML_ERROR
+                begun = True
+                f.write(piece)
+        if filled():  # another one was faster
+            os.remove(part)
+        else:
+            os.replace(part, target)
         return True, name, os.path.getsize(target), None
     except Exception as e:  # a fault of one file is data
         if os.path.exists(part):
@@ -192,11 +267,22 @@ def write_body(folder: str, name: str, body: bytes | None) -> tuple[bool, str, i
         return False, "", 0, str(e)
 
 
-DOWNLOAD = "seq long, ok boolean, filename string, file_size_bytes long, error string"
+def write_body(folder: str, name: str, body: bytes | None) -> tuple[bool, str, int, str | None]:
+    """Writes one document whose body is at hand."""
+    whole = body or b""
+    return write_chunks(folder, name, lambda: (whole[i : i + CHUNK] for i in range(0, len(whole), CHUNK)))
+
+
+def _results(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.string())
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["seq", "ok", "filename", "file_size_bytes", "error"])
 
 
 def write_documents(rows: DataFrame, root: str) -> DataFrame:
-    """Results of writing rows (seq, section, filename, status, body, error) below root, a folder that all executors share."""
+    """Results (DOWNLOAD) of writing rows (seq, section, filename, status, body, error) below root, a folder that all executors share.
+
+    Rows of one file are written in order of seq, so the first of them stays.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +293,7 @@ def write_documents(rows: DataFrame, root: str) -> DataFrame:
                 else:
                     out.append((r["seq"], *write_body(os.path.join(root, r["section"]), r["filename"], r["body"])))
             if out:
-                kinds = (pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.string())
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["seq", "ok", "filename", "file_size_bytes", "error"])
+                yield _results(out)
 
-    return rows.select("seq", "section", "filename", "status", "body", "error").mapInArrow(run, DOWNLOAD)
+    ordered = rows.select("seq", "section", "filename", "status", "body", "error").repartition("section", "filename").sortWithinPartitions("section", "filename", "seq")
+    return ordered.mapInArrow(run, DOWNLOAD)

@@ -3,29 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.registry import Registry
-from ..schemas import EVENT
 
 
 def follow(events: DataFrame, store: Registry, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Appends a stream of events (EVENT) to a registry.
+    """Appends a stream of events (EVENT) to a registry, where ``Registry.load`` sees them.
 
-    A batch that is replayed after a failure writes to the same folder, so it is not
-    counted twice.  once: take what is there and end.
+    A batch that is replayed after a failure takes the place of its first attempt, so it
+    is not counted twice; its events come after all others that are there then.
+    once: take what is there and end.
     """
-
-    def write(batch: DataFrame, number: int) -> None:
-        # Batches follow one another: seq is the batch's number, then the event's own.
-        seq = F.lit(number).cast("long") * (1 << 40) + F.col("seq")
-        batch.withColumn("seq", seq).write.mode("overwrite").parquet(f"{store.path}/stream/batch={number}")
-
-    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = events.writeStream.foreachBatch(store.append_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
-
-
-def stream_entries(store: Registry) -> DataFrame:
-    """The events that streams have appended."""
-    return store.spark.read.schema(f"{EVENT}, batch int").parquet(f"{store.path}/stream").drop("batch")

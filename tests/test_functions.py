@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gleaner.functions import url as U
-from gleaner.functions.filenames import derive_filename
-from gleaner.functions.text import before_hyphen, decode_content_disposition, disposition_name, percent_decode, sanitize_filename, strip
+from gleaner.functions.filenames import derive_filename, header_filename
+from gleaner.functions.text import before_hyphen, decode_content_disposition, disposition_name, header_parameters, percent_decode, safe_name, sanitize_filename, strip
 
 
 def column(spark, values, f, kind="string"):
@@ -125,3 +125,45 @@ def test_keys_and_pages(spark):
     assert [r[0] for r in df.select(U.doc_key(F.col("i"), F.col("u"))).collect()] == ["doc_1", "u", "u", "doc_0"]
     assert column(spark, ["/PageID/12/x", "/pageid/3", "PageID/"], U.page_number) == [12, None, None]
     assert column(spark, ["/PageID/12/PageID/3"], U.page_template) == ["/PageID/{page}/PageID/{page}"]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=250), min_size=1, max_size=30))
+def test_the_name_in_a_task_is_that_of_the_column(spark, names):
+    names = NAMES + names
+    for strict in (False, True):
+        assert column(spark, names, lambda c, s=strict: sanitize_filename(c, strict=s)) == [safe_name(n, strict=strict) for n in names]
+        for number in (None, "", "7"):
+            headers = [f'attachment; filename="{n}"' for n in names]
+            other = lambda c, s=strict, k=number: derive_filename(F.lit(k).cast("string"), F.lit("https://h/get"), F.lit("x"), F.lit(""), c, s)
+            got = [header_filename(h, number, "https://h/get", strict) for h in headers]
+            assert [a for a, g in zip(column(spark, headers, other), got, strict=True) if g] == [g for g in got if g]
+
+
+def test_header_parameters():
+    assert header_parameters('a; b = c ;d="x;y"; e') == [("b", "c"), ("d", '"x;y"')]
+    assert header_parameters("") == [] and header_parameters('x="open; y=1') == [("x", '"open; y=1')]
+
+
+URLS = [
+    "https://h.example/a/b.pdf?x=1&y=%20#f", "http://h:80", "https://h/", "https://h/a/../b", "https://h/./a", "https://h/a?", "https://h/a#", "HTTP://h/a", "https://[bad/x", "https://h/ü", "//other/x", "/root/x?q=a/b", "/a/../b",
+    "/a/./b", "/a//b", "//", "/", "", "rel/x", "../up", "?q", "#f", "mailto:a@b", "javascript:void(0)", "https://h/a b", "/a b", "https://u:p@h/x", "ftp://h/x", "/..a/b", "/a.b/c", "https://h/a;p", "/a;p?x", "https://h/a/.", "/a/..", "https://h//x", "https://h/…",
+]
+
+
+def test_columns_of_urls_are_those_of_single_urls():
+    import pyarrow as pa
+    from urllib.parse import urlsplit
+
+    from gleaner.markup.links import resolve
+
+    def parts(u):
+        try:
+            p = urlsplit(u or "")
+        except ValueError:
+            p = urlsplit("")
+        return {"scheme": p.scheme, "host": p.netloc, "path": p.path, "query": p.query, "fragment": p.fragment}
+
+    assert U.split_urls(pa.array([*URLS, None])).to_pylist() == [parts(u) for u in [*URLS, None]]
+    for base in ["https://h.example/list/p?x", "https://h.example", "http://h:8/a/b/../c", "", "https://[bad/x", "rel", "https://h/a#f", "HTTPS://H/a"]:
+        assert U.resolved(pa.array([base] * (len(URLS) + 1)), pa.array([*URLS, None])).to_pylist() == [resolve(base, u) for u in URLS] + [None]

@@ -32,8 +32,25 @@ def test_workflow(spark, tmp_path):
     assert again.load().where("doc_key = 'doc_123'").first().file_size_bytes == 13
     again.append(events(spark, event(0, "doc_123", "failed", "", 0, error="e")))
     assert registry.split_downloaded(candidates, again.load(), files)[0].count() == 0
+    before = {r.doc_key: (r.status, r.seq, r.first_seen.seq) for r in again.load().collect()}
+    for i in range(5):
+        again.append(events(spark, event(0, "doc_9", "failed" if i % 2 else "success")))
     again.compact()
-    assert again.load().count() == 2 and again.events().count() == 2
+    after = {r.doc_key: (r.status, r.seq, r.first_seen.seq) for r in again.load().collect()}
+    assert after["doc_123"] == before["doc_123"] and after["doc_9"] == ("success", 8, 2) and again.events().count() == 4
+    # The version before stays for readers, and an unfinished one does not count.
+    assert again.versions() == [1, 2]
+    again.events().limit(0).write.parquet(str(tmp_path / "r" / "log" / "v3"))
+    (tmp_path / "r" / "log" / "v3" / "_SUCCESS").unlink()
+    assert again.versions() == [1, 2] and again.load().count() == 2
+
+
+def test_one_writer_at_a_time(spark, tmp_path):
+    store = registry.Registry(spark, str(tmp_path / "r"))
+    with store.writing(), pytest.raises(TimeoutError), store.writing(0.2):
+        pass
+    store.append(events(spark, event(0, "a", "success")))
+    assert store.last_seq() == 1
 
 
 def test_current_entries(spark):

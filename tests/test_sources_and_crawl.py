@@ -8,7 +8,7 @@ from gleaner.operators.registry import Registry
 from gleaner.plans import site
 from gleaner.plans.crawl import Crawl
 from gleaner.schemas import CATALOG, EVENT, RESPONSE
-from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, body_text, request, write_body
+from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, body_text, chunks, request, write_body, write_chunks, write_documents
 from gleaner.sources.files import list_files
 from gleaner.sources.http import HttpPages
 from tests.conftest import SMALL
@@ -98,6 +98,63 @@ def test_crawl(spark, server, tmp_path):
     assert [(r.page_url, r.error) for r in c.failed_pages.collect()] == [(f"{base}/d/404", "HTTP 404")]
 
 
+def test_a_limit_stops_the_requests(spark, server, tmp_path):
+    """The first download of a section costs its first page, one article and that document, not the section."""
+    base, hits = server
+    hits.clear()
+    c = crawl(spark, base, tmp_path, limit=1)
+    assert c.run()["pdfs_downloaded"] == 1
+    assert hits == {"/l": 1, "/direct.pdf": 1}
+    hits.clear()
+    assert list(crawl(spark, base, tmp_path / "two", limit=2).run().values()) == [1, 1, 2, 2, 0, 0]
+    assert hits == {"/l": 1, "/direct.pdf": 1, "/d/1": 1, "/DocumentDownload.ashx?DocumentId=1": 1}
+    assert [x["step"] for x in c.progress if x["step"] == "downloads"] == ["downloads"] and c.progress[-1]["ok"] == 1
+
+
+def test_parts_of_the_frontier_are_the_whole_log(spark, server, tmp_path):
+    base, _ = server
+    c = crawl(spark, base, tmp_path)
+    whole = c.discover().select("seq", "kind", "doc_key", "page_num").collect()
+    parts = [p.select("seq", "kind", "doc_key", "page_num").collect() for p in c.frontier()]
+    assert len(parts) == 4 and sorted(map(str, (r for p in parts for r in p))) == sorted(map(str, whole))
+    full = list(crawl(spark, base, tmp_path / "f", limit=100).run().values())
+    assert full == list(crawl(spark, base, tmp_path / "g").run().values())
+
+
+def test_a_body_is_read_only_where_its_file_is_missing(spark, server, tmp_path):
+    """The name, and whether the file is there, are known from the headers; a key is asked for once."""
+    base, hits = server
+    c = crawl(spark, base, tmp_path)
+    c.run()
+    assert hits["/DocumentDownload.ashx?DocumentId=1"] >= 1
+    read = []
+    answer = lambda: iter([read.append(1) or b"x"])
+    assert write_chunks(str(tmp_path / "out" / "sec"), "last.pdf", answer) == (True, "last.pdf", 9, None) and not read
+    hits.clear()
+    fresh = Registry(spark, str(tmp_path / "another"))
+    again = Crawl(spark, c.catalog, c.fetcher, fresh, c.output, c.work)
+    assert list(again.run().values()) == [2, 4, 6, 4, 1, 1]
+    assert all(n == 1 for n in hits.values())
+
+
+def test_documents_of_one_file_come_in_order(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "s", "same.pdf", 200, bytearray(f"%PDF {i}".encode()), None) for i in (5, 3, 9, 4)], "seq long, section string, filename string, status int, body binary, error string").repartition(4)
+    got = write_documents(rows, str(tmp_path)).collect()
+    assert (tmp_path / "s" / "same.pdf").read_bytes() == b"%PDF 3" and all(r.ok and r.file_size_bytes == 6 for r in got)
+
+
+def test_compressed_bodies_come_in_chunks():
+    import gzip
+    import io
+    import zlib
+
+    body = b"text " * 50_000
+    raw = zlib.compressobj(wbits=-15)
+    for encoding, sent in (("gzip", gzip.compress(body)), ("deflate", zlib.compress(body)), ("deflate", raw.compress(body) + raw.flush()), (None, body)):
+        assert b"".join(chunks(io.BytesIO(sent), encoding, 1000)) == body
+    assert list(chunks(io.BytesIO(b""), "gzip")) == []
+
+
 def test_limits_and_dry_run(spark, server, tmp_path):
     base, _ = server
     assert list(crawl(spark, base, tmp_path, limit=2).run().values()) == [1, 1, 2, 2, 0, 0]
@@ -153,8 +210,7 @@ def test_write_body(tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    from gleaner.operators.registry import current
-    from gleaner.streaming.registry_stream import follow, stream_entries
+    from gleaner.streaming.registry_stream import follow
     from tests.test_registry_and_runs import event
 
     source = str(tmp_path / "in")
@@ -162,7 +218,12 @@ def test_stream(spark, tmp_path):
     for rows in ([event(0, "a", "success"), event(1, "b", "failed")], [event(0, "a", "failed"), event(1, "c", "success")]):
         spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(source)
         follow(spark.readStream.schema(EVENT).parquet(source), store, str(tmp_path / "cp")).awaitTermination()
-    assert {r.doc_key: r.status for r in current(stream_entries(store)).collect()} == {"a": "failed", "b": "failed", "c": "success"}
+    assert {r.doc_key: r.status for r in store.load().collect()} == {"a": "failed", "b": "failed", "c": "success"}
+    # Appended batches and streamed ones share one order, and a batch that comes again counts once.
+    store.append(spark.createDataFrame([event(0, "c", "failed")], EVENT))
+    store.append_batch(spark.createDataFrame([event(0, "b", "success")], EVENT), 7)
+    store.append_batch(spark.createDataFrame([event(0, "b", "success")], EVENT), 7)
+    assert {r.doc_key: r.status for r in store.load().collect()} == {"a": "failed", "b": "success", "c": "failed"} and store.events().count() == 6
 
 
 def test_cli(spark, server, tmp_path, capsys):
@@ -170,10 +231,10 @@ def test_cli(spark, server, tmp_path, capsys):
 
     base, _ = server
     (tmp_path / "c.json").write_text(json.dumps([{"section_key": "sec", "name": "Sec", "start_url": f"{base}/l", "description": "d"}]))
-    assert cli.main([str(tmp_path / "c.json"), "--list-sections"]) == 0
+    assert cli.main([str(tmp_path / "c.json"), "--list-sections"], spark) == 0
     assert "sec" in capsys.readouterr().out
     assert cli.main([str(tmp_path / "c.json"), "--delay", "0", "--output-dir", str(tmp_path / "o"), "--section", "all", "--limit", "1"], spark) == 0
-    assert "Downloaded  : 1" in capsys.readouterr().out
+    assert "|pdfs downloaded      |1     |" in capsys.readouterr().out
     assert cli.main([str(tmp_path / "c.json"), "--section", "zz"], spark) == 1
 
 
