@@ -13,7 +13,8 @@ samples is corrected for the chance of 2**-16 that two of them agree by accident
 
 Defined cases: null is the empty text; a text without words has the fixed
 fingerprint of ``ffff``s, is like another such text (1) and unlike any other
-(about 0); equal texts have equal fingerprints.
+(about 0); equal texts have equal fingerprints; repeated rows each give a row; an
+empty table gives an empty result; ids may be any 64-bit number, repeated or null.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as T
+from ..session import ship
+from ._spark import cut
 
 #: Samples of a fingerprint; the standard error of a likeness is at most 0.5 / sqrt(SAMPLES).
 SAMPLES = 128
@@ -110,92 +113,165 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
             for part in T.slices(batch, "text"):
                 yield pa.record_batch([part.column("doc_id"), pa.array(as_text(signatures(part.column("text"), samples)), pa.string())], names=["doc_id", "fingerprint"])
 
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fingerprint string")
 
 
 EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Bytes of a run of neighbouring rows, about; the runs that a table has at most; sampled keys for each run.
+RUN_BYTES, MOST_RUNS, KEYS = 64 << 20, 100_000, 20
+#: A key is hot if its equal rows are more than this share of a run's rows.
+HOT = 0.25
 
+Key = tuple[np.ndarray, np.ndarray, np.ndarray]  # none (no id), down (descending id), tie
 
-def _runs(docs: DataFrame, runs: int) -> DataFrame:
-    """docs in runs of neighbouring ids, each followed by a copy (ahead = 1) of the row that comes next.
 
-    The bounds of the runs are ids of the table, so the row after a run is known
-    beforehand: the greatest id of the run below, or of all rows after the last run.
+def _key(batch: pa.RecordBatch) -> Key:
+    ids = batch.column("doc_id")
+    return ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), ~pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), batch.column("tie").to_numpy()
+
+
+def _place(key: Key, bounds: Key) -> np.ndarray:
+    """How many of the sorted bounds are not greater than each key: exact comparisons of integers."""
+    n, m = len(bounds[0]), len(key[0])
+    none, down, tie = (np.concatenate([b, k]) for b, k in zip(bounds, key, strict=True))
+    order = np.lexsort((np.arange(n + m) >= n, tie, down, none))
+    out = np.empty(m, np.int64)
+    is_key = order >= n
+    out[order[is_key] - n] = np.cumsum(~is_key)[is_key]
+    return out
+
+
+def _collected(rows: DataFrame) -> tuple[pa.Table, Key]:
+    """Some rows (doc_id, tie, ...) in the order of their keys."""
+    t = rows.toArrow().combine_chunks()
+    batch = t.to_batches()[0] if t.num_rows else pa.RecordBatch.from_pylist([], schema=t.schema)
+    key = _key(batch)
+    order = np.lexsort((key[2], key[1], key[0]))
+    return t.take(pa.array(order)), tuple(x[order] for x in key)
+
+
+def _runs(docs: DataFrame, runs: int | None) -> tuple[DataFrame, int, DataFrame | None]:
+    """Rows in runs of the order, the number of runs, and copies that need no order.
+
+    docs has doc_id, text and tie.  The order of rows is by descending doc_id, rows
+    without an id last, then by tie.  Bounds of runs are keys of a sample.  What a run has to know beyond
+    its own rows is the row after its last: the first row, by an exact aggregate of the
+    keys, of the next run that has rows (after the last run comes the first).  That row
+    is sent to the run as well (ahead = 1).
+
+    Of the rows that are equal in id and text, a hot group is reduced to one row by
+    partial aggregation; the others of it are each followed by an equal one.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    at = [i / runs for i in range(1, runs)]
-    row = docs.agg(F.percentile_approx("doc_id", at, 20 * runs).alias("bounds"), F.max("doc_id").alias("top")).first()
-    bounds = np.unique(np.array([*(row["bounds"] or []), *([] if row["top"] is None else [row["top"]])], np.int64))
-
-    @F.pandas_udf("array<int>")
-    def places(ids):
-        """Its own run; then, for a bound, the run above (or, for the greatest, the lowest run)."""
-        own = np.searchsorted(bounds, ids.fillna(np.iinfo(np.int64).min).to_numpy().astype(np.int64))
-        bound = np.isin(ids.to_numpy(dtype=float, na_value=np.nan), bounds.astype(float)) & ids.notna().to_numpy()
-        exact = np.zeros(len(ids), bool)
-        for i in np.flatnonzero(bound):
-            exact[i] = int(ids.iloc[i]) == int(bounds[min(own[i], len(bounds) - 1)])
-        last = len(bounds) - 1
-        return ids.__class__([[int(o)] + ([int(o) + 1 if o < last else 0] if e else []) for o, e in zip(own, exact, strict=True)])
-
-    if not len(bounds):  # no row has an id: one order of texts
-        top = F.lit(0)
-        return docs.withColumns({"run": top, "ahead": top, "tie": F.xxhash64("text")})
-    placed = docs.select("doc_id", "text", F.posexplode(places("doc_id")).alias("ahead", "run"))
-    return placed.withColumn("tie", F.xxhash64("text"))
+    spark = docs.sparkSession
+    keys = cut(docs.select("doc_id", "tie", F.octet_length("text").cast("long").alias("bytes")))
+    total = keys.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    n = total["n"]
+    if not n:
+        return docs.withColumns({"ahead": F.lit(0), "run": F.lit(0)}), 1, None
+    runs = runs or min(MOST_RUNS, max(-(-total["bytes"] // RUN_BYTES), 4 * spark.sparkContext.defaultParallelism))
+    often = keys.groupBy("doc_id", "tie").agg(F.count("*").alias("copies")).where(F.col("copies") > max(8, int(HOT * n / runs)))
+    hot, hot_key = _collected(often)  # at most runs / HOT rows
+    copies = None
+    if hot.num_rows:
+        known = F.broadcast(spark.createDataFrame(hot.select(["doc_id", "tie"]).rename_columns(["_id", "_tie"])))
+        same = docs["doc_id"].eqNullSafe(known["_id"]) & (docs["tie"] == known["_tie"])
+        groups = cut(docs.join(known, same, "left_semi").groupBy("doc_id", "tie").agg(F.first("text").alias("text"), F.count("*").alias("copies")))
+        copies = groups.where("copies > 1").select("doc_id", "text", (F.col("copies") - 1).alias("copies"))
+        docs = docs.join(known, same, "left_anti").unionByName(groups.select("doc_id", "text", "tie"))
+    share = min(1.0, KEYS * runs / n)
+    sample, key = _collected(keys.where(F.pmod(F.xxhash64("doc_id", "tie", "bytes"), F.lit(1 << 30)) < int(share * (1 << 30))).select("doc_id", "tie").distinct())
+    at = np.unique(np.arange(1, runs) * sample.num_rows // runs) if sample.num_rows else np.zeros(0, int)
+    bounds = tuple(x[at] for x in key)
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key = _key(batch)
+                run = _place(key, bounds)
+                order = np.lexsort((key[2], key[1], key[0]))
+                first = order[np.unique(run[order], return_index=True)[1]]
+                yield pa.record_batch([pa.array(run[first], pa.int32()), pa.array(key[0][first]), batch.column("doc_id").take(pa.array(first)), pa.array(key[1][first]), pa.array(key[2][first])], names=["run", "none", "doc_id", "down", "tie"])
+
+    least = keys.select("doc_id", "tie").mapInArrow(firsts, "run int, none long, doc_id long, down long, tie long").groupBy("run").agg(F.min(F.struct("none", "down", "tie", "doc_id")).alias("_k"))
+    first, first_key = _collected(least.select("run", "_k.doc_id", "_k.tie"))  # one row for each run
+    number = first.column("run").to_numpy()
+    sent = spark.sparkContext.broadcast((bounds, first_key, np.roll(number, 1)))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, first_key, before = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = _key(batch)
+            at = np.maximum(_place(key, first_key) - 1, 0)
+            ahead = np.flatnonzero((first_key[0][at] == key[0]) & (first_key[1][at] == key[1]) & (first_key[2][at] == key[2]))
+            for rows, flag, run in ((np.arange(batch.num_rows), 0, _place(key, bounds)), (ahead, 1, before[at[ahead]])):
+                if len(rows):
+                    part = batch if not flag else batch.take(pa.array(rows))
+                    yield pa.record_batch([*(part.column(c) for c in ("doc_id", "text", "tie")), pa.array(np.full(len(rows), flag), pa.int32()), pa.array(run, pa.int32())], names=["doc_id", "text", "tie", "ahead", "run"])
+
+    return docs.mapInArrow(deal, "doc_id long, text string, tie long, ahead int, run int"), runs, copies
 
 
 def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES, runs: int | None = None) -> DataFrame:
     """Fingerprints of each text and of its edited text, with their likeness.
 
     Edited text: the last floor(n/2) of a text's n code points are replaced by the
-    first as many (or all) of the next document by descending doc_id; after the last
-    row comes the first.  Rows with equal ids are ordered by a hash of their text,
-    rows without an id come last.  The texts are shuffled once, by runs of ids.
+    first as many of the next document by descending doc_id; after the last row comes
+    the first.  Rows with equal ids are ordered by a hash of their text, rows without
+    an id come last.  The texts are shuffled once, by runs of ids.
     """
-    spark = docs.sparkSession
-    runs = runs or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = _runs(docs, runs).repartition(runs, "run").sortWithinPartitions("run", "ahead", F.col("doc_id").desc_nulls_last(), "tie")
+    ship(docs.sparkSession)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("tie"))
+    placed, runs, copies = _runs(docs, runs)
+    placed = placed.repartitionById(runs, "run").sortWithinPartitions("run", "ahead", F.col("doc_id").desc_nulls_last(), "tie")
+
+    def output(rows: list, texts: list, nexts: list) -> tuple:
+        """Signatures of texts, and the output of rows (id, text, signature or its position in texts), each with the text after it and that one's signature or position."""
+        edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for (_, t, _), (n, _) in zip(rows, nexts, strict=True)]
+        sig = signatures(pa.array(texts + edited, pa.large_string()), samples)
+        of = lambda s: sig[s] if isinstance(s, int) else s
+        if not rows:
+            return sig, None
+        own, after, changed = np.stack([of(r[2]) for r in rows]), np.stack([of(s) for _, s in nexts]), sig[len(texts) :]
+        return sig, pa.record_batch(
+            [
+                pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int64()),
+                pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
+                pa.array(as_text(own), pa.string()), pa.array(as_text(changed), pa.string()),
+                pa.array(likeness(own, changed), pa.float64()), pa.array(likeness(own, after), pa.float64()),
+            ],
+            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, whose successor is in the next slice: id, text, run, ahead, signature
-        first = None  # text and signature of the first row of its run
-
-        def emit(rows: list, texts: list, nexts: list) -> tuple:
-            """Signatures of texts, and the output of rows (id, text, signature or its position in texts), each with the text after it and that one's signature or position."""
-            edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for (_, t, _), (n, _) in zip(rows, nexts, strict=True)]
-            sig = signatures(pa.array(texts + edited, pa.large_string()), samples)
-            of = lambda s: sig[s] if isinstance(s, int) else s
-            if not rows:
-                return sig, None
-            own, after, changed = np.stack([of(r[2]) for r in rows]), np.stack([of(s) for _, s in nexts]), sig[len(texts) :]
-            return sig, pa.record_batch(
-                [
-                    pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int64()),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
-                    pa.array(as_text(own), pa.string()), pa.array(as_text(changed), pa.string()),
-                    pa.array(likeness(own, changed), pa.float64()), pa.array(likeness(own, after), pa.float64()),
-                ],
-                names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
-            )
-
+        held = None  # the row before: id, text, whether it was sent ahead, signature
         for batch in batches:
             for part in T.slices(batch, "text"):
-                ids, texts, runs_of, ahead = (part.column(c).to_pylist() for c in ("doc_id", "text", "run", "ahead"))
+                ids, texts, ahead = (part.column(c).to_pylist() for c in ("doc_id", "text", "ahead"))
                 rows, nexts = [], []
-                for i, (text, own) in enumerate(zip(texts, runs_of, strict=True)):
-                    if held is not None and not held[3]:
-                        rows.append((held[0], held[1], held[4]))
-                        nexts.append((text, i) if held[2] == own else first)
-                    if held is None or held[2] != own:
-                        first = (text, i)
-                    held = (ids[i], text, own, ahead[i], i)
-                sig, out = emit(rows, texts, nexts)
-                held = (*held[:4], sig[held[4]])
-                first = (first[0], sig[first[1]] if isinstance(first[1], int) else first[1])
+                for i, text in enumerate(texts):
+                    if held is not None and not held[2]:
+                        rows.append((held[0], held[1], held[3]))
+                        nexts.append((text, i))
+                    held = (ids[i], text, ahead[i], i)
+                sig, out = output(rows, texts, nexts)
+                held = (*held[:3], sig[held[3]])
                 if out is not None:
                     yield out
-        if held is not None and not held[3]:
-            yield emit([(held[0], held[1], held[4])], [], [first])[1]
 
-    return placed.mapInArrow(run, EDITED)
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that are followed by an equal one."""
+        for batch in batches:
+            for part in T.slices(batch, "text"):
+                ids, texts = (part.column(c).to_pylist() for c in ("doc_id", "text"))
+                out = output([(i, t, k) for k, (i, t) in enumerate(zip(ids, texts, strict=True))], texts, [(t, k) for k, t in enumerate(texts)])[1]
+                yield pa.record_batch([*out.columns, part.column("copies")], names=[*out.schema.names, "copies"])
+
+    done = placed.mapInArrow(run, EDITED)
+    if copies is not None:
+        each = copies.mapInArrow(alike, f"{EDITED}, copies long").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        done = done.unionByName(each.drop("copies"))
+    return done
