@@ -2,20 +2,23 @@
 
 One pass over the tokens of a page builds its tree and its blocks (paragraphs,
 headings, items, cells).  Menus, page headers, footers, asides, forms, scripts,
-styles, hidden elements, and elements whose class, id or role names an advert, a
-notice, a sidebar or reader comments are left out with all they hold.
+styles, hidden elements, and blocks whose class, id or role names an advert, a
+notice, a sidebar or reader comments are left out with all they hold; inline
+elements, paragraphs and headings are not judged by their names, nor are headers
+inside an article.
 
 Each block of some length gives points, 1 and one for each comma and each 100
 characters (three at most), to its container, half to the container's parent, and
-less to those above; a block's points are discounted by the share of its text
-that is in links, and a container's total by the link density of all it holds.  The
+less to those above (``SHARES``); a block's points are discounted by the share of its
+text that is in links, and a container's total by the link density of all it holds.  The
 best container is kept, widened to the article element that holds it, and so are
 its siblings with a fifth of its score or that are long paragraphs almost free of
 links.  The kept blocks are joined in page order.
 
 Defined cases: a null or empty page, and one without text outside what is left
-out, gives an empty text; a page that is cut off counts as closed there; where no
-block is long enough to score, the article or main element is kept, or else all
+out, gives an empty text; a page that is cut off counts as closed there; a page of
+any depth takes a time in proportion to its length; repeated rows each give a row; an
+empty table gives an empty result; other columns are ignored; where no block is long enough to score, the article or main element is kept, or else all
 blocks that are not mostly links.
 """
 
@@ -29,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..markup.tokens import END, START, TEXT, VOID, attributes, tokens
+from ..markup.tokens import START, TEXT, VOID, attributes, tokens
+from ..session import ship
 from . import _text as T
 
 RESULT = "page_id long, url string, text string, n_chars long"
@@ -38,19 +42,25 @@ BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre address figure figcaption header footer aside nav form fieldset details summary hr hgroup center".split()
 )
 CONTAINER = frozenset("html body article main section div td blockquote table tbody ul ol dl tr details center figure header".split())
-LEFT_OUT = frozenset("head title nav footer aside form script style noscript template iframe object embed svg math canvas button select textarea input label dialog menu audio video map datalist".split())
-#: Words in a class, an id or a role by which an element is left out.
+LEFT_OUT = frozenset("head title nav footer aside form script style noscript template iframe object embed svg canvas button select textarea input label dialog menu audio video map datalist".split())
+#: Words in a class, an id or a role by which a block is left out.
 UNLIKELY = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promoted promotion banner cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay paywall"
+    "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promoted promotion cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay paywall"
     " sidebar side aside rail widget widgets menu menubar nav navbar navigation breadcrumb breadcrumbs pager pagination toolbar skip"
-    " header masthead topbar footer foot bottombar copyright related recommended recommendations trending popular share sharing social follow newsletter subscribe subscription signup login search complementary contentinfo".split()
+    " footer foot bottombar copyright related recommended recommendations trending popular share sharing social follow newsletter subscribe subscription signup login search complementary contentinfo".split()
 )
+#: The same for headers, which inside an article or a post are a part of it.
+HEADS = frozenset("header masthead topbar banner".split())
+ARTICLE = frozenset("article main post entry story content".split())
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion feedback".split())
 _NAMES = re.compile(r"[a-z]+")
 #: An open element of these ends where another one of the same family starts; a block ends an open paragraph.
 _FAMILY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("html body article main section div table td th ul ol dl blockquote figure".split())
 BASE = {"article": 25, "main": 20, "div": 5, "section": 5, "td": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Shares of a block's points for its container, that one's parent, and so on.
+SHARES = (1, 1 / 2, 1 / 6, 1 / 9, 1 / 12, 1 / 15)
 
 
 def _left_out(tag: str, raw: str, in_article: bool) -> bool:
@@ -63,141 +73,170 @@ def _left_out(tag: str, raw: str, in_article: bool) -> bool:
     a = attributes(raw)
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
+    if tag not in BLOCK:  # names of inline elements say how they look, not what they are
+        return False
     names = set(_NAMES.findall(f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')} {a.get('itemprop', '')}".lower()))
     if names & COMMENTS:
         return True
-    return tag not in ("article", "main", "p", "h1") and bool(names & UNLIKELY) and not ("article" in names or "main" in names)
+    if tag in ("article", "main", "p") or tag in HEADINGS or "article" in names or "main" in names:
+        return False
+    return bool(names & UNLIKELY) or not in_article and not names & ARTICLE and bool(names & HEADS)
+
+
+class _Page:
+    """The elements and blocks of a page, in page order.  Each token takes a time that does not grow with what is open."""
+
+    def __init__(self):
+        self.tag, self.parent, self.out, self.article, self.link = ["#"], [-1], [False], [False], [False]
+        self.block_of, self.container = [0], [0]  # nearest block, and nearest container, itself included
+        self.open = [0]
+        self.at: dict[str, list[int]] = {}  # places in open of the open elements of each tag
+        self.open_blocks = [0]  # the same of all open blocks
+        self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
+        self.parts: list[str] | None = None
+        self.owner = self.linked = 0
+
+    def add_text(self, raw: str) -> None:
+        top = self.open[-1]
+        if self.out[top]:
+            return
+        if self.parts is None:
+            if not raw.strip():
+                return
+            self.owner, self.parts, self.linked = self.block_of[top], [], 0
+        text = unescape(raw)
+        self.parts.append(text)
+        if self.link[top]:
+            self.linked += len(text)
+
+    def end_block(self) -> None:
+        if self.parts is not None:
+            text = " ".join("".join(self.parts).split())
+            if text:
+                self.blocks.append((self.owner, text, min(self.linked, len(text))))
+            self.parts = None
+
+    def close_to(self, i: int) -> None:
+        """Closes the open elements from place i on."""
+        for k in reversed(self.open[i:]):
+            self.at[self.tag[k]].pop()
+        if self.open_blocks[-1] >= i:
+            self.end_block()
+            while self.open_blocks[-1] >= i:
+                self.open_blocks.pop()
+        del self.open[i:]
+
+    def last(self, tags) -> int:
+        """The innermost place of an open element of these tags, 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def start(self, name: str, raw: str) -> None:
+        if name in BLOCK:
+            # An open paragraph, and an open element of the same family, ends here, unless another element stands between.
+            ends = _FAMILY.get(name, frozenset())
+            fence = self.last(_SCOPE - ends)
+            if (i := self.last(("p",))) > fence:
+                self.close_to(i)
+            if (i := self.last(ends)) > fence:
+                self.close_to(i)
+            self.end_block()
+        elif name == "br" and self.parts is not None:
+            self.parts.append(" ")
+        if name in VOID:
+            return
+        top, i = self.open[-1], len(self.tag)
+        gone = self.out[top] or _left_out(name, raw, self.article[top])
+        self.tag.append(name)
+        self.parent.append(top)
+        self.out.append(gone)
+        self.article.append(self.article[top] or name in ("article", "main"))
+        self.link.append(self.link[top] or name == "a")
+        self.block_of.append(i if name in BLOCK else self.block_of[top])
+        self.container.append(i if name in CONTAINER else self.container[top])
+        if not raw.endswith("/") or name in BLOCK or name == "a":
+            self.at.setdefault(name, []).append(len(self.open))
+            if name in BLOCK:
+                self.open_blocks.append(len(self.open))
+            self.open.append(i)
+
+    def end(self, name: str) -> None:
+        """Closes the innermost open element of the name; an inline one only within its block."""
+        i = self.last((name,))
+        if i and (name in BLOCK or i > self.open_blocks[-1]):
+            self.close_to(i)
+
+
+def read(html: str) -> _Page:
+    page = _Page()
+    for kind, name, raw in tokens(html):
+        if kind == TEXT:
+            page.add_text(name)
+        elif kind == START:
+            page.start(name, raw)
+        else:
+            page.end(name)
+    page.end_block()
+    return page
 
 
 def extract(html: str | None) -> str:
     """The main text of a page, one block a line."""
     if not html:
         return ""
-    tag_of, parent, out, article = ["#"], [-1], [False], [False]
-    links: list[bool] = [False]
-    open_at = [0]
-    blocks: list[list] = []  # [owner, text parts, link characters]
-    current: list | None = None
-
-    def close() -> None:
-        nonlocal current
-        if current is not None:
-            text = " ".join(unescape("".join(current[1])).split())
-            if text:
-                blocks.append([current[0], text, min(current[2], len(text))])
-            current = None
+    page = read(html)
+    return "\n".join(text for (_, text, _), k in zip(page.blocks, kept(page), strict=True) if k)
 
-    def pop_to(i: int) -> None:
-        if any(tag_of[k] in BLOCK for k in open_at[i:]):
-            close()
-        del open_at[i:]
 
-    for kind, name, raw in tokens(html):
-        if kind == TEXT:
-            top = open_at[-1]
-            if out[top]:
-                continue
-            if current is None:
-                if not name.strip():
-                    continue
-                owner = top
-                while tag_of[owner] not in BLOCK and owner:
-                    owner = parent[owner]
-                current = [owner, [], 0]
-            current[1].append(name)
-            if links[top]:
-                current[2] += len(name)
-        elif kind == START:
-            if name in BLOCK:
-                # An open paragraph, and an open element of the same family, ends here.
-                ends = _FAMILY.get(name, ())
-                for i in range(len(open_at) - 1, 0, -1):
-                    t = tag_of[open_at[i]]
-                    if t == "p" or t in ends:
-                        pop_to(i)
-                        if t == "p" and ends:
-                            continue
-                        break
-                    if t in _SCOPE and t not in ends:
-                        break
-                close()
-            elif name == "br" and current is not None:
-                current[1].append(" ")
-            if name in VOID:
-                continue
-            top = open_at[-1]
-            gone = out[top] or _left_out(name, raw, article[top])
-            tag_of.append(name)
-            parent.append(top)
-            out.append(gone)
-            article.append(article[top] or name in ("article", "main"))
-            links.append(links[top] or name == "a")
-            if gone and not out[top] and name in BLOCK:
-                close()
-            if not raw.endswith("/") or name in BLOCK or name == "a":
-                open_at.append(len(tag_of) - 1)
-        else:
-            for i in range(len(open_at) - 1, 0, -1):
-                if tag_of[open_at[i]] == name:
-                    pop_to(i)
-                    break
-                if name not in BLOCK and tag_of[open_at[i]] in BLOCK:
-                    break
-    close()
-    kept = _kept(blocks, tag_of, parent, out)
-    return "\n".join(b[1] for b, k in zip(blocks, kept, strict=True) if k)
-
-
-def _kept(blocks: list[list], tag_of: list[str], parent: list[int], out: list[bool]) -> list[bool]:
-    """Which blocks belong to the best container or a sibling that is kept."""
-    n = len(tag_of)
-    score: dict[int, float] = {}
+def points(page: _Page) -> tuple[dict[int, float], list[int], list[int]]:
+    """The score of each container with points, and of each element the length of its text and of that in links."""
+    n = len(page.tag)
     length, linked = [0] * n, [0] * n
-    for owner, text, link in blocks:
-        i = owner
-        while i > 0:
-            length[i] += len(text)
-            linked[i] += link
-            i = parent[i]
-        if len(text) < 25 or tag_of[owner] in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    score: dict[int, float] = {}
+    for owner, text, link in page.blocks:
+        length[owner] += len(text)
+        linked[owner] += link
+        if len(text) < 25 or page.tag[owner] in HEADINGS:
             continue
-        points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - link / len(text))
-        i, level = owner if tag_of[owner] in CONTAINER else parent[owner], 0
-        while i > 0:
-            if tag_of[i] in CONTAINER:
-                if i not in score:
-                    score[i] = BASE.get(tag_of[i], 0)
-                score[i] += points if level == 0 else points / 2 if level == 1 else points / (3 * level)
-                level += 1
-            i = parent[i]
+        own = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - link / len(text))
+        i = page.container[owner]
+        for share in SHARES:
+            if not i:
+                break
+            score[i] = score.get(i, BASE.get(page.tag[i], 0)) + own * share
+            i = page.container[page.parent[i]]
+    for i in range(n - 1, 0, -1):  # an element comes after its parent
+        length[page.parent[i]] += length[i]
+        linked[page.parent[i]] += linked[i]
     for i in score:
         score[i] *= 1 - linked[i] / max(1, length[i])
+    return score, length, linked
+
+
+def kept(page: _Page) -> list[bool]:
+    """Which blocks belong to the best container or a sibling that is kept."""
+    tag, parent, n = page.tag, page.parent, len(page.tag)
+    score, length, linked = points(page)
     if score:
         best = max(score, key=lambda i: (score[i], -i))
     else:
-        best = next((i for i in range(n) if tag_of[i] in ("article", "main") and not out[i] and length[i]), 0)
+        best = next((i for i in range(n) if tag[i] in ("article", "main") and not page.out[i] and length[i]), 0)
         if not best:
-            return [link * 2 < len(text) for _, text, link in blocks]
+            return [link * 2 < len(text) for _, text, link in page.blocks]
     i = best
     while i > 0:  # widened to the article, or else the main element, that holds it
-        if tag_of[i] == "article" or tag_of[i] == "main" and tag_of[best] != "article":
+        if tag[i] == "article" or tag[i] == "main" and tag[best] != "article":
             best = i
         i = parent[i]
     limit = max(10.0, score.get(best, 0) / 5)
-    keep = {best}
-    if tag_of[best] not in ("html", "body"):
+    inside = [False] * n
+    inside[best] = True
+    if tag[best] not in ("html", "body"):
         for i in range(n):
-            if parent[i] == parent[best] and i != best:
-                density = linked[i] / max(1, length[i])
-                if score.get(i, 0) >= limit or tag_of[i] == "p" and length[i] > 80 and density < 0.25:
-                    keep.add(i)
-    out_of = []
-    for owner, _, _ in blocks:
-        i = owner
-        while i > 0 and i not in keep:
-            i = parent[i]
-        out_of.append(i in keep)
-    return out_of
+            if parent[i] == parent[best] and (score.get(i, 0) >= limit or tag[i] == "p" and length[i] > 80 and linked[i] / length[i] < 0.25):
+                inside[i] = True
+    for i in range(1, n):
+        inside[i] = inside[i] or inside[parent[i]]
+    return [inside[owner] for owner, _, _ in page.blocks]
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -212,4 +251,5 @@ def main_text(pages: DataFrame) -> DataFrame:
                     names=["page_id", "url", "text", "n_chars"],
                 )
 
+    ship(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, RESULT)

@@ -1,7 +1,10 @@
+import random
+import time
+
 import numpy as np
 import pytest
 
-from gleaner.llm import vector_search as vs
+from gleaner.llm import html_extract, vector_search as vs
 from gleaner.llm.html_extract import extract, main_text
 from gleaner.llm.queries import op1_vector_search
 from tests.conftest import SMALL
@@ -136,6 +139,63 @@ def test_main_text(spark):
     assert main_text(df.limit(0)).count() == 0
 
 
-def test_deep_and_wide_pages_end():
-    assert extract("<div>" * 3000 + LONG + "</div>" * 3000) == LONG
-    assert extract("<p>" * 5000 + LONG).endswith(LONG)
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<article><p>A share of <span class='share'>ten percent</span> was sold, {LONG}</p></article>", f"A share of ten percent was sold, {LONG}"),
+        (f"<article><div class='post-header'><h2>Sub</h2></div><p>{LONG}</p><div class=header>In</div></article><div class=header>Site</div>", f"Sub\n{LONG}\nIn"),
+        (f"<div class=post><div class='entry-header'><h2 class=promo>Sub</h2></div><p class=notice>{LONG}</p></div><div class=masthead><p>{LONG}</p></div>", f"Sub\n{LONG}"),
+        (f"<article><p>{LONG} &am<b>p;</b> &lt<i>;</i> &amp;lt;</article>", f"{LONG} &amp; <; &lt;"),
+        (f"<article><p>{LONG}<p><i>a<b>b</i>c</b><div>d</article>", f"{LONG}\nabc\nd"),
+        (f"<article><ul><li><p>a<li>b<ul><li>c</ul>d</ul><p>{LONG}</article>", f"a\nb\nc\nd\n{LONG}"),
+    ],
+)
+def test_no_word_of_the_article_is_lost(html, want):
+    assert extract(html) == want
+
+
+def slow_points(page):
+    """Scores and sums by walking up from every block."""
+    score, length, linked = {}, [0] * len(page.tag), [0] * len(page.tag)
+    for owner, text, link in page.blocks:
+        above = [owner]
+        while page.parent[above[-1]] >= 0:
+            above.append(page.parent[above[-1]])
+        for i in above:
+            length[i] += len(text)
+            linked[i] += link
+        boxes = [i for i in above if i and page.tag[i] in html_extract.CONTAINER]
+        if len(text) >= 25 and page.tag[owner] not in html_extract.HEADINGS:
+            for i, share in zip(boxes, html_extract.SHARES, strict=False):
+                score.setdefault(i, []).append((1 + text.count(",") + min(len(text) // 100, 3)) * (1 - link / len(text)) * share)
+    return {i: (html_extract.BASE.get(page.tag[i], 0) + sum(x)) * (1 - linked[i] / max(1, length[i])) for i, x in score.items()}, length, linked
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_scores_match_a_plain_walk(seed):
+    rng = random.Random(seed)
+    html = []
+    for _ in range(400):
+        t = rng.choice("div p section article li ul td table tr span a b h2 blockquote".split())
+        html.append(rng.choice([f"<{t}>", f"<{t}>", f"</{t}>", "some, text " * rng.randrange(12), f"<a href=/>{'link ' * rng.randrange(5)}</a>", "<br>"]))
+    page = html_extract.read("".join(html))
+    score, length, linked = html_extract.points(page)
+    want, *sums = slow_points(page)
+    assert [length, linked] == sums and score.keys() == want.keys()
+    assert all(abs(score[i] - want[i]) < 1e-9 for i in want)
+    open_rule = [page.parent[i] < i for i in range(1, len(page.tag))]
+    assert all(open_rule) and page.open[0] == 0
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<div>" * 50_000 + LONG + "</div>" * 50_000, LONG), ("<p>" * 50_000 + LONG, LONG), ("<span>" * 50_000 + LONG + "</div>" * 50_000, LONG), ("<span><div>" * 25_000 + LONG, LONG),
+        ("<div>x" * 50_000, None), ("<ul><li>" * 25_000 + LONG, LONG), ("</b>" * 50_000 + LONG, LONG), ("<b><div></b>" * 20_000 + LONG, LONG), ("<!--" * 50_000 + LONG, ""), ("<" * 50_000 + LONG, None),
+    ],
+)
+def test_deep_and_wide_pages_take_linear_time(html, want):
+    begin = time.process_time()
+    got = extract(html)
+    assert time.process_time() - begin < 3
+    assert want is None or got.endswith(want)
