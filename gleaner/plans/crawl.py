@@ -200,6 +200,7 @@ class Crawl:
 
         What a part of the crawl did is recorded before the next one begins.
         """
+        listing.select_sections(self.catalog, section)  # an unknown one is an error before anything is written
         if files is None:
             files = list_files(self.spark, self.output)
         if self.dry_run:
