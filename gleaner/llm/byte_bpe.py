@@ -12,7 +12,8 @@ The pre-tokens of a slice are factorised first, so either tier sees each distinc
 pre-token once; those that tier 2 resolved are remembered in a bounded table.
 
 Defined cases: null is the empty text (no ids, hash of no bytes); repeated rows
-each give a row; other columns of the input are ignored.
+each give a row; an empty table gives an empty result; other columns of the input are
+ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from . import _text as T
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -180,6 +182,7 @@ def byte_bpe(docs: DataFrame, vocabulary_path: str | None = None, ids: bool = Fa
 
     With ids, the columns ids (array<long>) and decoded (binary) too.
     """
+    ship(docs.sparkSession)
     path = vocabulary_path or vocabulary()
     schema = SCHEMA + (", ids array<long>, decoded binary" if ids else "")
 
