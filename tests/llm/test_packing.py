@@ -1,8 +1,12 @@
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleaner.llm import packing
+from gleaner.llm.near_duplicates import near_duplicates
+from gleaner.llm.token_counts import token_counts
 from tests.llm.corpus import AWKWARD, frame, ordinary
 
 
@@ -71,6 +75,37 @@ def test_pack_by_a_column_of_sizes(spark):
     assert sorted((r.doc_id, r.size) for r in got) == [(1, 1), (2, 1), (3, 1)]
 
 
+def test_a_source_may_have_more_bits(spark):
+    rows = frame(spark, [(i, f"text number {i:04d}") for i in range(1, 401)]).withColumn("source", F.lit("hot"))
+    for per_source in (1, 3):
+        got = packing.pack(rows, capacity=1000, per_source=per_source).collect()
+        size = Counter(r.bin for r in got)
+        assert max(size.values()) == per_source and len(size) == -(-400 // per_source)
+    assert packing.best_fit([5, 5, 5], [3, 3, 3], [0, 0, 0], 100) == [0, 0, 1]
+
+
+def test_a_row_that_comes_often_is_dealt_to_all_shards(spark):
+    rows = [(None, "the same")] * 300 + [(7, "the same")] * 300 + [(i, f"other {i}") for i in range(100, 160)]
+    got = packing.pack(frame(spark, rows), shard_rows=60).collect()
+    check(rows, got, packing.CAPACITY)
+    shards = Counter(r.bin >> 32 for r in got)
+    assert len(shards) == 11 and max(shards.values()) < 120
+    same = Counter(r.bin for r in got if r.size == len("the same"))
+    assert max(same.values()) == 1
+
+
+def test_pack_by_tokens_and_near_duplicate_classes(spark):
+    """Sizes of op3 and classes of op10 as columns."""
+    rows = [(i, t) for i, t in dict(ordinary(8, 50)).items() if t]
+    docs = frame(spark, rows, False)
+    known = docs.join(near_duplicates(docs).select("doc_id", "class_id"), "doc_id").join(token_counts(docs).select("doc_id", "n_tokens"), "doc_id")
+    got = packing.pack(known, capacity=2048, size="n_tokens", cluster="class_id").collect()
+    cls, tokens = ({r.doc_id: r[c] for r in known.collect()} for c in ("class_id", "n_tokens"))
+    assert {r.doc_id: r.size for r in got} == tokens
+    seen = [(r.bin, cls[r.doc_id]) for r in got]
+    assert len(seen) == len(set(seen)) and len(set(cls.values())) < len(rows)
+
+
 def test_copies_never_share_a_bin(spark):
     got = packing.pack(frame(spark, [(i * 28 + 28, "same text") for i in range(50)])).collect()
     assert len({r.bin for r in got}) == 50
