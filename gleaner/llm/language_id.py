@@ -1,14 +1,15 @@
 """Language identification by a linear-chain conditional random field over words.
 
 Each word has features: byte n-grams within its boundary marks (those that hold a
-mark are its affixes) and itself as an entry of a lexicon, all hashed into one
-table of weights per language.  Learned transitions join neighbouring words.
+mark are its affixes) and itself, all hashed into one table of weights per
+language; the learned weights of whole words are the lexicon.  Learned transitions join neighbouring words.
 Forward-backward gives each word's posterior over the languages, so code-switched
 text is labelled word by word; a document's language is the one with the largest
 sum of posteriors over the words with a letter, its score that sum's share.
 
-Training: a bounded sample, about ``PER_LANG`` documents of each language, with one
-window of at most ``WINDOW`` words of each, chosen by hashes.  Half of the training
+Training: a bounded sample, at most ``PER_LANG`` windows of each language, of at most
+``WINDOW`` words, one for a document, chosen by hashes; at most ``LANGS`` languages, those
+with most documents, are learned.  Documents that come often count once.  Half of the training
 sequences are spliced from windows of several languages, which teaches the
 transitions both staying and switching.  The likelihood is maximised by gradient
 steps on the driver; the model (a table of fixed size) goes to the executors.
@@ -19,7 +20,9 @@ matrices are multiplied out in parallel and joined afterwards, so a very long
 document costs no more per word than a short one.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
-prediction uses the text alone; repeated rows each give a row.
+prediction uses the text alone; repeated rows each give a row; without any labelled
+document all texts are ``und``; an empty table gives an empty result; other columns
+are ignored, or kept by ``keep_identified``.
 """
 
 from __future__ import annotations
@@ -29,13 +32,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
 from . import _text as T
 from ._spark import fold_of
 
-PER_LANG, WINDOW, STEPS = 400, 64, 40
+PER_LANG, WINDOW, LANGS, STEPS = 400, 64, 64, 40
 #: Words of a training sequence, hashed features, words of an inference segment.
 SEQUENCE, FEATURES, SEGMENT = 48, 1 << 18, 128
 NGRAMS = (2, 3, 4)
@@ -269,15 +273,21 @@ def predict(col: pa.Array, model: Model) -> tuple[list[str], list[float]]:
 # ---------------------------------------------------------------- Spark
 
 
-def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_lang: int = PER_LANG, window: int = WINDOW) -> Model:
+def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_lang: int = PER_LANG, window: int = WINDOW, langs: int = LANGS) -> Model:
     """A model from the documents (doc_id, text, lang) that are not held out."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     rows = rows.where(F.col("lang").isNotNull() & (F.coalesce(fold_of(modulus), F.lit(-1)) != held_out))
-    share = {r["lang"]: min(1.0, per_lang / r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not share:
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(langs)
+    names = [r["lang"] for r in most.collect()]
+    if not names:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
-    limit = F.create_map(*[F.lit(v) for lang, s in share.items() for v in (lang, int(s * (1 << 30)))])
-    chosen = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1 << 30)) < limit[F.col("lang")])
+    # Of each language the documents with the least hashes; equal documents have one.
+    rows = rows.where(F.col("lang").isin(names)).withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    first = lambda by: F.row_number().over(Window.partitionBy("lang").orderBy(*by))
+    least = rows.select("lang", "key").distinct().withColumn("rank", first(["key"])).where(F.col("rank") <= per_lang)
+    bound = {r["lang"]: r["key"] for r in least.groupBy("lang").agg(F.max("key").alias("key")).collect()}
+    chosen = rows.where(F.col("key") <= F.create_map(*[F.lit(x) for pair in bound.items() for x in pair])[F.col("lang")])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,12 +302,13 @@ def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_lang: int =
                     out.append(text.encode()[w.start[lo] - base : w.end[hi - 1] - base].decode() if hi > lo else "")
                 yield pa.record_batch([part.column("lang"), pa.array(out, pa.string())], names=["lang", "text"])
 
-    sample = chosen.select("lang", "text").mapInArrow(windows, "lang string, text string").toArrow().sort_by([("lang", "ascending"), ("text", "ascending")])
+    sample = chosen.select("lang", "text").mapInArrow(windows, "lang string, text string").distinct().toArrow().sort_by([("lang", "ascending"), ("text", "ascending")])
     return train(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of each row of docs (doc_id, text)."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,6 +322,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows of docs, all columns, whose language is known with a score of at least least."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

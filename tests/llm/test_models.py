@@ -94,9 +94,43 @@ def test_language_id_on_the_tables(spark):
     assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.95
 
 
+def test_the_sample_is_bounded_by_language(spark, monkeypatch):
+    """One row that comes often, many languages: no more than the parameters say reaches the driver."""
+    rng = random.Random(1)
+    rows = [(9, "always the very same words", "xx")] * 500 + [(1000 + i, speech("yy", 6, rng), "yy") for i in range(300)] + [(5000 + i, "a b c", f"l{i}") for i in range(60)]
+    got = []
+    monkeypatch.setattr(li, "train", lambda texts, labels: got.append((texts, labels)))
+    li.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=40, langs=5)
+    texts, labels = got[0]
+    assert set(labels) <= {"xx", "yy", "l0", "l1", "l10", "l11", "l12"} and labels.count("xx") == 1 and labels.count("yy") == 40
+
+
+def test_language_of_awkward_documents(spark, model):
+    df = frame(spark, [*AWKWARD, (40, "ba ko ri " * 60_000)])
+    got = {r.doc_id: r for r in li.identify(df, model).collect()}
+    assert len(li.identify(df, model).collect()) == len(AWKWARD) + 1 and got[40].lang_pred == "xx" and got[40].score > 0.9
+    assert {got[i].lang_pred for i in (1, 2, 3, 7)} == {"und"} and all(0 <= r.score <= 1 for r in got.values())
+    kept = li.keep_identified(df, model, 0.0)
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in li.identify(df, model).where("lang_pred <> 'und'").collect())
+
+
 # ------------------------------------------------------------------ quality
 
 
+def test_labelled_documents_count_once(spark):
+    docs = spark.createDataFrame([(3, f"text {i % 7}") for i in range(200)] + [(6, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1), (6, 0), (3, 1)], "doc_id long, quality int")
+    model = quality.learn(docs, labels, held_out=9)
+    assert len(model.labels) == 2 and sorted(model.labels) == [0, 1]
+
+
+def test_leading_axes():
+    rng = np.random.default_rng(0)
+    x = (rng.normal(size=(200, 6)) * [9, 7, 5, 3, 2, 1]) @ np.linalg.qr(rng.normal(size=(80, 6)))[0].T
+    got, want = quality.leading_axes(x.astype(np.float32), 4), np.linalg.svd(x, full_matrices=False)[2][:4].T
+    assert np.allclose(np.abs((got * want).sum(0)), 1, atol=1e-3)
+
+
 def test_vote_is_exact():
     rng = np.random.default_rng(3)
     counts = rng.random((300, quality.TERMS + quality.EXTRA)).astype(np.float32)
