@@ -68,6 +68,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in ops}
 
 
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_LARGE, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Window by window: each is compared with all others by its words.
+_OP9 = f"""WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+win AS (SELECT doc_id, p, md5(array_to_string(list_slice(ws, p, p + 49), ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w)),
+earlier AS (SELECT h, min(doc_id) AS least FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM win JOIN earlier USING (h) WHERE doc_id > least),
+each AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+#: All pairs with a common shingle; classes by walking along links.
+_OP10 = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=f"translate(coalesce(text, ''), '{_LARGE}', '{_SMALL}')")} AS ws FROM documents),
+sh AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(list_slice(ws, i, i + 4), ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS s FROM w),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE c >= 0.8 * (p.n + q.n - c) - 1e-9),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x),
+class AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x), links AS (SELECT x, count(*) AS n FROM both_ways GROUP BY x)
+SELECT w.doc_id, class_id, coalesce(links.n, 0) AS n_links FROM w JOIN class ON class.x = w.doc_id LEFT JOIN links ON links.x = w.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Queries of this subpackage that SQL can express."""
-    return {}
+    return {"op9_substring_dedup": _OP9, "op10_near_duplicates": _OP10}
