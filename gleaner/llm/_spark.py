@@ -72,6 +72,11 @@ def release(*tables: DataFrame) -> None:
             _delete(t.sparkSession, path)
 
 
+def grows(df: DataFrame) -> DataFrame:
+    """A table that grows with the input, to be joined: it is sorted and merged, never broadcast, so a plan is the same at every size."""
+    return df.hint("merge")
+
+
 def fold_of(modulus: int, column: str = "doc_id"):
     """crc32 of the id as text, modulo the given number."""
     return F.crc32(F.col(column).cast("string")) % F.lit(modulus)
