@@ -68,7 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in ops}
 
 
-_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"[x FOR x IN regexp_split_to_array({text}, '[\x20\x09-\x0D]+') IF x <> '']"
 _LARGE, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Window by window: each is compared with all others by its words.
@@ -82,7 +82,7 @@ SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha2
 
 #: All pairs with a common shingle; classes by walking along links.
 _OP10 = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=f"translate(coalesce(text, ''), '{_LARGE}', '{_SMALL}')")} AS ws FROM documents),
-sh AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(list_slice(ws, i, i + 4), ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS s FROM w),
+sh AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) >= 5 THEN [array_to_string(list_slice(ws, i, i + 4), ' ') FOR i IN range(1, len(ws) - 3)] WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS s FROM w),
 size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 link AS (SELECT x, y FROM pair JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE c >= 0.8 * (p.n + q.n - c) - 1e-9),

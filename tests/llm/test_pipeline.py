@@ -1,11 +1,16 @@
 """The pipeline against a version of its stages told plainly, and the registered queries."""
 
+from collections import Counter
+
+import duckdb
 import pyarrow as pa
+import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
-from gleaner.llm import language_id, packing, quality
+from gleaner.llm import language_id, packing, quality, queries as llm_queries
 from tests.conftest import SMALL
+from tests.llm.corpus import AWKWARD, frame, ordinary
 from tests.llm.test_duplicates import classes, kept
 
 
@@ -46,6 +51,58 @@ def test_stages(spark):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, packed))
 
 
+@pytest.mark.parametrize("name, stage", cp.STAGES)
+def test_stages_on_awkward_tables(spark, name, stage):
+    """Nulls, empty and long texts, repeated rows and ids, clashing columns; and an empty table."""
+    rows = [*AWKWARD, *ordinary(3, 30), (4, "another text of an id that comes often"), (None, "x y z"), (None, "x y z")]
+    docs = frame(spark, rows)
+    got, empty = stage(spark, docs, SMALL), stage(spark, docs.limit(0), SMALL)
+    assert empty.count() == 0 and empty.columns == got.columns
+    out = got.collect()
+    if name == "packing":
+        assert sum(r.size for r in out) == sum(len((t or "").encode()) for _, t in rows) and sum(r.bin is None for r in out) == sum(not t for _, t in rows)
+        return
+    assert got.columns == docs.columns
+    kept_rows = Counter((r.doc_id, r.text) for r in out)
+    if name == "language_id":
+        assert not any(t is None or not any(c.isalpha() for c in t) for _, t in kept_rows) and kept_rows[4, "one"] in (0, 2)
+    if name == "quality":  # no label: all stay
+        assert kept_rows == Counter(rows)
+    if name == "near_duplicates":
+        assert set(kept_rows) <= set(rows) and kept_rows[4, "one"] == 1 and kept_rows[4, "another text of an id that comes often"] == 1 and kept_rows[None, "x y z"] == 1 and kept_rows[1, None] == 1
+    if name == "substring_dedup":
+        assert kept_rows[4, "one"] == 2 and kept_rows[1, None] == 1 and kept_rows[None, "x y z"] == 2 and all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)
+
+
+@pytest.mark.parametrize("name", sorted(llm_queries.oracle_sql()))
+def test_query_matches_sql(spark, name):
+    duck = duckdb.connect()
+    duck.sql("create view documents as select * from '/root/testdata/sf0.01/documents.parquet'")
+    want = duck.sql(llm_queries.oracle_sql()[name])
+    got = llm_queries.queries()[name](spark, "/root/testdata/sf0.01").select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_operators_ship_the_package(spark, monkeypatch):
+    """Called as functions on any table, not only through the queries, the operators make the package known to the executors."""
+    from gleaner.llm import byte_bpe, fingerprints, html_extract, near_duplicates, substring_dedup, token_counts, vector_search
+
+    def shipped(module, call):
+        seen = []
+        monkeypatch.setattr(module, "ship", seen.append)
+        call()
+        assert seen == [spark] * len(seen) and seen
+
+    docs = frame(spark, [(1, "some words")])
+    for module, call in (
+        (byte_bpe, lambda: byte_bpe.byte_bpe(docs)), (fingerprints, lambda: fingerprints.edited_fingerprints(docs)), (html_extract, lambda: html_extract.main_text(docs.selectExpr("1 as page_id", "'' as url", "text as html"))),
+        (near_duplicates, lambda: near_duplicates.near_duplicates(docs)), (substring_dedup, lambda: substring_dedup.substring_digests(docs)), (token_counts, lambda: token_counts.token_counts(docs)),
+        (packing, lambda: packing.pack(docs)), (language_id, lambda: language_id.learn(docs)), (quality, lambda: quality.learn(docs, docs.selectExpr("doc_id", "1 as quality"))),
+        (vector_search, lambda: vector_search.nearest(docs.selectExpr("doc_id as vec_id", "array(1f) as embedding").limit(0), docs.selectExpr("doc_id as vec_id", "array(1f) as embedding"))),
+    ):
+        shipped(module, call)
+
+
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])

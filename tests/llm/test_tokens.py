@@ -92,3 +92,12 @@ def test_byte_bpe(spark):
     assert got == sorted(want, key=str)
     full = byte_bpe.byte_bpe(frame(spark, rows), ids=True).where("doc_id = 12").first()
     assert full.ids == plain.encode_ordinary(AWKWARD[-1][1]) and bytes(full.decoded).decode() == AWKWARD[-1][1]
+    assert byte_bpe.byte_bpe(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [64, 200])
+def test_long_texts_go_through_chunks(spark, library, chunk):
+    """Texts over twice a chunk, with an end of a chunk anywhere in words, spaces, special strings and one word without an end."""
+    texts = [t for _, t in AWKWARD + ordinary(n=40) if t and len(t) < 30_000] + ["x" * 3000, " " * 900 + "a", "it's <|endoftext|> " * 90, "ab\n\n\t c" * 150, "ሕግ é🙂 " * 200]
+    got = token_counts.token_counts(frame(spark, list(enumerate(texts)), False), huge=2 * chunk, chunk=chunk).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(library.encode(t, add_special_tokens=False)) for i, t in enumerate(texts)}
