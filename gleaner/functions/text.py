@@ -52,41 +52,47 @@ def sanitize_filename(name: Column, max_bytes: int = 180, strict: bool = False)
     """
     one_line = F.translate(name, UNSAFE_CHARACTERS, "_" * len(UNSAFE_CHARACTERS))
     clean = _trim_edges(F.regexp_replace(one_line, rf"{SPACES}+", " "))
-    # The part after the last dot, if something stands before it.
-    last = F.substring_index(clean, ".", -1)
-    extension = F.when(F.length(last) < F.length(clean) - 1, F.concat(F.lit("."), last)).otherwise("")
-    if strict:
-        extension = F.when(F.octet_length(extension) <= _LONGEST_EXTENSION, extension).otherwise("")
-    stem = F.substring(clean, F.lit(1), F.length(clean) - F.length(extension))
-    short = F.concat(_trim_edges(F.substring(stem, 1, _LONGEST_STEM)), extension)
-    if strict:
+
+    def fit(clean: Column) -> Column:
+        # The part after the last dot, if something stands before it.
+        last = F.substring_index(clean, ".", -1)
+        extension = F.when(F.length(last) < F.length(clean) - 1, F.concat(F.lit("."), last)).otherwise("")
+        if strict:
+            extension = let(extension, lambda e: F.when(F.octet_length(e) <= _LONGEST_EXTENSION, e).otherwise(""))
+        short = let(extension, lambda e: cut(clean, e))
+        return F.when(clean == "", F.lit("unnamed_document")).when(F.octet_length(clean) > max_bytes, short).otherwise(clean)
+
+    def cut(clean: Column, extension: Column) -> Column:
+        stem = F.substring(clean, F.lit(1), F.length(clean) - F.length(extension))
+        short = F.concat(_trim_edges(F.substring(stem, 1, _LONGEST_STEM)), extension)
+        if not strict:
+            return short
         room = F.greatest(F.lit(1), F.floor((F.lit(max_bytes) - F.octet_length(extension)) / 4)).cast("int")
         tight = F.concat(_trim_edges(F.substring(stem, F.lit(1), F.least(F.lit(_LONGEST_STEM), room))), extension)
-        short = F.when(F.octet_length(short) <= max_bytes, short).otherwise(tight)
-    return F.when(clean == "", F.lit("unnamed_document")).when(F.octet_length(clean) > max_bytes, short).otherwise(clean)
+        return F.when(F.octet_length(short) <= max_bytes, short).otherwise(tight)
+
+    return F.when(name.isNotNull(), let(clean, fit))
 
 
-_UNSAFE = str.maketrans(dict.fromkeys(UNSAFE_CHARACTERS, "_"))
-_SPACES = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\u" + m[1].rjust(4, "0"), SPACES) + "+")
+#: One unsafe character, or a run of white space that holds none.
+_MARKS = re.compile("(?P<unsafe>[" + re.escape(UNSAFE_CHARACTERS) + "])|(?:(?![" + re.escape(UNSAFE_CHARACTERS) + "])" + re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\u" + m[1].rjust(4, "0"), SPACES) + ")+")
 
 
 def safe_name(name: str, max_bytes: int = 180, strict: bool = False) -> str:
     """What sanitize_filename makes of one name, for a task that learns it from a response."""
-    clean = _SPACES.sub(" ", name.translate(_UNSAFE)).strip(_EDGES)
-    if not clean:
-        return "unnamed_document"
-    size = lambda x: len(x.encode())
-    if size(clean) <= max_bytes:
+    clean = _MARKS.sub(lambda m: "_" if m["unsafe"] else " ", name).strip(_EDGES) or "unnamed_document"
+    over = lambda text: len(text.encode()) - max_bytes
+    if over(clean) <= 0:
         return clean
-    dot = clean.rfind(".")
-    extension = clean[dot:] if dot > 0 else ""
-    if strict and size(extension) > _LONGEST_EXTENSION:
-        extension = ""
-    stem = clean[: len(clean) - len(extension)]
-    short = stem[:_LONGEST_STEM].strip(_EDGES) + extension
-    if strict and size(short) > max_bytes:
-        short = stem[: min(_LONGEST_STEM, max(1, (max_bytes - size(extension)) // 4))].strip(_EDGES) + extension
-    return short
+    head, _, tail = clean.rpartition(".")
+    if not head or strict and len(tail.encode()) >= _LONGEST_EXTENSION:
+        head, end = clean, ""
+    else:
+        end = "." + tail
+    wide = head[:_LONGEST_STEM].strip(_EDGES) + end
+    if not strict or over(wide) <= 0:
+        return wide
+    return head[: min(_LONGEST_STEM, max(1, -over(end) // 4))].strip(_EDGES) + end
 
 
 def header_parameters(header: str) -> list[tuple[str, str]]:

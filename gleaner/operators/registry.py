@@ -194,12 +194,18 @@ class Registry:
             f.write(("," if i else "") + f"\n  {json.dumps(row.doc_key, ensure_ascii=False)}: {body}")
         f.write("\n}")
 
-    @staticmethod
-    def _write(target: str, body, **options) -> None:
-        fd, part = tempfile.mkstemp(dir=os.path.dirname(os.path.abspath(target)))
+    def _write(self, target: str, body, **options) -> None:
+        """Writes a file on the driver and moves it into place, in whatever file system the target is."""
+        fd, part = tempfile.mkstemp()
         with os.fdopen(fd, "w", encoding="utf-8", **options) as f:
             body(f)
-        os.replace(part, target)
+        jvm, conf = self.spark.sparkContext._jvm.org.apache.hadoop.fs, self.spark.sparkContext._jsc.hadoopConfiguration()
+        there, end = jvm.Path(f"{target}.part"), jvm.Path(target)
+        files = there.getFileSystem(conf)
+        files.copyFromLocalFile(True, True, jvm.Path(f"file://{part}"), there)
+        replace = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        replace[0] = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(there), files.makeQualified(end), replace)
 
 
 def import_json(spark: SparkSession, path: str) -> DataFrame:

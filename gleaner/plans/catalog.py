@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,9 @@ from ..functions import url as U
 from ..functions.filenames import derive_filename
 from ..functions.text import before_hyphen, decode_content_disposition, percent_decode, sanitize_filename
 from ..operators import dedupe, extract, listing, outcome, registry, responses
-from ..session import shared_dir, ship
+from ..session import local_path, shared_dir, ship
+from ..sources.fetch import write_documents
+from ..sources.files import list_files
 from . import site
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -405,15 +408,136 @@ def registry_events(spark, sf_dir):
 )
 def crawl_discovery(spark, sf_dir):
     """The log of a whole discovery: listing pages, articles and documents, fetched out of a table, in the order of a crawl."""
+    return _crawl(spark, sf_dir).discover().select("seq", "kind", "section", "doc_key")
+
+
+def _crawl(spark: SparkSession, sf_dir: str, status=None, **more):
+    """A crawl of the site out of a table; status: of the response to a URL."""
     from ..sources.fetch import TableFetcher
     from .crawl import Crawl
 
     pages = site.listings(spark, sf_dir).select("page_url", "html").unionByName(site.article_pages(spark, sf_dir).select("page_url", "html"))
     utf8 = F.create_map(F.lit("content-type"), F.lit("text/html; charset=utf-8"))
-    answers = pages.select(F.col("page_url").alias("url"), F.lit(200).alias("status"), utf8.alias("headers"), F.col("html").cast("binary").alias("body"), F.lit(None).cast("string").alias("error"))
-    work = shared_dir(spark)
-    crawl = Crawl(spark, site.catalog(spark, sf_dir), TableFetcher(answers), registry.Registry(spark, f"{work}/registry"), f"{work}/output", work, dry_run=True)
-    return crawl.discover().select("seq", "kind", "section", "doc_key")
+    answers = pages.select(F.col("page_url").alias("url"), (F.lit(200) if status is None else status).alias("status"), utf8.alias("headers"), F.col("html").cast("binary").alias("body"), F.lit(None).cast("string").alias("error"))
+    work = _folder(spark)
+    return Crawl(spark, site.catalog(spark, sf_dir), TableFetcher(answers), registry.Registry(spark, f"{work}/registry"), f"{work}/output", work, dry_run=True, **more)
+
+
+_GONE = "(SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN 404 WHEN c_custkey % 13 = 0 THEN 500 END AS st FROM customer)"
+
+
+@query(
+    f"""WITH {_ART}, page AS (SELECT DISTINCT section_ord, p // 10 + 1 AS page_num FROM art), lost AS (SELECT * FROM page WHERE page_num > 1 AND page_num % 4 = 0)
+    SELECT 'sec' || section_ord AS section_key, {_URL} AS page_url, 'HTTP 503' AS error FROM lost
+    UNION ALL SELECT 'sec' || section_ord, 'https://site.example/detail/' || c_custkey, 'HTTP ' || st FROM art JOIN {_GONE} ON k = c_custkey
+    WHERE st IS NOT NULL AND c_custkey % 7 <> 0 AND NOT (p // 10 + 1 > 1 AND (p // 10 + 1) % 4 = 0)"""
+)
+def crawl_failures(spark, sf_dir):
+    """Listing pages and articles whose fetch fails are left out of a crawl and reported."""
+    page, article = F.regexp_extract("page_url", "PageID/([0-9]+)$", 1), F.regexp_extract("page_url", "detail/([0-9]+)$", 1).try_cast("long")
+    status = F.when(page.try_cast("int") % 4 == 0, 503).when(article % 11 == 0, 404).when(article % 13 == 0, 500).otherwise(200)
+    crawl = _crawl(spark, sf_dir, status)
+    crawl.discover()
+    return crawl.failed_pages
+
+
+@query(
+    f"""WITH {_ART}, {_DOCS}, s AS (SELECT * FROM art WHERE section_ord = 3), n AS (SELECT count(DISTINCT p // 10) AS pages, count(*) FILTER (c_custkey % 7 <> 0) AS arts FROM s),
+    d AS (SELECT count(*) AS docs FROM s JOIN doc ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0)
+    SELECT step, rows::BIGINT AS rows FROM (SELECT 'first pages' AS step, 1 AS rows UNION ALL SELECT 'listing pages', pages - 1 FROM n UNION ALL SELECT 'articles', arts FROM n
+    UNION ALL SELECT 'article pages', arts FROM n UNION ALL SELECT 'log', pages + arts + docs FROM n, d)"""
+)
+def crawl_progress(spark, sf_dir):
+    """What the steps of a crawl of one section report as they are done."""
+    crawl = _crawl(spark, sf_dir)
+    crawl.discover("sec3")
+    return spark.createDataFrame([(p["step"], p["rows"]) for p in crawl.progress], "step string, rows long")
+
+
+# ------------------------------------------------------------------ registry and files, written and read again
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder for what a query writes."""
+    return f"{shared_dir(spark)}/query-{uuid.uuid4().hex}"
+
+
+def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of orders, of which those with status O went well."""
+    k, ok = F.col("o_orderkey"), F.col("o_orderstatus") == "O"
+    rows = _t(spark, sf_dir, "orders").select(
+        k.alias("seq"), F.format_string("doc_%d", F.floor(k / 2)).alias("doc_key"), k.cast("string").alias("document_id"), F.lit(None).cast("string").alias("article_id"),
+        F.format_string("s%d", k % 5).alias("section"), F.format_string("ሕግ, \"%d\".pdf", k).alias("filename"), F.col("o_totalprice").cast("long").alias("file_size_bytes"),
+        F.col("o_orderpriority").alias("article_title"), F.lit("a").alias("article_url"), F.lit("d").alias("download_url"), F.lit("line\nbreak").alias("link_text"),
+        F.lit("e").alias("error"), ok.alias("ok"),
+    )
+    return registry.success_events(rows.where("ok")).unionByName(registry.failure_events(rows.where("not ok")))
+
+
+_OUTCOMES = """o AS (SELECT o_orderkey AS k, o_orderkey // 2 AS half, o_orderstatus = 'O' AS ok, trunc(o_totalprice)::BIGINT AS price FROM orders),
+ last AS (SELECT half, max(k) AS k, min(k) AS seen FROM o GROUP BY half), now AS (SELECT o.*, seen FROM o JOIN last USING (half, k))"""
+_ENTRY = """'doc_' || half AS doc_key, 's' || (k % 5) AS section, CASE WHEN ok THEN 'ሕግ, "' || k || '".pdf' ELSE '' END AS filename, CASE WHEN ok THEN price ELSE 0 END AS file_size_bytes, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status"""
+
+
+@query(f"WITH {_OUTCOMES} SELECT row_number() OVER (ORDER BY seen) - 1 AS place, {_ENTRY} FROM now")
+def registry_json(spark, sf_dir):
+    """The current entries of a registry after its JSON form has been written and read again, in their order."""
+    at = _folder(spark)
+    store = registry.Registry(spark, f"{at}/registry")
+    store.append(_outcomes(spark, sf_dir))
+    store.export_json(f"{at}/registry.json")
+    return registry.import_json(spark, f"{at}/registry.json").select(F.col("seq").alias("place"), "doc_key", "section", "filename", "file_size_bytes", "status")
+
+
+@query(f"WITH {_OUTCOMES} SELECT {_ENTRY} FROM now")
+def registry_csv(spark, sf_dir):
+    """The same after its CSV form has been written and read again."""
+    at = _folder(spark)
+    store = registry.Registry(spark, f"{at}/registry")
+    store.append(_outcomes(spark, sf_dir))
+    store.export_csv(f"{at}/registry.csv")
+    rows = spark.read.csv(f"{at}/registry.csv", header=True, multiLine=True, escape='"')
+    return rows.select(F.col("key").alias("doc_key"), "section", F.coalesce("filename", F.lit("")).alias("filename"), F.col("file_size_bytes").cast("long").alias("file_size_bytes"), "status")
+
+
+@query(f"WITH {_OUTCOMES} SELECT o.k AS o_orderkey FROM o JOIN now USING (half) WHERE NOT (now.ok AND now.price % 10 <> 0)")
+def resumed_run(spark, sf_dir):
+    """What is still to be fetched by a run that loads the registry of an earlier one: its file must be there and not empty."""
+    at = _folder(spark)
+    registry.Registry(spark, f"{at}/registry").append(_outcomes(spark, sf_dir))
+    entries = registry.Registry(spark, f"{at}/registry").load()
+    files = entries.where("status = 'success'").select(F.col("file_path").alias("path"), F.when(F.col("file_size_bytes") % 10 == 0, 0).otherwise(F.col("file_size_bytes")).alias("length"))
+    candidates = _t(spark, sf_dir, "orders").select("o_orderkey", F.format_string("doc_%d", F.floor(F.col("o_orderkey") / 2)).alias("doc_key"))
+    return registry.split_downloaded(candidates, entries, files)[1].select("o_orderkey")
+
+
+@query(f"WITH {_OUTCOMES} SELECT doc_key, section, filename, file_size_bytes, status FROM (SELECT {_ENTRY} FROM now)")
+def streamed_registry(spark, sf_dir):
+    """The current entries of a registry that two runs of a stream have fed."""
+    from ..schemas import EVENT
+    from ..streaming.registry_stream import follow
+
+    at = _folder(spark)
+    store = registry.Registry(spark, f"{at}/registry")
+    events = _outcomes(spark, sf_dir)
+    shape = spark.createDataFrame([], EVENT)
+    for half in (F.col("seq") % 2 == 0, F.col("seq") % 2 == 1):  # the second event of a key comes in the second run
+        events.where(half).select(*shape.columns).to(shape.schema).write.mode("append").parquet(f"{at}/in")
+        follow(spark.readStream.schema(EVENT).parquet(f"{at}/in"), store, f"{at}/checkpoint").awaitTermination()
+    return store.load().select("doc_key", "section", "filename", "file_size_bytes", "status")
+
+
+@query("SELECT 's' || n_regionkey || '/n' || n_nationkey || '.pdf' AS path, strlen('%PDF ' || n_name) AS length FROM nation WHERE n_nationkey % 4 <> 1 AND n_nationkey % 4 <> 3")
+def written_files(spark, sf_dir):
+    """Files that responses have made, by a listing of their folder: neither failures nor HTML pages nor empty files."""
+    k = F.col("n_nationkey")
+    body = F.when(k % 4 == 1, F.lit("<html>")).when(k % 8 == 3, F.lit("")).otherwise(F.concat(F.lit("%PDF "), "n_name")).cast("binary")
+    rows = _t(spark, sf_dir, "nation").select(
+        k.cast("long").alias("seq"), F.format_string("s%d", "n_regionkey").alias("section"), F.format_string("n%d.pdf", k).alias("filename"), F.when(k % 8 == 7, 404).otherwise(200).alias("status"), body.alias("body"), F.lit(None).cast("string").alias("error")
+    )
+    at = f"{_folder(spark)}/files"
+    write_documents(rows, local_path(at)).count()
+    return list_files(spark, at).where("length > 0").select("path", "length")
 
 
 def queries() -> dict[str, Query]:

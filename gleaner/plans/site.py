@@ -28,11 +28,15 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """section_ord, c_custkey, c_name, c_nationkey, page_num, slot."""
+def articles(spark: SparkSession, sf_dir: str, block: int = 4096) -> DataFrame:
+    """section_ord, c_custkey, c_name, c_nationkey, page_num, slot: places by key, ranks within blocks of keys after the totals of the blocks before."""
     rows = _t(spark, sf_dir, "customer").join(_t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    place = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("c_custkey")) - 1
-    return rows.select(F.col("n_regionkey").alias("section_ord"), "c_custkey", "c_name", "c_nationkey", place.alias("_p")).withColumns({"page_num": F.floor(F.col("_p") / 10).cast("int") + 1, "slot": (F.col("_p") % 10).cast("int")}).drop("_p")
+    rows = rows.select(F.col("n_regionkey").alias("section_ord"), "c_custkey", "c_name", "c_nationkey", F.floor(F.col("c_custkey") / block).alias("_b"))
+    totals = rows.groupBy("section_ord", "_b").agg(F.count("*").alias("_n"))
+    past = F.coalesce(F.sum("_n").over(Window.partitionBy("section_ord").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy("section_ord", "_b").orderBy("c_custkey")) - 1
+    placed = rows.withColumn("_own", own).join(totals.select("section_ord", "_b", past.alias("_past")), ["section_ord", "_b"]).withColumn("_p", F.col("_past") + F.col("_own"))
+    return placed.select("section_ord", "c_custkey", "c_name", "c_nationkey", (F.floor(F.col("_p") / 10).cast("int") + 1).alias("page_num"), (F.col("_p") % 10).cast("int").alias("slot"))
 
 
 def listings(spark: SparkSession, sf_dir: str, cards: bool = True) -> DataFrame:
@@ -46,7 +50,8 @@ def listings(spark: SparkSession, sf_dir: str, cards: bool = True) -> DataFrame:
         bad = F.format_string('<div class="news_item"><a href="/login?x=%d">%s</a><a href="/">Home</a></div>', k, "c_name")
     card = F.when(k % 7 == 0, bad).otherwise(good)
     pages = articles(spark, sf_dir).groupBy("section_ord", "page_num").agg(F.array_sort(F.collect_list(F.struct("slot", card.alias("card")))).alias("_c"))
-    last = F.max("page_num").over(Window.partitionBy("section_ord"))
+    pages = pages.join(pages.groupBy("section_ord").agg(F.max("page_num").alias("_last")), "section_ord")
+    last = F.col("_last")
     number = F.format_string('<a href="/sec%d/PgrID/%d/PageID/2">2</a><a href="/sec%d/PgrID/%d/PageID/%d">Last</a>', "section_ord", F.col("section_ord") + 100, "section_ord", F.col("section_ord") + 100, last)
     pager = F.when(last > 1, number).otherwise("")
     html = F.concat(F.lit("<html><body>"), F.array_join(F.transform("_c", lambda c: c["card"]), ""), pager, F.lit("</body></html>"))

@@ -40,3 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors share")
     return f"{tempfile.gettempdir()}/gleaner-checkpoints"
+
+
+def local_path(path: str) -> str:
+    """A path of a mounted file system as the tasks' own file functions take it."""
+    return "/" + path.split(":", 1)[1].lstrip("/") if path.startswith("file:") else path
