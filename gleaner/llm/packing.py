@@ -1,15 +1,16 @@
 """Best-fit packing of documents into training sequences, with conflicts.
 
-Two documents conflict if they have one source or belong to one cluster of
-duplicates; a bin (a sequence of ``capacity`` units) holds no two in conflict, so a
-sequence mixes sources and never repeats itself.  Bins are kept in order of their
-free space; each carries a bitmap of its sources and one of its clusters.  Pieces
+A bin (a sequence of ``capacity`` units) holds at most ``per_source`` documents of a
+source and one of a cluster of duplicates, so a sequence mixes sources and never repeats
+itself.  Bins are kept in order of their free space; each carries a bitmap of its
+sources, with ``per_source`` bits for each, and one of its clusters.  Pieces
 are placed by decreasing size.  The search for a bin starts at the successor of the
 piece's size, the tightest bin that is large enough, and goes on to the next wider
-one until a bin's bitmaps are free of the piece's bits; if none is, a bin is opened.
-So each piece gets the tightest compatible bin there is.  Where one source is too
-frequent for its documents to have bins of their own, ``per_source`` gives each source
-as many bits in a bin's bitmap, and a document takes the first that is free.
+one until a bin's bitmaps have a free bit for the piece's source and none of its
+cluster; if none is, a bin is opened.  So each piece gets the tightest compatible bin
+there is.  A source of a third of all documents would need a bin for each of them if it
+had a single bit: a third of a bin stays empty then, or two thirds where documents are
+short (see the README).
 
 A document larger than a bin is cut into full pieces, which have a bin of their own,
 and a rest.  Sizes are bytes of UTF-8 unless a column of sizes is named (such as the
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 
-CAPACITY, SHARD_ROWS = 8192, 4096
+CAPACITY, SHARD_ROWS, PER_SOURCE = 8192, 4096, 4
 RESULT = "doc_id long, piece int, piece_start long, size long, bin long, slot int, bin_offset long"
 
 
@@ -111,7 +112,7 @@ def pack_shard(ids: list, sizes: list[int], sources: list, clusters: list, capac
     return out
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, size: str | None = None, cluster: str | None = None, shard_rows: int = SHARD_ROWS, per_source: int = 1) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, size: str | None = None, cluster: str | None = None, shard_rows: int = SHARD_ROWS, per_source: int = PER_SOURCE) -> DataFrame:
     """A row for each piece of each row of docs (doc_id, text, source): its bin and its place there.
 
     size: a column of sizes; bytes of the text if none is named.  cluster: a column of

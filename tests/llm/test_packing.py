@@ -56,7 +56,7 @@ def check(rows, got, capacity):
 def test_pack(spark):
     rows = AWKWARD + ordinary(n=60)
     df = frame(spark, rows)
-    got = packing.pack(df, capacity=700, shard_rows=20).collect()
+    got = packing.pack(df, capacity=700, shard_rows=20, per_source=1).collect()
     check(rows, got, 700)
     source = {(r.doc_id): r.source for r in df.collect()}
     text = dict(rows)
