@@ -64,7 +64,7 @@ def term_counts(col: pa.Array) -> np.ndarray:
     data, off = T.utf8(col)
     n = len(off) - 1
     out = np.zeros((n, TERMS + EXTRA), np.float32)
-    if len(data) < 3:
+    if not len(data):
         return out
     c = _CLASS[data].astype(np.uint32)
     gram = (c[:-2] << np.uint32(12)) | (c[1:-1] << np.uint32(6)) | c[2:]

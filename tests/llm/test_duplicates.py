@@ -314,3 +314,10 @@ def test_one_row_that_comes_often_and_a_source_that_is_everywhere(spark):
     passage = " ".join(f"p{i}" for i in range(90))
     rows = [(7, f"often {passage}")] * 200 + [(100 + i, f"{i} a{i} {passage} b{i}") for i in range(300)] + [(1, passage)]
     assert sorted(map(tuple, sd.substring_digests(frame(spark, rows)).collect()), key=str) == kept(rows, 50)
+
+
+def test_a_large_group_of_near_copies_is_counted_whole(spark):
+    """Over several blocks: every node is linked to every other one, and the group is one class."""
+    rows = spark.range(6000).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(0, 199), i -> if(i = id % 200, concat('x', id), if(i = id * 7 % 200, concat('y', id), concat('b', i))))) as text")
+    got = nd.near_duplicates(rows).groupBy("class_id", "n_links").count().collect()
+    assert [tuple(r) for r in got] == [(0, 5999, 6000)]

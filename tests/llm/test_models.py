@@ -124,6 +124,42 @@ def test_labelled_documents_count_once(spark):
     assert len(model.labels) == 2 and sorted(model.labels) == [0, 1]
 
 
+def slow_terms(text):
+    """Terms of one text, counted one by one."""
+    out, raw = np.zeros(quality.TERMS + quality.EXTRA), text.encode()
+    for i in range(len(raw) - 2):
+        a, b, c = (int(quality._CLASS[x]) for x in raw[i : i + 3])
+        out[quality.WORDS + quality._COLUMN[a << 12 | b << 6 | c]] += 1
+    out[quality.WORDS : quality.TERMS] /= max(1, len(raw) - 2)
+    words = raw.lower().split() if text.isascii() else [bytes(x + 32 if 65 <= x <= 90 else x for x in w) for w in raw.split()]
+    for w in words:
+        h = li.T.words(pa.array([w.decode()])).hashes(0, fold=True)[0]
+        out[int(h % np.uint64(quality.WORDS))] += 1 / len(words)
+    for k, lag in enumerate(quality.LAGS):
+        out[quality.TERMS + k] = sum(a == b for a, b in zip(words, words[lag:], strict=False)) / max(1, len(words))
+    return np.sqrt(out)
+
+
+def test_terms_and_votes_match_a_plain_count():
+    """Scores of a handful of texts, told without any blocks or columns of texts."""
+    rng = random.Random(3)
+    texts = [speech(rng.choice(list(SYLLABLES)), rng.randint(1, 40), rng) + rng.choice(["", " 123 !!!", " Ab Ab ab ab", "\n\n"]) for _ in range(40)] + ["", "ab", "été ÉTÉ x"]
+    got, want = quality.term_counts(pa.array(texts)), np.array([slow_terms(t) for t in texts])
+    assert np.abs(got - want).max() < 1e-5 and (quality.term_counts(pa.array(["ab"]))[0] == got[-2]).all()
+    labels = np.array([i % 2 for i in range(len(texts))], float)
+    model = quality.fit(got, labels, 8)
+    project = lambda c: (c * model.idf) @ model.axes
+    for i, score in enumerate(quality.vote(got, model, 5, 3)):
+        own = project(want[i])
+        cos = [float(own @ project(v) / np.linalg.norm(own) / np.linalg.norm(project(v))) if np.linalg.norm(project(v)) * np.linalg.norm(own) > 0 else 0.0 for v in want]
+        near = sorted(cos, reverse=True)
+        if near[4] - near[5] < 1e-4:  # neighbours that tie
+            continue
+        weight = [max(0.0, x) ** 3 if x >= near[4] - 1e-9 else 0.0 for x in cos]
+        plain = sum(w * y for w, y in zip(weight, labels, strict=True)) / sum(weight) if sum(weight) else labels.mean()
+        assert abs(score - plain) < 1e-3
+
+
 def test_leading_axes():
     rng = np.random.default_rng(0)
     x = (rng.normal(size=(200, 6)) * [9, 7, 5, 3, 2, 1]) @ np.linalg.qr(rng.normal(size=(80, 6)))[0].T
