@@ -55,3 +55,13 @@ def test_entry_without_the_optional_parts(tmp_path):
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and set(q) == set(e.oracle_sql()) and 'pipeline' not in q"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
+
+
+def test_entry_without_a_library_of_the_optional_parts():
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries(); assert 'page_titles' in q and not any(n.startswith('op') for n in q) and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(ROOT)})
