@@ -87,6 +87,15 @@ def boundaries(encoding) -> tuple[np.ndarray, np.ndarray]:
     return begins[at], at
 
 
+def tokens_before(encoding, p: int) -> int | None:
+    """The number of tokens before character p, if a pre-token starts there; looks at that place only."""
+    i = encoding.char_to_token(p)
+    if i is None or encoding.token_to_chars(i)[0] != p:
+        return None
+    word = encoding.token_to_word(i)
+    return i if i == 0 or word is None or word != encoding.token_to_word(i - 1) else None
+
+
 def count_by_chunks(text: str, tok, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """Tokens of a text, of which only about a chunk is encoded at a time."""
     total, at, n = 0, 0, len(text)
@@ -99,15 +108,11 @@ def count_by_chunks(text: str, tok, chunk: int = CHUNK, overlap: int = OVERLAP)
                 return total + len(tok.encode(text[at:], add_special_tokens=False))
             begin = max(at, to - wide)
             left = tok.encode(text[at:end], add_special_tokens=False)
-            right = tok.encode(text[begin : end + MARGIN], add_special_tokens=False)
-            a, before = boundaries(left)
-            b, _ = boundaries(right)
-            common = np.intersect1d(a + at, b + begin)
-            common = common[(common > at) & (common >= begin + MARGIN) & (common <= end - MARGIN)]
-            if len(common):
-                p = int(common[-1])
-                total += int(before[np.searchsorted(a, p - at)])
-                at = p
+            right, _ = boundaries(tok.encode(text[begin : end + MARGIN], add_special_tokens=False))
+            stable = right[(right + begin > at) & (right >= MARGIN) & (right + begin <= end - MARGIN)] + begin
+            found = next(((int(p), k) for p in stable[::-1] if (k := tokens_before(left, int(p) - at)) is not None), None)
+            if found:
+                at, total = found[0], total + found[1]
                 break
             wide *= 2
     return total + len(tok.encode(text[at:], add_special_tokens=False))
