@@ -240,3 +240,18 @@ def test_cli(spark, server, tmp_path, capsys):
 
 def test_shapes(spark):
     assert spark.createDataFrame([], RESPONSE).columns == ["url", "status", "headers", "body", "error"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from gleaner.session import local_path, shared_dir
+
+    def session(master, at=None):
+        conf = SimpleNamespace(get=lambda key, other=None: at or other)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: conf))
+
+    assert shared_dir(session("spark://host:7077", "hdfs:///check/")) == "hdfs:///check" and shared_dir(session("local[4]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077"))
+    assert local_path("file:///a/b") == "/a/b" == local_path("file:/a/b") == local_path("/a/b")
