@@ -9,7 +9,8 @@ so no block has to be sent to every document:
     ``seed``-word grams (the leftmost of equals).  Equal windows have equal anchors
     at the same place.  A run of windows with one anchor is a *phrase*, and an
     anchor's block of the index holds each distinct phrase once, with the place of
-    its first occurrence (least doc_id, least word).
+    its first occurrence (least doc_id, least word).  Where a text repeats a phrase at
+    once, as in a line that comes a hundred times, the repetitions are one row.
 2.  Matches.  A phrase that the block has from a smaller id is copied whole.  Where a
     block has several phrases, a match may begin or end inside a phrase.  There the
     windows of the phrases' first occurrences are indexed one by one, each at its
@@ -48,8 +49,7 @@ from ._spark import cut, release
 
 WIDTH, SEED = 50, 12
 _CHAIN = 0x2545F4914F6CDD1D
-_PHRASE = "doc_id long, tag int, anchor long, phrase long, start int, windows int, again boolean"
-_PIECES = "array<struct<start: int, windows: int, source: bigint, at: int>>"
+_PHRASE = "doc_id long, tag int, anchor long, phrase long, start int, windows int, times int, again boolean"
 #: Names of columns that are added to the documents on the way; no table has them.
 PIECES, TAG = "__gleaner_pieces", "__gleaner_tag"
 
@@ -103,6 +103,14 @@ def phrases(w: T.Words, width: int = WIDTH, seed: int = SEED) -> tuple[np.ndarra
     return row[begin], g[at[begin]], phrase, begin - w.first[row[begin]], size
 
 
+def repeated(row: np.ndarray, phrase: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each run of equal phrases that follow each other, and how many they are."""
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (phrase[1:] != phrase[:-1]) | (size[1:] != size[:-1]) | (start[1:] != start[:-1] + size[:-1])
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(row)))
+
+
 def _again(row: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     """Which phrases their own text has had before."""
     order = np.lexsort((np.arange(len(row)), phrase, row))
@@ -119,8 +127,8 @@ def _tagged(docs: DataFrame) -> DataFrame:
 def pieces(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """doc_id, TAG and PIECES of the texts with duplicates: runs of windows that the index has from a smaller id.
 
-    A piece is start, windows (in words and windows of the text), source (a doc_id)
-    and at (a word of the source).
+    A piece is start, windows (in words and windows of the text), times (how often it
+    comes there, one after the other), source (a doc_id) and at (a word of the source).
     """
     texts = _tagged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).where("doc_id is not null")
 
@@ -128,13 +136,15 @@ def pieces(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
         for batch in batches:
             for part in T.slices(batch, "text"):
                 row, anchor, phrase, start, size = phrases(T.words(part.column("text")), width, seed)
+                first, times = repeated(row, phrase, start, size)
+                row, anchor, phrase, start, size = (x[first] for x in (row, anchor, phrase, start, size))
                 of = pa.array(row)
                 yield pa.record_batch(
                     [
                         part.column("doc_id").take(of), part.column(TAG).take(of), pa.array(anchor.view(np.int64)), pa.array(phrase.view(np.int64)),
-                        pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(_again(row, phrase)),
+                        pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(times, pa.int32()), pa.array(_again(row, phrase)),
                     ],
-                    names=["doc_id", "tag", "anchor", "phrase", "start", "windows", "again"],
+                    names=["doc_id", "tag", "anchor", "phrase", "start", "windows", "times", "again"],
                 )
 
     found = cut(texts.mapInArrow(index, _PHRASE))
@@ -149,11 +159,11 @@ def pieces(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
         .select("anchor", "phrase", "source", "at", F.coalesce("several", F.lit(False)).alias("several"))
     )
     release(blocks, several)
-    matched = cut(found.join(marked, ["anchor", "phrase"]).where("doc_id > source or several").select("doc_id", "tag", "start", "windows", "source", "at"))
+    matched = cut(found.join(marked, ["anchor", "phrase"]).where("doc_id > source or several").select("doc_id", "tag", "start", "windows", "times", "source", "at"))
     release(found, marked)
     whole = matched.where("doc_id > source")
     # Windows of first occurrences, one by one.  A set, so rows that come often are one.
-    open_runs = matched.where("doc_id = source").groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_set(F.struct("start", "windows")).alias(PIECES))
+    open_runs = matched.where("doc_id = source").groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_set(F.struct("start", (F.col("windows") * F.col("times")).alias("windows"))).alias(PIECES))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,10 +190,10 @@ def pieces(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
     asked = texts.join(open_runs, ["doc_id", TAG]).select("doc_id", TAG, "text", PIECES)
     seen = cut(asked.mapInArrow(windows, "doc_id long, tag int, start int, a long, b long, again boolean"))
     earlier = cut(seen.groupBy("a", "b").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), first_place).where("last > source").select("a", "b", "source", "at"))
-    single = cut(seen.join(earlier, ["a", "b"]).where("doc_id > source").select("doc_id", "tag", "start", F.lit(1).alias("windows"), "source", "at"))
+    single = cut(seen.join(earlier, ["a", "b"]).where("doc_id > source").select("doc_id", "tag", "start", F.lit(1).alias("windows"), F.lit(1).alias("times"), "source", "at"))
     release(seen, earlier)
     both = whole.unionByName(single)
-    return both.groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_set(F.struct("start", "windows", "source", "at")).alias(PIECES))
+    return both.groupBy("doc_id", F.col("tag").alias(TAG)).agg(F.collect_set(F.struct("start", "windows", "times", "source", "at")).alias(PIECES))
 
 
 def parse(row: np.ndarray, start: np.ndarray, windows: np.ndarray, source: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -202,7 +212,10 @@ def _parsed(lists: pa.Array) -> tuple[np.ndarray, ...]:
     full = lists.fill_null([]) if lists.null_count else lists
     inner = full.flatten()
     row = np.repeat(np.arange(len(full)), np.diff(full.offsets.to_numpy()))
-    return parse(row, *(inner.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)))
+    start, windows, times, source, at = (inner.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5))
+    each = np.repeat(np.arange(len(row)), times)
+    nth = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
+    return parse(row[each], start[each] + nth * windows[each], windows[each], source[each], at[each])
 
 
 def factors(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:

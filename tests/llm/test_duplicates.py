@@ -310,6 +310,20 @@ def test_factors_are_copies_of_their_sources(spark):
     assert all(words[r.doc_id][r.start : r.start + r.words] == words[r.source_id][r.source_start : r.source_start + r.words] for r in got)
 
 
+def test_a_line_that_comes_a_hundred_times(spark):
+    """Repetitions within a text are one row of the index, and what goes is that of brute force."""
+    import pyarrow as pa
+
+    rows = [(i, f"head {i} " + " ".join(f"u{i}x{k}" for k in range(i % 9)) + " is onhe now" * (30 + 5 * (i % 4)) + f" tail {i} " + "same " * 70 + f"end {i}") for i in range(20)]
+    assert sorted(map(tuple, sd.substring_digests(frame(spark, rows)).collect()), key=str) == kept(rows, 50)
+    words = {i: t.split() for i, t in rows}
+    got = sd.factors(frame(spark, rows)).collect()
+    assert got and all(words[r.doc_id][r.start : r.start + r.words] == words[r.source_id][r.source_start : r.source_start + r.words] for r in got)
+    row, anchor, phrase, start, size = sd.phrases(_text.words(pa.array(["is onhe now " * 500])))
+    first, times = sd.repeated(row, phrase, start, size)
+    assert len(row) > 400 and len(first) < 5 and int((size[first] * times).sum()) == int(size.sum()) == 1451
+
+
 def test_one_row_that_comes_often_and_a_source_that_is_everywhere(spark):
     passage = " ".join(f"p{i}" for i in range(90))
     rows = [(7, f"often {passage}")] * 200 + [(100 + i, f"{i} a{i} {passage} b{i}") for i in range(300)] + [(1, passage)]
