@@ -23,6 +23,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -142,25 +143,25 @@ class Codec:
         key = self.hash.find(np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw)))
         size = np.ones(len(raw), np.int64)
         first = self.ids[key]
-        longer: dict[int, tuple[int, ...]] = {}
         keys, merged = self.keys, self.merged
-        for i, k in enumerate(key.tolist()):
-            if keys[k] != raw[i]:
-                ids = merged.get(distinct[i])
-                if ids is None:
-                    ids = self.merge(raw[i])
-                    if len(raw[i]) <= 64:
-                        if len(merged) >= REMEMBERED:
-                            merged.clear()
-                        merged[distinct[i]] = ids
-                longer[i] = ids
-        rows = np.fromiter(longer, np.int64, len(longer))
-        size[rows] = np.fromiter(map(len, longer.values()), np.int64, len(longer))
+        missed = [i for i, (k, r) in enumerate(zip(key.tolist(), raw, strict=True)) if keys[k] != r]
+        longer = []
+        for i in missed:
+            ids = merged.get(distinct[i])
+            if ids is None:
+                ids = self.merge(raw[i])
+                if len(raw[i]) <= 64:
+                    if len(merged) >= REMEMBERED:
+                        merged.clear()
+                    merged[distinct[i]] = ids
+            longer.append(ids)
+        rows = np.array(missed, np.int64)
+        size[rows] = np.fromiter(map(len, longer), np.int64, len(longer))
         begin = np.concatenate([[0], np.cumsum(size)])
         flat = np.zeros(begin[-1], np.uint32)
         flat[begin[:-1]] = first
         if len(rows):
-            spread = np.fromiter((x for ids in longer.values() for x in ids), np.uint32)
+            spread = np.fromiter(chain.from_iterable(longer), np.uint32)
             k = size[rows]
             flat[np.repeat(begin[rows] - np.concatenate([[0], np.cumsum(k)[:-1]]), k) + np.arange(k.sum())] = spread
         k = size[codes]
