@@ -111,7 +111,7 @@ class Crawl:
         pages = plan.join(known.unionByName(rest), F.col("page_url") == F.col("url"))
         # First pages that failed have been reported.
         self.failed_pages = self.failed_pages.unionByName(pages.where(_bad()).select("section_key", "page_url", _fault().alias("error")))
-        return self._keep(pages.where(~_bad()).select(*PLACE, "page_url", "parsed"))
+        return pages.where(~_bad()).select(*PLACE, "page_url", "parsed")
 
     def _articles(self, listed: DataFrame) -> DataFrame:
         arts = extract.article_links(listed, (*PLACE, "page_url"))
@@ -149,7 +149,7 @@ class Crawl:
         """A log of rows in the order of the crawl, seq from base + 1 on."""
         blank = self.spark.createDataFrame([], "article_title string, article_url string, download_url string, link_text string, document_id string, article_id string, module_id string")
         keyed = rows.unionByName(blank, allowMissingColumns=True).withColumn("doc_key", F.when(F.col("kind") == "document", doc_key(F.col("document_id"), F.col("download_url"))))
-        log = outcome.numbered(self._keep(keyed.withColumnRenamed("section_key", "section")), ["section_ord", "page_num"], ["is_article", "art_pos", "doc_pos"])
+        log = outcome.numbered(keyed.withColumnRenamed("section_key", "section"), ["section_ord", "page_num"], ["is_article", "art_pos", "doc_pos"])
         return self._keep(log.withColumn("seq", F.col("seq") + base), "log", documents=F.count_if(F.col("kind") == "document"))
 
     def discover(self, section: str = "all") -> DataFrame:
