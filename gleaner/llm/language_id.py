@@ -278,16 +278,14 @@ def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_lang: int =
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     rows = rows.where(F.col("lang").isNotNull() & (F.coalesce(fold_of(modulus), F.lit(-1)) != held_out))
-    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(langs)
-    names = [r["lang"] for r in most.collect()]
-    if not names:
+    rows = rows.withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    most = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("key").alias("different")).orderBy(F.col("n").desc(), "lang").limit(langs)
+    # Several times what is wanted of the different documents of each language; equal ones have one key.
+    share = {r["lang"]: min(1.0, 4 * per_lang / max(1, r["different"])) for r in most.collect()}
+    if not share:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
-    # Of each language the documents with the least hashes; equal documents have one.
-    rows = rows.where(F.col("lang").isin(names)).withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), "text"))
-    first = lambda by: F.row_number().over(Window.partitionBy("lang").orderBy(*by))
-    least = rows.select("lang", "key").distinct().withColumn("rank", first(["key"])).where(F.col("rank") <= per_lang)
-    bound = {r["lang"]: r["key"] for r in least.groupBy("lang").agg(F.max("key").alias("key")).collect()}
-    chosen = rows.where(F.col("key") <= F.create_map(*[F.lit(x) for pair in bound.items() for x in pair])[F.col("lang")])
+    limit = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, int(s * (1 << 30)))])
+    chosen = rows.where(F.pmod("key", F.lit(1 << 30)) < limit[F.col("lang")])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,9 +298,11 @@ def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_lang: int =
                         lo += int(h[lo] % np.uint64(hi - lo - window + 1))
                         hi = lo + window
                     out.append(text.encode()[w.start[lo] - base : w.end[hi - 1] - base].decode() if hi > lo else "")
-                yield pa.record_batch([part.column("lang"), pa.array(out, pa.string())], names=["lang", "text"])
+                yield pa.record_batch([part.column("lang"), part.column("key"), pa.array(out, pa.string())], names=["lang", "key", "text"])
 
-    sample = chosen.select("lang", "text").mapInArrow(windows, "lang string, text string").distinct().toArrow().sort_by([("lang", "ascending"), ("text", "ascending")])
+    some = chosen.select("lang", "key", "text").mapInArrow(windows, "lang string, key long, text string").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "text"))
+    sample = some.withColumn("rank", rank).where(F.col("rank") <= per_lang).select("lang", "text").toArrow().sort_by([("lang", "ascending"), ("text", "ascending")])
     return train(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
 
 
