@@ -52,11 +52,12 @@ def test_stages(spark):
 
 
 @pytest.mark.parametrize("name, stage", cp.STAGES)
-def test_stages_on_awkward_tables(spark, name, stage):
+def test_stages_on_awkward_tables(spark, tmp_path, name, stage):
     """Nulls, empty and long texts, repeated rows and ids, clashing columns; and an empty table."""
     rows = [*AWKWARD, *ordinary(3, 30), (4, "another text of an id that comes often"), (None, "x y z"), (None, "x y z")]
-    docs = frame(spark, rows)
-    got, empty = stage(spark, docs, SMALL), stage(spark, docs.limit(0), SMALL)
+    docs, at = frame(spark, rows), str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    got, empty = stage(spark, docs, at), stage(spark, docs.limit(0), at)
     assert empty.count() == 0 and empty.columns == got.columns
     out = got.collect()
     if name == "packing":
