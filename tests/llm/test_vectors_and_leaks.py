@@ -1,0 +1,229 @@
+"""Hard negatives, vector codes and decontamination against plain versions."""
+
+import hashlib
+import math
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gleaner.llm import decontamination as D
+from gleaner.llm import queries
+from gleaner.llm.hard_negatives import between, hard_negatives, limits
+from gleaner.llm.vector_codes import vector_codes
+from tests.conftest import SMALL
+from tests.llm.corpus import AWKWARD, CLASHING, frame, ordinary
+
+VECTORS = "vec_id long, embedding array<double>, label int"
+
+
+def made(seed=3, n=260, dim=8):
+    """Vectors of ten labels with copies, ties, nulls, non-finite and odd ones, and repeated rows."""
+    rng = np.random.default_rng(seed)
+    v = np.round(rng.normal(size=(n, dim)), 2)
+    v[n // 3 : n // 2] = v[0]
+    rows = [(int(i), [float(x) for x in v[i]], int(rng.integers(0, 4))) for i in range(n)]
+    rows += rows[5:9] + [rows[100]] * 3
+    rows += [
+        (1001, None, 1), (1002, [1.0] * (dim - 1) + [None], 1), (1003, [math.nan] * dim, 2), (1004, [math.inf] + [0.0] * (dim - 1), 2), (1005, [0.0] * dim, 3), (1006, [], 1), (1007, [], 2),
+        (None, [0.5] * dim, 1), (1100, [0.25] * dim, None), (1200, [0.25, -0.5, 0.1], 1), (1201, [0.25, -0.4, 0.1], 1), (1202, [0.2, -0.4, 0.1], 2), (1300, [1e300] * dim, 1), (1301, [-1e300] * dim, 2), (1302, [1e300] * dim, 1),
+    ]
+    return rows
+
+
+def table(spark, rows, clash=True):
+    df = spark.createDataFrame(rows, VECTORS)
+    return df.withColumns({c: F.lit("x") for c in [*CLASHING, "shard", "cell", "query", "place", "positives", "code", "error", "part"]}) if clash else df
+
+
+def whole(v, scale, room):
+    most = math.isqrt((1 << room) // max(1, len(v)))
+    return [max(-most, min(most, math.floor(scale * x) if abs(x) < 1e290 else int(math.copysign(most, x)))) for x in v]
+
+
+def taking_part(rows):
+    return [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+
+
+def plain_negatives(rows, positives=5, k=5, low=80, high=100, every=100):
+    rows = sorted({(i, tuple(whole(v, 256, 62)), label) for i, v, label in taking_part(rows) if i is not None and label is not None})
+    out = set()
+    for a, av, al in rows:
+        if a % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(av, bv, strict=True)), b, bl) for b, bv, bl in rows if b != a and len(av) == len(bv))
+        for s, p, _ in [x for x in scored if x[2] == al][:positives]:
+            met = [x for x in scored if x[2] != al and low * -s <= 100 * -x[0] <= high * -s]
+            out |= {(a, p, rank, n, -s, -m) for rank, (m, n, _) in enumerate(met[:k], 1)}
+    return out
+
+
+def as_set(df):
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.mark.parametrize("cell", [1 << 22, 300])
+def test_hard_negatives(spark, cell):
+    rows = made()
+    df = table(spark, rows)
+    want = plain_negatives(rows)
+    assert as_set(hard_negatives(df, df.where("vec_id % 100 = 0"), cell=cell)) == want
+    assert len(want) > 20 and {a for a, *_ in want} >= {0, 100, 200}
+
+
+def test_hard_negatives_of_other_limits(spark):
+    rows = made(5)
+    df = table(spark, rows, clash=False)
+    got = as_set(hard_negatives(df, df.where("vec_id % 10 = 0"), positives=3, k=2, low=-50, high=150))
+    assert got == plain_negatives(rows, 3, 2, -50, 150, 10)
+
+
+def test_hard_negatives_of_empty_tables(spark):
+    df = table(spark, made())
+    none = df.where("false")
+    assert hard_negatives(none, none).collect() == [] and hard_negatives(df, none).collect() == [] and hard_negatives(none, df.where("vec_id % 100 = 0")).collect() == []
+
+
+def test_limits_and_places():
+    for score in (-7, 0, 3, 100, 12345):
+        least, most = limits(score, 80, 100)
+        for n in range(score - 50, score + 50):
+            assert (80 * score <= 100 * n <= 100 * score) == (least <= n <= most)
+    scores = np.array([9, 7, 7, 5, 2])
+    assert list(between(scores, 5, 7, 5)) == [1, 2, 3] and list(between(scores, 5, 7, 2)) == [1, 2] and list(between(scores, 3, 4, 5)) == []
+
+
+def plain_codes(rows, parts=4, entries=256, rounds=4, scale=1024):
+    rows = taking_part(rows)
+    out, by_label = [], {}
+    for dim in {len(v) for _, v, _ in rows}:
+        width = -(-dim // parts)
+        own = [(i, [(whole(v, scale, 58) + [0] * (parts * width - dim))[p * width : (p + 1) * width] for p in range(parts)], v, label) for i, v, label in rows if len(v) == dim]
+        first = {}
+        for i, c, v, _ in own:
+            if i is not None and (i not in first or v < first[i][1]):
+                first[i] = (c, v)
+        books = [[first[i][0][p] for i in sorted(first)[:entries]] or [[0] * width] for p in range(parts)]
+
+        def near(x, book):
+            apart = [sum((a - b) ** 2 for a, b in zip(x, e, strict=True)) for e in book]
+            return min(range(len(book)), key=lambda j: (apart[j], j)), min(apart)
+
+        for _ in range(rounds):
+            for p in range(parts):
+                met = {}
+                for _, c, _, _ in own:
+                    met.setdefault(near(c[p], books[p])[0], []).append(c[p])
+                books[p] = [[sum(x) // len(met[e]) for x in zip(*met[e], strict=True)] if e in met else b for e, b in enumerate(books[p])]
+        digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+        for i, c, _, label in own:
+            found = [near(c[p], books[p]) for p in range(parts)]
+            error = sum(e for _, e in found)
+            by_label[label] = by_label.get(label, 0) + error
+            out.append((i, label, "".join(f"{j:02x}" for j, _ in found), error, digest))
+    return sorted(((i, label, code, error, min(by_label[label], (1 << 63) - 1), digest) for i, label, code, error, digest in out), key=repr)
+
+
+@pytest.mark.parametrize("numbers", [1 << 22, 1])
+def test_vector_codes(spark, numbers):
+    rows = made(n=120)
+    got = sorted((tuple(r) for r in vector_codes(table(spark, rows).repartition(3), entries=20, numbers=numbers).collect()), key=repr)
+    assert got == plain_codes(rows, entries=20)
+
+
+def test_vector_codes_of_empty_tables(spark):
+    df = table(spark, made())
+    assert vector_codes(df.where("false")).collect() == [] and vector_codes(df.where("embedding is null")).collect() == []
+    with pytest.raises(ValueError):
+        vector_codes(df, entries=300)
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def plain_leaks(docs, items, width=10):
+    windows = {}
+    for item, text in items:
+        w = plain_words(text)
+        n = min(width, len(w))
+        for p in range(len(w) - n + 1) if n else ():
+            windows.setdefault(tuple(w[p : p + n]), set()).add(item)
+    out = []
+    for i, text in docs:
+        w, hit, met = plain_words(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for p in range(len(w) - n + 1):
+                if (own := windows.get(tuple(w[p : p + n]))) is not None:
+                    hit |= set(range(p, p + n))
+                    met |= own
+        names = sorted(str(x) for x in met if x is not None)
+        out.append((i, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr), windows
+
+
+def leaks():
+    docs = ordinary(9, 40) + AWKWARD
+    long = next(t for _, t in docs if t and len(t.split()) > 60).split()
+    items = [(1, " ".join(long[5:30])), (2, " ".join(long[20:40]).upper()), (10, " ".join(long[8:22])), (3, None), (4, ".,;"), (5, "One"), (6, "Été, X"), (7, " ".join(long[:10])), (7, "a b c d e"), (None, "中文"), (8, " ".join(long[5:30])), (9, "no such words here at all in any of the documents we made")]
+    docs += [(200, "x " + "-".join(long[5:16]) + " y " + " ".join(long[5:15]) + " z!"), (200, "x " + "-".join(long[5:16]) + " y " + " ".join(long[5:15]) + " z!"), (201, " ".join(["one"] * 30))]
+    return docs, items
+
+
+@pytest.mark.parametrize("broadcast", [1 << 20, 0])
+def test_contamination(spark, broadcast):
+    docs, items = leaks()
+    want, _ = plain_leaks(docs, items)
+    got = D.contamination(frame(spark, docs), frame(spark, items, clash=False).withColumnRenamed("doc_id", "item_id"), broadcast=broadcast)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+    assert sum(w[5] for w in want) > 5
+
+
+def test_contamination_without_items_or_documents(spark):
+    docs, items = leaks()
+    df, bench = frame(spark, docs), frame(spark, items, clash=False).withColumnRenamed("doc_id", "item_id")
+    for none in (bench.where("false"), bench.where("text = '.,;'")):
+        assert sorted((tuple(r) for r in D.contamination(df, none).collect()), key=repr) == plain_leaks(docs, [])[0]
+    assert D.contamination(df.where("false"), bench).collect() == []
+
+
+def test_removal(spark):
+    docs, items = leaks()
+    df, bench = frame(spark, docs), frame(spark, items, clash=False).withColumnRenamed("doc_id", "item_id")
+    want, windows = plain_leaks(docs, items)
+    clean = [(i, t) for i, t in docs if not plain_leaks([(i, t)], items)[0][0][5]]
+    left = D.without_documents(df, bench)
+    assert left.columns == df.columns and sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(clean, key=repr)
+    cut = D.without_spans(df, bench)
+    assert cut.columns == df.columns
+    kept = sorted(((r.doc_id, len(plain_words(r.text))) for r in cut.collect()), key=repr)
+    assert kept == sorted(((i, n - hit) for i, n, hit, *_ in want), key=repr)
+    at = next(r.text for r in cut.collect() if r.doc_id == 200)
+    assert at == "x y z!"
+    assert {r.text for r in cut.collect()} >= {t for _, t in clean}
+
+
+def test_only_dataframe_functions(spark):
+    """No Python on the executors, and texts are read once: windows meet a broadcast table before any exchange."""
+    df, bench = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    known, _ = D.windows(bench)
+    plan = D.scan(df, known)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and plan.count("split(") == 1
+    assert not re.search("Python|Arrow|Pandas", D.contamination(df, bench)._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("name", ["op11_hard_negatives", "op12_decontamination", "op13_vector_codes"])
+def test_query_matches_sql(spark, name):
+    duck = duckdb.connect()
+    for t in ("embeddings", "documents", "benchmark"):
+        duck.sql(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    df = queries.queries()[name](spark, SMALL)
+    rel = duck.sql(queries.oracle_sql()[name])
+    assert sorted(rel.columns) == sorted(df.columns)
+    at = [rel.columns.index(c) for c in df.columns]
+    got = sorted(repr(tuple(r)) for r in df.collect())
+    assert got and got == sorted(repr(tuple(r[i] for i in at)) for r in rel.fetchall())
