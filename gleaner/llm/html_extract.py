@@ -5,7 +5,10 @@ headings, items, cells).  Menus, page headers, footers, asides, forms, scripts,
 styles, hidden elements, and blocks whose class, id or role names an advert, a
 notice, a sidebar or reader comments are left out with all they hold; inline
 elements, paragraphs and headings are not judged by their names, nor are headers
-inside an article.
+inside an article.  A name counts as a whole: all its words, as in ``comment-list``, have
+to be such words or words of layout, so ``side-effects`` says nothing.  Words that may as well
+be an article's subject (``discussion``, ``popular``) leave a block out only if its text agrees:
+many links, or short texts (``UNSURE``).
 
 Each block of some length gives points, 1 and one for each comma and each 100
 characters (three at most), to its container, half to the container's parent, and
@@ -45,15 +48,23 @@ CONTAINER = frozenset("html body article main section div td blockquote table tb
 LEFT_OUT = frozenset("head title nav footer aside form script style noscript template iframe object embed svg canvas button select textarea input label dialog menu audio video map datalist".split())
 #: Words in a class, an id or a role by which a block is left out.
 UNLIKELY = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promoted promotion cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay paywall"
-    " sidebar side aside rail widget widgets menu menubar nav navbar navigation breadcrumb breadcrumbs pager pagination toolbar skip"
-    " footer foot bottombar copyright related recommended recommendations trending popular share sharing social follow newsletter subscribe subscription signup login search complementary contentinfo".split()
+    "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promoted cookie cookies consent gdpr notice notices notification alert popup modal overlay paywall"
+    " sidebar aside rail widget widgets menu menubar nav navbar navigation breadcrumb breadcrumbs pager pagination toolbar"
+    " footer bottombar copyright newsletter subscribe subscription signup login complementary contentinfo".split()
 )
 #: The same for headers, which inside an article or a post are a part of it.
 HEADS = frozenset("header masthead topbar banner".split())
 ARTICLE = frozenset("article main post entry story content".split())
-COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion feedback".split())
-_NAMES = re.compile(r"[a-z]+")
+COMMENTS = frozenset("comment comments commentlist disqus".split())
+#: Words that leave a block out only if more than LINKED of its text is in links, or its texts (headings aside) have fewer than SHORT characters on average.
+UNSURE = frozenset("side foot skip related recommended recommendations trending popular share sharing social follow search promotion disclaimer respond reply replies discussion feedback".split())
+LINKED, SHORT = 0.25, 60
+#: Words of layout, which say nothing by themselves.
+LAYOUT = frozenset(
+    "area bar body bottom box bubble button buttons card center col column container content float form fixed full group header holder icon icons inner item items left layout link links list main mid module outer panel"
+    " posts article articles right row section slot small sticky text thread title top unit wide wrap wrapper".split()
+)
+_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_]+")
 #: An open element of these ends where another one of the same family starts; a block ends an open paragraph.
 _FAMILY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("html body article main section div table td th ul ol dl blockquote figure".split())
@@ -63,24 +74,38 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SHARES = (1, 1 / 2, 1 / 6, 1 / 9, 1 / 12, 1 / 15)
 
 
-def _left_out(tag: str, raw: str, in_article: bool) -> bool:
-    if tag in LEFT_OUT:
-        return True
-    if tag == "header" and not in_article:
-        return True
+def names(a: dict[str, str]) -> set[str]:
+    """Words of those names among the attributes of an element that are made of known words alone."""
+    out: set[str] = set()
+    for name in " ".join(a.get(k, "") for k in ("class", "id", "role", "itemprop")).split():
+        own = {x.lower() for x in _NAMES.findall(name)}
+        whole = name.lower().strip("-_")
+        if whole in UNLIKELY or whole in COMMENTS:
+            out.add(whole)
+        elif own <= UNLIKELY | HEADS | ARTICLE | COMMENTS | UNSURE | LAYOUT:
+            out |= own
+    return out
+
+
+def judged(tag: str, raw: str, in_article: bool) -> str:
+    """What an element's tag and names say of it: "out", "unsure" or "" (nothing)."""
+    if tag in LEFT_OUT or tag == "header" and not in_article:
+        return "out"
     if not raw or tag in ("html", "body"):
-        return False
+        return ""
     a = attributes(raw)
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
-        return True
-    if tag not in BLOCK:  # names of inline elements say how they look, not what they are
-        return False
-    names = set(_NAMES.findall(f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')} {a.get('itemprop', '')}".lower()))
-    if names & COMMENTS:
-        return True
-    if tag in ("article", "main", "p") or tag in HEADINGS or "article" in names or "main" in names:
-        return False
-    return bool(names & UNLIKELY) or not in_article and not names & ARTICLE and bool(names & HEADS)
+        return "out"
+    if tag not in BLOCK or tag == "p" or tag in HEADINGS:  # names of these say how they look, not what they are
+        return ""
+    own = names(a)
+    if own & COMMENTS:
+        return "out"
+    if tag in ("article", "main") or own & {"article", "main"} and not own & UNLIKELY:
+        return ""
+    if own & UNLIKELY or not in_article and not own & ARTICLE and own & HEADS:
+        return "out"
+    return "unsure" if own & UNSURE else ""
 
 
 class _Page:
@@ -95,6 +120,7 @@ class _Page:
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self.parts: list[str] | None = None
         self.owner = self.linked = 0
+        self.unsure: list[int] = []  # elements that their text decides on
 
     def add_text(self, raw: str) -> None:
         top = self.open[-1]
@@ -145,10 +171,12 @@ class _Page:
         if name in VOID:
             return
         top, i = self.open[-1], len(self.tag)
-        gone = self.out[top] or _left_out(name, raw, self.article[top])
+        said = "out" if self.out[top] else judged(name, raw, self.article[top])
+        if said == "unsure":
+            self.unsure.append(i)
         self.tag.append(name)
         self.parent.append(top)
-        self.out.append(gone)
+        self.out.append(said == "out")
         self.article.append(self.article[top] or name in ("article", "main"))
         self.link.append(self.link[top] or name == "a")
         self.block_of.append(i if name in BLOCK else self.block_of[top])
@@ -166,16 +194,44 @@ class _Page:
             self.close_to(i)
 
 
+    def decide(self) -> None:
+        """Leaves out the blocks of unsure elements whose text is mostly links or short."""
+        if not self.unsure:
+            return
+        n = len(self.tag)
+        length, linked, count, size = [0] * n, [0] * n, [0] * n, [0] * n
+        for owner, text, link in self.blocks:
+            length[owner] += len(text)
+            linked[owner] += link
+            if self.tag[owner] not in HEADINGS:
+                count[owner] += 1
+                size[owner] += len(text)
+        for sums in (length, linked, count, size):
+            for i in range(n - 1, 0, -1):  # an element comes after its parent
+                sums[self.parent[i]] += sums[i]
+        for i in self.unsure:
+            self.out[i] = self.out[i] or linked[i] > LINKED * length[i] or size[i] < SHORT * count[i]
+        for i in range(1, n):
+            self.out[i] = self.out[i] or self.out[self.parent[i]]
+        self.blocks = [b for b in self.blocks if not self.out[b[0]]]
+
+
 def read(html: str) -> _Page:
-    page = _Page()
+    page, field = _Page(), False
     for kind, name, raw in tokens(html):
-        if kind == TEXT:
+        if field:  # what stands in a text field is no markup
+            if name == "textarea" and kind not in (TEXT, START):
+                page.end(name)
+                field = False
+        elif kind == TEXT:
             page.add_text(name)
         elif kind == START:
             page.start(name, raw)
+            field = name == "textarea" and page.tag[page.open[-1]] == name
         else:
             page.end(name)
     page.end_block()
+    page.decide()
     return page
 
 

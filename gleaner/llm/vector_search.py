@@ -87,6 +87,12 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
+def ranged(v: np.ndarray) -> np.ndarray:
+    """Rows of doubles, those whose greatest component is far from 1 scaled by a power of two."""
+    _, power = np.frexp(np.abs(v).max(1, keepdims=True))
+    return np.ldexp(v, np.where(np.abs(power) > 100, -power, 0))
+
+
 def matrix(ids: pa.Array, col: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Ids and vectors (doubles) of the rows that take part, by the length of the vectors."""
     size = np.diff(col.offsets.to_numpy())
@@ -183,8 +189,9 @@ def _distinct(ids: np.ndarray, v: np.ndarray, keep: int) -> tuple[np.ndarray, np
 def search_cell(ids: np.ndarray, v: np.ndarray, asked: np.ndarray, ask: np.ndarray, coder: Coder, k: int) -> tuple[np.ndarray, ...]:
     """For each query (asked, ask) its k nearest rows found among ids, v: query ids, ids, scores."""
     ids, v = _distinct(ids, v, k + 1)
-    near = unit(v)
-    index = Index(coder.codes(near), coder.widths)
+    # A power of two scales exactly, so squares of very large and very small numbers stay in range and cosines are the same.
+    v, ask = ranged(v), ranged(ask)
+    index = Index(coder.codes(unit(v)), coder.widths)
     length = np.sqrt((v * v).sum(1))
     codes = coder.codes(unit(ask))
     out: tuple[list, list, list] = ([], [], [])

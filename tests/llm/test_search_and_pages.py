@@ -100,6 +100,15 @@ def test_odd_vectors(spark):
     assert [(r.query_id, r.vec_id) for r in vs.nearest(few, few.where("vec_id = 0")).collect()] == [(0, 1)]
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e308, 5e-324])
+def test_very_large_and_very_small_vectors(spark, size):
+    rows = [(i, [size * (x if size > 1e-300 else round(x)) for x in (1.0, 0.1 * i)]) for i in range(8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vs.nearest(df, df.where("vec_id = 0"), k=3).orderBy("rank").collect()
+    want = sorted(((-float(np.dot(vs.unit(np.array([rows[0][1]]))[0], vs.unit(np.array([v]))[0])), i) for i, v in rows[1:]))[:3]
+    assert all(np.isfinite(r.score) for r in got) and np.allclose([r.score for r in got], [-s for s, _ in want]) and [r.vec_id for r in got] == [i for _, i in want]
+
+
 def test_equal_vectors_go_by_id(spark):
     df = spark.range(400).selectExpr("id as vec_id", "array(1.5f, 2.5f) as embedding")
     got = vs.nearest(df, df.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()
@@ -154,6 +163,60 @@ def test_no_word_of_the_article_is_lost(html, want):
     assert extract(html) == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<article><p>{LONG}</p><h2 id='discussion'>Discussion</h2><p>{LONG}</p></article>", f"{LONG}\nDiscussion\n{LONG}"),
+        (f"<article><p>{LONG}</p><section id='discussion'><h2>Discussion</h2><p>{LONG}</p><p>{LONG}</p></section></article>", f"{LONG}\nDiscussion\n{LONG}\n{LONG}"),
+        (f"<article><p>{LONG}</p><p class='reply'>The reply came late.</p></article>", f"{LONG}\nThe reply came late."),
+        (f"<article><p>{LONG}</p><section class='side-effects'><p>Few were seen.</p></section></article>", f"{LONG}\nFew were seen."),
+        (f"<article><p>{LONG}</p><div class='popular-science'>Short.</div><div class='search-engines'>So.</div><ul id=relatedWork><li>x</ul></article>", f"{LONG}\nShort.\nSo.\nx"),
+        (f"<article><p>{LONG}</p><textarea><p>inner</textarea> y</article>", f"{LONG}\ny"),
+        (f"<article><p>{LONG}</p><textarea>a</b><p>inner", LONG),
+        (f"<article><p>{LONG}</p><div class=share><a href=/>one</a> <a href=/>two</a></div><div class='related-articles'><h3>Related</h3><ul><li><a href=/>{LONG}</a></ul></div></article>", LONG),
+        (f"<article><p>{LONG}</p><div class='comment-list'><p>{LONG}</p></div><div class=sideBar>{LONG}</div><div class='ad-box-1'>{LONG}</div><div class=replies><div>Nice one</div><div>Thanks</div></div></article>", LONG),
+        (f"<div class='post'><p>{LONG}</p><section id=feedback><p>{LONG}</p></section></div><article class=comment><p>{LONG} {LONG}</p></article>", f"{LONG}\n{LONG}"),
+    ],
+)
+def test_names_of_an_article_s_own_parts(html, want):
+    assert extract(html) == want
+
+
+def plain_out(page):
+    """Which elements are left out, told by walking up from each; of unsure ones by their text, gathered by walking too."""
+    above = [[] for _ in page.tag]
+    for i in range(1, len(page.tag)):
+        above[i] = [i, *above[page.parent[i]]]
+    return above
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_what_is_left_out_matches_a_plain_walk(seed):
+    rng = random.Random(seed)
+    kinds = ["", "comment", "comments-area", "discussion", "side-effects", "popular", "adBox", "share-bar", "content", "post related", "notice", "x ad"]
+    html = []
+    for _ in range(300):
+        t = rng.choice("div p section article li ul aside h2 form header span".split())
+        name = rng.choice(kinds)
+        html.append(rng.choice([f"<{t} class='{name}'>", f"<{t} id='{name}'>", f"</{t}>", "some text " * rng.randrange(1, 14), f"<a href=/>{'link ' * rng.randrange(1, 9)}</a>"]))
+    whole = "".join(html)
+    unsure = html_extract.UNSURE
+    try:
+        html_extract.UNSURE = frozenset()  # all that is not left out by its name alone
+        page = html_extract.read(whole)
+    finally:
+        html_extract.UNSURE = unsure
+    decided = html_extract.read(whole)
+    above = plain_out(decided)
+    gone = set()
+    for i in decided.unsure:
+        own = [b for b in page.blocks if i in above[b[0]]]
+        texts = [len(t) for o, t, _ in own if page.tag[o] not in html_extract.HEADINGS]
+        if sum(b[2] for b in own) > html_extract.LINKED * sum(len(b[1]) for b in own) or sum(texts) < html_extract.SHORT * len(texts):
+            gone.add(i)
+    assert decided.blocks == [b for b in page.blocks if not gone & set(above[b[0]])]
+
+
 def slow_points(page):
     """Scores and sums by walking up from every block."""
     score, length, linked = {}, [0] * len(page.tag), [0] * len(page.tag)
