@@ -16,9 +16,10 @@ from ..functions.url import doc_key
 from ..operators import extract, listing, outcome, registry
 from ..operators.dedupe import keep_first
 from ..schemas import DOWNLOAD
-from ..session import ship
-from ..sources.fetch import Fetcher, write_documents
-from ..sources.files import list_files
+from ..session import local_path, ship
+from ..sources.fetch import Fetcher
+from ..sources.files import delete, list_files
+from ..sources.sink import Staged, stage_bodies
 
 _log = logging.getLogger(__name__)
 PLACE = ("section_ord", "section_key", "page_num")
@@ -65,6 +66,7 @@ class Crawl:
 
     def __post_init__(self):
         ship(self.spark)
+        self._kept: list[str] = []
         self._start()
 
     def _start(self) -> None:
@@ -76,14 +78,18 @@ class Crawl:
         seen = Observation()
         if step:
             df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in counts.items()))
+        self._kept.append(path)
         df.write.parquet(path)
         if step:
-            self.progress.append({"step": step, **seen.get})
-            _log.info("%s", self.progress[-1])
-            if self.on_progress:
-                self.on_progress(self.progress[-1])
+            self._told({"step": step, **seen.get})
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _told(self, counts: dict) -> None:
+        self.progress.append(counts)
+        _log.info("%s", counts)
+        if self.on_progress:
+            self.on_progress(counts)
+
     # ---------------------------------------------------------------- discovery
 
     def _read(self, urls: DataFrame, want: tuple[str, ...], step: str) -> DataFrame:
@@ -198,79 +204,117 @@ class Crawl:
     def run(self, section: str = "all", files: DataFrame | None = None) -> dict[str, int]:
         """The six counters.  files (path, length) are those below the output folder, which is listed if none are given.
 
-        What a part of the crawl did is recorded before the next one begins.
+        What a part of the crawl did is recorded before the next one begins.  The files that it
+        leaves are those of its recorded downloads, with any limit: what has been
+        downloaded beyond the limit, or twice, never gets its name.
         """
         listing.select_sections(self.catalog, section)  # an unknown one is an error before anything is written
+        try:
+            return self._run(section, files)
+        finally:
+            self._clean()
+
+    def _run(self, section: str, files: DataFrame | None) -> dict[str, int]:
+        for left in Staged.open(self.spark, local_path(self.output)):  # of a run that was broken off before it recorded them
+            left.forget()
         if files is None:
             files = list_files(self.spark, self.output)
         if self.dry_run:
             log = self._known(self.discover(section), files).withColumns({"ok": F.lit(False), "size": F.lit(0).cast("long")})
             return outcome.counters(outcome.resolve_run(log, self.limit, True)).first().asDict()
+        counts = dict.fromkeys(outcome.COUNTERS, 0)
         if self.limit and self.limit < 0:
-            return dict.fromkeys(outcome.COUNTERS, 0)
+            return counts
         files = self._keep(files)
-        parts, total = [], 0
+        settled: list[DataFrame] = []
         for part in self.frontier(section) if self.limit else [self.discover(section)]:
-            log = self._keep(self._known(part, files))
-            done = self._fetch(log, parts, (self.limit or 0) - total)
-            parts.append(self._keep(log.join(done.select("seq", "ok", F.col("file_size_bytes").alias("size"), "filename", "file_size_bytes", "error"), "seq", "left")))
-            resolved = outcome.resolve_run(self._all(parts), self.limit)
-            docs = self._keep(resolved.join(part.select("seq"), "seq", "left_semi").where("kind = 'document'"))
-            events = registry.success_events(docs.where("action = 'downloaded'")).unionByName(registry.failure_events(docs.where("action = 'failed'")))
-            self.store.append(events)
-            total += docs.where("action = 'downloaded'").count()
-            if self.limit and total >= self.limit:
+            left = self.limit - counts["pdfs_downloaded"] if self.limit else None
+            log = self._known(part, files)
+            if settled:  # keys that an earlier part has downloaded
+                log = log.join(self._all(settled).distinct().withColumn("_settled", F.lit(True)), "doc_key", "left").withColumn("known", F.coalesce("known", "_settled")).drop("_settled")
+            resolved = self._fetch(self._keep(log), left)
+            docs = resolved.where("kind = 'document'")
+            settled.append(self._keep(docs.where("ok and size > 0").select("doc_key")))
+            self.store.append(registry.success_events(docs.where("action = 'downloaded'")).unionByName(registry.failure_events(docs.where("action = 'failed'"))))
+            for name, n in outcome.counters(resolved).first().asDict().items():
+                counts[name] += n
+            if self.limit and counts["pdfs_downloaded"] >= self.limit:
                 break
-        if not parts:
-            return dict.fromkeys(outcome.COUNTERS, 0)
-        return outcome.counters(outcome.resolve_run(self._all(parts), self.limit)).first().asDict()
+        return counts
 
-    def _fetch(self, log: DataFrame, before: list[DataFrame], wanted: int) -> DataFrame:
-        """Download results of the documents of a log that may be needed; before are the logs that came before it.
+    def _fetch(self, log: DataFrame, wanted: int | None) -> DataFrame:
+        """The rows of a part's log that the run comes to, resolved, with the results of their downloads.
 
-        With a limit they are taken in order, as many at a time as are still wanted (more
-        where none went well).  Of the rows of one key only the first is asked for; the
-        others are where it failed.
+        With a limit documents are taken in order, as many at a time as are still wanted,
+        and more where none went well.  Of the rows of one key only the first is asked for;
+        the others are where it failed.  All are staged first, and only those that
+        the run counts as downloaded are published.
         """
-        todo = log.where("kind = 'document' and known is null")
-        for b in before:
-            todo = todo.join(b.where("ok and size > 0").select("doc_key"), "doc_key", "left_anti")
-        todo = self._keep(todo)
-        if not self.limit:
-            return self._round(todo)
-        at, parts, got, step = 0, [], 0, max(1, wanted)
-        while got < wanted:
-            last = todo.where(F.col("seq") > at).orderBy("seq").limit(step).agg(F.max("seq").alias("last")).first().last
-            if last is None:
-                break
-            now = todo.where((F.col("seq") > at) & (F.col("seq") <= last))
-            for p in parts:
-                now = now.join(todo.join(p.where("ok and file_size_bytes > 0"), "seq", "left_semi").select("doc_key"), "doc_key", "left_anti")
-            parts.append(self._round(now))
-            new = parts[-1].where("ok").count()
-            at, got, step = last, got + new, max(1, wanted - got - new) if new else 2 * step
-        return self._all(parts) if parts else self.spark.createDataFrame([], DOWNLOAD)
-
-    def _round(self, docs: DataFrame) -> DataFrame:
-        """Results of the first row of each key, and of the other rows of the keys that it did not settle."""
+        todo = self._keep(log.where("kind = 'document' and known is null"))
+        staged: list[Staged] = []
+        if wanted is None:
+            staged += self._round(todo)
+        else:
+            at, got, step = 0, 0, wanted
+            while got < wanted:
+                last = todo.where(F.col("seq") > at).orderBy("seq").limit(step).agg(F.max("seq").alias("last")).first().last
+                if last is None:
+                    break
+                now = todo.where((F.col("seq") > at) & (F.col("seq") <= last))
+                for s in staged:
+                    now = now.join(todo.join(s.results.where("ok and file_size_bytes > 0").select("seq"), "seq", "left_semi").select("doc_key"), "doc_key", "left_anti")
+                new = self._round(self._keep(now))
+                staged += new
+                more = sum(s.results.where("ok").count() for s in new)
+                at, got, step = last, got + more, max(1, wanted - got - more) if more else 2 * step
+        if not staged:
+            return self._keep(outcome.resolve_run(self._with(log, self.spark.createDataFrame([], DOWNLOAD)), wanted))
+        results = self._all([s.results.select("seq", "ok", "filename", "file_size_bytes", "error") for s in staged])
+        counted = self._keep(outcome.resolve_run(self._with(log, results), wanted).where("action = 'downloaded'").select("seq"))
+        published = self._all([s.publish(counted) for s in staged])
+        # A file that could not be given its name has failed.
+        final = results.join(published.select("seq"), "seq", "left_anti").unionByName(published)
+        resolved = self._keep(outcome.resolve_run(self._with(log, final), wanted))
+        for s in staged:
+            s.forget()
+        return resolved
+
+    @staticmethod
+    def _with(log: DataFrame, results: DataFrame) -> DataFrame:
+        return log.join(results.select("seq", "ok", F.col("file_size_bytes").alias("size"), "filename", "file_size_bytes", "error"), "seq", "left")
+
+    def _round(self, docs: DataFrame) -> list[Staged]:
+        """The first row of each key, staged, and the other rows of the keys that it did not settle."""
         first = docs.groupBy("doc_key").agg(F.min("seq").alias("seq")).select("seq")
-        done = self._keep(self._download(docs.join(first, "seq", "left_semi")), "downloads", ok=F.count_if("ok"), bytes=F.sum("file_size_bytes"))
-        settled = docs.join(done.where("ok and file_size_bytes > 0"), "seq", "left_semi").select("doc_key").distinct()
-        more = self._keep(docs.join(done, "seq", "left_anti").join(settled, "doc_key", "left_anti"))
-        if more.isEmpty():
-            return done
-        return done.unionByName(self._keep(self._download(more), "further downloads", ok=F.count_if("ok"), bytes=F.sum("file_size_bytes")))
+        done = self._stage(docs.join(first, "seq", "left_semi"), "downloads")
+        settled = docs.join(done.results.where("ok and file_size_bytes > 0").select("seq"), "seq", "left_semi").select("doc_key").distinct()
+        more = self._keep(docs.join(done.results.select("seq"), "seq", "left_anti").join(settled, "doc_key", "left_anti"))
+        return [done] if more.isEmpty() else [done, self._stage(more, "further downloads")]
 
     @staticmethod
     def _all(parts: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, parts)
 
-    def _download(self, docs: DataFrame) -> DataFrame:
+    def _stage(self, docs: DataFrame, step: str) -> Staged:
         name = lambda header: derive_filename(F.col("document_id"), F.col("download_url"), F.col("link_text"), F.col("article_title"), header, self.strict)
-        if hasattr(self.fetcher, "download"):
+        if hasattr(self.fetcher, "stage"):
             named = docs.select("seq", "section", F.col("download_url").alias("url"), "document_id", name(F.lit(None).cast("string")).alias("fallback"))
-            return self.fetcher.download(named, self.output, self.strict)
-        answers = self.fetcher.fetch(docs.select(F.col("download_url").alias("url")))
-        header = F.coalesce(F.try_element_at("headers", F.lit("content-disposition")), F.try_element_at("headers", F.lit("Content-Disposition")))
-        rows = docs.join(answers, docs["download_url"] == answers["url"]).select("seq", "section", name(header).alias("filename"), "status", "body", "error")
-        return write_documents(rows, self.output)
+            out = self.fetcher.stage(named, self.output, self.strict)
+        else:
+            answers = self.fetcher.fetch(docs.select(F.col("download_url").alias("url")))
+            header = F.coalesce(F.try_element_at("headers", F.lit("content-disposition")), F.try_element_at("headers", F.lit("Content-Disposition")))
+            out = stage_bodies(docs.join(answers, docs["download_url"] == answers["url"]).select("seq", "section", name(header).alias("filename"), "status", "body", "error"), self.output)
+        counts = out.results.agg(F.count("*").alias("rows"), F.count_if("ok").alias("ok"), F.sum("file_size_bytes").alias("bytes")).first()
+        self._told({"step": step, **counts.asDict()})
+        return out
+
+    def _clean(self) -> None:
+        """Deletes what the run has kept on the way; the table of failed pages stays."""
+        if self._kept:
+            path = f"{self.work.rstrip('/')}/failed-{uuid.uuid4().hex}"
+            shape = self.failed_pages.schema
+            self.failed_pages.write.parquet(path)
+            self.failed_pages = self.spark.read.schema(shape).parquet(path)
+        for kept in self._kept:
+            delete(self.spark, kept)
+        self._kept = []

@@ -1,7 +1,7 @@
 """Fetchers: tables of URLs to tables of responses, and downloads to files.
 
 A fetcher is anything with ``fetch(urls) -> DataFrame`` of the shape RESPONSE.  One
-that also has ``download(rows, root, strict)`` saves documents itself, chunk by chunk.
+that also has ``stage(rows, root, strict)`` saves documents itself, chunk by chunk.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 from contextlib import nullcontext
 from dataclasses import dataclass, field
 from typing import Protocol
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.filenames import header_filename
 from ..functions.rules import RETRY_METHODS, RETRY_STATUSES
 from ..operators.responses import CHUNK, HTML_ERROR
-from ..schemas import DOWNLOAD, RESPONSE
+from ..schemas import RESPONSE
+from .sink import Staged, stage_bodies, stage_downloads
+from .turns import by_host, in_turn
 
 
 class Fetcher(Protocol):
@@ -150,7 +152,7 @@ def _row(r: dict) -> pa.RecordBatch:
 
 @dataclass
 class HttpFetcher:
-    """Responses from the network; the URLs of a host are fetched one after another, with a delay, in one task."""
+    """Responses from the network; the URLs of a host are fetched one after another, with a delay, in one task, and other hosts of the task meanwhile."""
 
     policy: Policy = field(default_factory=Policy)
 
@@ -158,47 +160,21 @@ class HttpFetcher:
         policy = self.policy
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            opener, first = _opener(policy), True
-            for batch in batches:
-                for url in batch.column("url").to_pylist():
-                    if not first and policy.delay:
-                        time.sleep(policy.delay)
-                    first = False
-                    yield _row(request(url, policy, opener))
+            opener = _opener(policy)
+            each = (url for batch in batches for url in batch.column("url").to_pylist())
+            for url in in_turn(each, lambda u: urlsplit(u).netloc, policy.delay):
+                yield _row(request(url, policy, opener))
 
-        return urls.select("url").distinct().repartition(_host("url")).mapInArrow(run, RESPONSE)
+        return by_host(urls.select("url").distinct()).mapInArrow(run, RESPONSE)
 
-    def download(self, rows: DataFrame, root: str, strict: bool = False) -> DataFrame:
-        """Results (DOWNLOAD) of saving the documents of rows (seq, section, url, document_id, fallback) below root.
+    def stage(self, rows: DataFrame, root: str, strict: bool = False) -> Staged:
+        """Stages the documents of rows (seq, section, url, document_id, fallback) below root.
 
         A document's name is known with the headers of its response; only then, and only
         if its file is not there, its body is read, a chunk at a time.  fallback is the
-        name where the headers give none.  Documents of a host come in order of seq.
+        name where the headers give none.
         """
-        policy = self.policy
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            opener, first = _opener(policy), True
-            for batch in batches:
-                for r in batch.to_pylist():
-                    if not first and policy.delay:
-                        time.sleep(policy.delay)
-                    first = False
-
-                    def save(status, headers, answer, error, r=r):
-                        if error is not None or status is None or status >= 400:
-                            return False, "", 0, error or f"HTTP {status}"
-                        name = header_filename(headers.get("content-disposition"), r["document_id"], r["url"], strict) or r["fallback"]
-                        return write_chunks(os.path.join(root, r["section"]), name, lambda: chunks(answer, headers.get("content-encoding")))
-
-                    yield _results([(r["seq"], *exchange(r["url"], policy, save, opener))])
-
-        ordered = rows.select("seq", "section", "url", "document_id", "fallback").repartition(_host("url")).sortWithinPartitions("seq")
-        return ordered.mapInArrow(run, DOWNLOAD)
-
-
-def _host(url: str) -> Column:
-    return F.regexp_extract(url, "^[a-zA-Z]+://([^/?#]*)", 1)
+        return stage_downloads(rows, root, self.policy, strict)
 
 
 def body_text(body: bytes | None, kind: str | None) -> str | None:
@@ -273,27 +249,10 @@ def write_body(folder: str, name: str, body: bytes | None) -> tuple[bool, str, i
     return write_chunks(folder, name, lambda: (whole[i : i + CHUNK] for i in range(0, len(whole), CHUNK)))
 
 
-def _results(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.string())
-    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["seq", "ok", "filename", "file_size_bytes", "error"])
-
-
 def write_documents(rows: DataFrame, root: str) -> DataFrame:
     """Results (DOWNLOAD) of writing rows (seq, section, filename, status, body, error) below root, a folder that all executors share.
 
-    Rows of one file are written in order of seq, so the first of them stays.
+    Rows of one file are written in order of seq, so the first of them stays.  The files
+    appear only after all of them have been written (see ``sink``).
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                if r["error"] is not None or r["status"] is None or r["status"] >= 400:
-                    out.append((r["seq"], False, "", 0, r["error"] or f"HTTP {r['status']}"))
-                else:
-                    out.append((r["seq"], *write_body(os.path.join(root, r["section"]), r["filename"], r["body"])))
-            if out:
-                yield _results(out)
-
-    ordered = rows.select("seq", "section", "filename", "status", "body", "error").repartition("section", "filename").sortWithinPartitions("section", "filename", "seq")
-    return ordered.mapInArrow(run, DOWNLOAD)
+    return stage_bodies(rows, root).publish()

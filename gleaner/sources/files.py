@@ -1,4 +1,4 @@
-"""The files of a folder, as a table."""
+"""The files of a folder."""
 
 from __future__ import annotations
 
@@ -16,3 +16,9 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     base = files.makeQualified(at).toUri().getPath().rstrip("/")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
     return found.select(F.substring_index("path", f"{base}/", -1).alias("path"), "length").where("not endswith(path, '.part')")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder with all it holds, in whatever file system it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -8,9 +8,11 @@ from gleaner.operators.registry import Registry
 from gleaner.plans import site
 from gleaner.plans.crawl import Crawl
 from gleaner.schemas import CATALOG, EVENT, RESPONSE
-from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, body_text, chunks, request, write_body, write_chunks, write_documents
+from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, body_text, chunks, request, write_documents
 from gleaner.sources.files import list_files
 from gleaner.sources.http import HttpPages
+from gleaner.sources.sink import Staged, _move, stage, stage_bodies
+from gleaner.sources.turns import by_host, in_turn
 from tests.conftest import SMALL
 
 LISTING = '<article><a href="/d/1">One</a></article><article><a href="/d/2">Two</a></article><article><a href="/d/404">Gone</a></article><a href="/direct.pdf">Direct doc</a><a href="/l/PageID/2">2</a>'
@@ -129,7 +131,7 @@ def test_a_body_is_read_only_where_its_file_is_missing(spark, server, tmp_path):
     assert hits["/DocumentDownload.ashx?DocumentId=1"] >= 1
     read = []
     answer = lambda: iter([read.append(1) or b"x"])
-    assert write_chunks(str(tmp_path / "out" / "sec"), "last.pdf", answer) == (True, "last.pdf", 9, None) and not read
+    assert stage(str(tmp_path / "out"), str(tmp_path / "s"), "sec", "last.pdf", answer) == (True, "last.pdf", 9, None, None) and not read
     hits.clear()
     fresh = Registry(spark, str(tmp_path / "another"))
     again = Crawl(spark, c.catalog, c.fetcher, fresh, c.output, c.work)
@@ -197,18 +199,156 @@ def test_list_files(spark, tmp_path):
     assert list_files(spark, str(tmp_path / "none")).count() == 0
 
 
-def test_write_body(tmp_path):
-    d = str(tmp_path / "s")
-    assert write_body(d, "a.pdf", b"%PDF") == (True, "a.pdf", 4, None)
-    assert write_body(d, "a.pdf", b"other and longer") == (True, "a.pdf", 4, None)
-    assert write_body(d, "h.pdf", b"\n<html>")[:3] == (False, "h.pdf", 0)
-    assert write_body(d, "e.pdf", b"") == (True, "e.pdf", 0, None)
-    assert write_body(d, "e.pdf", b"now") == (True, "e.pdf", 3, None)
-    ok, name, size, error = write_body(d, "x" * 300 + ".pdf", b"a")
+def test_one_document(tmp_path):
+    def write(name, body):
+        ok, filename, size, error, staged = stage(str(tmp_path), str(tmp_path / "_jobs" / "a"), "s", name, lambda: iter([body]))
+        return _move(str(tmp_path), {"seq": 0, "section": "s", "ok": ok, "filename": filename, "file_size_bytes": size, "error": error, "staged": staged})[1:]
+
+    assert write("a.pdf", b"%PDF") == (True, "a.pdf", 4, None)
+    assert write("a.pdf", b"other and longer") == (True, "a.pdf", 4, None)
+    assert write("h.pdf", b"\n<html>")[:3] == (False, "h.pdf", 0)
+    assert write("e.pdf", b"") == (True, "e.pdf", 0, None)
+    assert write("e.pdf", b"now") == (True, "e.pdf", 3, None)
+    ok, name, size, error = write("x" * 300 + ".pdf", b"a")
     assert (ok, name, size) == (False, "", 0) and error
     assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["a.pdf", "e.pdf"]
 
 
+def bodies(spark, n=6):
+    rows = [(i, f"s{i % 2}", f"{i // 2}.pdf", 404 if i == 5 else 200, bytearray(f"%PDF {i}".encode()), None) for i in range(n)]
+    return spark.createDataFrame(rows, "seq long, section string, filename string, status int, body binary, error string")
+
+
+def test_documents_appear_when_they_are_published(spark, tmp_path):
+    root = str(tmp_path)
+    job = stage_bodies(bodies(spark), root)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["_jobs"] and [j.job for j in Staged.open(spark, root)] == [job.job]
+    assert list_files(spark, root).count() == 0 and job.results.where("ok").count() == 5
+    done = job.publish(spark.createDataFrame([(0,), (3,), (5,)], "seq long"))
+    assert sorted((r.seq, r.ok) for r in done.collect()) == [(0, True), (3, True), (5, False)]
+    assert sorted(map(tuple, list_files(spark, root).collect())) == [("s0/0.pdf", 6), ("s1/1.pdf", 6)]
+    assert Staged.open(spark, root) == [] and not list(tmp_path.rglob("files-*"))
+    job.forget()
+    assert not (tmp_path / "_jobs").exists()
+
+
+def test_a_publication_that_broke_off_is_taken_up(spark, tmp_path):
+    job = stage_bodies(bodies(spark), str(tmp_path))
+    first = job.results.where("seq = 0").first().asDict()
+    assert _move(str(tmp_path), first)[1] and _move(str(tmp_path), first) == (0, True, "0.pdf", 6, None)
+    (again,) = Staged.open(spark, str(tmp_path))
+    assert again.publish().where("ok").count() == 5 and list_files(spark, str(tmp_path)).count() == 5
+
+
+def test_an_aborted_write_leaves_nothing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    broken = bodies(spark).withColumn("body", F.when(F.col("seq") == 4, F.raise_error(F.lit("lost")).cast("binary")).otherwise(F.col("body")))
+    with pytest.raises(Exception, match="lost"):
+        stage_bodies(broken, str(tmp_path))
+    assert not list(tmp_path.rglob("*.pdf")) and Staged.open(spark, str(tmp_path)) == []
+
+
+KILLED = """
+import os, sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from gleaner.sources.sink import stage_bodies
+root = sys.argv[1]
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", root + "/cp").getOrCreate()
+rows = spark.createDataFrame([(i, "s", f"{i}.pdf", 200, bytearray(b"%PDF" * 1000), None) for i in range(40)], "seq long, section string, filename string, status int, body binary, error string")
+import gleaner.sources.sink as sink
+class Dying(sink.DocumentWriter):
+    def _results(self, batches, files):
+        for i, r in enumerate(super()._results(batches, files)):
+            if i == 5 and TaskContext.get().attemptNumber() == 0:
+                os._exit(7)
+            yield r
+class Sink(sink.DocumentSink):
+    def writer(self, schema, overwrite):
+        return Dying(self.options, False)
+sink.DocumentSink = Sink
+job = stage_bodies(rows, root + "/out")
+assert len([x for x in os.listdir(job.folder) if x.startswith("files-")]) <= 2, os.listdir(job.folder)
+done = job.publish().collect()
+assert sorted(r.seq for r in done) == list(range(40)) and all(r.ok and r.file_size_bytes == 4000 for r in done)
+job.forget()
+assert sorted(os.listdir(root + "/out")) == ["s"] and len(os.listdir(root + "/out/s")) == 40
+print("GOOD")
+"""
+
+
+def test_a_killed_task_leaves_nothing(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    out = subprocess.run([sys.executable, "-c", KILLED, str(tmp_path)], cwd=ROOT, capture_output=True, text=True, timeout=180, env=os.environ | {"PYTHONPATH": str(ROOT)})
+    assert "GOOD" in out.stdout, out.stderr[-3000:]
+
+
+def test_hosts_take_turns():
+    now, order = [0.0], []
+    rows = [("a", 1), ("a", 2), ("b", 1), ("a", 3), ("b", 2), ("c", 1)]
+    for host, i in in_turn(iter(rows), lambda r: r[0], 1.0, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s)):
+        order.append((round(now[0], 6), host, i))
+        now[0] += 0.1
+    by = {h: [(t, i) for t, x, i in order if x == h] for h in "abc"}
+    assert len(order) == 6 and all([i for _, i in v] == sorted(i for _, i in v) for v in by.values())
+    assert all(t2 - t1 >= 1.1 - 1e-9 for v in by.values() for (t1, _), (t2, _) in zip(v, v[1:], strict=False))
+    assert now[0] < 2.5  # one after another they would take 5 seconds
+    assert list(in_turn(iter("xyz"), lambda r: "h", 0)) == ["x", "y", "z"]
+    # A host that comes back after its rows have run out keeps its delay.
+    times = []
+    now[0] = 0.0
+    for r in in_turn(iter("ab" * 3), lambda r: r, 1.0, ahead=1, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s)):
+        times.append((r, now[0]))
+    assert [t for r, t in times if r == "a"] == [0.0, 1.0, 2.0]
+
+
+def test_hosts_are_dealt_by_weight(spark):
+    from pyspark.sql import functions as F
+
+    urls = spark.createDataFrame([(f"http://h{i % 2}/{i}",) for i in range(100)] + [(f"http://small{i}/",) for i in range(20)], "url string")
+    got = by_host(urls, parts=4).withColumn("p", F.spark_partition_id()).selectExpr("p", "regexp_extract(url, '//([^/]*)', 1) as host").distinct().collect()
+    at = {r.host: r.p for r in got}
+    assert len(got) == len(at) == 22 and at["h0"] != at["h1"] and all(at[h] not in (at["h0"], at["h1"]) for h in at if h.startswith("small"))
+
+
+def test_two_hosts_of_one_task_take_half_the_time(spark, server):
+    import time
+
+    base, _ = server
+    other = base.replace("127.0.0.1", "localhost")
+    urls = spark.createDataFrame([(f"{b}/d/1?{i}",) for i in range(6) for b in (base, other)], "url string").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        HttpFetcher(Policy(delay=0.0, retries=0)).fetch(urls.limit(1)).collect()
+        begin = time.monotonic()
+        assert len(HttpFetcher(Policy(delay=0.4, retries=0)).fetch(urls).collect()) == 12
+        took = time.monotonic() - begin
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert 2.0 <= took < 4.0  # one after another: 11 * 0.4 = 4.4 seconds
+
+
+def test_files_are_the_recorded_downloads_at_any_limit(spark, server, tmp_path):
+    base, hits = server
+    listing = '<a href="/none1.pdf">1</a><a href="/none2.pdf">2</a><a href="/direct.pdf">3</a><a href="/last.pdf">4</a><a href="/DocumentDownload.ashx?DocumentId=1">5</a>'
+    SITE["/odd"] = (200, "text/html; charset=utf-8", listing.encode())
+    for limit, want in ((1, ["direct.pdf"]), (2, ["direct.pdf", "last.pdf"]), (9, ["direct.pdf", "doc_1_ሕግ.pdf", "last.pdf"])):
+        catalog = spark.createDataFrame([(0, "sec", "Sec", f"{base}/odd", None, "")], CATALOG)
+        at = tmp_path / str(limit)
+        c = Crawl(spark, catalog, HttpFetcher(POLICY), Registry(spark, str(at / "registry")), str(at / "out"), str(at / "work"), limit=limit)
+        counts = c.run()
+        assert counts["pdfs_downloaded"] == len(want) and counts["pdfs_failed"] == 2
+        assert sorted(p.name for p in (at / "out" / "sec").iterdir()) == want and not (at / "out" / "_jobs").exists()
+        assert sorted(r.filename for r in c.store.load().where("status = 'success'").collect()) == want
+        assert [p.name.partition("-")[0] for p in (at / "work").iterdir()] == ["failed"]
+
+
 def test_stream(spark, tmp_path):
     from gleaner.streaming.registry_stream import follow
     from tests.test_registry_and_runs import event
