@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import tempfile
+import threading
 import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import CSV_COLUMNS
 from ..schemas import EVENT
+from ..sources.files import replace_file
 
 
 def current(events: DataFrame, key: str = "doc_key", status: str = "status", order: tuple[str, ...] = ("seq",)) -> DataFrame:
@@ -77,15 +82,24 @@ def skip_events(rows: DataFrame, reason: str = "already_exists") -> DataFrame:
 
 
 class Registry:
-    """A log of events in a folder: batches appended in the order of their seq, and batches of streams.
-
-    ``log/vN`` holds the appended events; the greatest N that is complete counts.
-    ``stream/batch=N`` holds what a stream brought (see ``streaming.registry_stream``);
-    all share one count of seq.
+    """A log of events in a folder, folded now and then into a snapshot of the current entries.
+
+    ``base/vN`` is the snapshot: one row for each key, bucketed and sorted by key, so
+    that reading it, or joining it by key, needs no exchange on its side.  ``log/vN``
+    holds the batches appended since and ``stream/vN/batch=M`` those that a stream brought (see
+    ``streaming.registry_stream``); the greatest N whose snapshot is complete counts (0: no
+    snapshot yet).  All events share one count of seq, whose last value stands in
+    ``_head``.  So an append writes its batch and that number, and reads nothing
+    of what was there before.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    #: Seconds after which a lock is taken over from a writer that has not renewed it.
+    LEASE = 600.0
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        """buckets: of the snapshots of a new registry; not fewer than the partitions of a shuffle, or joins deal it anew."""
         self.spark, self.path = spark, path.rstrip("/")
+        self.buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def _at(self, name: str = ""):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
@@ -97,69 +111,177 @@ class Registry:
     def _folders(self, name: str) -> list[str]:
         return sorted(f.getPath().getName() for f in self._files.listStatus(self._at(name))) if self._files.exists(self._at(name)) else []
 
+    def _get(self, name: str) -> dict | None:
+        """A small JSON file of the folder."""
+        if not self._files.exists(self._at(name)):
+            return None
+        stream = self._files.open(self._at(name))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _put(self, name: str, value: dict) -> None:
+        """Sets it at once: written beside its place and renamed over it."""
+        part = f"{self.path}/{name}.{uuid.uuid4().hex}"
+        stream = self._files.create(self._at(part.rpartition("/")[2]), True)
+        stream.write(bytearray(json.dumps(value).encode()))
+        stream.close()
+        replace_file(self.spark, part, f"{self.path}/{name}")
+
+    # ------------------------------------------------------------ reading
+
     def versions(self) -> list[int]:
-        """The complete versions of the log, ascending."""
-        return sorted(int(f[1:]) for f in self._folders("log") if f[1:].isdigit() and self._files.exists(self._at(f"log/{f}/_SUCCESS")))
+        """The complete snapshots, ascending."""
+        return sorted(int(f[1:]) for f in self._folders("base") if f[1:].isdigit() and self._files.exists(self._at(f"base/{f}/_SUCCESS")))
 
-    def events(self, but_batch: int | None = None) -> DataFrame:
-        """All events; but_batch leaves out one batch of a stream."""
-        versions = self.versions()
-        out = self.spark.read.schema(EVENT).parquet(f"{self.path}/log/v{versions[-1]}") if versions else self.spark.createDataFrame([], EVENT)
-        batches = [f for f in self._folders("stream") if self._files.exists(self._at(f"stream/{f}/_SUCCESS")) and f != f"batch={but_batch}"]
-        return out.unionByName(self.spark.read.schema(EVENT).parquet(*(f"{self.path}/stream/{f}" for f in batches))) if batches else out
+    @property
+    def version(self) -> int:
+        return (self.versions() or [0])[-1]
+
+    def base(self) -> DataFrame | None:
+        """The snapshot, one row for each key; bucketed by key."""
+        if not (version := self.version):
+            return None
+        name = f"gleaner_{hashlib.sha256(f'{self.path}/{version}'.encode()).hexdigest()[:24]}"
+        if not self.spark.catalog.tableExists(name):
+            shape = f"{EVENT}, first_seen struct<seq: bigint>"
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({shape}) USING parquet CLUSTERED BY (doc_key) SORTED BY (doc_key) INTO {self._get('_head')['buckets']} BUCKETS LOCATION '{self.path}/base/v{version}'")
+        return self.spark.table(name)
+
+    def recent(self, but_batch: int | None = None) -> DataFrame:
+        """The events since the snapshot; but_batch leaves out one batch of a stream."""
+        version = self.version
+        batches = [f for f in self._folders(f"stream/v{version}") if self._files.exists(self._at(f"stream/v{version}/{f}/_SUCCESS")) and f != f"batch={but_batch}"]
+        paths = [f"{self.path}/stream/v{version}/{f}" for f in batches]
+        if self._files.exists(self._at(f"log/v{version}/_SUCCESS")):
+            paths.append(f"{self.path}/log/v{version}")
+        return reduce(DataFrame.unionByName, [self.spark.read.schema(EVENT).parquet(p) for p in paths]) if paths else self.spark.createDataFrame([], EVENT)
 
     def load(self) -> DataFrame:
-        """The current entry of each key."""
-        return current(self.events())
+        """The current entry of each key.  Only the events since the snapshot are dealt by key."""
+        base, recent = self.base(), current(self.recent())
+        if base is None:
+            return recent
+        old, new = F.struct(*(F.col(f"o.{c}").alias(c) for c in recent.columns)), F.struct(*(F.col(f"n.{c}").alias(c) for c in recent.columns))
+        both = base.select(*recent.columns).alias("o").join(recent.alias("n"), F.col("o.doc_key") == F.col("n.doc_key"), "full")
+        # A later skip changes nothing.
+        newer = F.col("o.doc_key").isNull() | F.coalesce(F.col("n.status") != "skipped", F.lit(False))
+        rows = both.select(F.when(newer, new).otherwise(old).alias("_row"), F.coalesce("o.first_seen", "n.first_seen").alias("_seen"))
+        return rows.select("_row.*", "_seen").withColumn("first_seen", F.col("_seen")).drop("_seen")
+
+    def split(self, candidates: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``split_downloaded`` by this registry: the snapshot stays as it is dealt, candidates and recent events come to it."""
+        base, recent = self.base(), current(self.recent()).select("doc_key", F.col("status").alias("_new"), F.col("file_path").alias("_new_path"))
+        known = candidates.select("doc_key").distinct()
+        if base is None:
+            entries = known.join(recent, "doc_key").select("doc_key", F.col("_new").alias("status"), F.col("_new_path").alias("file_path"))
+        else:
+            met = known.join(base.select("doc_key", "status", "file_path").hint("merge"), "doc_key", "left").join(recent, "doc_key", "left")
+            newer = F.col("_new").isNotNull() & (F.col("status").isNull() | (F.col("_new") != "skipped"))
+            entries = met.select("doc_key", F.when(newer, F.col("_new")).otherwise(F.col("status")).alias("status"), F.when(newer, F.col("_new_path")).otherwise(F.col("file_path")).alias("file_path"))
+        return split_downloaded(candidates, entries, files)
 
     def last_seq(self, but_batch: int | None = None) -> int:
-        return self.events(but_batch).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+        """The seq of the last event.  A batch that is written again takes numbers of its own."""
+        return (self._get("_head") or {"seq": 0})["seq"]
+
+    # ------------------------------------------------------------ writing
 
     @contextmanager
     def writing(self, wait: float = 60.0) -> Iterator[None]:
-        """One writer at a time, so that no two take the same seq: a lock file, which goes at the end."""
-        lock, until = self._at("_writing"), time.monotonic() + wait
+        """One writer at a time, so that no two take the same seq: a lock file with an owner and a time, which goes at the end.
+
+        A lock whose owner has not renewed it for LEASE seconds is taken over, so a
+        killed driver does not block later runs.
+        """
+        lock, until, owner = self._at("_writing"), time.monotonic() + wait, uuid.uuid4().hex
         self._files.mkdirs(self._at())
         while not self._files.createNewFile(lock):
+            try:
+                since = self._files.getFileStatus(lock).getModificationTime() / 1000
+                if time.time() - since > self.LEASE and self._files.rename(lock, self._at(f"_stale-{owner}")):  # one of several that wait gets it
+                    self._files.delete(self._at(f"_stale-{owner}"), False)
+                    continue
+            except Exception:  # it went meanwhile
+                if self._files.exists(lock):
+                    raise
+                continue
             if time.monotonic() > until:
-                raise TimeoutError(f"{lock} is there: another writer is at work, or one ended without removing it")
+                raise TimeoutError(f"{lock} is there: another writer is at work, or one has ended without removing it less than {self.LEASE:.0f} seconds ago")
             time.sleep(0.1)
+        ended = threading.Event()
+
+        def renew() -> None:
+            while not ended.wait(self.LEASE / 4):
+                self._files.setTimes(lock, int(time.time() * 1000), -1)
+
+        thread = threading.Thread(target=renew, daemon=True)
+        thread.start()
         try:
             yield
         finally:
+            ended.set()
+            thread.join()
             self._files.delete(lock, False)
 
     def _shaped(self, events: DataFrame, base: int) -> DataFrame:
         shape = self.spark.createDataFrame([], EVENT)
         return events.withColumn("seq", F.col("seq") + F.lit(base + 1)).select(*shape.columns).to(shape.schema)
 
+    def _write(self, events: DataFrame, path: str, mode: str) -> None:
+        """Writes events; their seq counts from the last one, which is set before, so that a number is never given twice."""
+        head = self._get("_head") or {"seq": 0, "buckets": self.buckets}
+        seen = Observation()
+        rows = self._shaped(events, head["seq"]).observe(seen, F.max("seq").alias("last"))
+        rows.write.mode(mode).parquet(f"{self.path}/{path}")
+        self._put("_head", head | {"seq": max(head["seq"], seen.get["last"] or 0)})
+
     def append(self, events: DataFrame) -> None:
         """Adds a batch; its seq counts from the last one there.  Errors are raised."""
         with self.writing():
-            version = (self.versions() or [1])[-1]
-            self._shaped(events, self.last_seq()).write.mode("append").parquet(f"{self.path}/log/v{version}")
+            self._write(events, f"log/v{self.version}", "append")
 
     def append_batch(self, events: DataFrame, number: int) -> None:
-        """Sets a stream's batch of that number; written again after a failure it takes the place of the first attempt."""
+        """Sets a stream's batch of that number; written again after a failure it takes the place of the first attempt.
+
+        A batch that a snapshot holds already is not counted again.
+        """
         with self.writing():
-            self._shaped(events, self.last_seq(number)).write.mode("overwrite").parquet(f"{self.path}/stream/batch={number}")
+            if number > (self._get("_head") or {}).get("folded", -1):
+                self._write(events, f"stream/v{self.version}/batch={number}", "overwrite")
 
     def compact(self) -> None:
-        """Writes a new version of the log with the first and the current event of each key.
+        """Folds the events since the last snapshot, appended and streamed, into a new one.
 
-        It counts from the moment it is complete, and the version before stays until the next
+        It counts from the moment it is complete, and the one before stays until the next
         time, so a reader finds all entries at any time.
         """
         with self.writing():
-            versions = self.versions()
-            if not versions:
+            version = self.version
+            head = self._get("_head")
+            if head is None:
                 return
-            log = self.spark.read.schema(EVENT).parquet(f"{self.path}/log/v{versions[-1]}")
-            last = current(log)
-            marks = last.select(F.col("first_seen.seq").alias("seq")).unionByName(last.select("seq")).distinct()
-            log.join(marks, "seq", "left_semi").write.parquet(f"{self.path}/log/v{versions[-1] + 1}")
-            for old in versions[:-1]:
-                self._files.delete(self._at(f"log/v{old}"), True)
+            at, name = f"{self.path}/base/v{version + 1}", f"gleaner_new_{uuid.uuid4().hex}"
+            batches = [int(f.partition("=")[2]) for f in self._folders(f"stream/v{version}")]
+            self._put("_head", head | {"folded": max([head.get("folded", -1), *batches]), "buckets": head["buckets"]})
+            shape = self.spark.createDataFrame([], EVENT)
+            rows = self.load().select(*shape.columns, F.struct(F.col("first_seen.seq").alias("seq")).alias("first_seen"))
+            self._files.delete(self._at(f"base/v{version + 1}"), True)  # of an attempt that broke off
+            # A task for each bucket writes one file, so sorted reads need no further sort.
+            rows.repartition(head["buckets"], "doc_key").write.bucketBy(head["buckets"], "doc_key").sortBy("doc_key").option("path", at).saveAsTable(name)
+            self.spark.sql(f"DROP TABLE {name}")
+            for old in self.versions()[:-2]:
+                self._drop(old)
+            for kind in ("log", "stream"):
+                for f in self._folders(kind):
+                    if f[1:].isdigit() and int(f[1:]) < version:
+                        self._files.delete(self._at(f"{kind}/{f}"), True)
+
+    def _drop(self, version: int) -> None:
+        name = f"gleaner_{hashlib.sha256(f'{self.path}/{version}'.encode()).hexdigest()[:24]}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._files.delete(self._at(f"base/v{version}"), True)
 
     def export_rows(self) -> DataFrame:
         """The columns of the CSV form, in the order in which keys were first seen."""
@@ -171,7 +293,7 @@ class Registry:
         """One CSV file on the driver, written row by row and moved into place."""
         import csv
 
-        self._write(target, lambda f: self._csv(csv.writer(f)), newline="")
+        self._export(target, lambda f: self._csv(csv.writer(f)), newline="")
 
     def _csv(self, out) -> None:
         out.writerow(CSV_COLUMNS)
@@ -180,7 +302,7 @@ class Registry:
 
     def export_json(self, target: str) -> None:
         """One JSON object of all entries by key, in UTF-8, indented by two."""
-        self._write(target, self._json)
+        self._export(target, self._json)
 
     def _json(self, f) -> None:
         drop = {"seq", "doc_key", "first_seen"}
@@ -194,18 +316,15 @@ class Registry:
             f.write(("," if i else "") + f"\n  {json.dumps(row.doc_key, ensure_ascii=False)}: {body}")
         f.write("\n}")
 
-    def _write(self, target: str, body, **options) -> None:
+    def _export(self, target: str, body, **options) -> None:
         """Writes a file on the driver and moves it into place, in whatever file system the target is."""
         fd, part = tempfile.mkstemp()
         with os.fdopen(fd, "w", encoding="utf-8", **options) as f:
             body(f)
-        jvm, conf = self.spark.sparkContext._jvm.org.apache.hadoop.fs, self.spark.sparkContext._jsc.hadoopConfiguration()
-        there, end = jvm.Path(f"{target}.part"), jvm.Path(target)
-        files = there.getFileSystem(conf)
-        files.copyFromLocalFile(True, True, jvm.Path(f"file://{part}"), there)
-        replace = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        replace[0] = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        jvm.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(there), files.makeQualified(end), replace)
+        jvm = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        there = jvm.Path(f"{target}.part")
+        there.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).copyFromLocalFile(True, True, jvm.Path(f"file://{part}"), there)
+        replace_file(self.spark, f"{target}.part", target)
 
 
 def import_json(spark: SparkSession, path: str) -> DataFrame:

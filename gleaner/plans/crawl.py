@@ -198,7 +198,7 @@ class Crawl:
     # ---------------------------------------------------------------- the run
 
     def _known(self, log: DataFrame, files: DataFrame) -> DataFrame:
-        skipped, _ = registry.split_downloaded(log.where("kind = 'document'"), self.store.load(), files)
+        skipped, _ = self.store.split(log.where("kind = 'document'"), files)
         return log.join(skipped.select("seq", F.lit(True).alias("known")), "seq", "left")
 
     def run(self, section: str = "all", files: DataFrame | None = None) -> dict[str, int]:

@@ -22,3 +22,13 @@ def delete(spark: SparkSession, path: str) -> None:
     """Deletes a file or a folder with all it holds, in whatever file system it is."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def replace_file(spark: SparkSession, part: str, target: str) -> None:
+    """Renames a file over another one, at once, in whatever file system they are."""
+    jvm, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    there, end = jvm.Path(part), jvm.Path(target)
+    files = there.getFileSystem(conf)
+    over = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+    over[0] = jvm.Options.Rename.OVERWRITE
+    jvm.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(there), files.makeQualified(end), over)

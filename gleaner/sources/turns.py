@@ -8,7 +8,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Row = TypeVar("Row")
@@ -74,9 +74,10 @@ def by_host(rows: DataFrame, url: str = "url", parts: int | None = None) -> Data
     spark = rows.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.withColumn("__host", host(url))
-    counts = rows.groupBy("__host").agg(F.count("*").alias("n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    heavy = counts.where(F.col("n") * parts > total).orderBy(F.col("n").desc(), "__host").collect()  # fewer than parts
+    seen = Observation()
+    counts = rows.groupBy("__host").agg(F.count("*").alias("n")).observe(seen, F.sum("n").alias("total"))
+    largest = counts.orderBy(F.col("n").desc(), "__host").limit(parts).collect()
+    heavy = [r for r in largest if r.n * parts > seen.get["total"]] if parts > 1 else []  # fewer than parts
     place = F.pmod(F.xxhash64("__host"), F.lit(parts)).cast("int")
     if heavy:
         own = spark.createDataFrame([(r[0], i) for i, r in enumerate(heavy)], "__host string, __place int")

@@ -35,14 +35,68 @@ def test_workflow(spark, tmp_path):
     before = {r.doc_key: (r.status, r.seq, r.first_seen.seq) for r in again.load().collect()}
     for i in range(5):
         again.append(events(spark, event(0, "doc_9", "failed" if i % 2 else "success")))
+    entries = lambda: {r.doc_key: (r.status, r.seq, r.first_seen.seq) for r in again.load().collect()}
+    assert entries() == {"doc_123": before["doc_123"], "doc_9": ("success", 8, 2)} and again.versions() == []
+    again.compact()
+    assert entries() == {"doc_123": before["doc_123"], "doc_9": ("success", 8, 2)} and again.recent().count() == 0 and again.versions() == [1]
+    # Later events win over the snapshot, later skips do not; new keys come in.
+    again.append(events(spark, event(0, "doc_9", "skipped"), event(1, "doc_123", "success"), event(2, "new", "skipped", reason="r")))
+    want = {"doc_123": ("success", 10, before["doc_123"][2]), "doc_9": ("success", 8, 2), "new": ("skipped", 11, 11)}
+    assert entries() == want and again.last_seq() == 11
     again.compact()
-    after = {r.doc_key: (r.status, r.seq, r.first_seen.seq) for r in again.load().collect()}
-    assert after["doc_123"] == before["doc_123"] and after["doc_9"] == ("success", 8, 2) and again.events().count() == 4
     # The version before stays for readers, and an unfinished one does not count.
-    assert again.versions() == [1, 2]
-    again.events().limit(0).write.parquet(str(tmp_path / "r" / "log" / "v3"))
-    (tmp_path / "r" / "log" / "v3" / "_SUCCESS").unlink()
-    assert again.versions() == [1, 2] and again.load().count() == 2
+    assert entries() == want and again.versions() == [1, 2]
+    (tmp_path / "r" / "base" / "v3").mkdir()
+    assert again.versions() == [1, 2] and registry.Registry(spark, str(tmp_path / "r")).load().count() == 3
+    again.compact()
+    assert entries() == want and again.versions() == [2, 3] and not (tmp_path / "r" / "log" / "v1").exists()
+
+
+def test_the_snapshot_is_not_dealt_again(spark, tmp_path):
+    import re
+
+    store = registry.Registry(spark, str(tmp_path / "r"), buckets=8)
+    store.append(events(spark, *(event(i, f"k{i}", "success" if i % 3 else "failed", f"s/{i}") for i in range(40))))
+    store.compact()
+    store.append(events(spark, event(0, "k4", "failed"), event(1, "k3", "success", "s/3"), event(2, "k5", "skipped"), event(3, "k99", "success", "s/99")))
+    files = spark.createDataFrame([(f"s/{i}", i % 5) for i in range(100)], "path string, length long")
+    candidates = spark.createDataFrame([(f"k{i}",) for i in range(120)] + [("k7",)], "doc_key string")
+    skipped, rest = store.split(candidates, files)
+    old, left = registry.split_downloaded(candidates, store.load(), files)
+    of = lambda df: sorted(r.doc_key for r in df.collect())
+    assert of(skipped) == of(old) and of(rest) == of(left) and "k3" in of(skipped) and "k4" in of(rest) and of(skipped).count("k7") == 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (store.load(), store.split(candidates, files)[0]):
+            lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            scans = [i for i, x in enumerate(lines) if "FileScan parquet" in x and "Bucketed: true" in x]
+            assert scans, "\n".join(lines)
+            for i in scans:  # no exchange between the snapshot and the join that it takes part in
+                depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+                above, at = [], depth(lines[i])
+                for x in reversed(lines[:i]):
+                    if depth(x) < at:
+                        at = depth(x)
+                        above.append(x)
+                        if "Join" in x:
+                            break
+                assert above and not any(re.search("Exchange", x) for x in above)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_stale_lock_is_taken_over(spark, tmp_path):
+    import os
+    import time
+
+    store = registry.Registry(spark, str(tmp_path / "r"))
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "_writing").touch()
+    with pytest.raises(TimeoutError), store.writing(0.2):
+        pass
+    os.utime(tmp_path / "r" / "_writing", (time.time() - 9999, time.time() - 9999))
+    store.append(events(spark, event(0, "a", "success")))
+    assert store.last_seq() == 1 and not (tmp_path / "r" / "_writing").exists()
 
 
 def test_one_writer_at_a_time(spark, tmp_path):
