@@ -16,6 +16,7 @@ from ..operators import dedupe, extract, listing, outcome, registry, responses
 from ..session import local_path, shared_dir, ship
 from ..sources.fetch import write_documents
 from ..sources.files import list_files
+from ..sources.sink import stage_bodies
 from . import site
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,8 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 #: Downloads after which the limited runs stop.
 LIMIT = 500
+#: The same for the crawl that is run with its effects.
+RUN = 25
 
 
 def query(sql: str | None = None):
@@ -411,8 +414,8 @@ def crawl_discovery(spark, sf_dir):
     return _crawl(spark, sf_dir).discover().select("seq", "kind", "section", "doc_key")
 
 
-def _crawl(spark: SparkSession, sf_dir: str, status=None, **more):
-    """A crawl of the site out of a table; status: of the response to a URL."""
+def _crawl(spark: SparkSession, sf_dir: str, status=None, more: DataFrame | None = None, dry_run: bool = True, **options):
+    """A crawl of the site out of a table; status: of the response to a URL; more: further responses."""
     from ..sources.fetch import TableFetcher
     from .crawl import Crawl
 
@@ -420,7 +423,9 @@ def _crawl(spark: SparkSession, sf_dir: str, status=None, **more):
     utf8 = F.create_map(F.lit("content-type"), F.lit("text/html; charset=utf-8"))
     answers = pages.select(F.col("page_url").alias("url"), (F.lit(200) if status is None else status).alias("status"), utf8.alias("headers"), F.col("html").cast("binary").alias("body"), F.lit(None).cast("string").alias("error"))
     work = _folder(spark)
-    return Crawl(spark, site.catalog(spark, sf_dir), TableFetcher(answers), registry.Registry(spark, f"{work}/registry"), f"{work}/output", work, dry_run=True, **more)
+    if more is not None:
+        answers = answers.unionByName(more)
+    return Crawl(spark, site.catalog(spark, sf_dir), TableFetcher(answers), registry.Registry(spark, f"{work}/registry"), f"{work}/output", work, dry_run=dry_run, **options)
 
 
 _GONE = "(SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN 404 WHEN c_custkey % 13 = 0 THEN 500 END AS st FROM customer)"
@@ -527,6 +532,86 @@ def streamed_registry(spark, sf_dir):
     return store.load().select("doc_key", "section", "filename", "file_size_bytes", "status")
 
 
+@query(f"WITH {_LATEST}, f AS (SELECT user_id, event_id AS first_event FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1) SELECT user_id, event_id, status, first_event FROM c JOIN f USING (user_id) WHERE rn = 1")
+def keyed_state(spark, sf_dir):
+    """The current entries of a stream of events, held as its state, over four batches, of which the third brings the events of the first one again."""
+    from ..streaming.keyed_state import entries, follow_entries
+
+    at = _folder(spark)
+    status = F.when(F.col("event_type") == "click", "skipped").when(F.col("event_type") == "purchase", "success").otherwise("failed")
+    events = _t(spark, sf_dir, "events").select("user_id", "event_id", "ts", status.alias("status"))
+    for part in (0, 1, 0, 2):
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{at}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{at}/in")
+        follow_entries(stream, f"{at}/out", f"{at}/checkpoint", "user_id", order=("ts", "event_id")).awaitTermination()
+    return entries(spark, f"{at}/out", "user_id").select("user_id", "event_id", "status", F.col("first_event_id").alias("first_event"))
+
+
+@query(
+    f"""WITH {_OUTCOMES}, j AS (SELECT now.*, ok AND price % 10 <> 0 AS done FROM now)
+    SELECT {_ENTRY}, seen, done FROM j"""
+)
+def merged_registry(spark, sf_dir):
+    """The current entries of a registry whose snapshot was made before the second events of its keys came, and whether they count as downloaded."""
+    at = _folder(spark)
+    store = registry.Registry(spark, f"{at}/registry")
+    events = _outcomes(spark, sf_dir)
+    store.append(events.where("seq % 2 = 0"))
+    store.compact()
+    # Numbers are given in the order of the runs, so first_seen is told by the key's least order.
+    store.append(events.where("seq % 2 = 1"))
+    files = events.where("status = 'success'").select(F.col("file_path").alias("path"), F.when(F.col("file_size_bytes") % 10 == 0, 0).otherwise(F.col("file_size_bytes")).alias("length"))
+    seen = events.groupBy("doc_key").agg(F.min("seq").alias("seen"))
+    entries = store.load().join(seen, "doc_key")
+    done, _ = store.split(entries.select("doc_key"), files)
+    return entries.join(done.withColumn("done", F.lit(True)), "doc_key", "left").select("doc_key", "section", "filename", "file_size_bytes", "status", "seen", F.coalesce("done", F.lit(False)).alias("done"))
+
+
+@query(
+    """SELECT c_custkey AS seq, NOT k AS ok, CASE WHEN k THEN '' ELSE 'c' || (c_custkey // 2) || '.pdf' END AS filename,
+    CASE WHEN k THEN 0 ELSE first_value(strlen('%PDF ' || c_name)) OVER (PARTITION BY c_nationkey, c_custkey // 2, k ORDER BY c_custkey) END AS file_size_bytes,
+    CASE WHEN k THEN 0 ELSE first_value(strlen('%PDF ' || c_name)) OVER (PARTITION BY c_nationkey, c_custkey // 2, k ORDER BY c_custkey) END AS listed
+    FROM (SELECT *, c_custkey % 7 = 0 AS k FROM customer) WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0"""
+)
+def document_results(spark, sf_dir):
+    """What the sink for documents reports of each row that it was told to publish, and the length of that row's file by a listing; the rest is rolled back."""
+    k = F.col("c_custkey")
+    rows = _t(spark, sf_dir, "customer").select(
+        k.cast("long").alias("seq"), F.format_string("s%d", "c_nationkey").alias("section"), F.format_string("c%d.pdf", F.floor(k / 2)).alias("filename"), F.when(k % 7 == 0, 503).otherwise(200).alias("status"),
+        F.concat(F.lit("%PDF "), "c_name").cast("binary").alias("body"), F.lit(None).cast("string").alias("error"),
+    )
+    wanted = rows.where("seq % 2 = 0 or seq % 3 = 0")
+    at = f"{_folder(spark)}/files"
+    done = stage_bodies(rows, at).publish(wanted.select("seq"))
+    files = list_files(spark, at).select("path", F.col("length").alias("listed"))
+    named = done.join(wanted.select("seq", "section"), "seq").withColumn("path", F.concat_ws("/", "section", "filename"))
+    return named.join(files, "path", "full").select("seq", "ok", "filename", "file_size_bytes", F.coalesce("listed", F.lit(0).cast("long")).alias("listed"))
+
+
+@query(
+    f"""WITH {_ART}, {_DOCS}, s AS (SELECT *, p // 10 AS pg FROM art WHERE section_ord = 3),
+    rows AS (SELECT DISTINCT pg, -1 AS art, -1 AS pos, 'page' AS kind, NULL::BIGINT AS o, NULL AS url, NULL AS id FROM s
+     UNION ALL SELECT pg, c_custkey, -1, 'article', NULL, NULL, NULL FROM s WHERE c_custkey % 7 <> 0
+     UNION ALL SELECT pg, c_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY (kind IN (3, 6)), o), 'document', o, url, CASE WHEN kind IN (0, 4) THEN o::VARCHAR END FROM s JOIN doc ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0),
+    log AS (SELECT row_number() OVER (ORDER BY pg, art, pos) AS seq, *, kind = 'document' AND o % 5 <> 0 AS ok FROM rows),
+    cut AS (SELECT seq AS last FROM log WHERE ok ORDER BY seq LIMIT 1 OFFSET {{RUN - 1}}), run AS (SELECT * FROM log WHERE seq <= coalesce((SELECT last FROM cut), seq))
+    SELECT 'document' AS what, coalesce('doc_' || id, url) AS name, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, CASE WHEN ok THEN strlen('%PDF ' || o) ELSE 0 END AS number FROM run WHERE kind = 'document'
+    UNION ALL SELECT 'counter', unnest(['listing_pages_crawled', 'articles_visited', 'pdfs_discovered', 'pdfs_downloaded', 'pdfs_skipped', 'pdfs_failed']), NULL,
+     unnest([count(*) FILTER (kind = 'page'), count(*) FILTER (kind = 'article'), count(*) FILTER (kind = 'document'), count(*) FILTER (ok), 0, count(*) FILTER (kind = 'document' AND NOT ok)]) FROM run""".replace("{RUN - 1}", "24")
+)
+def limited_crawl(spark, sf_dir):
+    """A crawl of one section with a limit, to its end: its counters, its registry, and the lengths of the files that it leaves, of which each has an entry."""
+    o = F.col("o_orderkey")
+    bodies = _t(spark, sf_dir, "orders").select(o, F.explode(site.document_urls(o, F.col("o_custkey"))).alias("url"))
+    answers = bodies.select("url", F.when(o % 5 == 0, 404).otherwise(200).alias("status"), F.create_map(F.lit("content-type"), F.lit("application/pdf")).alias("headers"), F.format_string("%%PDF %d", o).cast("binary").alias("body"), F.lit(None).cast("string").alias("error"))
+    crawl = _crawl(spark, sf_dir, more=answers, dry_run=False, limit=RUN)
+    counts = crawl.run("sec3")
+    entries = crawl.store.load().where("doc_key is not null")
+    files = list_files(spark, crawl.output)
+    made = entries.join(files, F.col("file_path") == F.col("path"), "full").select(F.lit("document").alias("what"), F.col("doc_key").alias("name"), "status", F.coalesce("length", F.lit(0).cast("long")).alias("number"))
+    return made.unionByName(spark.createDataFrame([("counter", k, None, v) for k, v in counts.items()], "what string, name string, status string, number long"))
+
+
 @query("SELECT 's' || n_regionkey || '/n' || n_nationkey || '.pdf' AS path, strlen('%PDF ' || n_name) AS length FROM nation WHERE n_nationkey % 4 <> 1 AND n_nationkey % 4 <> 3")
 def written_files(spark, sf_dir):
     """Files that responses have made, by a listing of their folder: neither failures nor HTML pages nor empty files."""

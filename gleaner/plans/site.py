@@ -7,7 +7,7 @@ what the engine must find can be computed from the rows without any HTML.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.outcome import numbered
@@ -86,6 +86,18 @@ def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_urls(o: Column, customer: Column) -> Column:
+    """An array of the URL of an order's document, empty for orders without one."""
+    paths = [
+        F.format_string("/DocumentDownload.ashx?DocumentId=%d&ArticleId=%d", o, customer), F.format_string("/files/order_%d.pdf", o), F.format_string("/files/o%d.pdf?v=1&moduleid=%d", o, o % 5), F.format_string("/embed/%d.pdf", o),
+        F.format_string("/DocumentDownload.ashx?DOCUMENTID=%d", o), F.lit(None), F.format_string("/obj/%d.PDF?x", o),
+    ]
+    path = F.lit(None)
+    for i, p in enumerate(paths):
+        path = F.when(o % 7 == i, p).otherwise(path)
+    return F.array_compact(F.array(F.concat(F.lit(HOST), path)))
+
+
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run's log: a row for each page, article and document in the order of a crawl.
 
