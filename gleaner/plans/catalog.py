@@ -25,7 +25,7 @@ _SQL: dict[str, str] = {}
 #: Downloads after which the limited runs stop.
 LIMIT = 500
 #: The same for the crawl that is run with its effects.
-RUN = 25
+RUN = 12
 
 
 def query(sql: str | None = None):
@@ -402,18 +402,31 @@ def registry_events(spark, sf_dir):
     return events.select("seq", "doc_key", "section", "filename", "file_path", "file_size_bytes", "article_title", "status", "error")
 
 
-@query(
-    f"""WITH {_ART}, {_DOCS}, s AS (SELECT *, p // 10 AS pg FROM art),
+_DISCOVERY = f"""WITH {_ART}, {_DOCS}, s AS (SELECT *, p // 10 AS pg FROM art),
     rows AS (SELECT DISTINCT section_ord, pg, -1 AS art, -1 AS pos, 'page' AS kind, NULL AS url, NULL AS id FROM s
      UNION ALL SELECT section_ord, pg, c_custkey, -1, 'article', NULL, NULL FROM s WHERE c_custkey % 7 <> 0
      UNION ALL SELECT section_ord, pg, c_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY (kind IN (3, 6)), o), 'document', url, CASE WHEN kind IN (0, 4) THEN o::VARCHAR END FROM s JOIN doc ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0)
     SELECT row_number() OVER (ORDER BY section_ord, pg, art, pos) AS seq, kind, 'sec' || section_ord AS section, CASE WHEN kind = 'document' THEN coalesce('doc_' || id, url) END AS doc_key FROM rows"""
-)
+
+
+@query(_DISCOVERY)
 def crawl_discovery(spark, sf_dir):
     """The log of a whole discovery: listing pages, articles and documents, fetched out of a table, in the order of a crawl."""
     return _crawl(spark, sf_dir).discover().select("seq", "kind", "section", "doc_key")
 
 
+@query(_DISCOVERY)
+def streamed_crawl(spark, sf_dir):
+    """The log of a crawl that runs as a stream of batches of its frontier, is left after two of them and taken up again by another object."""
+    from ..streaming.crawl_stream import CrawlStream
+
+    crawl = _crawl(spark, sf_dir)
+    CrawlStream(crawl, f"{crawl.work}/stream", 1000).run(batches=2)
+    again = CrawlStream(crawl, f"{crawl.work}/stream", 100_000)
+    again.run()
+    return again.log().select("seq", "kind", "section", "doc_key")
+
+
 def _crawl(spark: SparkSession, sf_dir: str, status=None, more: DataFrame | None = None, dry_run: bool = True, **options):
     """A crawl of the site out of a table; status: of the response to a URL; more: further responses."""
     from ..sources.fetch import TableFetcher
@@ -597,7 +610,7 @@ def document_results(spark, sf_dir):
     cut AS (SELECT seq AS last FROM log WHERE ok ORDER BY seq LIMIT 1 OFFSET {{RUN - 1}}), run AS (SELECT * FROM log WHERE seq <= coalesce((SELECT last FROM cut), seq))
     SELECT 'document' AS what, coalesce('doc_' || id, url) AS name, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, CASE WHEN ok THEN strlen('%PDF ' || o) ELSE 0 END AS number FROM run WHERE kind = 'document'
     UNION ALL SELECT 'counter', unnest(['listing_pages_crawled', 'articles_visited', 'pdfs_discovered', 'pdfs_downloaded', 'pdfs_skipped', 'pdfs_failed']), NULL,
-     unnest([count(*) FILTER (kind = 'page'), count(*) FILTER (kind = 'article'), count(*) FILTER (kind = 'document'), count(*) FILTER (ok), 0, count(*) FILTER (kind = 'document' AND NOT ok)]) FROM run""".replace("{RUN - 1}", "24")
+     unnest([count(*) FILTER (kind = 'page'), count(*) FILTER (kind = 'article'), count(*) FILTER (kind = 'document'), count(*) FILTER (ok), 0, count(*) FILTER (kind = 'document' AND NOT ok)]) FROM run""".replace("{RUN - 1}", "11")
 )
 def limited_crawl(spark, sf_dir):
     """A crawl of one section with a limit, to its end: its counters, its registry, and the lengths of the files that it leaves, of which each has an entry."""

@@ -25,11 +25,11 @@ _log = logging.getLogger(__name__)
 PLACE = ("section_ord", "section_key", "page_num")
 
 
-def _bad() -> Column:
+def bad() -> Column:
     return F.col("error").isNotNull() | F.col("status").isNull() | (F.col("status") >= 400)
 
 
-def _fault() -> Column:
+def fault() -> Column:
     return F.coalesce("error", F.concat(F.lit("HTTP "), F.col("status").cast("string")))
 
 
@@ -94,19 +94,19 @@ class Crawl:
 
     def _read(self, urls: DataFrame, want: tuple[str, ...], step: str) -> DataFrame:
         """url, status, error and parsed of each distinct URL; a response is parsed where it is fetched."""
-        answers = self.fetcher.fetch(urls).withColumn("body", F.when(~_bad(), F.col("body")))
-        return self._keep(extract.parse_pages(answers, "body", "url", ("status", "error"), want, "headers"), step, failed=F.count_if(_bad()))
+        answers = self.fetcher.fetch(urls).withColumn("body", F.when(~bad(), F.col("body")))
+        return self._keep(extract.parse_pages(answers, "body", "url", ("status", "error"), want, "headers"), step, failed=F.count_if(bad()))
 
     def _first_pages(self, sections: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The plan of all listing pages of some sections, and their first pages as _read gives them."""
         first = self._read(sections.select(F.col("start_url").alias("url")), ("pager", "articles", "documents"), "first pages")
         firsts = sections.join(first, F.col("start_url") == F.col("url"))
-        lost = firsts.where(_bad()).select("section_key", F.col("start_url").alias("page_url"), _fault().alias("error"))
+        lost = firsts.where(bad()).select("section_key", F.col("start_url").alias("page_url"), fault().alias("error"))
         if self.fail_fast and (row := lost.first()):
             raise RuntimeError(f"first page of section {row.section_key} failed: {row.error}")
         self.failed_pages = self.failed_pages.unionByName(lost)
         alive = sections.join(lost.select("section_key"), "section_key", "left_anti")
-        return self._keep(listing.plan_listing(alive, extract.pager_info(firsts.where(~_bad()), ("section_key",)), self.max_pages)), first
+        return self._keep(listing.plan_listing(alive, extract.pager_info(firsts.where(~bad()), ("section_key",)), self.max_pages)), first
 
     def _listed(self, plan: DataFrame, first: DataFrame) -> DataFrame:
         """The pages of a plan with their parsed links; first has those that have been fetched already."""
@@ -116,8 +116,8 @@ class Crawl:
         rest = self._read(missing, ("articles", "documents"), "listing pages").select("url", "status", "error", parsed)
         pages = plan.join(known.unionByName(rest), F.col("page_url") == F.col("url"))
         # First pages that failed have been reported.
-        self.failed_pages = self.failed_pages.unionByName(pages.where(_bad()).select("section_key", "page_url", _fault().alias("error")))
-        return pages.where(~_bad()).select(*PLACE, "page_url", "parsed")
+        self.failed_pages = self.failed_pages.unionByName(pages.where(bad()).select("section_key", "page_url", fault().alias("error")))
+        return pages.where(~bad()).select(*PLACE, "page_url", "parsed")
 
     def _articles(self, listed: DataFrame) -> DataFrame:
         arts = extract.article_links(listed, (*PLACE, "page_url"))
@@ -130,7 +130,7 @@ class Crawl:
         return arts
 
     @staticmethod
-    def _page_rows(listed: DataFrame) -> DataFrame:
+    def page_rows(listed: DataFrame) -> DataFrame:
         """Rows of pages and of the documents that they link themselves."""
         direct = extract.document_links(listed, PLACE).withColumnRenamed("pos", "doc_pos")
         here = {"is_article": F.lit(0), "art_pos": F.lit(-1)}
@@ -140,18 +140,22 @@ class Crawl:
         )
 
     def _article_rows(self, arts: DataFrame) -> DataFrame:
-        """Rows of articles, also of those that fail or hold nothing, and of their documents."""
         bodies = self._read(arts.select("url"), ("documents",), "article pages")
-        gone = bodies.where(_bad()).join(arts.select("section_key", "url"), "url")
-        self.failed_pages = self.failed_pages.unionByName(gone.select("section_key", F.col("url").alias("page_url"), _fault().alias("error")))
+        gone = bodies.where(bad()).join(arts.select("section_key", "url"), "url")
+        self.failed_pages = self.failed_pages.unionByName(gone.select("section_key", F.col("url").alias("page_url"), fault().alias("error")))
+        return self.article_rows(arts, bodies)
+
+    @staticmethod
+    def article_rows(arts: DataFrame, bodies: DataFrame) -> DataFrame:
+        """Rows of articles, also of those that fail or hold nothing, and of their documents."""
         place = [*PLACE, F.col("pos").alias("art_pos")]
         visited = arts.select(*place).withColumns({"is_article": F.lit(1), "doc_pos": F.lit(-1), "kind": F.lit("article")})
-        met = arts.select(*place, "url", F.col("title").alias("listing_title")).join(bodies.where(~_bad()).select("url", "parsed.documents"), "url")
+        met = arts.select(*place, "url", F.col("title").alias("listing_title")).join(bodies.where(~bad()).select("url", "parsed.documents"), "url")
         each = met.select(*PLACE, "art_pos", "listing_title", F.explode("documents").alias("d")).select(*PLACE, "art_pos", "listing_title", "d.*")
         docs = each.withColumn("article_title", extract.carried_title(F.col("article_title"), F.col("listing_title"))).drop("listing_title").withColumnRenamed("pos", "doc_pos")
         return visited.unionByName(docs.withColumns({"is_article": F.lit(1), "kind": F.lit("document")}), allowMissingColumns=True)
 
-    def _numbered(self, rows: DataFrame, base: int = 0) -> DataFrame:
+    def numbered(self, rows: DataFrame, base: int = 0) -> DataFrame:
         """A log of rows in the order of the crawl, seq from base + 1 on."""
         blank = self.spark.createDataFrame([], "article_title string, article_url string, download_url string, link_text string, document_id string, article_id string, module_id string")
         keyed = rows.unionByName(blank, allowMissingColumns=True).withColumn("doc_key", F.when(F.col("kind") == "document", doc_key(F.col("document_id"), F.col("download_url"))))
@@ -165,7 +169,7 @@ class Crawl:
         """
         self._start()
         listed = self._listed(*self._first_pages(listing.select_sections(self.catalog, section)))
-        return self._numbered(self._page_rows(listed).unionByName(self._article_rows(self._articles(listed)), allowMissingColumns=True))
+        return self.numbered(self.page_rows(listed).unionByName(self._article_rows(self._articles(listed)), allowMissingColumns=True))
 
     def frontier(self, section: str = "all") -> Iterator[DataFrame]:
         """The same log in parts, in order, each of which is fetched only when it is asked for.
@@ -182,16 +186,16 @@ class Crawl:
             while at < total:
                 listed = self._listed(plan.where((F.col("page_num") > at) & (F.col("page_num") <= at + size)), first)
                 if size == 1:
-                    yield (part := self._numbered(self._page_rows(listed), base))
+                    yield (part := self.numbered(self.page_rows(listed), base))
                     base += part.count()
                     arts = self._articles(listed)
                     count, done, step = arts.count(), 0, 1
                     while done < count:
                         some = arts.orderBy("pos").offset(done).limit(step)
-                        yield (part := self._numbered(self._article_rows(self._keep(some)), base))
+                        yield (part := self.numbered(self._article_rows(self._keep(some)), base))
                         base, done, step = base + part.count(), done + step, 2 * step
                 else:
-                    yield (part := self._numbered(self._page_rows(listed).unionByName(self._article_rows(self._articles(listed)), allowMissingColumns=True), base))
+                    yield (part := self.numbered(self.page_rows(listed).unionByName(self._article_rows(self._articles(listed)), allowMissingColumns=True), base))
                     base += part.count()
                 at, size = at + size, 2 * size
 
