@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
-import tempfile
+import re
 import threading
 import time
 import uuid
@@ -13,12 +12,15 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import CSV_COLUMNS
 from ..schemas import EVENT
+from ..session import ship
 from ..sources.files import replace_file
+from ..sources.ordered import write_ordered
 
 
 def current(events: DataFrame, key: str = "doc_key", status: str = "status", order: tuple[str, ...] = ("seq",)) -> DataFrame:
@@ -284,52 +286,99 @@ class Registry:
         self._files.delete(self._at(f"base/v{version}"), True)
 
     def export_rows(self) -> DataFrame:
-        """The columns of the CSV form, in the order in which keys were first seen."""
+        """The columns of the CSV form, and first_seen, the order in which keys were first seen."""
         at = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-        rows = self.load().orderBy("first_seen").withColumns({"key": F.col("doc_key"), "timestamp": at})
-        return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in CSV_COLUMNS))
+        rows = self.load().withColumns({"key": F.col("doc_key"), "timestamp": at})
+        return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in CSV_COLUMNS), "first_seen")
 
     def export_csv(self, target: str) -> None:
-        """One CSV file on the driver, written row by row and moved into place."""
-        import csv
-
-        self._export(target, lambda f: self._csv(csv.writer(f)), newline="")
-
-    def _csv(self, out) -> None:
-        out.writerow(CSV_COLUMNS)
-        for row in self.export_rows().toLocalIterator():
-            out.writerow(row)
+        """One CSV file in the order in which keys were first seen, moved into place."""
+        quoted = lambda c: F.when(F.col(c).rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.col(c))
+        line = F.concat_ws(",", *(quoted(c) for c in CSV_COLUMNS))
+        write_ordered(self.export_rows().select("first_seen", line.alias("value")), "first_seen", target, "\r\n", ",".join(CSV_COLUMNS) + "\r\n")
 
     def export_json(self, target: str) -> None:
-        """One JSON object of all entries by key, in UTF-8, indented by two."""
-        self._export(target, self._json)
-
-    def _json(self, f) -> None:
-        drop = {"seq", "doc_key", "first_seen"}
-        f.write("{")
-        for i, row in enumerate(self.load().orderBy("first_seen").toLocalIterator()):
-            entry = {k: v for k, v in row.asDict().items() if k not in drop and not (k == "reason" and row.status != "skipped")}
-            if row.status == "skipped":
-                entry = {k: entry[k] for k in ("document_id", "article_id", "section", "status", "reason", "timestamp")}
-            entry["timestamp"] = row.timestamp.strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
-            body = json.dumps(entry, ensure_ascii=False, indent=2).replace("\n", "\n  ")
-            f.write(("," if i else "") + f"\n  {json.dumps(row.doc_key, ensure_ascii=False)}: {body}")
-        f.write("\n}")
-
-    def _export(self, target: str, body, **options) -> None:
-        """Writes a file on the driver and moves it into place, in whatever file system the target is."""
-        fd, part = tempfile.mkstemp()
-        with os.fdopen(fd, "w", encoding="utf-8", **options) as f:
-            body(f)
-        jvm = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        there = jvm.Path(f"{target}.part")
-        there.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).copyFromLocalFile(True, True, jvm.Path(f"file://{part}"), there)
-        replace_file(self.spark, f"{target}.part", target)
+        """One JSON object of all entries by key, in the same order, in UTF-8, indented by two."""
+        rows = self.load()
+        rows = rows.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
+        # A value as JSON is that of an object with one member, without the rest.
+        value = lambda c: F.regexp_extract(F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}), r"(?s)^\{\"v\":(.*)\}$", 1)
+        member = lambda c: F.concat(F.lit(f'    "{c}": '), value(c))
+        skipped = F.concat_ws(",\n", *(member(c) for c in _SKIPPED))
+        other = F.concat_ws(",\n", *(member(c) for c in rows.columns if c not in ("seq", "doc_key", "first_seen", "reason")))
+        entry = F.concat(F.lit("\n  "), value("doc_key"), F.lit(": {\n"), F.when(F.col("status") == "skipped", skipped).otherwise(other), F.lit("\n  }"))
+        write_ordered(rows.select("first_seen", entry.alias("value")), "first_seen", target, ",", "{", "\n}", ended=False)
+
+
+#: Members of a skipped entry of the JSON form.
+_SKIPPED = ("document_id", "article_id", "section", "status", "reason", "timestamp")
+_ENTRY = "struct<document_id:string,article_id:string,section:string,filename:string,file_path:string,file_size_bytes:bigint,article_title:string,article_url:string,download_url:string,link_text:string,status:string,error:string,reason:string,timestamp:timestamp>"
+#: The first line of an entry, by its indentation; a line break inside a string is escaped.
+_BEGIN = re.compile(r'^  "(?:[^"\\]|\\.)*": \{$')
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of the lines (value, at) of some splits of a file: at, i, text, and edge: 1 for a split's last one, which may go on, and -1 for what comes before its first one."""
+
+    def row(at: int, i: int, lines: list[str], edge: int) -> tuple:
+        return at, i, "\n".join(lines), edge
+
+    split, i, lines, begun = None, 0, [], False
+    for batch in batches:
+        out = []
+        for line, at in zip(batch.column("value").to_pylist(), batch.column("at").to_pylist(), strict=True):
+            if at != split:
+                if split is not None:
+                    out.append(row(split, i, lines, 1 if begun else -1))
+                split, i, lines, begun = at, 0, [], False
+            if _BEGIN.match(line):
+                out.append(row(at, i, lines, 0 if begun else -1))
+                i, lines, begun = i + 1, [], True
+            lines.append(line)
+        if out:
+            yield _rows(out)
+    if split is not None:
+        yield _rows([row(split, i, lines, 1 if begun else -1)])
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.int32()), strict=True)], names=["at", "i", "text", "edge"])
 
 
 def import_json(spark: SparkSession, path: str) -> DataFrame:
-    """The entries of a registry's JSON form, in order; a file that can't be read as such gives none."""
-    entry = "struct<document_id:string,article_id:string,section:string,filename:string,file_path:string,file_size_bytes:bigint,article_title:string,article_url:string,download_url:string,link_text:string,status:string,error:string,reason:string,timestamp:timestamp>"
-    text = spark.read.text(path, wholetext=True)
-    entries = F.map_entries(F.from_json("value", f"map<string,{entry}>"))
-    return text.select(F.posexplode(entries).alias("seq", "e")).select(F.col("seq").cast("long"), F.col("e.key").alias("doc_key"), "e.value.*")
+    """The entries of a registry's JSON form, indented by two, in order; a file that can't be read as such gives none.
+
+    Tasks read splits of the file, each from the first line of an entry on.  Of a split
+    only its first and its last entry pass through the driver, to be put together.
+    """
+    ship(spark)
+    none = spark.createDataFrame([], f"seq long, doc_key string, e {_ENTRY}").select("seq", "doc_key", "e.*")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("at"))
+    found = lines.mapInArrow(_pieces, "at long, i long, text string, edge int")
+    ends = sorted(found.where("edge <> 0").collect(), key=lambda r: (r.at, r.i))
+    # What comes before a split's first entry ends the last one of the splits before.
+    whole: list[tuple[int, int, str]] = []
+    outer = ""
+    for r in ends:
+        if r.edge == 1:
+            whole.append((r.at, r.i, r.text))
+        elif whole:
+            whole[-1] = (*whole[-1][:2], f"{whole[-1][2]}\n{r.text}" if r.text else whole[-1][2])
+        else:
+            outer += r.text
+    if not whole or outer.strip() != "{" or not (last := whole[-1][2].rstrip()).endswith("}"):
+        return none
+    whole[-1] = (*whole[-1][:2], last[:-1])
+    every = found.where("edge = 0").select("at", "i", "text").unionByName(spark.createDataFrame(whole, "at long, i long, text string"))
+    body = F.regexp_replace("text", r",?\s*\z", "")
+    text = F.concat(F.lit("{"), body, F.lit("}"))
+    entry = F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, f"map<string,{_ENTRY}>"))
+    read = every.select("at", "i", F.get(F.map_entries(entry), F.lit(0)).alias("e"))
+    counts, base = [], 0
+    for r in sorted(read.groupBy("at").agg(F.count("*").alias("n"), F.count_if(F.col("e.value").isNull()).alias("bad")).collect(), key=lambda r: r.at):  # a row for each split
+        if r.bad:
+            return none
+        counts.append((r.at, base))
+        base += r.n
+    bases = spark.createDataFrame(counts, "at long, base long")
+    return read.join(F.broadcast(bases), "at").select((F.col("base") + F.col("i") - 1).alias("seq"), F.col("e.key").alias("doc_key"), "e.value.*")

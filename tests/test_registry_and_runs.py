@@ -131,11 +131,67 @@ def test_exports(spark, tmp_path):
     assert [(r.doc_key, r.status) for r in back] == [("b", "success"), ("a", "failed"), ("c", "skipped")]
 
 
-def test_import_of_a_broken_file(spark, tmp_path):
-    (tmp_path / "m.json").write_text("{nope")
+def test_exports_in_many_parts(spark, tmp_path):
+    """A file of several splits and parts is what one writer would have written; no row passes through the driver."""
+    from unittest import mock
+
+    store = registry.Registry(spark, str(tmp_path / "r"))
+    odd = ['"key": {', "a\n  \"b\": {\n", "ሕግ, \\", "", "\r\n,\t\x01"]
+    order = list(range(300))
+    random.Random(1).shuffle(order)
+    store.append(events(spark, *(event(place, f'k{i} {odd[i % 5]}', ("success", "failed", "skipped")[i % 3], size=i, article_title=odd[i % 4], error=odd[(i + 1) % 5] if i % 3 == 1 else None, reason="r") for place, i in enumerate(order))))
+    with mock.patch("pyspark.sql.DataFrame.toLocalIterator", side_effect=AssertionError):
+        store.export_json(str(tmp_path / "m.json"))
+        store.export_csv(str(tmp_path / "m.csv"))
+    entries = json.loads((tmp_path / "m.json").read_text(encoding="utf-8"))
+    keys = [f"k{i} {odd[i % 5]}" for i in order]
+    assert list(entries) == keys and json.dumps(entries, ensure_ascii=False, indent=2).replace("\\u0001", "\\u0001") == (tmp_path / "m.json").read_text(encoding="utf-8")
+    with open(tmp_path / "m.csv", encoding="utf-8", newline="") as f:
+        rows = list(csv.reader(f))
+    assert [r[0] for r in rows[1:]] == keys and {len(r) for r in rows} == {13} and sorted(p.name for p in tmp_path.iterdir()) == ["m.csv", "m.json", "r"]
+    want = [(i, k, e["status"], e.get("article_title"), e.get("error"), e.get("reason")) for i, (k, e) in enumerate(entries.items())]
+    for size in ("700", "64000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            back = registry.import_json(spark, str(tmp_path / "m.json"))
+            got = sorted((r.seq, r.doc_key, r.status, r.article_title, r.error, r.reason) for r in back.collect())
+            assert spark.read.text(str(tmp_path / "m.json")).rdd.getNumPartitions() > 1
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == want
+
+
+def test_an_empty_registry_is_exported(spark, tmp_path):
+    store = registry.Registry(spark, str(tmp_path / "r"))
+    store.export_json(str(tmp_path / "m.json"))
+    store.export_csv(str(tmp_path / "m.csv"))
+    assert json.loads((tmp_path / "m.json").read_text()) == {} and (tmp_path / "m.csv").read_text().startswith("key,") and registry.import_json(spark, str(tmp_path / "m.json")).count() == 0
+
+
+@pytest.mark.parametrize("text", ["{nope", "", '{\n  "a": {\n    "status": "success"\n  }', '{\n  "a": {\n    "status": "succ\n  },\n  "b": {\n    "status": "failed"\n  }\n}', "[]"])
+def test_import_of_a_broken_file(spark, tmp_path, text):
+    (tmp_path / "m.json").write_text(text)
     assert registry.import_json(spark, str(tmp_path / "m.json")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_states_fold_to_the_current_entries(seed):
+    from gleaner.streaming.keyed_state import folded
+
+    rng = random.Random(seed)
+    log = [(i, rng.choice(["skipped", "skipped", "failed", "success"])) for i in range(rng.randrange(1, 9))]
+    others = [e for e in log if e[1] != "skipped"]
+    want = (*(others[-1] if others else log[0]), 0)
+    some = log + rng.choices(log, k=4)  # in any order, some more than once
+    rng.shuffle(some)
+    entry = None
+    for e in some:
+        entry = folded(entry, e, [0], 1)
+    assert entry == want
+
+
 def loop(rows, limit, dry):
     """A run told as a loop over its rows."""
     got, out = 0, []

@@ -371,6 +371,29 @@ def test_stream(spark, tmp_path):
     assert {r.doc_key: r.status for r in store.load().collect()} == before and store.recent().count() == 0
 
 
+def test_a_streamed_crawl_goes_on_where_it_was(spark, server, tmp_path):
+    from gleaner.streaming.crawl_stream import CrawlStream
+
+    base, hits = server
+    c = crawl(spark, base, tmp_path)
+    whole = sorted(map(str, c.discover().select("seq", "kind", "doc_key", "page_num", "article_title").collect()))
+    hits.clear()
+    at = str(tmp_path / "work" / "stream")
+    assert CrawlStream(c, at, 2).run(batches=1) == 4
+    broken = CrawlStream(c, at, 2)
+
+    def lost(rows, number):
+        raise RuntimeError("lost")
+
+    broken._add = lost  # after the pages have been kept
+    with pytest.raises(Exception, match="lost"):
+        broken.run()
+    again = CrawlStream(c, at, 3)
+    assert again.run() == 0 and again.run() == 0
+    assert sorted(map(str, again.log().select("seq", "kind", "doc_key", "page_num", "article_title").collect())) == whole
+    assert hits == {"/l": 1, "/l/PageID/2": 1, "/d/1": 1, "/d/2": 1, "/d/404": 1, "/d/3": 1}
+
+
 def test_cli(spark, server, tmp_path, capsys):
     import json
 
