@@ -236,6 +236,62 @@ def test_links_of_a_run_are_a_spanning_forest():
     assert got == want and len(a) == 700 - len(set(want.values()))
 
 
+@pytest.mark.parametrize("clusters", [2, 50])
+def test_a_run_that_partitions_cut_stays_whole(spark, clusters):
+    """One trie, one run of 20,000 nodes over eight partitions: as many components as there are clusters."""
+    rng = np.random.default_rng(clusters)
+    kinds = []
+    while len(kinds) < clusters:  # far from each other, also by the lower measure
+        new = rng.integers(0, 4, 8)
+        if all((new == k).sum() < 5 for k in kinds):
+            kinds.append(new)
+    n = 20_000
+    own = np.arange(n) % clusters
+    sketch = [int(sum(int(v) << (2 * i) for i, v in enumerate(kinds[c]))) for c in own]
+    prefix = 0x1234_5678_9ABC_DEF0 >> 1
+    rows = [(i, [prefix, 0x0F00_0000_0000_0000 + int(rng.integers(0, 1 << 40))], [s]) for i, s in enumerate(sketch)]
+    nodes = spark.createDataFrame(rows, "n long, sig array<long>, sketch array<long>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = nd._links(nodes, 1, 8, 5, 0.8).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    node, root = nd.roots(np.array([r.a for r in links]), np.array([r.b for r in links]))
+    assert len(node) == n and len(set(root.tolist())) == clusters and len({(int(own[a]), int(own[b])) for a, b in zip(node, root, strict=True)}) == clusters
+
+
+def test_unlike_nodes_of_a_run_are_split(monkeypatch):
+    import time
+
+    rng = np.random.default_rng(4)
+    n = 16_000
+    sketch = rng.integers(0, 1 << 63, (n, 5)).astype(np.uint64)
+    sketch[:40] = sketch[0]  # one cluster among them
+    deeper = rng.integers(0, 1 << 16, (n, 3)).astype(np.uint16)
+    begin = time.process_time()
+    a, b = nd.run_links(np.arange(n), sketch, 118, 160, deeper)
+    assert time.process_time() - begin < 2
+    node, root = nd.roots(a, b)
+    assert set(node.tolist()) == set(range(40)) and set(root.tolist()) == {0}
+    # Those that share the next levels are still compared.
+    monkeypatch.setattr(nd, "LARGE", 100)
+    monkeypatch.setattr(nd, "TREES_AT_ONCE", 2)
+    sketch[8000:8004], deeper[8000:8004] = sketch[8000], deeper[8000]
+    a, b = nd.run_links(np.arange(n), sketch, 118, 160, deeper)
+    assert {frozenset((8000, 8000 + i)) for i in (1, 2, 3)} <= {frozenset(x) for x in zip(a.tolist(), b.tolist(), strict=True)}
+
+
+def test_unpacked_values():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 1 << 16, (30, 2, 8)).astype(np.uint16)
+    both = nd.packed(values).view(np.int64)
+    for begin in (0, 3, 5, 8):
+        assert (nd.unpacked(both[:, 1, 0].copy(), both[:, 1, 1].copy(), begin, 8) == values[:, 1, begin:]).all()
+
+
 @pytest.mark.parametrize("local", [1 << 20, 3])
 @pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (5, 4), (7, 7)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 40)] + [(100, 101), (39, 100)]])
 def test_components(spark, edges, local):
