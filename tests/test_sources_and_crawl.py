@@ -10,7 +10,7 @@ from gleaner.plans.crawl import Crawl
 from gleaner.schemas import CATALOG, EVENT, RESPONSE
 from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, body_text, chunks, request, write_documents
 from gleaner.sources.files import list_files
-from gleaner.sources.http import HttpPages
+from gleaner.sources.http import register
 from gleaner.sources.sink import Staged, _move, stage, stage_bodies
 from gleaner.sources.turns import by_host, in_turn
 from tests.conftest import SMALL
@@ -76,11 +76,36 @@ def test_retry(server):
 
 def test_data_source(spark, server):
     base, _ = server
-    spark.dataSource.register(HttpPages)
+    register(spark)
     rows = spark.read.format("gleaner_http").option("urls", f"{base}/l {base}/none").option("delay", "0").load().collect()
     assert {r.url: r.status for r in rows} == {f"{base}/l": 200, f"{base}/none": 404} and rows[0].headers
 
 
+def test_a_frontier_table_is_planned_without_its_rows(spark, server, tmp_path):
+    import tracemalloc
+
+    from gleaner.sources.http import HttpReader
+
+    base, hits = server
+    path = str(tmp_path / "frontier")
+    spark.range(1_000_000).selectExpr("concat('http://h', id % 1000, '.example/', id) as url").write.parquet(path)
+    reader = HttpReader({"path": path, "partitions": "16"})
+    tracemalloc.start()
+    parts = reader.partitions()
+    assert len(parts) == 16 and tracemalloc.get_traced_memory()[1] < 100_000
+    tracemalloc.stop()
+    some = list(reader.chosen(3))
+    assert len(some) == len(set(some)) and 20_000 < len(some) < 120_000
+    hits.clear()
+    spark.createDataFrame([(f"{base}/d/1",), (f"{base}/d/2",), (f"{base}/d/1",), (None,), (f"{base}/none",)], "url string").write.parquet(str(tmp_path / "few"))
+    register(spark)
+    read = lambda: spark.read.format("gleaner_http").options(path=str(tmp_path / "few"), delay="0").load()
+    assert {r.url for r in read().where("startswith(url, '" + base + "/d/')").where("status = 200").collect()} == {f"{base}/d/1", f"{base}/d/2"}
+    assert hits == {"/d/1": 1, "/d/2": 1}
+    assert read().where(f"url = '{base}/d/2'").count() == 1 and hits == {"/d/1": 1, "/d/2": 2}
+    assert read().count() == 3
+
+
 def crawl(spark, base, tmp_path, **more):
     catalog = spark.createDataFrame([(0, "sec", "Sec", f"{base}/l", None, "")], CATALOG)
     return Crawl(spark, catalog, HttpFetcher(POLICY), Registry(spark, str(tmp_path / "registry")), str(tmp_path / "out"), str(tmp_path / "work"), **more)
