@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -19,7 +21,8 @@ from ..schemas import DOWNLOAD
 from ..session import local_path, ship
 from ..sources.fetch import Fetcher
 from ..sources.files import delete, list_files
-from ..sources.sink import Staged, stage_bodies
+from ..sources.live import counted, watched
+from ..sources.sink import JOBS, Staged, stage_bodies
 
 _log = logging.getLogger(__name__)
 PLACE = ("section_ord", "section_key", "page_num")
@@ -46,7 +49,9 @@ class Crawl:
     section and its articles a few at a time, then twice as many pages at each step.
 
     Progress: each step that is written appends its observed counts to ``progress``,
-    logs them and, if on_progress is given, passes them on.
+    logs them and, if on_progress is given, passes them on.  While a step runs, its counts so
+    far are logged and passed on, marked as ``running``, each ``every`` seconds, by a thread:
+    its tasks and, of downloads, also rows, ok and bytes.
     """
 
     spark: SparkSession
@@ -62,6 +67,7 @@ class Crawl:
     dedupe_articles: bool = False
     strict: bool = False
     on_progress: Callable[[dict], None] | None = None
+    every: float = 5.0
     progress: list[dict] = field(default_factory=list)
 
     def __post_init__(self):
@@ -79,13 +85,20 @@ class Crawl:
         if step:
             df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in counts.items()))
         self._kept.append(path)
-        df.write.parquet(path)
+        with self._watched(step) if step else nullcontext():
+            df.write.parquet(path)
         if step:
             self._told({"step": step, **seen.get})
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _watched(self, step: str, counts: Callable[[], dict] = dict) -> AbstractContextManager[None]:
+        return watched(self.spark, lambda now: self._tell({"step": step, "running": True, **now}), self.every, counts)
+
     def _told(self, counts: dict) -> None:
         self.progress.append(counts)
+        self._tell(counts)
+
+    def _tell(self, counts: dict) -> None:
         _log.info("%s", counts)
         if self.on_progress:
             self.on_progress(counts)
@@ -301,13 +314,14 @@ class Crawl:
 
     def _stage(self, docs: DataFrame, step: str) -> Staged:
         name = lambda header: derive_filename(F.col("document_id"), F.col("download_url"), F.col("link_text"), F.col("article_title"), header, self.strict)
-        if hasattr(self.fetcher, "stage"):
-            named = docs.select("seq", "section", F.col("download_url").alias("url"), "document_id", name(F.lit(None).cast("string")).alias("fallback"))
-            out = self.fetcher.stage(named, self.output, self.strict)
-        else:
-            answers = self.fetcher.fetch(docs.select(F.col("download_url").alias("url")))
-            header = F.coalesce(F.try_element_at("headers", F.lit("content-disposition")), F.try_element_at("headers", F.lit("Content-Disposition")))
-            out = stage_bodies(docs.join(answers, docs["download_url"] == answers["url"]).select("seq", "section", name(header).alias("filename"), "status", "body", "error"), self.output)
+        with self._watched(step, lambda: counted(os.path.join(local_path(self.output), JOBS))):
+            if hasattr(self.fetcher, "stage"):
+                named = docs.select("seq", "section", F.col("download_url").alias("url"), "document_id", name(F.lit(None).cast("string")).alias("fallback"))
+                out = self.fetcher.stage(named, self.output, self.strict)
+            else:
+                answers = self.fetcher.fetch(docs.select(F.col("download_url").alias("url")))
+                header = F.coalesce(F.try_element_at("headers", F.lit("content-disposition")), F.try_element_at("headers", F.lit("Content-Disposition")))
+                out = stage_bodies(docs.join(answers, docs["download_url"] == answers["url"]).select("seq", "section", name(header).alias("filename"), "status", "body", "error"), self.output)
         counts = out.results.agg(F.count("*").alias("rows"), F.count_if("ok").alias("ok"), F.sum("file_size_bytes").alias("bytes")).first()
         self._told({"step": step, **counts.asDict()})
         return out

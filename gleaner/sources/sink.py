@@ -27,6 +27,7 @@ from dataclasses import asdict, dataclass
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -34,6 +35,7 @@ from ..functions.filenames import header_filename
 from ..operators.responses import HTML_ERROR
 from ..schemas import DOWNLOAD
 from ..session import local_path, ship
+from .live import LIVE, Ticker
 
 JOBS = "_jobs"
 STAGED = "seq long, section string, ok boolean, filename string, file_size_bytes long, error string, staged string"
@@ -106,13 +108,13 @@ class DocumentWriter(DataSourceArrowWriter):
         name = uuid.uuid4().hex
         files, manifest = os.path.join(self.folder, f"files-{name}"), os.path.join(self.folder, "staged", f"{name}.parquet")
         rows: list[tuple] = []
-        count = 0
+        done = Ticker(self.folder, TaskContext.get().partitionId())
         try:
             os.makedirs(os.path.dirname(manifest), exist_ok=True)
             with pq.ParquetWriter(manifest, _KIND) as out:
                 for row in self._results(iterator, files):
                     rows.append(row)
-                    count += 1
+                    done.add(row[2], row[4])
                     if len(rows) == GROUP:
                         out.write_batch(_batch(rows))
                         rows = []
@@ -123,7 +125,9 @@ class DocumentWriter(DataSourceArrowWriter):
             if os.path.exists(manifest):
                 os.remove(manifest)
             raise
-        return Attempt(name, count)
+        if done.rows:
+            done.say()
+        return Attempt(name, done.rows)
 
     def _results(self, batches: Iterator[pa.RecordBatch], files: str) -> Iterator[tuple]:
         rows = (r for b in batches for r in b.to_pylist())
@@ -158,6 +162,7 @@ class DocumentWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Attempt | None]) -> None:
         names = {m.name for m in messages if m is not None}
+        shutil.rmtree(os.path.join(self.folder, LIVE), ignore_errors=True)
         os.makedirs(os.path.join(self.folder, "staged"), exist_ok=True)
         for left in os.listdir(self.folder):
             if left.startswith("files-") and left[6:] not in names:

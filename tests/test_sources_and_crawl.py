@@ -1,4 +1,5 @@
 import threading
+from dataclasses import replace
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
@@ -11,6 +12,7 @@ from gleaner.schemas import CATALOG, EVENT, RESPONSE
 from gleaner.sources.fetch import HttpFetcher, Policy, TableFetcher, body_text, chunks, request, write_documents
 from gleaner.sources.files import list_files
 from gleaner.sources.http import register
+from gleaner.sources.live import Ticker, counted
 from gleaner.sources.sink import Staged, _move, stage, stage_bodies
 from gleaner.sources.turns import by_host, in_turn
 from tests.conftest import SMALL
@@ -138,6 +140,43 @@ def test_a_limit_stops_the_requests(spark, server, tmp_path):
     assert [x["step"] for x in c.progress if x["step"] == "downloads"] == ["downloads"] and c.progress[-1]["ok"] == 1
 
 
+def test_counts_come_while_a_step_runs(spark, server, tmp_path):
+    """One host is one task: its documents are counted before it ends, and the caller's job group stays."""
+    base, _ = server
+    told = []
+    c = crawl(spark, base, tmp_path, on_progress=told.append, every=0.1)
+    c.fetcher = HttpFetcher(replace(POLICY, delay=0.4))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", "mine")
+    try:
+        assert list(c.run().values()) == [2, 4, 6, 4, 1, 1]
+        assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == "mine"
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    steps = [x["step"] for x in told]
+    last = steps.index("downloads") + steps.count("downloads") - 1
+    live = [x for x in told[:last] if x["step"] == "downloads"]
+    assert "running" not in told[last] and all(x["running"] for x in live)
+    assert any(0 < x["rows"] < told[last]["rows"] and x["tasks_done"] < x["tasks"] for x in live)
+    assert [x["rows"] for x in live] == sorted(x["rows"] for x in live) and [x["bytes"] for x in live] == sorted(x["bytes"] for x in live)
+    assert any(x.get("running") and x["step"] == "article pages" for x in told)
+    assert all("running" not in x for x in c.progress) and not (tmp_path / "out" / "_jobs").exists()
+
+
+def test_what_an_attempt_says_takes_the_place_of_the_one_before(tmp_path):
+    now = [0.0]
+    for n in (3, 2):  # the second attempt of partition 7 has come less far
+        t = Ticker(str(tmp_path / "job"), 7, lambda: now[0])
+        for _ in range(n):
+            t.add(True, 10)
+            now[0] += 1
+    t = Ticker(str(tmp_path / "job"), 8, lambda: now[0])
+    t.add(False, 0)
+    t.add(True, 5)  # within the same moment, so not said yet
+    assert counted(str(tmp_path)) == {"rows": 3, "ok": 2, "bytes": 20}
+    t.say()
+    assert counted(str(tmp_path)) == {"rows": 4, "ok": 3, "bytes": 25} and counted(str(tmp_path / "none"))["rows"] == 0
+
+
 def test_parts_of_the_frontier_are_the_whole_log(spark, server, tmp_path):
     base, _ = server
     c = crawl(spark, base, tmp_path)
