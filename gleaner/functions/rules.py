@@ -25,3 +25,9 @@ CSV_COLUMNS = (
 # HTTP statuses and methods that are tried again.
 RETRY_STATUSES = (429, 500, 502, 503, 504)
 RETRY_METHODS = ("HEAD", "GET", "OPTIONS")
+# Texts that stand in results where a page or a response gives none.
+UNNAMED = "unnamed_document"
+EMBEDDED = "Embedded Document"
+HTML_ERROR = "Server returned HTML error page instead of PDF"
+UNKNOWN_ERROR = "Unknown error"
+EXISTS_REASON = "already_exists"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .rules import SPACES, UNSAFE_CHARACTERS
+from .rules import SPACES, UNNAMED, UNSAFE_CHARACTERS
 
 
 def let(value: Column, body) -> Column:
@@ -60,7 +60,7 @@ def sanitize_filename(name: Column, max_bytes: int = 180, strict: bool = False)
         if strict:
             extension = let(extension, lambda e: F.when(F.octet_length(e) <= _LONGEST_EXTENSION, e).otherwise(""))
         short = let(extension, lambda e: cut(clean, e))
-        return F.when(clean == "", F.lit("unnamed_document")).when(F.octet_length(clean) > max_bytes, short).otherwise(clean)
+        return F.when(clean == "", F.lit(UNNAMED)).when(F.octet_length(clean) > max_bytes, short).otherwise(clean)
 
     def cut(clean: Column, extension: Column) -> Column:
         stem = F.substring(clean, F.lit(1), F.length(clean) - F.length(extension))
@@ -80,7 +80,7 @@ _MARKS = re.compile("(?P<unsafe>[" + re.escape(UNSAFE_CHARACTERS) + "])|(?:(?!["
 
 def safe_name(name: str, max_bytes: int = 180, strict: bool = False) -> str:
     """What sanitize_filename makes of one name, for a task that learns it from a response."""
-    clean = _MARKS.sub(lambda m: "_" if m["unsafe"] else " ", name).strip(_EDGES) or "unnamed_document"
+    clean = _MARKS.sub(lambda m: "_" if m["unsafe"] else " ", name).strip(_EDGES) or UNNAMED
     over = lambda text: len(text.encode()) - max_bytes
     if over(clean) <= 0:
         return clean

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import CSV_COLUMNS
+from ..functions.rules import CSV_COLUMNS, EXISTS_REASON, UNKNOWN_ERROR
 from ..schemas import EVENT
 from ..session import ship
 from ..sources.files import replace_file
@@ -71,11 +71,11 @@ def failure_events(rows: DataFrame) -> DataFrame:
     return rows.select(
         "seq", "doc_key", "document_id", "article_id", "section", F.lit("").alias("filename"), F.lit("").alias("file_path"), F.lit(0).cast("long").alias("file_size_bytes"),
         text("article_title"), text("article_url"), text("download_url"), text("link_text"), F.lit("failed").alias("status"),
-        F.coalesce(F.nullif("error", F.lit("")), F.lit("Unknown error")).alias("error"), F.lit(None).cast("string").alias("reason"), F.current_timestamp().alias("timestamp"),
+        F.coalesce(F.nullif("error", F.lit("")), F.lit(UNKNOWN_ERROR)).alias("error"), F.lit(None).cast("string").alias("reason"), F.current_timestamp().alias("timestamp"),
     )
 
 
-def skip_events(rows: DataFrame, reason: str = "already_exists") -> DataFrame:
+def skip_events(rows: DataFrame, reason: str = EXISTS_REASON) -> DataFrame:
     null = lambda c, t="string": F.lit(None).cast(t).alias(c)
     return rows.select(
         "seq", "doc_key", "document_id", "article_id", "section", null("filename"), null("file_path"), null("file_size_bytes", "long"), null("article_title"), null("article_url"),

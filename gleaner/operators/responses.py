@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.rules import HTML_ERROR
+
 #: How much of a body is looked at: the first chunk of a download.
 CHUNK = 65_536
-HTML_ERROR = "Server returned HTML error page instead of PDF"
 
 
 def is_html(body: Column) -> Column:

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.rules import RETRY_METHODS, RETRY_STATUSES
-from ..operators.responses import CHUNK, HTML_ERROR
+from ..functions.rules import HTML_ERROR, RETRY_METHODS, RETRY_STATUSES
+from ..operators.responses import CHUNK
 from ..schemas import RESPONSE
 from .sink import Staged, stage_bodies, stage_downloads
 from .turns import by_host, in_turn

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..functions.filenames import header_filename
-from ..operators.responses import HTML_ERROR
+from ..functions.rules import HTML_ERROR
 from ..schemas import DOWNLOAD
 from ..session import local_path, ship
 from .live import LIVE, Ticker
