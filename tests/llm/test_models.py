@@ -25,7 +25,7 @@ def model():
 
 def test_posteriors_are_forward_backward(model):
     rng = np.random.default_rng(0)
-    m = li.Model(["a", "b", "c"], None, rng.normal(size=(3, 3)), rng.normal(size=3))
+    m = li.Model(["a", "b", "c"], None, rng.normal(size=(3, 3)), rng.normal(size=3), None)
     for n in (1, 2, 127, 128, 129, 700, 1500):
         e = (rng.normal(size=(n, 3)) * 2).astype(np.float32)
         fresh = rng.random(n) < (0.02 if n % 2 else 0.002)
@@ -55,7 +55,7 @@ def test_code_switched_words_are_labelled(model):
     which, code = li.distinct(w)
     fresh = np.zeros(w.n, bool)
     fresh[0] = True
-    best = li.posteriors(li.emissions(model.weights, *li.features(w, which))[code], fresh, model).argmax(1)
+    best = li.posteriors(li.word_weights(w, which, model)[code], fresh, model).argmax(1)
     truth = np.repeat([model.langs.index("xx"), model.langs.index("yy")], 12)
     assert (best == truth).mean() > 0.9
 
@@ -100,9 +100,48 @@ def test_the_sample_is_bounded_by_language(spark, monkeypatch):
     rows = [(9, "always the very same words", "xx")] * 500 + [(1000 + i, speech("yy", 6, rng), "yy") for i in range(300)] + [(5000 + i, "a b c", f"l{i}") for i in range(60)]
     got = []
     monkeypatch.setattr(li, "train", lambda texts, labels: got.append((texts, labels)))
-    li.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=40, langs=5)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    li.learn(df, held_out=9, per_lang=40)
     texts, labels = got[0]
-    assert set(labels) <= {"xx", "yy", "l0", "l1", "l10", "l11", "l12"} and labels.count("xx") == 1 and labels.count("yy") == 40
+    assert set(labels) == {"xx", "yy", *(f"l{i}" for i in range(60))} and labels.count("xx") == 1 and labels.count("yy") == 40
+    li.learn(df, held_out=9, per_lang=40, most_rows=130)
+    assert set(got[1][1]) == set(labels) and got[1][1].count("yy") == 2 and len(got[1][0]) <= 130
+    monkeypatch.setattr(li, "MOST", 61)
+    with pytest.raises(ValueError, match="61"):
+        li.learn(df, held_out=9)
+
+
+def test_texts_side_by_side_have_the_posteriors_of_a_chain(monkeypatch):
+    rng, pick = np.random.default_rng(7), random.Random(7)
+    k, size = 20, 1 << 10
+    m = li.Model([f"l{i}" for i in range(k)], rng.normal(size=(size, k)).astype(np.float32) / 4, rng.normal(size=(k, k)), rng.normal(size=k), np.arange(size, dtype=np.int32))
+    texts = [" ".join(pick.choice(["ba", "ko", "42", "été", "x-y", "--"]) for _ in range(n)) for n in (0, 1, 2, 127, 128, 129, 0, 700, 256, 5, 5, 1500)] + [None]
+    monkeypatch.setattr(li, "BLOCK", 3 * li.SEGMENT * k)  # three texts at a time
+    wide = li.predict(pa.array(texts, pa.string()), m)
+    monkeypatch.setattr(li, "WIDE", 100)
+    chain = li.predict(pa.array(texts, pa.string()), m)
+    assert wide[0] == chain[0] and np.abs(np.array(wide[1]) - chain[1]).max() < 1e-5
+    w = li.T.words(pa.array(texts[7:8]))
+    which, code = li.distinct(w)
+    post = li._forward_backward(li.word_weights(w, which, m)[code][None].astype(float), m.move, m.start)[0][0]
+    assert np.abs(li.side_by_side(w, which, code, np.ones(w.n, bool), m)[0] - post.sum(0)).max() < 1e-2
+
+
+def test_every_language_is_learned(spark):
+    """More languages than a chain takes, the last of them rare."""
+    rng = random.Random(12)
+    sound = {f"l{i:02}": [chr(97 + i % 26) + v + chr(97 + (i * 7 + i // 26) % 26) for v in "aeiou"] for i in range(80)}
+    say = lambda lang: " ".join("".join(rng.choice(sound[lang]) for _ in range(2)) for _ in range(30))
+    rows = [(i, say(lang), lang) for i, lang in enumerate([*sound] * 6 + ["l00"] * 400)]
+    got = li.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    truth = {i: lang for i, _, lang in rows}
+    held = [r for r in got if r.held_out]
+    assert len(got) == len(rows) and {r.lang_pred for r in got} == set(sound)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.95
+
+
+def test_few_weights_for_many_languages():
+    assert li.table_size(4) == li.table_size(32) == li.FEATURES and all(k * li.table_size(k) <= li.TABLE < 2 * k * li.table_size(k) for k in (33, 64, 100, 1024))
 
 
 def test_language_of_awkward_documents(spark, model):
