@@ -77,6 +77,13 @@ def grows(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def repeated(df: DataFrame, copies: str, number: str, block: int = 4096) -> DataFrame:
+    """Each row of df as often as its column copies says, numbered from 1; no array has more numbers than a block or there are blocks."""
+    n, first = F.col(copies).cast("long"), F.col("_block") * block
+    blocks = df.where(n > 0).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / block))))
+    return blocks.withColumn(number, F.explode(F.sequence(first + 1, F.least(n, first + block)))).drop("_block")
+
+
 def fold_of(modulus: int, column: str = "doc_id"):
     """crc32 of the id as text, modulo the given number."""
     return F.crc32(F.col(column).cast("string")) % F.lit(modulus)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ..session import ship
-from ._spark import cut
+from ._spark import cut, repeated
 
 #: Samples of a fingerprint; the standard error of a likeness is at most 0.5 / sqrt(SAMPLES).
 SAMPLES = 128
@@ -272,6 +272,6 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES, runs: int | Non
 
     done = placed.mapInArrow(run, EDITED)
     if copies is not None:
-        each = copies.mapInArrow(alike, f"{EDITED}, copies long").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        done = done.unionByName(each.drop("copies"))
+        each = repeated(copies.mapInArrow(alike, f"{EDITED}, copies long"), "copies", "copy")
+        done = done.unionByName(each.drop("copies", "copy"))
     return done

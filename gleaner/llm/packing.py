@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
+from ._spark import repeated
 
 CAPACITY, SHARD_ROWS, PER_SOURCE = 8192, 4096, 4
 RESULT = "doc_id long, piece int, piece_start long, size long, bin long, slot int, bin_offset long"
@@ -127,7 +128,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, size: str | None = None, clu
         F.col("source").cast("string").alias("source"),
         (F.xxhash64(text) if cluster is None else F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster))).alias("cluster"),
     )
-    each = rows.groupBy("doc_id", "size", "source", "cluster").agg(F.count("*").alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    each = repeated(rows.groupBy("doc_id", "size", "source", "cluster").agg(F.count("*").alias("copies")), "copies", "copy")
     shards = max(1, -(-rows.count() // shard_rows))
 
     def run(table: pa.Table) -> pa.Table:

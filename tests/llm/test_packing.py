@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.llm import packing
+from gleaner.llm._spark import repeated
 from gleaner.llm.near_duplicates import near_duplicates
 from gleaner.llm.token_counts import token_counts
 from tests.llm.corpus import AWKWARD, frame, ordinary
@@ -109,3 +110,10 @@ def test_pack_by_tokens_and_near_duplicate_classes(spark):
 def test_copies_never_share_a_bin(spark):
     got = packing.pack(frame(spark, [(i * 28 + 28, "same text") for i in range(50)])).collect()
     assert len({r.bin for r in got}) == 50
+
+
+def test_rows_are_repeated_by_blocks(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 0), ("c", 7), ("d", 8), ("e", 17), ("f", None), ("g", 10_000)], "name string, copies long")
+    got = Counter((r.name, r.copy) for r in repeated(df, "copies", "copy", 4).collect())
+    assert got == Counter((n, i) for n, c in (("a", 1), ("c", 7), ("d", 8), ("e", 17), ("g", 10_000)) for i in range(1, c + 1))
+    assert repeated(df, "copies", "copy").count() == 10_033 and repeated(df, "copies", "copy").columns == ["name", "copies", "copy"]
