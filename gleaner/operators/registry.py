@@ -86,8 +86,11 @@ def skip_events(rows: DataFrame, reason: str = EXISTS_REASON) -> DataFrame:
 class Registry:
     """A log of events in a folder, folded now and then into a snapshot of the current entries.
 
-    ``base/vN`` is the snapshot: one row for each key, bucketed and sorted by key, so
-    that reading it, or joining it by key, needs no exchange on its side.  ``log/vN``
+    A snapshot has one row for each key, bucketed and sorted by key, so that reading it, or
+    joining it by key, needs no exchange on its side.  Each bucket is a partition of its
+    own: ``base/vN/_buckets`` says for each one that has rows in which version it was written, M, and
+    ``base/vM/bucket=B`` holds them, so a snapshot writes the buckets that events have
+    touched and takes the others over as they are.  ``log/vN``
     holds the batches appended since and ``stream/vN/batch=M`` those that a stream brought (see
     ``streaming.registry_stream``); the greatest N whose snapshot is complete counts (0: no
     snapshot yet).  All events share one count of seq, whose last value stands in
@@ -102,6 +105,7 @@ class Registry:
         """buckets: of the snapshots of a new registry; not fewer than the partitions of a shuffle, or joins deal it anew."""
         self.spark, self.path = spark, path.rstrip("/")
         self.buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self._known: set[int] = set()  # snapshots that the session has as tables
 
     def _at(self, name: str = ""):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
@@ -125,17 +129,17 @@ class Registry:
 
     def _put(self, name: str, value: dict) -> None:
         """Sets it at once: written beside its place and renamed over it."""
-        part = f"{self.path}/{name}.{uuid.uuid4().hex}"
-        stream = self._files.create(self._at(part.rpartition("/")[2]), True)
+        beside = f"{name}.{uuid.uuid4().hex}"
+        stream = self._files.create(self._at(beside), True)
         stream.write(bytearray(json.dumps(value).encode()))
         stream.close()
-        replace_file(self.spark, part, f"{self.path}/{name}")
+        replace_file(self.spark, f"{self.path}/{beside}", f"{self.path}/{name}")
 
     # ------------------------------------------------------------ reading
 
     def versions(self) -> list[int]:
         """The complete snapshots, ascending."""
-        return sorted(int(f[1:]) for f in self._folders("base") if f[1:].isdigit() and self._files.exists(self._at(f"base/{f}/_SUCCESS")))
+        return sorted(int(f[1:]) for f in self._folders("base") if f[1:].isdigit() and self._files.exists(self._at(f"base/{f}/_buckets")))
 
     @property
     def version(self) -> int:
@@ -145,12 +149,23 @@ class Registry:
         """The snapshot, one row for each key; bucketed by key."""
         if not (version := self.version):
             return None
-        name = f"gleaner_{hashlib.sha256(f'{self.path}/{version}'.encode()).hexdigest()[:24]}"
-        if not self.spark.catalog.tableExists(name):
-            shape = f"{EVENT}, first_seen struct<seq: bigint>"
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({shape}) USING parquet CLUSTERED BY (doc_key) SORTED BY (doc_key) INTO {self._get('_head')['buckets']} BUCKETS LOCATION '{self.path}/base/v{version}'")
+        name = self._name(version)
+        if version not in self._known or not self.spark.catalog.tableExists(name):
+            shape = f"{EVENT}, first_seen struct<seq: bigint>, bucket int"
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({shape}) USING parquet PARTITIONED BY (bucket) CLUSTERED BY (doc_key) SORTED BY (doc_key) INTO {self._get('_head')['buckets']} BUCKETS LOCATION '{self.path}/base/v{version}'")
+            parts = [f"PARTITION (bucket={b}) LOCATION '{self.path}/base/v{v}/bucket={b}'" for b, v in self._buckets(version).items()]
+            if parts:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts)}")
+            self._known.add(version)
         return self.spark.table(name)
 
+    def _name(self, version: int) -> str:
+        return f"gleaner_{hashlib.sha256(f'{self.path}/{version}'.encode()).hexdigest()[:24]}"
+
+    def _buckets(self, version: int) -> dict[int, int]:
+        """The buckets of a snapshot that have rows, and the version in which each was written."""
+        return {int(b): v for b, v in (self._get(f"base/v{version}/_buckets") or {}).items()}
+
     def recent(self, but_batch: int | None = None) -> DataFrame:
         """The events since the snapshot; but_batch leaves out one batch of a stream."""
         version = self.version
@@ -162,7 +177,10 @@ class Registry:
 
     def load(self) -> DataFrame:
         """The current entry of each key.  Only the events since the snapshot are dealt by key."""
-        base, recent = self.base(), current(self.recent())
+        return self._merged(self.base(), current(self.recent()))
+
+    @staticmethod
+    def _merged(base: DataFrame | None, recent: DataFrame) -> DataFrame:
         if base is None:
             return recent
         old, new = F.struct(*(F.col(f"o.{c}").alias(c) for c in recent.columns)), F.struct(*(F.col(f"n.{c}").alias(c) for c in recent.columns))
@@ -256,7 +274,8 @@ class Registry:
     def compact(self) -> None:
         """Folds the events since the last snapshot, appended and streamed, into a new one.
 
-        It counts from the moment it is complete, and the one before stays until the next
+        Only the buckets of keys that had events are read and written.  The snapshot counts
+        from the moment its list of buckets is there, and the one before stays until the next
         time, so a reader finds all entries at any time.
         """
         with self.writing():
@@ -267,23 +286,40 @@ class Registry:
             at, name = f"{self.path}/base/v{version + 1}", f"gleaner_new_{uuid.uuid4().hex}"
             batches = [int(f.partition("=")[2]) for f in self._folders(f"stream/v{version}")]
             self._put("_head", head | {"folded": max([head.get("folded", -1), *batches]), "buckets": head["buckets"]})
-            shape = self.spark.createDataFrame([], EVENT)
-            rows = self.load().select(*shape.columns, F.struct(F.col("first_seen.seq").alias("seq")).alias("first_seen"))
+            n, shape = head["buckets"], self.spark.createDataFrame([], EVENT)
+            bucket = F.pmod(F.hash("doc_key"), F.lit(n))  # as a bucketed table deals its rows
+            recent = self.recent()
+            touched = [r.bucket for r in recent.select(bucket.alias("bucket")).distinct().collect()]  # n at most
+            base = self.base()
+            if base is not None:
+                base = base.where(F.col("bucket").isin(touched))
+            rows = self._merged(base, current(recent)).select(*shape.columns, F.struct(F.col("first_seen.seq").alias("seq")).alias("first_seen"), bucket.alias("bucket"))
             self._files.delete(self._at(f"base/v{version + 1}"), True)  # of an attempt that broke off
             # A task for each bucket writes one file, so sorted reads need no further sort.
-            rows.repartition(head["buckets"], "doc_key").write.bucketBy(head["buckets"], "doc_key").sortBy("doc_key").option("path", at).saveAsTable(name)
+            rows.repartition(n, "doc_key").write.partitionBy("bucket").bucketBy(n, "doc_key").sortBy("doc_key").option("path", at).saveAsTable(name)
             self.spark.sql(f"DROP TABLE {name}")
-            for old in self.versions()[:-2]:
-                self._drop(old)
+            self._files.mkdirs(self._at(f"base/v{version + 1}"))
+            self._put(f"base/v{version + 1}/_buckets", self._buckets(version) | dict.fromkeys(touched, version + 1))
+            self._forget()
             for kind in ("log", "stream"):
                 for f in self._folders(kind):
                     if f[1:].isdigit() and int(f[1:]) < version:
                         self._files.delete(self._at(f"{kind}/{f}"), True)
 
-    def _drop(self, version: int) -> None:
-        name = f"gleaner_{hashlib.sha256(f'{self.path}/{version}'.encode()).hexdigest()[:24]}"
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self._files.delete(self._at(f"base/v{version}"), True)
+    def _forget(self) -> None:
+        """Deletes all snapshots but the last two, and the buckets that these do not have."""
+        versions = self.versions()
+        used = {f"v{v}/bucket={b}" for kept in versions[-2:] for b, v in self._buckets(kept).items()}
+        for old in versions[:-2]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(old)}")
+            self._files.delete(self._at(f"base/v{old}/_buckets"), False)
+        for f in self._folders("base"):
+            there = [b for b in self._folders(f"base/{f}") if b.startswith("bucket=")]
+            for b in there:
+                if f"{f}/{b}" not in used:
+                    self._files.delete(self._at(f"base/{f}/{b}"), True)
+            if f[1:].isdigit() and int(f[1:]) not in versions[-2:] and not any(f"{f}/{b}" in used for b in there):
+                self._files.delete(self._at(f"base/{f}"), True)
 
     def export_rows(self) -> DataFrame:
         """The columns of the CSV form, and first_seen, the order in which keys were first seen."""

@@ -52,6 +52,30 @@ def test_workflow(spark, tmp_path):
     assert entries() == want and again.versions() == [2, 3] and not (tmp_path / "r" / "log" / "v1").exists()
 
 
+def test_a_snapshot_writes_only_touched_buckets(spark, tmp_path):
+    store, base = registry.Registry(spark, str(tmp_path / "r"), buckets=8), tmp_path / "r" / "base"
+    store.append(events(spark, *(event(i, f"k{i}", "success", f"s/{i}") for i in range(200))))
+    store.compact()
+    buckets = lambda v: {f.name for f in (base / f"v{v}").iterdir() if f.name.startswith("bucket=")}
+    files = lambda b: [f.name for f in (base / "v1" / b).iterdir() if f.name.endswith(".parquet")]
+    assert len(buckets(1)) == 8 and all(len(files(b)) == 1 for b in buckets(1))  # one sorted file for each bucket
+    entries = lambda s: {r.doc_key: (r.status, r.seq, r.first_seen.seq) for r in s.load().collect()}
+    first = store.base()
+    store.append(events(spark, event(0, "k7", "failed")))
+    want = entries(store)
+    store.compact()
+    assert len(buckets(2)) == 1 and buckets(2) < buckets(1) and len(buckets(1)) == 8
+    assert entries(store) == entries(registry.Registry(spark, str(tmp_path / "r"))) == want and want["k7"] == ("failed", 201, 8)
+    assert first.count() == 200 and first.where("doc_key = 'k7'").first().status == "success"  # readers of the one before
+    # What no kept snapshot has goes: the bucket of k7 as it was, then, when all are touched, the first version.
+    store.compact()
+    assert store.versions() == [2, 3] and buckets(1) == {f"bucket={b}" for b in range(8)} - buckets(2) and buckets(3) == set()
+    for _ in range(2):
+        store.append(events(spark, *(event(i, f"k{i}", "success", f"s/{i}") for i in range(200))))
+        store.compact()
+    assert sorted(f.name for f in base.iterdir()) == ["v4", "v5"] and len(entries(store)) == 200
+
+
 def test_the_snapshot_is_not_dealt_again(spark, tmp_path):
     import re
 
