@@ -16,11 +16,13 @@ def in_run_skips(log: DataFrame) -> DataFrame:
 
     log: seq, kind, doc_key, ok, size, known.  Instead of a window over each key, the
     first success of a key is aggregated and joined back, so a hot key is combined on
-    the map side and its rows can be split.
+    the map side and its rows can be split.  Rows without a key, that is, all pages and
+    articles, meet nothing; they are dealt by their seq, or one task would get them all.
     """
-    done = log.where("kind = 'document' and ok and size > 0").groupBy("doc_key").agg(F.min("seq").alias("_done"))
-    joined = log.join(done, "doc_key", "left")
-    return joined.withColumn("skipped", (F.col("kind") == "document") & (F.coalesce("known", F.lit(False)) | F.coalesce(F.col("seq") > F.col("_done"), F.lit(False)))).drop("_done")
+    done = log.where("kind = 'document' and ok and size > 0 and doc_key is not null").groupBy(F.col("doc_key").alias("_key")).agg(F.min("seq").alias("_done"))
+    joined = log.withColumn("_key", F.coalesce("doc_key", F.concat(F.lit("\0"), F.col("seq").cast("string")))).join(done, "_key", "left").drop("_key")
+    later = F.col("doc_key").isNotNull() & F.coalesce(F.col("seq") > F.col("_done"), F.lit(False))
+    return joined.withColumn("skipped", (F.col("kind") == "document") & (F.coalesce("known", F.lit(False)) | later)).drop("_done")
 
 
 def numbered(rows: DataFrame, page: list[str], inner: list[str], name: str = "seq", block: int = 1024) -> DataFrame:

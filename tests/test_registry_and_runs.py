@@ -1,6 +1,7 @@
 import csv
 import json
 import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -267,3 +268,19 @@ def test_html_bodies(spark):
     bodies = [b"  \n<!DOCTYPE html>", b"<!doctype html>", b"<html lang=x>", b"<HTML>", b"%PDF-1.4", b"", None, b"\xff<html"]
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, b binary")
     assert [r[0] for r in df.orderBy("i").select(responses.is_html(F.col("b"))).collect()] == [True, False, True, False, False, False, None, False]
+
+
+def test_rows_without_a_key_are_dealt_evenly(spark):
+    rows = [(i, "page" if i % 2 else "article", None, None, None, False) for i in range(4000)]
+    rows += [(4000, "document", "k", True, 1, False), (4001, "document", None, True, 1, False), (4002, "document", None, True, 1, False), (4003, "document", "k", True, 1, False), (4004, "document", "\x004001", True, 1, False)]
+    log = spark.createDataFrame(rows, "seq long, kind string, doc_key string, ok boolean, size long, known boolean")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = outcome.in_run_skips(log).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [r.seq for r in got if r.skipped] == [4003] and len(got) == 4005 and got[0].asDict().keys() == {*log.columns, "skipped", "part"}
+    sizes = Counter(r.part for r in got)
+    assert max(sizes.values()) < 2 * len(got) / len(sizes) and len(sizes) > 1
