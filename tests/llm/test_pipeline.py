@@ -78,7 +78,8 @@ def test_stages_on_awkward_tables(spark, tmp_path, name, stage):
 @pytest.mark.parametrize("name", sorted(llm_queries.oracle_sql()))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    duck.sql("create view documents as select * from '/root/testdata/sf0.01/documents.parquet'")
+    for t in ("documents", "embeddings", "benchmark"):
+        duck.sql(f"create view {t} as select * from '/root/testdata/sf0.01/{t}.parquet'")
     want = duck.sql(llm_queries.oracle_sql()[name])
     got = llm_queries.queries()[name](spark, "/root/testdata/sf0.01").select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
