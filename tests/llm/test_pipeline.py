@@ -107,5 +107,5 @@ def test_operators_ship_the_package(spark, monkeypatch):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
     assert cp.ORACLE_SQL is None and 4 <= len(cp.STAGES) <= 5
