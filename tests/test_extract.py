@@ -75,6 +75,13 @@ def test_tree_rules():
     assert [p.text() for p in root.find(("p",))] == ["onetwo", "two"]
 
 
+def test_references_end_with_a_semicolon():
+    root = parse('<a href="/x?a=1&section=2&amp;copy=3&#38;z&ampl;">A &amp;&quot &#x27;&#39 &nosuch; &eacute;&amp</a>')
+    a = next(root.find(("a",)))
+    assert a.get("href") == "/x?a=1&section=2&copy=3&z&ampl;" and a.text() == "A &&quot '&#39 &nosuch; é&amp"
+    assert page("<h1>and&amp;&amp</h1>")["title"] == "and&&amp"
+
+
 def test_null_and_empty_pages(spark):
     df = spark.createDataFrame([("u", None), ("v", ""), (None, "<h1>Some</h1><a href='/x'>")], "page_url string, html string")
     got = extract.parse_pages(df).orderBy("page_url").collect()
