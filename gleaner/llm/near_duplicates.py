@@ -15,10 +15,10 @@
 4.  The tries are one sorted table.  Nodes that share a prefix are a run of it; in a
     run sketches are compared, and the links of similar ones (`SLACK` under the
     threshold) are kept as far as they join what was apart, so a run gives fewer links
-    than it has nodes.  No run is paired in rows.  Of a run with thousands of unlike
-    nodes prefixes are lengthened again, level by level, so its cost does not grow with the
-    square.  Of runs that cross a partition's edge one node for each tree of
-    linked nodes is compared with those of the other partitions.
+    than it has nodes.  No run is paired in rows.  All nodes of a run are compared,
+    whatever its size and wherever partitions cut it: runs that are cut, and those of more
+    than ``LARGE`` nodes, are dealt in blocks of which any two meet in one task.  Their
+    cost grows with the square of their unlike nodes, the memory of a task does not.
 5.  What these links join is verified exactly: a component's shingle sets are
     compared in blocks of bounded size, each pair once, and only counts and classes
     come out.  A set is sent once for each block of its component; a block holds
@@ -57,8 +57,8 @@ SAMPLE = 512
 SLACK = 0.15
 #: Nodes and shingles of a block at most; two blocks are compared in one task, so many nodes of each at a time.
 BLOCK_NODES, BLOCK_SHINGLES, STEP = 4096, 1 << 20, 256
-#: Nodes of a run that are all compared with each other at most, after so many trees of it have been taken out; trees of a cut run that one task compares.
-LARGE, TREES_AT_ONCE, ONE_RUN = 4096, 64, 1 << 20
+#: Nodes of a run that one task compares at most; nodes with which trees begin together; pairs of sketches that are held at a time.
+LARGE, TREES_AT_ONCE, CELLS = 1 << 15, 64, 1 << 17
 #: A component of more nodes than this is cut into up to SPREAD blocks, so that their pairs are dealt to several tasks.
 ONE_TASK, SPREAD = 512, 4
 #: Name of a column that is added to the documents on the way; no table has it.
@@ -209,48 +209,56 @@ def matched_depth(nodes: DataFrame, n: int, threshold: float, recall: float, tre
     return next((d for d in range(depth, least, -1) if worst[f"d{d}"] >= recall), least)
 
 
+def _near(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """(n, m): which of n and m sketches, (words, n) and (words, m), differ in so many values at most; words that cannot change that are left out."""
+    out = np.empty((x.shape[1], y.shape[1]), bool)
+    step = max(1, CELLS // x.shape[1])
+    for lo in range(0, y.shape[1], step):
+        differ = np.uint16(0)
+        for own, other in zip(x, y[:, lo : lo + step], strict=True):
+            v = own[:, None] ^ other
+            v |= v >> np.uint64(1)
+            v &= np.uint64(0x5555555555555555)
+            differ = differ + np.bitwise_count(v)
+            near = differ <= most
+            if not near.any():
+                break
+        out[:, lo : lo + step] = near
+    return out
+
+
 def run_links(node: np.ndarray, sketch: np.ndarray, similar: float, count: int, deeper: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links of a run's nodes by similar sketches, as far as they join what was apart: a spanning forest.
 
     Nodes are compared tree by tree: a tree takes in all that is similar to any of its
-    nodes.  deeper has the values of the trie below the run's prefix, (nodes, levels):
-    where more than ``LARGE`` nodes are left after ``TREES_AT_ONCE`` trees, these are
-    unlike each other, and they are split by the next level.
+    nodes, so every pair of nodes that are left is compared, however many they are.  Nodes
+    that are like none of those left go by up to ``TREES_AT_ONCE``.  deeper, values of
+    the trie below the run's prefix, (nodes, levels), sets nothing but the order.
     """
-    order = np.argsort(node, kind="stable")
-    node, sketch = node[order], sketch[order]
-    deeper = None if deeper is None else deeper[order]
+    order = np.argsort(node, kind="stable") if deeper is None else np.lexsort((node, *deeper.T[::-1]))
+    node, words, most = node[order], np.ascontiguousarray(sketch[order].T), int(np.floor(count - similar))
     a, b = [], []
-    left, trees = np.arange(len(node)), 0
-    while len(left) > 1:
-        if trees >= TREES_AT_ONCE and len(left) > LARGE and deeper is not None and deeper.shape[1]:
-            for _, part in _split(left, deeper[left, 0]):
-                x, y = run_links(node[part], sketch[part], similar, count, deeper[part, 1:])
-                a.append(x)
-                b.append(y)
-            break
-        edge, left, trees = left[:1], left[1:], trees + 1  # the least node of those that are left begins a tree
-        while len(edge) and len(left):
-            now, edge = edge[:STEP], edge[STEP:]
-            taken = np.full(len(left), -1)
-            for lo in range(0, len(left), 1 << 14):
-                near = agreeing(sketch[now][:, None], sketch[left[lo : lo + (1 << 14)]][None], count) >= similar
-                hit = near.any(0)
-                taken[lo : lo + (1 << 14)][hit] = near.argmax(0)[hit]
-            got = taken >= 0
-            a.append(node[now[taken[got]]])
-            b.append(node[left[got]])
-            edge, left = np.concatenate([edge, left[got]]), left[~got]
+    begun = 1
+    while len(node) > 1:
+        near = _near(words[:, :begun], words, most)
+        np.fill_diagonal(near, False)
+        alone = int(np.argmax(np.append(near.any(1), True)))  # nodes before the first that is like another
+        node, words = node[alone:], words[:, alone:]
+        if alone == len(near):
+            begun = min(2 * begun, TREES_AT_ONCE)
+            continue
+        begun = 1
+        edge, reach, node, words = node[:1], words[:, :1], node[1:], words[:, 1:]
+        while len(edge) and len(node):
+            now, near = edge[:STEP], _near(reach[:, :STEP], words, most)
+            got = near.any(0)
+            a.append(now[near.argmax(0)[got]])
+            b.append(node[got])
+            edge, reach = np.concatenate([edge[STEP:], node[got]]), np.concatenate([reach[:, STEP:], words[:, got]], 1)
+            node, words = node[~got], words[:, ~got]
     return (np.concatenate(a), np.concatenate(b)) if a else (node[:0], node[:0])
 
 
-def _split(rows: np.ndarray, value: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Rows of each value that two or more have."""
-    order = np.argsort(value, kind="stable")
-    keys, begin = np.unique(value[order], return_index=True)
-    return [(int(k), x) for k, x in zip(keys, np.split(rows[order], begin[1:]), strict=True) if len(x) > 1]
-
-
 def unpacked(hi: np.ndarray, lo: np.ndarray, begin: int, depth: int) -> np.ndarray:
     """(rows, depth - begin): the values from a level on, out of the packed numbers."""
     words = (hi.view(np.uint64), lo.view(np.uint64))
@@ -260,11 +268,16 @@ def unpacked(hi: np.ndarray, lo: np.ndarray, begin: int, depth: int) -> np.ndarr
 _FOUND = "a long, b long, part int, tree int, hi long, lo long, sketch array<long>"
 
 
-def _linked(found: DataFrame, sketch: list[str], mask: list[np.ndarray], matched: int, depth: int, count: int, similar: float) -> DataFrame:
-    """Links (a, b) of all runs of sorted rows (tree, hi, lo, n, sketch), and for the first and the last run of each partition a row for each of its trees."""
+def _linked(found: DataFrame, sketch: list[str], mask: list[np.ndarray], count: int, similar: float) -> DataFrame:
+    """Links (a, b) of the runs of sorted rows (tree, hi, lo, n, sketch); and all rows of the runs that are not done with here.
+
+    These are the first and the last run of each partition, which may go on in others,
+    and runs of more than ``LARGE`` nodes, of which nothing is compared here.
+    """
+    names = [c.split()[0] for c in _FOUND.split(", ")]
 
     def links(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Links of all runs of some rows, and where the runs begin."""
+        """Links of all runs of some rows, and the sizes of the runs."""
         new = np.ones(len(rows["n"]), bool)
         new[1:] = _differs(rows, slice(1, None), slice(None, -1))
         begin = np.flatnonzero(new)
@@ -273,32 +286,27 @@ def _linked(found: DataFrame, sketch: list[str], mask: list[np.ndarray], matched
         two = begin[size == 2]
         two = two[agreeing(s[two], s[two + 1], count) >= similar]
         a, b = [node[two]], [node[two + 1]]
-        for at, n in zip(begin[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            own = slice(at, at + n)
-            x, y = run_links(node[own], s[own], similar, count, unpacked(rows["hi"][own], rows["lo"][own], matched, depth) if n > LARGE else None)
+        here = (size > 2) & (size <= LARGE)
+        for at, n in zip(begin[here].tolist(), size[here].tolist(), strict=True):
+            x, y = run_links(node[at : at + n], s[at : at + n], similar, count)
             a.append(x)
             b.append(y)
-        a, b = np.concatenate(a), np.concatenate(b)
-        apart = a != b
-        return a[apart], b[apart], begin
+        return np.concatenate(a), np.concatenate(b), size
 
     def _differs(rows, x, y):
         return (rows["tree"][x] != rows["tree"][y]) | ((rows["hi"][x] ^ rows["hi"][y]) & mask[0] != 0) | ((rows["lo"][x] ^ rows["lo"][y]) & mask[1] != 0)
 
-    def batch_of(a, b, edge: dict[str, np.ndarray] | None = None, part: int = 0) -> pa.RecordBatch:
-        n = len(a)
-        if edge is None:
-            none = pa.nulls(n, pa.int32())
-            return pa.record_batch([pa.array(a), pa.array(b), none, none, none.cast(pa.int64()), none.cast(pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], names=[c.split()[0] for c in _FOUND.split(", ")])
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * edge["s"].shape[1], pa.int32()), pa.array(np.ascontiguousarray(edge["s"]).view(np.int64).reshape(-1)))
-        return pa.record_batch([pa.array(edge["n"]), pa.nulls(n, pa.int64()), pa.array(np.full(n, part, np.int32)), pa.array(edge["tree"]), pa.array(edge["hi"]), pa.array(edge["lo"]), lists], names=[c.split()[0] for c in _FOUND.split(", ")])
-
-    def heads(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, part: int) -> pa.RecordBatch:
-        """A row for each tree of a run's nodes: its least node."""
-        root = dict(zip(*(x.tolist() for x in roots(a, b)), strict=True)) if len(a) else {}
-        least = np.array([root.get(n, n) == n for n in rows["n"].tolist()])
-        own = {k: v[least] for k, v in rows.items()}
-        return batch_of(own["n"], None, own, part)
+    def told(rows: dict[str, np.ndarray], part: int, first: bool, last: bool) -> Iterator[pa.RecordBatch]:
+        a, b, size = links(rows)
+        n, none = len(a), pa.nulls(len(a), pa.int64())
+        yield pa.record_batch([pa.array(a), pa.array(b), none.cast(pa.int32()), none.cast(pa.int32()), none, none, pa.nulls(n, pa.list_(pa.int64()))], names=names)
+        later = size > LARGE
+        later[0] |= first
+        later[-1] |= last
+        own = {k: v[np.repeat(later, size)] for k, v in rows.items()}
+        if n := len(own["n"]):
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * own["s"].shape[1], pa.int32()), pa.array(np.ascontiguousarray(own["s"]).view(np.int64).reshape(-1)))
+            yield pa.record_batch([pa.array(own["n"]), pa.nulls(n, pa.int64()), pa.array(np.full(n, part, np.int32)), pa.array(own["tree"]), pa.array(own["hi"]), pa.array(own["lo"]), lists], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -315,29 +323,15 @@ def _linked(found: DataFrame, sketch: list[str], mask: list[np.ndarray], matched
             differs = _differs(rows, slice(None), slice(last - 1, last))
             at = int(np.flatnonzero(differs)[-1]) + 1 if differs.any() else 0  # where the batch's last run begins
             if held and bool(_differs({k: np.concatenate([held[-1][k][-1:], v[:1]]) for k, v in rows.items()}, slice(0, 1), slice(1, 2))[0]):
-                now = whole()  # the held run has ended
-                a, b, _ = links(now)
-                yield batch_of(a, b)
-                if first:
-                    yield heads(now, a, b, part)
+                yield from told(whole(), part, first, False)  # the held run has ended
                 held, first = [], False
             if at:
                 held.append({k: v[:at] for k, v in rows.items()})
-                now = whole()
-                a, b, begin = links(now)
-                yield batch_of(a, b)
-                if first:
-                    end = int(begin[1]) if len(begin) > 1 else len(now["n"])
-                    own = {k: v[:end] for k, v in now.items()}
-                    inside = np.isin(a, own["n"]) & np.isin(b, own["n"])
-                    yield heads(own, a[inside], b[inside], part)
+                yield from told(whole(), part, first, False)
                 held, first = [], False
             held.append({k: v[at:] for k, v in rows.items()})
         if held:
-            now = whole()
-            a, b, _ = links(now)
-            yield batch_of(a, b)
-            yield heads(now, a, b, part)
+            yield from told(whole(), part, first, True)
 
     return found.mapInArrow(run, _FOUND)
 
@@ -351,21 +345,28 @@ def _links(nodes: DataFrame, trees: int, depth: int, matched: int, threshold: fl
     tries = cut(nodes.select("n", *(F.get(F.col("sketch"), F.lit(i)).alias(s) for i, s in enumerate(sketch)), each.alias("_t")).select("_t.*", "n", *sketch))
     mask = [np.array([((1 << 64) - (1 << (64 - 16 * d))) if d < 4 else (1 << 64) - 1 for d in (min(matched, 4), max(matched - 4, 0))], np.uint64).view(np.int64)[i] for i in (0, 1)]
     sorted_rows = tries.repartitionByRange("tree", "hi", "lo", "n").sortWithinPartitions("tree", "hi", "lo", "n")
-    found = cut(_linked(sorted_rows, sketch, mask, matched, depth, count, _similar(threshold, count)))
+    similar = _similar(threshold, count)
+    found = cut(_linked(sorted_rows, sketch, mask, count, similar))
     release(tries)
     inner = found.where("part is null").select("a", "b")
-    # Runs that partitions cut: their trees are compared once more, together, by a lower measure, for a tree is told by one node.
+    # Runs that partitions cut, and large ones: all their nodes are compared, in blocks of which any two meet in one task.
     prefix = [F.col("tree"), F.col("hi").bitwiseAND(F.lit(int(mask[0]))).alias("p"), F.col("lo").bitwiseAND(F.lit(int(mask[1]))).alias("q")]
-    edges = found.where("part is not null").select("part", *prefix, "hi", "lo", F.col("a").alias("n"), *(F.get("sketch", F.lit(i)).alias(s) for i, s in enumerate(sketch)))
-    opened = cut(edges.groupBy("tree", "p", "q").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("rows")).where("x < y").select("tree", "p", "q", "rows"))
+    edges = found.where("part is not null").select("part", *prefix, F.col("a").alias("n"), "sketch")
+    opened = cut(edges.groupBy("tree", "p", "q").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("rows")).where((F.col("x") < F.col("y")) | (F.col("rows") > LARGE)).select("tree", "p", "q", "rows"))
     if opened.isEmpty():
         return inner
-    over = edges.join(opened, ["tree", "p", "q"]).select("tree", "p", "q", "hi", "lo", "n", *sketch, "rows").distinct()
-    # A run with very many trees, which are unlike, is dealt by all levels.
-    few = F.col("rows") <= ONE_RUN
-    dealt = over.repartition("tree", "p", "q", F.when(~few, F.struct("hi", "lo"))).sortWithinPartitions("tree", "p", "q", "hi", "lo", "n").select("tree", "hi", "lo", "n", *sketch)
-    joined = _linked(dealt, sketch, mask, matched, depth, count, _similar(threshold - SLACK, count)).where("part is null").select("a", "b")
-    return inner.unionByName(cut(joined))
+    blocks = F.when(F.col("rows") > LARGE, F.ceil(F.col("rows") / (LARGE // 2))).otherwise(1).cast("int")
+    over = edges.join(opened, ["tree", "p", "q"]).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int"))
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("block")))
+    met = over.withColumn("other", F.explode(others)).select("tree", "p", "q", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "n", "sketch")
+
+    def both(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node = table.column("n").to_numpy()
+        a, b = run_links(node, table.column("sketch").chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(node), -1), similar, count)
+        return pa.table({"a": a, "b": b})
+
+    return inner.unionByName(cut(met.groupBy("tree", "p", "q", "i", "j").applyInArrow(both, "a long, b long")))
 
 
 def _common(h: np.ndarray, off: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:

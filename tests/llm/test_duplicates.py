@@ -284,6 +284,38 @@ def test_unlike_nodes_of_a_run_are_split(monkeypatch):
     assert {frozenset((8000, 8000 + i)) for i in (1, 2, 3)} <= {frozenset(x) for x in zip(a.tolist(), b.tolist(), strict=True)}
 
 
+def test_alike_nodes_among_thousands_of_unlike_ones_are_linked():
+    """Of a large run no pair is left out, also where the next levels differ."""
+    rng = np.random.default_rng(6)
+    n = 6000
+    sketch = rng.integers(0, 1 << 63, (n, 5)).astype(np.uint64)
+    sketch[[5000, 5900]] = sketch[4000]
+    deeper = rng.integers(0, 1 << 16, (n, 3)).astype(np.uint16)
+    for more in ((deeper,), ()):
+        a, b = nd.run_links(np.arange(n), sketch, 118, 160, *more)
+        assert set(a.tolist()) | set(b.tolist()) == {4000, 5000, 5900} and len(a) == 2
+
+
+@pytest.mark.parametrize("large", [1 << 15, 300])
+def test_trees_that_partitions_cut_meet_by_all_their_nodes(spark, monkeypatch, large):
+    """One run whose halves are chains: only nodes that begin no tree are like some of the other half."""
+    monkeypatch.setattr(nd, "LARGE", large)
+    # Of eight values the first k differ, so 6 of 8 agree with those two steps away.
+    chain = [sum(1 << (2 * i) for i in range(k)) for k in range(0, 9, 2)]
+    own = [(0, 1, 2)[i % 3] if i < 500 else (4, 3)[i % 2] for i in range(1000)]
+    nodes = spark.createDataFrame([(i, [0x1234_5678_9ABC, 0x0F00_0000_0000_0000 + i], [chain[k]]) for i, k in enumerate(own)], "n long, sig array<long>, sketch array<long>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = nd._links(nodes, 1, 8, 5, 0.8).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    node, root = nd.roots(np.array([r.a for r in links]), np.array([r.b for r in links]))
+    assert len(node) == 1000 and set(root.tolist()) == {0}
+
+
 def test_unpacked_values():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 1 << 16, (30, 2, 8)).astype(np.uint16)
