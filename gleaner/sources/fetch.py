@@ -38,12 +38,21 @@ class Fetcher(Protocol):
 
 @dataclass
 class TableFetcher:
-    """Responses out of a table; a URL that it lacks is answered by 404."""
+    """Responses out of a table; a URL that it lacks is answered by 404.
+
+    Of a table that is stored in the order of its URLs only the range that the asked ones,
+    which are few, span is read, and no response that is not asked for goes into an exchange.
+    """
 
     responses: DataFrame
+    ordered: bool = False
 
     def fetch(self, urls: DataFrame) -> DataFrame:
-        found = urls.select("url").distinct().join(self.responses, "url", "left")
+        asked, held = urls.select("url").distinct(), self.responses
+        if self.ordered:
+            ends = asked.agg(F.min("url").alias("least"), F.max("url").alias("most")).first()
+            held = held.where(F.col("url").between(ends.least, ends.most)).join(asked, "url", "left_semi")
+        found = asked.join(held, "url", "left")
         return found.select("url", F.coalesce("status", F.lit(404)).alias("status"), "headers", "body", "error")
 
 

@@ -144,9 +144,18 @@ class CrawlStream:
         if not self._whole(f"pages/{number}"):
             urls = rows.select("url").distinct()
             if (before := self._read("pages", number - 1)) is not None:
-                urls = urls.join(before.select("url"), "url", "left_anti")
+                # Of the pages that are there those that are asked for again: few, so that no exchange has all.
+                urls = urls.join(before.select("url").join(urls, "url", "left_semi"), "url", "left_anti")
             answers = self.crawl.fetcher.fetch(urls).withColumn("body", F.when(~bad(), F.col("body")))
             extract.parse_pages(answers, "body", "url", ("status", "error"), PARSED, "headers").write.mode("overwrite").parquet(self._table(f"pages/{number}"))
+        if not rows.where("kind <> 'article'").isEmpty():  # articles link to nothing that is asked for
+            self._widen(rows, number)
+        last = rows.agg(F.max("at").alias("at")).first().at
+        if last is not None:
+            _put(f"{self.folder}/frontier/_done", {"at": last})
+
+    def _widen(self, rows: DataFrame, number: int) -> None:
+        """Adds what the first pages and the listings of a batch link to."""
         pages = self._read("pages", number).select("url", "status", "error", "parsed")
         met = rows.where("kind <> 'article'").join(pages, "url")
         firsts = met.where("kind = 'first'")
@@ -157,9 +166,6 @@ class CrawlStream:
         plan = listing.plan_listing(sections, extract.pager_info(good.withColumn("page_url", F.col("url")), ("section_key",)), self.crawl.max_pages)
         more = plan.where("page_num > 1").select(F.lit("listing").alias("kind"), *PLACE, F.lit(-1).alias("pos"), F.col("page_url").alias("url"), F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("page_url"))
         self._add(more.unionByName(self._linked(met).select(F.lit("article").alias("kind"), *PLACE, "pos", "url", "title", "page_url")), number)
-        last = rows.agg(F.max("at").alias("at")).first().at
-        if last is not None:
-            _put(f"{self.folder}/frontier/_done", {"at": last})
 
     @staticmethod
     def _listed(met: DataFrame) -> DataFrame:

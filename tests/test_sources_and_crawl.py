@@ -458,6 +458,31 @@ def test_a_streamed_crawl_goes_on_where_it_was(spark, server, tmp_path):
     assert hits == {"/l": 1, "/l/PageID/2": 1, "/d/1": 1, "/d/2": 1, "/d/404": 1, "/d/3": 1}
 
 
+def test_articles_of_a_streamed_crawl_widen_nothing(spark, server, tmp_path):
+    """A batch of articles alone reads no pages of the batches before and adds no step."""
+    import json
+
+    from gleaner.streaming.crawl_stream import CrawlStream
+
+    at = str(tmp_path / "work" / "stream")
+    assert CrawlStream(crawl(spark, server[0], tmp_path), at, 1).run() == 0
+    with open(f"{at}/frontier/_steps") as f:
+        steps = json.load(f)
+    assert steps["rows"] == 6 and all(s["last"] > s["after"] for s in steps["steps"]) and len(steps["steps"]) == 3
+
+
+def test_of_an_ordered_table_only_the_range_of_the_urls_is_read(spark, tmp_path):
+    at = str(tmp_path / "site")
+    rows = spark.range(100).selectExpr("concat('u', 100 + id) url", "200 status", "map('a', 'b') headers", "cast(cast(id as string) as binary) body", "cast(null as string) error")
+    rows.repartitionByRange(4, "url").sortWithinPartitions("url").write.parquet(at)
+    urls = spark.createDataFrame([("u150",), ("u120",), ("u1555",), ("u120",)], "url string")
+    got = TableFetcher(spark.read.parquet(at), ordered=True).fetch(urls)
+    assert sorted((r.url, r.status) for r in got.collect()) == [("u120", 200), ("u150", 200), ("u1555", 404)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(url,u120), LessThanOrEqual(url,u1555)" in plan
+    assert TableFetcher(spark.read.parquet(at), ordered=True).fetch(urls.limit(0)).count() == 0
+
+
 def test_cli(spark, server, tmp_path, capsys):
     import json
 
