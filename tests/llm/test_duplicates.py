@@ -303,7 +303,8 @@ def test_trees_that_partitions_cut_meet_by_all_their_nodes(spark, monkeypatch, l
     # Of eight values the first k differ, so 6 of 8 agree with those two steps away.
     chain = [sum(1 << (2 * i) for i in range(k)) for k in range(0, 9, 2)]
     own = [(0, 1, 2)[i % 3] if i < 500 else (4, 3)[i % 2] for i in range(1000)]
-    nodes = spark.createDataFrame([(i, [0x1234_5678_9ABC, 0x0F00_0000_0000_0000 + i], [chain[k]]) for i, k in enumerate(own)], "n long, sig array<long>, sketch array<long>")
+    first = {k: 1000 * at for at, k in enumerate((0, 1, 2, 4, 3))}  # each tree begins with a node at the far end of its chain
+    nodes = spark.createDataFrame([(first[k] + i, [0x1234_5678_9ABC, 0x0F00_0000_0000_0000 + i], [chain[k]]) for i, k in enumerate(own)], "n long, sig array<long>, sketch array<long>")
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
