@@ -19,7 +19,14 @@
     whatever its size and wherever partitions cut it: runs that are cut, and those of more
     than ``LARGE`` nodes, are dealt in blocks of which any two meet in one task.  Their
     cost grows with the square of their unlike nodes, the memory of a task does not.
-5.  What these links join is verified exactly: a component's shingle sets are
+5.  The forest and its sketches may miss a pair, so what they left apart is looked for
+    exactly (`missed`).  Sets of similarity >= threshold share one of the first
+    size - ceil(threshold * size) + 1 shingles of each, in any one order of all shingles; those
+    that come often in one of eight texts stand last, which sets the cost, not the result.
+    Of shingles whose nodes are not all joined, pairs of nodes that are apart are
+    compared: by size, by parity bits, whose difference is at most that of the sets, and
+    those that these leave by their whole sets.  What is similar joins the links.
+6.  What these links join is verified exactly: a component's shingle sets are
     compared in blocks of bounded size, each pair once, and only counts and classes
     come out.  A set is sent once for each block of its component; a block holds
     ``BLOCK_NODES`` sets, so nearly all components are one block.
@@ -41,7 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text as T
@@ -61,6 +68,10 @@ BLOCK_NODES, BLOCK_SHINGLES, STEP = 4096, 1 << 20, 256
 LARGE, TREES_AT_ONCE, CELLS = 1 << 15, 64, 1 << 17
 #: A component of more nodes than this is cut into up to SPREAD blocks, so that their pairs are dealt to several tasks.
 ONE_TASK, SPREAD = 512, 4
+#: One of so many texts is looked through for shingles that come often, of which so many at most stand last in the order of shingles.
+ORDERED_BY, FREQUENT = 8, 1 << 18
+#: Words of 64 parity bits of a set; nodes of one shingle in a block, of which two meet in one task.
+PARITY, SHARING = 8, 4096
 #: Name of a column that is added to the documents on the way; no table has it.
 TAG = "__gleaner_tag"
 
@@ -135,6 +146,38 @@ def signatures(h: np.ndarray, off: np.ndarray, trees: int = TREES, depth: int =
     return values, sketch
 
 
+def parities(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parity bits of each set, as (rows, PARITY) of 64 bits, and as many as it has shingles or more, with offsets.
+
+    Each bit tells whether the number of the set's shingles that fall to it is odd, so two
+    sets differ in as many shingles as bits, or more.  The number of words is PARITY times a
+    power of two; words of equal remainder fold to fewer by exclusive or.
+    """
+    size = np.diff(off)
+    words = PARITY << np.ceil(np.log2(np.maximum(size / (64 * PARITY), 1))).astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(words)])
+    x = T.mix(h ^ T.stream(33, 1)[0])
+    wide, few = np.zeros(at[-1], np.uint64), np.zeros((len(size), PARITY), np.uint64)
+    np.bitwise_xor.at(wide, np.repeat(at[:-1], size) + ((x >> np.uint64(32)).view(np.int64) & np.repeat(words - 1, size)), np.uint64(1) << (x & np.uint64(63)))
+    np.bitwise_xor.at(few, (np.repeat(np.arange(len(size)), words), (np.arange(len(wide)) - np.repeat(at[:-1], words)) % PARITY), wide)
+    return few, wide, at
+
+
+def prefixes(h: np.ndarray, off: np.ndarray, threshold: float, often: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of each set of which a similar set has one among its own, and the row offsets; often: sorted shingles that stand last, by times."""
+    size = np.diff(off)
+    rank = np.zeros(len(h), np.uint16)
+    if len(often) and len(h):
+        at = np.minimum(np.searchsorted(often, h), len(often) - 1)
+        rank = np.where(often[at] == h, times[at], 0).astype(np.uint16)
+    row = np.repeat(np.arange(len(size)), size)
+    order = np.argsort(rank, kind="stable")
+    order = order[np.argsort(row[order], kind="stable")]
+    taken = np.clip(size - np.ceil(threshold * size - 1e-6).astype(np.int64) + 1, 0, size)
+    own = np.arange(len(h)) - np.repeat(off[:-1], size) < np.repeat(taken, size)
+    return h[order][own], np.concatenate([[0], np.cumsum(taken)])
+
+
 def packed(values: np.ndarray) -> np.ndarray:
     """(rows, trees, 2) numbers of 64 bits whose order is that of the sequences of values; up to eight values of 16 bits."""
     rows, trees, depth = values.shape
@@ -156,21 +199,46 @@ def _similar(threshold: float, count: int) -> float:
     return count * (s + (1 - s) / 4)
 
 
-def _signed(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame:
-    """doc_id, tag (of its text), k1 and k2 (of its set), size (of its set), sig (two numbers for each trie) and sketch of each row."""
+def _lists(values: np.ndarray, off: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.ascontiguousarray(values).view(np.int64).reshape(-1)))
+
+
+def often_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that several different texts of a share of docs (text, tag) have, the most frequent ones, and how many have each."""
+    asked = docs.where(F.pmod("tag", F.lit(ORDERED_BY)) == 0).select("tag", "text").dropDuplicates(["tag"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch, "text"):
+                yield pa.record_batch([pa.array(sets(T.words(part.column("text")), width)[0].view(np.int64))], names=["h"])
+
+    found = asked.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("times")).where("times > 1").orderBy(F.desc("times"), "h").limit(FREQUENT).select("h", F.least("times", F.lit((1 << 15) - 1)).cast("short").alias("times")).toArrow()
+    h, times = found.column("h").to_numpy().view(np.uint64), found.column("times").to_numpy()
+    order = np.argsort(h)
+    return h[order], times[order]
+
+
+def _signed(docs: DataFrame, width: int, trees: int, depth: int, threshold: float) -> DataFrame:
+    """doc_id, tag (of its text), k1 and k2 (of its set), size (of its set), sig (two numbers for each trie), sketch, parity and wide (few and more parity bits) and prefix of each row."""
+    sent = docs.sparkSession.sparkContext.broadcast(often_shingles(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, times = sent.value
         for batch in batches:
             for part in T.slices(batch, "text"):
                 h, off = sets(T.words(part.column("text")), width)
                 values, sketch = signatures(h, off, trees, depth)
-                lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(np.ascontiguousarray(x).view(np.int64).reshape(-1)))
+                few, *wide = parities(h, off)
+                lists = lambda x: _lists(x, np.arange(len(x) + 1) * x.shape[1])
                 yield pa.record_batch(
-                    [part.column("doc_id"), part.column("tag"), *map(pa.array, set_keys(h, off)), pa.array(np.diff(off), pa.int64()), lists(packed(values).reshape(len(values), -1)), lists(sketch)],
-                    names=["doc_id", "tag", "k1", "k2", "size", "sig", "sketch"],
-                )
+                    [
+                        part.column("doc_id"), part.column("tag"), *map(pa.array, set_keys(h, off)), pa.array(np.diff(off), pa.int64()),
+                        lists(packed(values).reshape(len(values), -1)), lists(sketch), lists(few), _lists(*wide), _lists(*prefixes(h, off, threshold, often, times)),
+                    ],
+                    names=["doc_id", "tag", "k1", "k2", "size", "sig", "sketch", "parity", "wide", "prefix"],
+                )
 
-    return docs.mapInArrow(run, "doc_id long, tag long, k1 long, k2 long, size long, sig array<long>, sketch array<long>")
+    return docs.mapInArrow(run, "doc_id long, tag long, k1 long, k2 long, size long, sig array<long>, sketch array<long>, parity array<long>, wide array<long>, prefix array<long>")
 
 
 def matched_depth(nodes: DataFrame, n: int, threshold: float, recall: float, trees: int, depth: int, sample: int = SAMPLE) -> int:
@@ -415,6 +483,82 @@ def compare(block: np.ndarray, weight: np.ndarray, h: np.ndarray, off: np.ndarra
     return links, roots(np.concatenate(a), np.concatenate(b))[1]
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, carried: str) -> DataFrame:
+    """The carried columns of wanted nodes (n, _id, tag, k1, k2) and their shingles; a node may come from several tasks."""
+    # The text of each node's first row; the tag tells rows without an id, or with one id, apart.
+    texts = docs.join(grows(wanted), (docs["tag"] == wanted["tag"]) & docs["doc_id"].eqNullSafe(wanted["_id"]))
+    names = [c.split()[0] for c in carried.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # a row that comes often gives its set once for each task
+        for batch in batches:
+            for part in T.slices(batch, "text"):
+                h, off = sets(T.words(part.column("text")), width)
+                k1, k2 = set_keys(h, off)
+                own = (k1 == part.column("k1").to_numpy()) & (k2 == part.column("k2").to_numpy())
+                for i, x in enumerate(part.column("n").to_pylist()):
+                    own[i] &= x not in done
+                    if own[i]:
+                        done.add(x)
+                yield pa.record_batch([*(part.column(c) for c in names), _lists(h, off)], names=[*names, "shingles"]).filter(pa.array(own))
+
+    return texts.select("text", "k1", "k2", *names).mapInArrow(run, f"{carried}, shingles array<long>")
+
+
+def missed(nodes: DataFrame, comp: DataFrame, threshold: float) -> DataFrame | None:
+    """Pairs (a, b), all that can have the threshold, of nodes (n, size, parity, wide, prefix) that are in different components (n, component); None if there are none."""
+    placed = cut(nodes.join(grows(comp), "n", "left").select("n", F.coalesce("component", "n").alias("c"), "size", "parity", "prefix"))
+    shared = Window.partitionBy("t")
+    # Nodes of shingles whose nodes are not all joined.
+    apart = cut(
+        placed.select("n", "c", F.explode("prefix").alias("t")).withColumns({"x": F.min("c").over(shared), "y": F.max("c").over(shared)})
+        .where("x < y").select("t", "n", "c")
+    )
+    if apart.isEmpty():
+        release(placed, apart)
+        return None
+    # The nodes outside a shingle's largest component meet all of it, in blocks.
+    each = apart.groupBy("t", "c").agg(F.count("*").alias("k")).groupBy("t").agg(F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("k"))
+    blocks = lambda k: F.ceil(k / SHARING).cast("int")
+    dealt = each.select("t", F.col("m.c").alias("top"), blocks(F.col("k") - F.col("m.k")).alias("few"), blocks(F.col("k")).alias("all"))
+    bits = [f"p{i}" for i in range(PARITY)]
+    known = placed.select("n", "size", *(F.get("parity", F.lit(i)).alias(x) for i, x in enumerate(bits)))
+    rows = cut(apart.join(grows(dealt), "t").join(grows(known), "n"))
+    release(placed, apart)
+    own = lambda k: F.pmod(F.xxhash64("n"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    left = rows.where("c <> top").withColumns({"i": own("few"), "j": every("all")}).alias("l")
+    right = rows.withColumns({"j": own("all"), "i": every("few")}).alias("r")
+    x, y = (lambda c: F.col(f"l.{c}")), (lambda c: F.col(f"r.{c}"))
+    differ = sum((F.bit_count(x(p).bitwiseXOR(y(p))) for p in bits[1:]), F.bit_count(x(bits[0]).bitwiseXOR(y(bits[0]))))
+    met = left.join(
+        grows(right),
+        (x("t") == y("t")) & (x("i") == y("i")) & (x("j") == y("j")) & (x("c") != y("c")) & ((y("c") == y("top")) | (x("n") < y("n")))
+        & (F.least(x("size"), y("size")) >= threshold * F.greatest(x("size"), y("size")) - 1e-5)
+        & (differ * (1 + threshold) <= (x("size") + y("size")) * (1 - threshold) + 1e-5),
+    )
+    close = met.select(F.least(x("n"), y("n")).alias("a"), F.greatest(x("n"), y("n")).alias("b")).distinct()
+    # Of sets for which few bits say little, all bits are compared.
+    of = lambda k: nodes.select(F.col("n").alias(k), F.col("size").alias(f"{k}_size"), F.col("wide").alias(f"{k}_wide"))
+    words = F.least(F.size("a_wide"), F.size("b_wide"))
+    fold = lambda bits, i: F.aggregate(F.sequence(i, F.size(bits) - 1, words), F.lit(0).cast("long"), lambda v, k: v.bitwiseXOR(F.get(bits, k)))
+    differ = F.aggregate(F.sequence(F.lit(0), words - 1), F.lit(0), lambda v, i: v + F.bit_count(fold(F.col("a_wide"), i).bitwiseXOR(fold(F.col("b_wide"), i))))
+    known = close.join(grows(of("a")), "a").join(grows(of("b")), "b")
+    pairs = cut(known.where(differ * (1 + threshold) <= (F.col("a_size") + F.col("b_size")) * (1 - threshold) + 1e-5).select("a", "b"))
+    release(rows)
+    return None if pairs.isEmpty() else pairs
+
+
+def _similar_pairs(docs: DataFrame, pairs: DataFrame, source: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Those of pairs (a, b) whose sets have the threshold."""
+    asked = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct()
+    full = cut(_sets_of(docs, cut(asked.join(grows(source), "n")), width, "n long").dropDuplicates(["n"]))
+    of = lambda k: full.select(F.col("n").alias(k), F.col("shingles").alias(f"{k}_set"))
+    common = F.size(F.array_intersect("a_set", "b_set"))
+    met = pairs.join(grows(of("a")), "a").join(grows(of("b")), "b").select("a", "b", (F.size("a_set") + F.size("b_set")).alias("both"), common.alias("common"))
+    return cut(met.where(F.col("common") >= threshold * (F.col("both") - F.col("common")) - 1e-6).select("a", "b"))
+
+
 _VERIFIED = "n long, links long, root long, first_id long, whole boolean"
 
 
@@ -423,42 +567,30 @@ def _classified(docs: DataFrame, threshold: float, width: int, recall: float, tr
     ship(docs.sparkSession)
     text = F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tag"))
-    signed = cut(_signed(docs, width, trees, depth).withColumn("row", F.monotonically_increasing_id()))
+    signed = cut(_signed(docs, width, trees, depth, threshold).withColumn("row", F.monotonically_increasing_id()))
     rows = signed.select("doc_id", "tag", "row", "size", "k1", "k2")
     # A node is named by its first row.
     nodes = cut(rows.where("size > 0").groupBy("k1", "k2").agg(F.min("row").alias("n"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("size").alias("size")))
-    one = cut(signed.select(F.col("row").alias("n"), "sig", "sketch").join(grows(nodes.select("n")), "n", "left_semi"))
+    one = cut(signed.select(F.col("row").alias("n"), "size", "sig", "sketch", "parity", "wide", "prefix").join(grows(nodes.select("n")), "n", "left_semi"))
     matched = matched_depth(one, nodes.count(), threshold, recall, trees, depth)
+    source = rows.select(F.col("row").alias("n"), F.col("doc_id").alias("_id"), "tag", "k1", "k2")
     comp = cut(components(_links(one, trees, depth, matched, threshold)).withColumnRenamed("node", "n"))
+    if (pairs := missed(one, comp, threshold)) is not None:
+        more = _similar_pairs(docs, pairs, source, width, threshold)
+        release(pairs)
+        if not more.isEmpty():
+            before, comp = comp, cut(components(comp.select(F.col("n").alias("a"), F.col("component").alias("b")).unionByName(more)).withColumnRenamed("node", "n"))
+            release(before)
     release(one)
     members = cut(comp.join(grows(nodes.select("n", "first_id", "copies", "size")), "n"))
     few = F.when(F.count("*") > ONE_TASK, F.least(F.ceil(F.count("*") / ONE_TASK), F.lit(SPREAD))).otherwise(1)
     sizes = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_SHINGLES), few).cast("int").alias("blocks"))
-    source = rows.select(F.col("row").alias("n"), F.col("doc_id").alias("_id"), "tag", "k1", "k2")
     wanted = cut(
         members.join(grows(sizes), "component").join(grows(source), "n")
         .select("n", "first_id", "copies", "component", "blocks", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int").alias("block"), "_id", "tag", "k1", "k2")
     )
     release(comp, members)
-    # The text of each node's first row; the tag tells rows without an id, or with one id, apart.
-    texts = docs.join(grows(wanted), (docs["tag"] == wanted["tag"]) & docs["doc_id"].eqNullSafe(wanted["_id"]))
-    carried = ["n", "first_id", "copies", "component", "blocks", "block"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()  # a row that comes often gives its set once for each task
-        for batch in batches:
-            for part in T.slices(batch, "text"):
-                h, off = sets(T.words(part.column("text")), width)
-                k1, k2 = set_keys(h, off)
-                own = (k1 == part.column("k1").to_numpy()) & (k2 == part.column("k2").to_numpy())
-                for i, x in enumerate(part.column("n").to_pylist()):
-                    own[i] &= x not in done
-                    if own[i]:
-                        done.add(x)
-                lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(h.view(np.int64)))
-                yield pa.record_batch([*(part.column(c) for c in carried), lists], names=[*carried, "shingles"]).filter(pa.array(own))
-
-    full = texts.select("text", "k1", "k2", *carried).mapInArrow(run, "n long, first_id long, copies long, component long, blocks int, block int, shingles array<long>")
+    full = _sets_of(docs, wanted, width, "n long, first_id long, copies long, component long, blocks int, block int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = full.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
 

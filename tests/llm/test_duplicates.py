@@ -424,3 +424,69 @@ def test_a_large_group_of_near_copies_is_counted_whole(spark):
     rows = spark.range(6000).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(0, 199), i -> if(i = id % 200, concat('x', id), if(i = id * 7 % 200, concat('y', id), concat('b', i))))) as text")
     got = nd.near_duplicates(rows).groupBy("class_id", "n_links").count().collect()
     assert [tuple(r) for r in got] == [(0, 5999, 6000)]
+
+
+def edited_pairs(n, words=64):
+    """Pairs of texts of which one has other words at its end, of similarity about the threshold; and a line that all have."""
+    line = " ".join(f"often{k}" for k in range(12))
+    out = []
+    for i in range(n):
+        base = [f"w{i}x{k}" for k in range(words)]
+        out += [(2 * i, " ".join([line, *base])), (2 * i + 1, " ".join([line, *base[: words - 6 - i % 5], *(f"e{i}x{k}" for k in range(6 + i % 5))]))]
+    return out
+
+
+@pytest.mark.parametrize("sharing", [4096, 5])
+def test_links_that_the_forest_misses_are_found(spark, monkeypatch, sharing):
+    """One trie misses many pairs right at the threshold; all links are those of brute force, also where a shingle that no order puts last is dealt in blocks."""
+    monkeypatch.setattr(nd, "SHARING", sharing)
+    if sharing == 5:
+        monkeypatch.setattr(nd, "FREQUENT", 0)
+    rows = edited_pairs(80) + [(1000 + i, f"{t} tail{i}") for i, (_, t) in enumerate(near_copies(20, 70))]
+    expected = classes(rows)
+    assert 40 < sum(n for i, _, n in expected if i < 1000) < 160
+    got = nd.near_duplicates(frame(spark, rows), trees=1)
+    assert sorted(map(tuple, got.collect()), key=str) == expected
+
+
+def test_links_that_a_sample_does_not_show_are_found(spark, monkeypatch):
+    """The whole depth, as a sample of closer copies asks for, misses a pair at the threshold with 0.025."""
+    monkeypatch.setattr(nd, "matched_depth", lambda nodes, n, threshold, recall, trees, depth: depth)
+    rows = [(i, t) for i, t in edited_pairs(800) if i // 2 % 5 == 2]
+    stay = nd.one_of_each(frame(spark, rows)).count()
+    assert stay == len({c for _, c, _ in classes(rows)})
+
+
+def test_parities_and_prefixes_bound_what_sets_share():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    h = [np.unique(rng.choice(base[: 20 + 40 * (i % 9)], 12 + 30 * (i % 9), replace=False)) for i in range(40)] + [np.zeros(0, np.uint64), np.unique(base)]
+    h += [np.unique(np.concatenate([x[: int(len(x) * 0.9)], rng.integers(0, 1 << 63, 1 + len(x) // 12).astype(np.uint64)])) for x in h]
+    off = np.concatenate([[0], np.cumsum([len(x) for x in h])])
+    bits, wide, start = nd.parities(np.concatenate(h), off)
+    assert [len(x) <= 64 * (start[i + 1] - start[i]) for i, x in enumerate(h)] == [True] * len(h)
+    assert all((np.bitwise_xor.reduce(wide[start[i] : start[i + 1]].reshape(-1, nd.PARITY)) == bits[i]).all() for i in range(len(h)))
+    often = np.sort(base[:50])
+    first, at = nd.prefixes(np.concatenate(h), off, 0.8, often, np.arange(50) + 2)
+    near = 0
+    assert len(set(np.diff(start).tolist())) > 1
+    for i, x in enumerate(h):
+        for j, y in enumerate(h[:i]):
+            common = len(np.intersect1d(x, y))
+            assert int(np.bitwise_count(bits[i] ^ bits[j]).sum()) <= len(x) + len(y) - 2 * common
+            if common and common >= 0.8 * (len(x) + len(y) - common) - 1e-6:
+                near += 1
+                assert len(np.intersect1d(first[at[i] : at[i + 1]], first[at[j] : at[j + 1]]))
+    assert near > 10
+
+
+def test_a_long_text_and_a_longer_one_that_the_forest_misses(spark, monkeypatch):
+    """Sets that differ in their numbers of parity bits; nothing comes from the forest."""
+    monkeypatch.setattr(nd, "_links", lambda nodes, *_: nodes.select(nodes.n.alias("a"), nodes.n.alias("b")))
+    rows = []
+    for i in range(6):
+        base = [f"w{i}x{k}" for k in range(900)]
+        rows += [(3 * i, " ".join(base)), (3 * i + 1, " ".join([*base, *(f"e{i}x{k}" for k in range(200 + 9 * i))])), (3 * i + 2, " ".join([*base[:300], *(f"f{i}x{k}" for k in range(700))]))]
+    expected = classes(rows)
+    assert 0 < sum(n for _, _, n in expected) < 12
+    assert sorted(map(tuple, nd.near_duplicates(frame(spark, rows)).collect()), key=str) == expected
