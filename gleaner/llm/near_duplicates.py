@@ -29,7 +29,8 @@
 6.  What these links join is verified exactly: a component's shingle sets are
     compared in blocks of bounded size, each pair once, and only counts and classes
     come out.  A set is sent once for each block of its component; a block holds
-    ``BLOCK_NODES`` sets, so nearly all components are one block.
+    ``BLOCK_NODES`` sets, so nearly all components are one block.  Texts of which no set is
+    wanted are left out, by a filter of ``FILTER`` bits, before texts are dealt to those that are.
 
 Result: one row for each document with its class (the least doc_id of all that
 are linked, directly or through others) and its number of links, that is, the
@@ -72,6 +73,8 @@ ONE_TASK, SPREAD = 512, 4
 ORDERED_BY, FREQUENT = 8, 1 << 18
 #: Words of 64 parity bits of a set; nodes of one shingle in a block, of which two meet in one task.
 PARITY, SHARING = 8, 4096
+#: Bits of the filter by which texts that nothing asks for are left out before any is sent, in words of 64.
+FILTER = 1 << 24
 #: Name of a column that is added to the documents on the way; no table has it.
 TAG = "__gleaner_tag"
 
@@ -212,7 +215,9 @@ def often_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]
             for part in T.slices(batch, "text"):
                 yield pa.record_batch([pa.array(sets(T.words(part.column("text")), width)[0].view(np.int64))], names=["h"])
 
-    found = asked.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("times")).where("times > 1").orderBy(F.desc("times"), "h").limit(FREQUENT).select("h", F.least("times", F.lit((1 << 15) - 1)).cast("short").alias("times")).toArrow()
+    most = cut(asked.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("times")).where("times > 1").orderBy(F.desc("times"), "h").limit(FREQUENT).select("h", F.least("times", F.lit((1 << 15) - 1)).cast("short").alias("times")))
+    found = most.toArrow()
+    release(most)
     h, times = found.column("h").to_numpy().view(np.uint64), found.column("times").to_numpy()
     order = np.argsort(h)
     return h[order], times[order]
@@ -483,9 +488,17 @@ def compare(block: np.ndarray, weight: np.ndarray, h: np.ndarray, off: np.ndarra
     return links, roots(np.concatenate(a), np.concatenate(b))[1]
 
 
+def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All rows of docs (doc_id, tag) that are among wanted (_id, tag), and few others: by a filter of a bounded size, which each task has."""
+    bits = wanted.select(F.pmod(F.xxhash64("tag", "_id"), F.lit(FILTER)).alias("_cell")).groupBy(F.shiftright("_cell", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_cell % 64 as int))")).alias("_bits"))
+    placed = docs.withColumn("_cell", F.pmod(F.xxhash64("tag", "doc_id"), F.lit(FILTER)))
+    return placed.join(F.broadcast(bits), (F.shiftright("_cell", 6) == F.col("_word")) & (F.getbit("_bits", F.col("_cell") % 64) == 1), "left_semi").drop("_cell")
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, carried: str) -> DataFrame:
     """The carried columns of wanted nodes (n, _id, tag, k1, k2) and their shingles; a node may come from several tasks."""
     # The text of each node's first row; the tag tells rows without an id, or with one id, apart.
+    docs = _among(docs, wanted)
     texts = docs.join(grows(wanted), (docs["tag"] == wanted["tag"]) & docs["doc_id"].eqNullSafe(wanted["_id"]))
     names = [c.split()[0] for c in carried.split(", ")]
 
@@ -505,26 +518,25 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, carried: str) -> Da
     return texts.select("text", "k1", "k2", *names).mapInArrow(run, f"{carried}, shingles array<long>")
 
 
-def missed(nodes: DataFrame, comp: DataFrame, threshold: float) -> DataFrame | None:
-    """Pairs (a, b), all that can have the threshold, of nodes (n, size, parity, wide, prefix) that are in different components (n, component); None if there are none."""
-    placed = cut(nodes.join(grows(comp), "n", "left").select("n", F.coalesce("component", "n").alias("c"), "size", "parity", "prefix"))
+def missed(nodes: DataFrame, threshold: float) -> DataFrame | None:
+    """Pairs (a, b), all that can have the threshold, of nodes (n, c, size, parity, wide, prefix) whose components c are different; None if there are none."""
     shared = Window.partitionBy("t")
     # Nodes of shingles whose nodes are not all joined.
     apart = cut(
-        placed.select("n", "c", F.explode("prefix").alias("t")).withColumns({"x": F.min("c").over(shared), "y": F.max("c").over(shared)})
+        nodes.select("n", "c", F.explode("prefix").alias("t")).withColumns({"x": F.min("c").over(shared), "y": F.max("c").over(shared)})
         .where("x < y").select("t", "n", "c")
     )
     if apart.isEmpty():
-        release(placed, apart)
+        release(apart)
         return None
     # The nodes outside a shingle's largest component meet all of it, in blocks.
     each = apart.groupBy("t", "c").agg(F.count("*").alias("k")).groupBy("t").agg(F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("k"))
     blocks = lambda k: F.ceil(k / SHARING).cast("int")
     dealt = each.select("t", F.col("m.c").alias("top"), blocks(F.col("k") - F.col("m.k")).alias("few"), blocks(F.col("k")).alias("all"))
     bits = [f"p{i}" for i in range(PARITY)]
-    known = placed.select("n", "size", *(F.get("parity", F.lit(i)).alias(x) for i, x in enumerate(bits)))
+    known = nodes.select("n", "size", *(F.get("parity", F.lit(i)).alias(x) for i, x in enumerate(bits)))
     rows = cut(apart.join(grows(dealt), "t").join(grows(known), "n"))
-    release(placed, apart)
+    release(apart)
     own = lambda k: F.pmod(F.xxhash64("n"), F.col(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
     left = rows.where("c <> top").withColumns({"i": own("few"), "j": every("all")}).alias("l")
@@ -552,11 +564,14 @@ def missed(nodes: DataFrame, comp: DataFrame, threshold: float) -> DataFrame | N
 def _similar_pairs(docs: DataFrame, pairs: DataFrame, source: DataFrame, width: int, threshold: float) -> DataFrame:
     """Those of pairs (a, b) whose sets have the threshold."""
     asked = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct()
-    full = cut(_sets_of(docs, cut(asked.join(grows(source), "n")), width, "n long").dropDuplicates(["n"]))
+    wanted = cut(asked.join(grows(source), "n"))
+    full = cut(_sets_of(docs, wanted, width, "n long").dropDuplicates(["n"]))
     of = lambda k: full.select(F.col("n").alias(k), F.col("shingles").alias(f"{k}_set"))
     common = F.size(F.array_intersect("a_set", "b_set"))
     met = pairs.join(grows(of("a")), "a").join(grows(of("b")), "b").select("a", "b", (F.size("a_set") + F.size("b_set")).alias("both"), common.alias("common"))
-    return cut(met.where(F.col("common") >= threshold * (F.col("both") - F.col("common")) - 1e-6).select("a", "b"))
+    similar = cut(met.where(F.col("common") >= threshold * (F.col("both") - F.col("common")) - 1e-6).select("a", "b"))
+    release(wanted, full)
+    return similar
 
 
 _VERIFIED = "n long, links long, root long, first_id long, whole boolean"
@@ -568,20 +583,27 @@ def _classified(docs: DataFrame, threshold: float, width: int, recall: float, tr
     text = F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tag"))
     signed = cut(_signed(docs, width, trees, depth, threshold).withColumn("row", F.monotonically_increasing_id()))
-    rows = signed.select("doc_id", "tag", "row", "size", "k1", "k2")
+    rows = cut(signed.select("doc_id", "tag", "row", "size", "k1", "k2"))
     # A node is named by its first row.
     nodes = cut(rows.where("size > 0").groupBy("k1", "k2").agg(F.min("row").alias("n"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("size").alias("size")))
-    one = cut(signed.select(F.col("row").alias("n"), "size", "sig", "sketch", "parity", "wide", "prefix").join(grows(nodes.select("n")), "n", "left_semi"))
-    matched = matched_depth(one, nodes.count(), threshold, recall, trees, depth)
+    # The wide columns are sent in two parts, of which neither is held beside the other's exchange.
+    forest = cut(signed.select(F.col("row").alias("n"), "sig", "sketch").join(grows(nodes.select("n")), "n", "left_semi"))
+    matched = matched_depth(forest, nodes.count(), threshold, recall, trees, depth)
     source = rows.select(F.col("row").alias("n"), F.col("doc_id").alias("_id"), "tag", "k1", "k2")
-    comp = cut(components(_links(one, trees, depth, matched, threshold)).withColumnRenamed("node", "n"))
-    if (pairs := missed(one, comp, threshold)) is not None:
+    comp = cut(components(_links(forest, trees, depth, matched, threshold)).withColumnRenamed("node", "n"))
+    release(forest)
+    placed = nodes.select("n").join(grows(comp), "n", "left").select("n", F.coalesce("component", "n").alias("c"))
+    apart = cut(signed.select(F.col("row").alias("n"), "size", "parity", "wide", "prefix").join(grows(placed), "n"))
+    release(signed)
+    pairs = missed(apart, threshold)
+    release(apart)
+    if pairs is not None:
         more = _similar_pairs(docs, pairs, source, width, threshold)
         release(pairs)
         if not more.isEmpty():
             before, comp = comp, cut(components(comp.select(F.col("n").alias("a"), F.col("component").alias("b")).unionByName(more)).withColumnRenamed("node", "n"))
             release(before)
-    release(one)
+        release(more)
     members = cut(comp.join(grows(nodes.select("n", "first_id", "copies", "size")), "n"))
     few = F.when(F.count("*") > ONE_TASK, F.least(F.ceil(F.count("*") / ONE_TASK), F.lit(SPREAD))).otherwise(1)
     sizes = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_SHINGLES), few).cast("int").alias("blocks"))

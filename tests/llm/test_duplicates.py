@@ -1,9 +1,12 @@
 import hashlib
+import os
+import random
+import string
 
 import numpy as np
 import pytest
 
-from gleaner.llm import _graph, _text, near_duplicates as nd, substring_dedup as sd
+from gleaner.llm import _graph, _spark, _text, near_duplicates as nd, substring_dedup as sd
 from tests.llm.corpus import AWKWARD, frame, ordinary
 
 
@@ -490,3 +493,62 @@ def test_a_long_text_and_a_longer_one_that_the_forest_misses(spark, monkeypatch)
     expected = classes(rows)
     assert 0 < sum(n for _, _, n in expected) < 12
     assert sorted(map(tuple, nd.near_duplicates(frame(spark, rows)).collect()), key=str) == expected
+
+
+def long_words(n, words=40):
+    """Unlike texts of long words that do not compress, and two that are alike."""
+    rng = random.Random(9)
+    letters = string.ascii_letters + string.digits + "-_"
+    rows = [(i, " ".join("".join(rng.choices(letters, k=200)) for _ in range(words))) for i in range(n)]
+    return [*rows, (n, f"{rows[0][1]} more")]
+
+
+def test_texts_that_nothing_asks_for_are_not_sent(spark):
+    """Of documents that are like no other, exchanges carry signatures and prefixes, not texts."""
+    rows = long_words(320)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+
+    def sent():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = store.stageList(None, False, False, none, spark.sparkContext._jvm.java.util.ArrayList())
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before = sent()
+    got = {r.doc_id: (r.class_id, r.n_links) for r in nd.near_duplicates(df).collect()}
+    assert got == {i: (0, 1) if i in (0, 320) else (i, 0) for i, _ in rows}
+    # One in ORDERED_BY texts is sent for the order of shingles.
+    assert sum(v for k, v in sent().items() if k not in before) < 0.6 * sum(len(t) for _, t in rows)
+
+
+def test_among_leaves_out_nothing_that_is_wanted(spark, monkeypatch):
+    rows = [(None if i % 7 == 0 else i - 50, (i * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, tag long")
+    wanted = [rows[i] for i in range(0, 2000, 9)]
+    asked = spark.createDataFrame(wanted, "_id long, tag long")
+    for size, most in ((64, 2000), (1 << 24, 240)):
+        monkeypatch.setattr(nd, "FILTER", size)
+        got = nd._among(docs, asked).collect()
+        assert set(wanted) <= {tuple(r) for r in got} <= set(rows) and len(wanted) <= len(got) <= most
+        assert nd._among(docs, asked.limit(0)).count() == 0
+
+
+def test_wide_columns_are_held_once(spark, monkeypatch):
+    """While shingles are dealt, one table has the prefixes, and none the signatures; at the end there is neither."""
+    made, held = [], []
+    alive = lambda: [t.columns for t in made if os.path.exists(t._gleaner_path.removeprefix("file:"))]
+
+    def cut(df):
+        out = _spark.cut(df)
+        if out.columns == ["t", "n", "c"]:
+            held.extend(alive())
+        made.append(out)
+        return out
+
+    monkeypatch.setattr(nd, "cut", cut)
+    rows = edited_pairs(80)
+    got = nd.near_duplicates(frame(spark, rows), trees=1)
+    assert sorted(map(tuple, got.collect()), key=str) == classes(rows)
+    assert sum("prefix" in c for c in held) == 1 and not any("sig" in c for c in held)
+    assert not any({"prefix", "sig", "shingles"} & set(c) for c in alive())
